@@ -7,12 +7,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from lavra.operators.aggregate import mean_and_std
 from lavra.operators.evaluate import METRICS, binary_metrics
@@ -154,22 +156,26 @@ def predict(
 def cross_predictions(
     df: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str],
     candidates: Sequence[tuple[str, ModelSpec, Mapping[str, object]]], fold: str = "fold",
-    folds: Sequence[int] = (0, 1, 2, 3),
+    folds: Sequence[int] = (0, 1, 2, 3), parallelism: int = 4,
 ) -> DataFrame:
     """Out-of-fold scores of every candidate (name, kind, parameters), in one long table.
 
-    Candidates that want the same preparation share it within a fold.
+    Candidates that want the same preparation share it within a fold. The driver waits for several
+    folds at a time; all work on rows is Spark's.
     """
-    scored = []
-    for k in folds:
+    def run_fold(k: int) -> list[DataFrame]:
         ready: dict[tuple, Prepared] = {}
-        held_out = df.where(F.col(fold) == k)
+        parts = []
         for name, spec, params in candidates:
             flavour = (spec.scale, spec.encoding)
             if flavour not in ready:
                 ready[flavour] = prepare(df.where(F.col(fold) != k), label, numeric, categorical, spec)
-            part = predict(ready[flavour].fit(spec, params), held_out, label)
-            scored.append(part.select(F.lit(name).alias("modelo"), F.lit(k).alias("fold"), "y_real", "y_pred", "score"))
+            part = predict(ready[flavour].fit(spec, params), df.where(F.col(fold) == k), label)
+            parts.append(part.select(F.lit(name).alias("modelo"), F.lit(k).alias("fold"), "y_real", "y_pred", "score"))
+        return parts
+
+    with ThreadPool(min(parallelism, len(folds))) as pool:
+        scored = [p for parts in pool.map(inheritable_thread_target(df.sparkSession)(run_fold), folds) for p in parts]
     return staged(reduce(lambda a, b: a.unionByName(b), scored), "scores")
 
 
