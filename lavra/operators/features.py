@@ -136,19 +136,23 @@ def fit_preparation(
             fitted.means[c] = row[f"m{i}"]
             fitted.stds[c] = row[f"s{i}"] or 1.0
     if categorical:
-        counts = category_counts(train, categorical)
-        sizes = {r["column"]: r["k"] for r in counts.groupBy("column").agg(F.count("*").alias("k")).collect()}
-        large = {c: k for c, k in sizes.items() if k > MAX_CATEGORIES}
-        if large:
-            raise ValueError(f"too many categories to encode: {large}")
-        fitted.modes = {r["column"]: r["mode"] for r in modes(counts).collect()}
-        fitted.categorical = [c for c in categorical if c in fitted.modes]
-        seen: dict[str, dict[str, int]] = {c: {} for c in fitted.categorical}
-        for r in counts.collect():  # bounded by MAX_CATEGORIES per column
-            if r["column"] in seen:
-                value = fitted.modes[r["column"]] if r["value"] is None else r["value"]
-                seen[r["column"]][value] = seen[r["column"]].get(value, 0) + r["n"]
-        for c, n in seen.items():
+        limit = MAX_CATEGORIES * len(categorical)
+        rows = category_counts(train, categorical).limit(limit + 1).collect()
+        if len(rows) > limit:
+            raise ValueError(f"more than {MAX_CATEGORIES} categories per column to encode in {list(categorical)}")
+        seen: dict[str, dict[str, int]] = {}
+        missing: dict[str, int] = {}
+        for r in rows:
+            if r["value"] is None:
+                missing[r["column"]] = r["n"]
+            else:
+                seen.setdefault(r["column"], {})[r["value"]] = r["n"]
+        fitted.categorical = [c for c in categorical if c in seen]
+        for c in fitted.categorical:
+            fitted.modes[c] = min(seen[c], key=lambda v: (-seen[c][v], v))
+            seen[c][fitted.modes[c]] += missing.get(c, 0)
+        for c in fitted.categorical:
+            n = seen[c]
             fitted.kept[c] = sorted(v for v, k in n.items() if k >= min_frequency)
             fitted.pooled[c] = sorted(v for v, k in n.items() if k < min_frequency)
     return fitted
