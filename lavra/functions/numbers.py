@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lavra.functions.text import clean_text, trim_all
+from lavra.functions.text import clean_text, first_match, trim_all
 
 # What counts as a number. Java's own parser would also take forms such as "1d".
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -18,7 +18,7 @@ MISSING_WORDS = ("...", "..", "X", "x")
 
 
 def parse_plain(c: Column) -> Column:
-    return F.when(c.rlike(NUMBER), c.try_cast("double"))
+    return F.regexp_extract(c, NUMBER, 0).try_cast("double")
 
 
 def parse_comma(c: Column) -> Column:
@@ -35,11 +35,9 @@ def to_number(c: Column) -> Column:
 def to_int(c: Column, on_fraction: str = "error") -> Column:
     """Nullable whole number. A fractional value raises, or is null with ``on_fraction='null'``."""
     value = parse_plain(clean_text(c))
-    whole = F.when(value == F.floor(value), value.try_cast("long"))
-    if on_fraction == "null":
-        return whole
     complaint = F.raise_error(F.concat(F.lit("not a whole number: "), c)).cast("long")
-    return F.when(value != F.floor(value), complaint).otherwise(whole)
+    other = F.lit(None).cast("long") if on_fraction == "null" else complaint
+    return F.when(value % 1 != 0, other).otherwise(value.try_cast("long"))
 
 
 def parse_numeric(
@@ -60,4 +58,4 @@ def missing_if_nan(c: Column) -> Column:
 
 def year_in(c: Column, pattern: str = r"(\d{4})") -> Column:
     """Year found in a label; null when there is none."""
-    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")).try_cast("int")
+    return first_match(c, pattern, 1).try_cast("int")

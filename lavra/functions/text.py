@@ -10,8 +10,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Texts that stand for "missing" after trimming (exact, case-sensitive).
-BLANK_WORDS = ("", "nan", "None", "NULL")
+# Texts that stand for "missing" after trimming (exact, case-sensitive), besides "".
+BLANK_WORDS = ("nan", "None", "NULL")
+
+# Trimmed text in group 1; no match for blank texts and blank words.
+CLEAN = rf"(?sU)^\s*+(?!(?:{'|'.join(BLANK_WORDS)})?\s*\z)(.*?)\s*\z"
+
+# The functions below name their input once wherever they can: an expression that names its input
+# three times, nested three deep, is evaluated 27 times wherever Spark cannot share the parts
+# (conditional branches, filters, join keys).
+
+
+def first_match(c: Column, pattern: str, group: int = 0) -> Column:
+    """First match of a pattern, null without one."""
+    return F.get(F.regexp_extract_all(c, F.lit(pattern), F.lit(group)), 0)
 
 
 def trim_all(c: Column) -> Column:
@@ -20,8 +32,7 @@ def trim_all(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    text = trim_all(c)
-    return F.when(~text.isin(*BLANK_WORDS), text)
+    return first_match(c, CLEAN, 1)
 
 
 def clean_strings(df: DataFrame) -> DataFrame:
@@ -37,8 +48,11 @@ def clean_strings(df: DataFrame) -> DataFrame:
 
 
 def zero_pad(c: Column, width: int) -> Column:
-    """Pad with zeros on the left; longer texts stay whole (``lpad`` alone would cut them)."""
-    return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
+    """Pad with zeros on the left; longer texts stay whole (``lpad`` alone would cut them).
+
+    Zeros are put in front, then at most as many are taken off, down to ``width`` characters.
+    """
+    return F.regexp_replace(F.concat(F.lit("0" * width), c), f"(?s)^0{{0,{width}}}(?=.{{{width}}})", "")
 
 
 def normalize_code(
@@ -48,12 +62,16 @@ def normalize_code(
 
     A trailing ``.0`` is dropped first. With ``clean`` the blank words become null before that.
     A text without any digit is padded like any other one, or becomes null with ``empty_to_null``.
+    Texts that are digits already, as most are, take a short cut past all of this.
     """
     text = clean_text(c) if clean else trim_all(c)
-    digits = F.regexp_replace(F.regexp_replace(text, r"\.0$", ""), r"\D", "")
+    digits = F.regexp_replace(text, r"\.0$|\D", "")
     if empty_to_null:
-        digits = F.when(digits != "", digits)
-    return digits if width is None else zero_pad(digits, width)
+        digits = first_match(digits, "^.+$")
+    if width is None:
+        return digits
+    padded = F.lpad(c, F.greatest(F.length(c), F.lit(width)), F.lit("0"))
+    return F.when(c.rlike("^[0-9]+$"), padded).otherwise(zero_pad(digits, width))
 
 
 def _accent_pairs() -> tuple[str, str]:

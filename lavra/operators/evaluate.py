@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lavra.operators.ranking import running_sums
+from lavra.operators.ranking import running_sums, value_ranges
+from lavra.session import shuffle_width
 
 METRICS = ("accuracy", "balanced_accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
 
@@ -24,12 +25,32 @@ def _ungrouped(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df if by else df.drop(ONE)
 
 
-def score_counts(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
-    """Positives and negatives per distinct score: what the curves need, already summed."""
+def score_counts(
+    df: DataFrame, label: str, score: str, by: Sequence[str] = (), predicted: str | None = None
+) -> DataFrame:
+    """Positives and negatives per distinct score: what the curves need, already summed.
+
+    With ``predicted``, also how many of each were predicted positive.
+    """
     y = F.col(label)
-    return df.groupBy(*by, F.col(score).alias("score")).agg(
-        F.count_if(y == 1).alias("tp"), F.count_if(y == 0).alias("fp")
-    )
+    sums = [F.count_if(y == 1).alias("tp"), F.count_if(y == 0).alias("fp")]
+    if predicted is not None:
+        hit = F.col(predicted) == 1
+        sums += [F.count_if((y == 1) & hit).alias("hit_pos"), F.count_if((y == 0) & hit).alias("hit_neg")]
+    return df.groupBy(*by, F.col(score).cast("double").alias("score")).agg(*sums)
+
+
+def _cumulated(
+    df: DataFrame, label: str, score: str, by: Sequence[str], buckets: int | None, predicted: str | None = None
+) -> DataFrame:
+    """Score counts with running totals from the highest score down.
+
+    The ranges are cut on the rows themselves, which needs no shuffle; a range then holds at most
+    its share of the distinct scores.
+    """
+    ranges = value_ranges(df.select(F.col(score).cast("double").alias("_v")), "_v", buckets or shuffle_width(df.sparkSession))
+    counts = score_counts(df, label, score, by, predicted)
+    return running_sums(counts, "score", ["tp", "fp"], by, ranges=ranges)
 
 
 def curve_points(
@@ -37,13 +58,12 @@ def curve_points(
 ) -> DataFrame:
     """Per distinct score as threshold: counts, true and false positive rates, precision."""
     rows, keys = _grouped(df, by)
-    points = running_sums(score_counts(rows, label, score, keys), "score", ["tp", "fp"], keys, buckets=buckets)
+    points = _cumulated(rows, label, score, keys, buckets)
     sides = rows.groupBy(*keys).agg(
         F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n")
     )
     # One row per group of the evaluation (model, fold ...).
-    joined = points.join(F.broadcast(sides), keys)
-    curve = joined.select(
+    curve = points.join(F.broadcast(sides), keys).select(
         *keys,
         F.col("score").alias("threshold"),
         F.col("cum_tp").alias("tp"),
@@ -59,61 +79,66 @@ def confusion(df: DataFrame, label: str, predicted: str, by: Sequence[str] = ())
     return df.groupBy(*by, label, predicted).agg(F.count("*").alias("n"))
 
 
-def ranking_metrics(
-    df: DataFrame, label: str, score: str, by: Sequence[str] = (), buckets: int | None = None
-) -> DataFrame:
-    """ROC-AUC (ties count half) and average precision (step-wise sum), exact.
-
-    Null where only one class is present.
-    """
-    rows, keys = _grouped(df, by)
-    points = running_sums(score_counts(rows, label, score, keys), "score", ["tp", "fp"], keys, buckets=buckets)
+def _curve_sums() -> list[Column]:
     tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
     seen = F.col("cum_tp") + F.col("cum_fp")
-    sums = points.groupBy(*keys).agg(
+    return [
         F.sum(tp).alias("_p"),
         F.sum(fp).alias("_n"),
         F.sum(fp * (F.col("cum_tp") - tp / 2)).alias("_area"),
         F.sum(tp * F.try_divide(F.col("cum_tp").cast("double"), seen)).alias("_steps"),
-    )
+    ]
+
+
+def _curve_metrics() -> list[Column]:
     both = (F.col("_p") > 0) & (F.col("_n") > 0)
-    metrics = sums.select(
-        *keys,
+    return [
         F.when(both, F.try_divide("_area", F.col("_p") * F.col("_n"))).alias("roc_auc"),
         F.when(both, F.try_divide("_steps", "_p")).alias("pr_auc"),
-    )
-    return _ungrouped(metrics, by)
+    ]
+
+
+def ranking_metrics(
+    df: DataFrame, label: str, score: str, by: Sequence[str] = (), buckets: int | None = None
+) -> DataFrame:
+    """ROC-AUC (ties count half) and average precision (step-wise sum), exact.
+
+    Null where only one class is present.
+    """
+    rows, keys = _grouped(df, by)
+    sums = _cumulated(rows, label, score, keys, buckets).groupBy(*keys).agg(*_curve_sums())
+    return _ungrouped(sums.select(*keys, *_curve_metrics()), by)
 
 
 def binary_metrics(
     df: DataFrame, label: str, score: str, predicted: str, by: Sequence[str] = (), buckets: int | None = None
 ) -> DataFrame:
-    """All seven metrics per group. Precision, recall and F1 are 0 where they are undefined."""
+    """All seven metrics per group. Precision, recall and F1 are 0 where they are undefined.
+
+    The rows are summed once per distinct score; every metric comes from those sums.
+    """
     rows, keys = _grouped(df, by)
-    y, p = F.col(label), F.col(predicted)
-    counts = rows.groupBy(*keys).agg(
-        F.count_if((y == 1) & (p == 1)).cast("double").alias("_tp"),
-        F.count_if((y == 0) & (p == 1)).cast("double").alias("_fp"),
-        F.count_if((y == 1) & (p == 0)).cast("double").alias("_fn"),
-        F.count_if((y == 0) & (p == 0)).cast("double").alias("_tn"),
+    sums = _cumulated(rows, label, score, keys, buckets, predicted).groupBy(*keys).agg(
+        *_curve_sums(),
+        F.sum("hit_pos").cast("double").alias("_tp"),
+        F.sum("hit_neg").cast("double").alias("_fp"),
     )
-    tp, fp, fn, tn = (F.col(c) for c in ("_tp", "_fp", "_fn", "_tn"))
+    tp, fp, p, n = (F.col(c) for c in ("_tp", "_fp", "_p", "_n"))
     zero = F.lit(0.0)
-    recall = F.try_divide(tp, tp + fn)
-    specificity = F.try_divide(tn, tn + fp)
+    recall = F.try_divide(tp, p)
     # With a single true class, the balanced accuracy is the recall of that class.
+    specificity = F.try_divide(n - fp, n)
     balanced = F.coalesce((recall + specificity) / 2, recall, specificity)
-    simple = counts.select(
+    metrics = sums.select(
         *keys,
-        F.try_divide(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+        F.try_divide(tp + n - fp, p + n).alias("accuracy"),
         balanced.alias("balanced_accuracy"),
         F.coalesce(F.try_divide(tp, tp + fp), zero).alias("precision"),
         F.coalesce(recall, zero).alias("recall"),
-        F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), zero).alias("f1"),
+        F.coalesce(F.try_divide(2 * tp, tp + fp + p), zero).alias("f1"),
+        *_curve_metrics(),
     )
-    ranked = ranking_metrics(rows, label, score, keys, buckets)
-    # Both sides hold one row per evaluated group.
-    return _ungrouped(simple.join(F.broadcast(ranked), keys), by)
+    return _ungrouped(metrics, by)
 
 
 def metrics_long(metrics: DataFrame, value: str, names: Sequence[str] = METRICS) -> DataFrame:

@@ -58,7 +58,7 @@ def exact_medians(df: DataFrame, columns: Sequence[str], bracket_rows: int = BRA
         for c in todo:
             first, last = (m - below[c] for m in middle(c))
             edges = [max(0.0, first / inside[c] - 1e-3), min(1.0, last / inside[c] + 1e-3)]
-            probes.append(F.percentile_approx(between(c), edges, 100_000).alias(f"q{len(probes)}"))
+            probes.append(F.percentile_approx(between(c), edges, 10_000).alias(f"q{len(probes)}"))
         found = df.agg(*probes).first()
         tries = {c: tuple(found[f"q{i}"]) for i, c in enumerate(todo)}
         counted = df.agg(

@@ -208,16 +208,18 @@ def running_sums(
     group: Sequence[str] = (),
     descending: bool = True,
     buckets: int | None = None,
+    ranges: Ranges | None = None,
 ) -> DataFrame:
     """``cum_<name>`` of every summed column, in value order, inside each group.
 
-    The table holds one row per (group, value): aggregate it first.
+    The table holds one row per (group, value): aggregate it first. ``ranges`` spares a pass where
+    the caller has cut the value already.
     """
     group = list(group)
     columns = df.columns
     buckets = buckets or shuffle_width(df.sparkSession)
     base = df.withColumn("_v", F.col(quoted(value)).cast("double"))
-    base = value_ranges(base, "_v", buckets).assign(base, "_v", "_b")
+    base = (ranges or value_ranges(base, "_v", buckets)).assign(base, "_v", "_b")
     inside = W.partitionBy(*group, "_b").orderBy(_ordered("_v", descending)).rowsBetween(W.unboundedPreceding, W.currentRow)
     before = W.partitionBy(*group).orderBy(_ordered("_b", descending)).rowsBetween(W.unboundedPreceding, -1)
     totals = base.groupBy(*group, "_b").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])

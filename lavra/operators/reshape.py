@@ -21,7 +21,7 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 def key_union(frames: Sequence[DataFrame], key: Column, name: str) -> DataFrame:
     """Distinct non-null keys of several tables. No key at all is an error."""
     keys = reduce(lambda a, b: a.unionByName(b), [f.select(key.alias(name)) for f in frames])
-    distinct = keys.na.drop().distinct()
+    distinct = keys.where(F.col(name).isNotNull()).distinct()
     if not distinct.take(1):
         raise ValueError(f"no {name} in any table")
     return distinct

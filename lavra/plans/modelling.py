@@ -114,10 +114,12 @@ def _scored_lines(t):
     """Lines with a score from the hash of their keys: many distinct scores, some ties."""
     digest = F.md5(F.concat_ws(":", "l_orderkey", "l_linenumber"))
     score = F.conv(F.substring(digest, 1, 3), 16, 10).cast("double") / 4096
-    return t.lineitem.select(
+    scored = t.lineitem.select(
         "l_linestatus", score.alias("score"), (F.col("l_returnflag") == "R").cast("int").alias("y"),
         (score >= 0.5).cast("int").alias("pred"),
     )
+    # Like a model's predictions, the scores are written once and then judged.
+    return staged(scored, "scored")
 
 
 SCORED = """d as (select l_linestatus, cast(l_returnflag = 'R' as int) as y,
