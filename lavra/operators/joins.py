@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lavra.functions.text import quoted
 from lavra.operators.reshape import first_per_key
-from lavra.session import BROADCAST_BYTES, HOT_ROWS, hot_limit, shuffle_width
+from lavra.session import BROADCAST_BYTES, HOT_ROWS, hot_limit, shuffle_width, staged
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -112,11 +112,12 @@ def enrich(
     """Many-to-one left join.
 
     With ``duplicates='check'`` a right key that occurs twice is an error; with ``'first'`` the
-    right row that comes first by ``order`` is kept. Null keys match nothing.
+    right row that comes first by ``order`` is kept. Null keys match nothing. The right side is
+    read twice, to be measured and to be joined: stage it first if it is costly to compute.
     """
     on = list(on)
     if duplicates == "first":
-        right = first_per_key(right, on, order)
+        right = staged(first_per_key(right, on, order), "first")
     _, size, most = measured(right, on)
     if most > 1:
         raise ValueError(f"right side is not unique on {on}: one key occurs {most} times")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lavra.functions.numbers import year_in
 from lavra.functions.text import quoted
+from lavra.session import staged
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -19,9 +20,12 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def key_union(frames: Sequence[DataFrame], key: Column, name: str) -> DataFrame:
-    """Distinct non-null keys of several tables. No key at all is an error."""
+    """Distinct non-null keys of several tables. No key at all is an error.
+
+    The keys are written once: whoever filters by them first measures them and then joins them.
+    """
     keys = reduce(lambda a, b: a.unionByName(b), [f.select(key.alias(name)) for f in frames])
-    distinct = keys.where(F.col(name).isNotNull()).distinct()
+    distinct = staged(keys.where(F.col(name).isNotNull()).distinct(), "keys")
     if not distinct.take(1):
         raise ValueError(f"no {name} in any table")
     return distinct
@@ -54,6 +58,16 @@ def melt_years(
     return long.withColumn(year, year_in(F.col("_label"))).drop("_label")
 
 
+def first_of_category(category: str, value: str, columns: Mapping[str, str], order: str) -> list[Column]:
+    """Aggregates: per known category, the first non-null value by ``order``."""
+    return [
+        F.min_by(
+            F.col(value), F.when((F.col(category) == name) & F.col(value).isNotNull(), F.col(order))
+        ).alias(out)
+        for name, out in columns.items()
+    ]
+
+
 def pivot_first(
     df: DataFrame,
     key: Sequence[str],
@@ -62,13 +76,5 @@ def pivot_first(
     columns: Mapping[str, str],
     order: str,
 ) -> DataFrame:
-    """Long to wide: per key and known category, the first non-null value by ``order``."""
-    return df.groupBy(*key).agg(
-        *[
-            F.min_by(
-                F.col(value),
-                F.when((F.col(category) == name) & F.col(value).isNotNull(), F.col(order)),
-            ).alias(out)
-            for name, out in columns.items()
-        ]
-    )
+    """Long to wide in one aggregate; ``columns`` maps the known categories to output names."""
+    return df.groupBy(*key).agg(*first_of_category(category, value, columns, order))

@@ -12,7 +12,7 @@ from lavra.functions.text import clean_text, normalize_code, normalize_label
 from lavra.operators.columns import drop_prefixed, rename_existing
 from lavra.operators.joins import enrich
 from lavra.operators.profile import coerce_numeric
-from lavra.operators.reshape import pivot_first
+from lavra.operators.reshape import first_of_category
 from lavra.plans.registry import query
 from lavra.sources.parts import union_parts
 
@@ -151,10 +151,11 @@ def shares_per_capita(t):
     sums = t.orders.groupBy("o_custkey", "o_orderstatus").agg(
         F.count("*").cast("double").alias("n"), F.sum("o_totalprice").alias("amount")
     )
-    known = {"F": "n_finished", "O": "n_open"}
-    counts = pivot_first(sums, ["o_custkey"], "o_orderstatus", "n", known, "o_orderstatus")
-    pending = pivot_first(sums, ["o_custkey"], "o_orderstatus", "amount", {"P": "pending"}, "o_orderstatus")
-    wide = enrich(counts, pending, ["o_custkey"])
+    # Both pivots share one aggregate.
+    wide = sums.groupBy("o_custkey").agg(
+        *first_of_category("o_orderstatus", "n", {"F": "n_finished", "O": "n_open"}, "o_orderstatus"),
+        *first_of_category("o_orderstatus", "amount", {"P": "pending"}, "o_orderstatus"),
+    )
     a, b = F.col("n_finished"), F.col("n_open")
     return wide.select(
         "o_custkey",

@@ -14,6 +14,7 @@ from lavra.operators.joins import enrich_all, semi_filter
 from lavra.operators.ranking import sorted_by
 from lavra.operators.reshape import first_per_key, key_union, pivot_first
 from lavra.plans import literacy as fixed
+from lavra.session import staged
 from lavra.sources.payloads import flatten_json, header_row_table
 from lavra.sources.scan import available
 
@@ -112,8 +113,11 @@ def territory(
     product: DataFrame | None,
 ) -> DataFrame:
     """Localities with population, urban share and product per head. A failed source is ``None``."""
-    base = keys.select(KEY) if places is None else places
+    base = keys.select(KEY) if places is None else first_per_key(semi_filter(places, keys, [KEY]), [KEY], [])
     none = f"{KEY} string, "
+    population, split, product = (
+        None if source is None else staged(source, "source") for source in (population, split, product)
+    )
     joined = enrich_all(base, {
         "_pop": (population, none + "populacao_2022 double"),
         "_split": (split, none + "pop_urbana_2022 double, pop_rural_2022 double, "
@@ -123,5 +127,4 @@ def territory(
     rich = joined.withColumn(
         "pib_per_capita_2022", per_capita(F.col("pib_2022_mil_reais"), F.col("populacao_2022"))
     )
-    wanted = semi_filter(rich, keys, [KEY])
-    return sorted_by(first_per_key(wanted, [KEY], []), (KEY, False))
+    return sorted_by(rich, (KEY, False))

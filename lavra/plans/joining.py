@@ -11,6 +11,7 @@ from lavra.operators.ranking import sorted_by
 from lavra.operators.reshape import first_per_key, key_union, melt_years as to_long
 from lavra.operators.sampling import sample_exact
 from lavra.plans.registry import query
+from lavra.session import staged
 
 
 @query("""
@@ -44,7 +45,7 @@ def enrich_with_first(t):
         F.col("o_orderkey").alias("first_order"),
         F.col("o_totalprice").alias("first_price"),
     )
-    sources = {"_order": (first, ""), "_credit": (None, "c_custkey long, credit_limit double")}
+    sources = {"_order": (staged(first, "first"), ""), "_credit": (None, "c_custkey long, credit_limit double")}
     return enrich_all(t.customer.select("c_custkey"), sources, ["c_custkey"])
 
 

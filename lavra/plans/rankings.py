@@ -12,7 +12,7 @@ from lavra.session import staged
 
 
 def _spend(t):
-    spend = t.orders.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("spend"))
+    spend = staged(t.orders.groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("spend")), "sums")
     customer = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
     return staged(enrich(customer, spend, ["o_custkey"]), "spend")
 

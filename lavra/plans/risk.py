@@ -55,7 +55,7 @@ def modelling_table(
     before = first_per_key(
         select_existing(tables["municipios"], [KEY, "pct_alfabetizados_2023", "meta_2024", *first]), [KEY], first
     )
-    before = select_existing(before, [KEY, "pct_alfabetizados_2023", "meta_2024"])
+    before = staged(select_existing(before, [KEY, "pct_alfabetizados_2023", "meta_2024"]), "before")
     schools = tables["censo"].drop(*fixed.CENSUS_IDENTITY.values())
     joined = enrich(known, before, [KEY])
     joined = enrich(joined, schools, [KEY], "_censo", duplicates="first")

@@ -112,6 +112,12 @@ def test_reshape(spark):
     assert union.columns == ["k", "o"] and union.count() == 4
 
 
+def test_first_per_key_limits_rows_before_the_shuffle(spark):
+    plan = reshape.first_per_key(spark.range(10).selectExpr("id % 3 as k", "id as o"), ["k"], ["o"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("WindowGroupLimit") == 2 and "Partial" in text
+
+
 def test_entity_rollup(spark):
     df = spark.createDataFrame(
         [("m", None, 1, 2.0, 2), ("m", "first", None, 4.0, 1), ("m", "next", 0, None, 3), ("n", None, None, None, 4)],
