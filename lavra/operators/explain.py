@@ -115,6 +115,56 @@ def linear_attribution(
     )
 
 
+def sampled_attribution(
+    fitted: Fitted, rows: DataFrame, background: DataFrame, row_id: str,
+    explain: int = 150, against: int = 60, orders: int = 10, seed: int = SEED,
+) -> DataFrame:
+    """Mean absolute contribution of every source feature to the probability, for any model.
+
+    Shapley values by sampled feature orders: a row starts as a background row and takes on its own
+    values one feature at a time; the change of the probability at a step goes to that feature.
+    Contributions are averaged over orders, then their absolute values over rows. All steps of all
+    rows are scored as one table.
+    """
+    features = fitted.numeric + fitted.categorical
+    values = F.struct(*[quoted(c) for c in features])
+    some = sample_exact(rows, explain, [row_id], seed)
+    base = sample_exact(background, against, [row_id], 7)
+    # At most ``against`` rows are numbered, and broadcast.
+    numbered = base.select((F.row_number().over(W.orderBy(row_id)) - 1).alias("_n"), values.alias("_base"))
+    place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"), F.col("_order").cast("string")))
+    drawn = some.select(row_id, values.alias("_own"), F.explode(F.sequence(F.lit(1), F.lit(orders))).alias("_order"))
+    drawn = drawn.withColumn("_n", F.pmod(F.conv(F.substring(place, 1, 12), 16, 10).cast("long"), F.lit(base.count())))
+    turns = F.sort_array(
+        F.array(*[F.struct(F.md5(F.concat(place, F.lit(c))).alias("h"), F.lit(c).alias("name")) for c in features])
+    )
+    steps = (
+        drawn.join(F.broadcast(numbered), "_n")
+        .withColumn("_turns", turns["name"])
+        .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
+    )
+    mixed = steps.select(
+        row_id, "_order", "_step",
+        F.when(F.col("_step") > 0, F.try_element_at("_turns", F.greatest("_step", F.lit(1)))).alias("feature_original"),
+        *[
+            F.when(F.array_position("_turns", F.lit(c)) <= F.col("_step"), F.col(f"_own.{quoted(c)}"))
+            .otherwise(F.col(f"_base.{quoted(c)}"))
+            .alias(c)
+            for c in features
+        ],
+    )
+    path = W.partitionBy(row_id, "_order").orderBy("_step")
+    score = vector_to_array("probability")[1]
+    gains = fitted.model.transform(mixed).select(row_id, "_order", "_step", "feature_original", score.alias("p"))
+    gains = gains.withColumn("gain", F.col("p") - F.lag("p").over(path)).where("_step > 0")
+    return (
+        gains.groupBy(row_id, "feature_original")
+        .agg(F.avg("gain").alias("gain"))
+        .groupBy("feature_original")
+        .agg(F.avg(F.abs("gain")).alias("mean_abs_shap"))
+    )
+
+
 def importance_rollup(importance: DataFrame, source: str = "feature_original", value: str = "mean_abs_shap") -> DataFrame:
     """Importance of encoded slots summed per source feature."""
     return importance.groupBy(source).agg(F.sum(value).alias(value))

@@ -25,6 +25,11 @@ def row_bytes(df: DataFrame) -> Column:
     return size
 
 
+def size_of(df: DataFrame) -> int:
+    """Bytes of a table in memory, by one aggregate without a shuffle."""
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0]
+
+
 def measured(df: DataFrame, on: Sequence[str]) -> tuple[int, int, int]:
     """Rows, bytes and the most rows of one non-null key, by one pass."""
     per_key = df.groupBy(*on).agg(F.count("*").alias("n"), F.sum(row_bytes(df)).alias("b"))
@@ -65,7 +70,7 @@ def skew_join(
     """
     on = list(on)
     if right_bytes is None:
-        right_bytes = measured(right, on)[1]
+        right_bytes = size_of(right)
     if right_bytes <= broadcast_bytes:
         return left.join(F.broadcast(right), on, how)
 
@@ -82,7 +87,7 @@ def skew_join(
     else:
         few = F.broadcast(hot)
         hot_right = right.join(few, on, "left_semi")
-        if measured(hot_right, on)[1] <= broadcast_bytes:
+        if size_of(hot_right) <= broadcast_bytes:
             hot_right = F.broadcast(hot_right)
         parts = [
             keyed.join(few, on, "left_semi").join(hot_right, on, how),

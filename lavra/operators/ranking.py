@@ -83,7 +83,10 @@ def competition_rank(
     descending: bool = True,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Global rank with ties sharing the best place (1, 1, 3); null and masked rows get null."""
+    """Global rank with ties sharing the best place (1, 1, 3); null and masked rows get null.
+
+    Values are compared as doubles, NaN counts as missing.
+    """
     columns = df.columns
     masked = F.col(quoted(value)) if where is None else F.when(where, F.col(quoted(value)))
     base = df.withColumn("_v", missing_if_nan(masked))

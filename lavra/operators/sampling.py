@@ -15,14 +15,18 @@ from lavra.session import staged
 SAMPLE_ROWS = 5000
 SEED = 42
 
+# Samples up to this size are cut off by one sort; larger ones by the hash of their last row.
+SORT_ROWS = 100_000
+
 
 def sample_exact(
     df: DataFrame, n: int, key: Sequence[str], seed: int | str = SEED, rows: int | None = None
 ) -> DataFrame:
     """Exactly ``n`` rows (all, if there are fewer) with the smallest hashes of a unique key.
 
-    The rows are counted first. A hash limit that about ``n`` rows pass then keeps all but a few
-    rows from ever reaching the final sort; should fewer than ``n`` pass, the limit is doubled.
+    The rows are counted first. A hash limit that a few more than ``n`` rows pass then leaves only
+    those few to be cut off; should fewer than ``n`` pass, the limit is doubled. Samples of any
+    size work: for large ones only the surplus rows are sorted, to find the hash to stop at.
     """
     rows = df.count() if rows is None else rows
     if rows <= n:
@@ -31,9 +35,16 @@ def sample_exact(
     chance = min(1.0, (n + 8 * math.sqrt(n) + 64) / rows)
     while True:
         few = hashed if chance >= 1 else hashed.where(F.col("_h") < _hex_limit(chance))
-        if chance >= 1 or few.count() >= n:
-            return few.orderBy("_h", *key).limit(n).drop("_h")
+        passed = rows if chance >= 1 else few.count()
+        if passed >= n:
+            break
         chance *= 2
+    if n <= SORT_ROWS:
+        return few.orderBy("_h", *key).limit(n).drop("_h")
+    if passed > n:
+        surplus = few.select("_h").orderBy(F.col("_h").desc()).limit(passed - n)
+        few = few.where(F.col("_h") < surplus.agg(F.min("_h")).first()[0])
+    return few.drop("_h")
 
 
 def _hex_limit(chance: float) -> Column:

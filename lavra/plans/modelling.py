@@ -212,6 +212,13 @@ def attribution_by_feature(t):
     return explain.importance_rollup(explain.linear_attribution(fitted, test, train, "doc_id", None, None))
 
 
+@query()
+def sampled_attribution(t):
+    train, test = _split(t)
+    forest = models.fit(train, TARGET, NUMERIC, CATEGORICAL, QUERY_MODELS[1])
+    return explain.sampled_attribution(forest, test, train, "doc_id")
+
+
 @query("""
 select split_part(slot, '=', 1) as feature_original, round(sum(v), 6) as mean_abs_shap from (
   select 'status=' || l_linestatus as slot, avg(l_discount) as v from lineitem group by 1

@@ -211,6 +211,23 @@ def test_importance_and_attribution(labelled):
     assert few.count() == len(fitted.slots)
 
 
+def test_sampled_attribution_agrees_with_exact_orders(labelled):
+    """Two features have two orders, so the exact values are known."""
+    fitted = models.fit(labelled, "y", ["x", "z"], [], models.LOGISTIC)
+    row, base = labelled.where("id = 5"), labelled.where("id = 6")
+    got = explain.sampled_attribution(fitted, row, base, "id", orders=400)
+    found = {r["feature_original"]: r["mean_abs_shap"] for r in got.collect()}
+
+    def p(x_from, z_from):
+        x, z = x_from.first()["x"], z_from.first()["z"]
+        probe = labelled.sparkSession.createDataFrame([(x, z)], "x double, z double")
+        return fitted.model.transform(probe).select(vector_to_array("probability")[1]).first()[0]
+
+    own, none, x_only, z_only = p(row, row), p(base, base), p(row, base), p(base, row)
+    assert found["x"] == pytest.approx(abs((x_only - none + own - z_only) / 2), rel=0.1, abs=5e-3)
+    assert found["z"] == pytest.approx(abs((z_only - none + own - x_only) / 2), rel=0.1, abs=5e-3)
+
+
 def test_slot_sources():
     slots = ["num__pib", "cat__sigla_uf_PE", "cat__sigla_x", "odd"]
     assert [s for _, _, s in explain.slot_sources(slots, ["pib", "sigla", "sigla_uf"])] == ["pib", "sigla_uf", "sigla", "odd"]

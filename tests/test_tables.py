@@ -215,6 +215,14 @@ def test_sample_widens_a_limit_that_was_too_tight(spark, monkeypatch):
     assert rows(sampling.sample_exact(df, 100, ["id"])) == whole
 
 
+def test_large_sample_sorts_only_the_surplus(spark, monkeypatch):
+    df = spark.range(4000)
+    small = rows(sampling.sample_exact(df, 700, ["id"]))
+    monkeypatch.setattr(sampling, "SORT_ROWS", 10)
+    assert rows(sampling.sample_exact(df, 700, ["id"])) == small
+    assert sampling.sample_exact(df, 3999, ["id"]).count() == 3999
+
+
 def test_folds_keep_groups_together(spark):
     df = spark.range(4000).selectExpr(
         "id", "case when id % 3 = 0 then 'big' when id % 101 = 5 then null else concat('g', id % 400) end as g",
