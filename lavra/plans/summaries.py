@@ -19,31 +19,33 @@ select l_suppkey, count(*) as n_lines, min(l_linestatus) as line_status, min(l_r
   round(avg(case when l_linenumber = 1 then 1.0 else 0 end) * 100, 6) as pct_first,
   round(avg(case when l_discount > 0 then case when l_discount > 0.05 then 1.0 else 0 end end) * 100, 6)
     as pct_deep_discount,
-  round(avg(l_quantity), 6) as avg_quantity, round(avg(l_extendedprice), 4) as avg_price
+  round(avg(l_quantity), 6) as avg_quantity, avg(cast(round(l_extendedprice * 100) as bigint)) as avg_price_cents
 from lineitem group by 1""")
 def entity_rollup(t):
     lines = t.lineitem.withColumns({
         "returned": category_flag(F.when(F.col("l_returnflag") == "R", 1).when(F.col("l_returnflag") == "A", 2), 1),
         "first": category_flag(F.col("l_linenumber"), 1),
+        "cents": _cents("l_extendedprice"),
         "deep": F.when(F.col("l_discount") > 0, (F.col("l_discount") > 0.05).cast("int")),
     })
     rolled = aggregate.entity_rollup(
         lines, ["l_suppkey"], "n_lines",
         {"l_linestatus": "line_status", "l_returnflag": "return_flag", "l_absent": "absent"},
         {"returned": "pct_returned", "first": "pct_first", "deep": "pct_deep_discount"},
-        {"l_quantity": "avg_quantity", "l_extendedprice": "avg_price"},
-    )
-    digits = {"avg_price": 4}
-    return rolled.select(
-        *["l_suppkey", "n_lines", "line_status", "return_flag"],
-        *[F.round(c, digits.get(c, 6)).alias(c)
-          for c in ("pct_returned", "pct_first", "pct_deep_discount", "avg_quantity", "avg_price")],
+        {"l_quantity": "avg_quantity", "cents": "avg_price_cents"},
     )
+    rounded = ("pct_returned", "pct_first", "pct_deep_discount", "avg_quantity")
+    return rolled.withColumns({c: F.round(c, 6) for c in rounded})
+
+
+def _cents(column):
+    return F.round(F.col(column) * 100).cast("long")
 
 
 GROUP_SQL = """
-select n_name, count(distinct o_custkey) as customers, round(avg(o_totalprice), 4) as avg_price,
-  round(avg(c_acctbal), 4) as avg_balance,
+select n_name, count(distinct o_custkey) as customers,
+  avg(cast(round(o_totalprice * 100) as bigint)) as avg_price_cents,
+  avg(cast(round(c_acctbal * 100) as bigint)) as avg_balance_cents,
   round(avg(case when o_totalprice >= c_acctbal * 50 then 1.0 else 0 end) * 100, 6) as pct_attained
 from orders left join customer on o_custkey = c_custkey
 left join (select * from nation where n_nationkey <> 3) on n_nationkey = c_nationkey group by 1"""
@@ -54,15 +56,16 @@ def group_summary(t):
     customer = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", F.col("c_nationkey").alias("n_nationkey"))
     nation = t.nation.where("n_nationkey <> 3").select("n_nationkey", "n_name")
     joined = enrich(enrich(t.orders, customer, ["o_custkey"]), nation, ["n_nationkey"])
-    flagged = joined.withColumn("hit", (F.col("o_totalprice") >= F.col("c_acctbal") * 50).cast("int"))
+    # Whole cents have exact sums, so both engines must find the very same mean.
+    flagged = joined.select(
+        "n_name", "o_custkey", (F.col("o_totalprice") >= F.col("c_acctbal") * 50).cast("int").alias("hit"),
+        _cents("o_totalprice").alias("price"), _cents("c_acctbal").alias("balance"),
+    )
     out = aggregate.group_summary(
         flagged, ["n_name"], {"o_custkey": "customers"},
-        {"o_totalprice": "avg_price", "c_acctbal": "avg_balance"}, {"hit": "pct_attained"},
-    )
-    return out.select(
-        "n_name", "customers", F.round("avg_price", 4).alias("avg_price"),
-        F.round("avg_balance", 4).alias("avg_balance"), F.round("pct_attained", 6).alias("pct_attained"),
+        {"price": "avg_price_cents", "balance": "avg_balance_cents"}, {"hit": "pct_attained"},
     )
+    return out.withColumn("pct_attained", F.round("pct_attained", 6))
 
 
 @query("""
