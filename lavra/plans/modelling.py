@@ -6,6 +6,7 @@ as the positive class, the document source as the group that no split may cut.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from lavra.operators import evaluate, explain, features, models
@@ -99,17 +100,11 @@ def encoded_features(t):
     prepared, slots = features.assemble(
         train, features.fit_preparation(train, NUMERIC, CATEGORICAL), True, "onehot"
     )
-    array = features_array(prepared.transform(test))
+    array = prepared.transform(test).select(vector_to_array("features").alias("x"))
     wide = array.select(*[F.col("x")[i].alias(s) for i, s in enumerate(slots)])
     return describe(wide, slots)
 
 
-def features_array(df):
-    from pyspark.ml.functions import vector_to_array
-
-    return df.select(vector_to_array("features").alias("x"))
-
-
 def _scored_lines(t):
     """Lines with a score from the hash of their keys: many distinct scores, some ties."""
     digest = F.md5(F.concat_ws(":", "l_orderkey", "l_linenumber"))
