@@ -12,7 +12,7 @@ whatever the size of the corpus.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from itertools import combinations
+from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +28,9 @@ BITS, BYTES = 3, 8
 SHARED = BYTES - BITS
 CHOICES = list(combinations(range(BYTES), SHARED))
 MASKS = [sum(255 << (8 * p) for p in choice) for choice in CHOICES]
+# The eight bits of each byte value, and where the values of each byte position are counted.
+BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(float)
+PLACE = 256 * np.arange(BYTES)
 # Lists up to this length are compared as pairs, longer ones by looking up all neighbours of a value.
 PAIRED = 3000
 # Lists up to this length are compared for all lists of a batch at once.
@@ -40,17 +43,11 @@ def fingerprint(text: bytes | None, words: int = 3) -> int:
     if not found:
         return 0
     size = min(words, len(found))
-    joined = b" ".join(found)
-    ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))
-    digest = xxhash.xxh64_intdigest
-    spans = zip(starts[: len(found) - size + 1].tolist(), ends[size - 1 :].tolist())
-    hashes = np.fromiter((digest(joined[i:j], 42) for i, j in spans), "<u8", len(found) - size + 1)
-    ones = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(hashes), bitorder="little")
+    shingles = map(b" ".join, zip(*(found[i:] for i in range(size))))
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(42))), ">u8").astype("<u8")
+    places = hashes.view(np.uint8).reshape(-1, BYTES) + PLACE
+    ones = np.bincount(places.ravel(), minlength=BYTES * 256).reshape(BYTES, 256) @ BITS_OF_BYTE
+    bits = np.packbits(2 * ones.ravel() > len(hashes), bitorder="little")
     return int(bits.view("<i8")[0])
 
 
