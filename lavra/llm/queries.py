@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lavra.llm import simhash
+from lavra.llm import decontaminate, mixing, sharding, simhash, urls
 from lavra.llm.registry import QUERIES, query, table
 
 __all__ = ["QUERIES"]
@@ -15,3 +15,109 @@ def op1_simhash_near_dedup(spark, folder):
     docs = table(spark, folder, "documents")
     found = simhash.near_duplicates(docs, carry=["doc_id"])
     return found.select("doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
+
+
+MIX_SQL = r"""
+with d as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
+    ('0x' || substr(md5('mix|' || coalesce(doc_id::varchar, '\N') || '|' || coalesce(md5(text), '\N')), 1, 15))::bigint as k
+  from documents),
+s as (
+  select source, source_size, [3, 1, 2][(row_number() over (order by source nulls last) - 1) % 3 + 1] as w
+  from (select source, sum(size)::bigint as source_size from d group by source)),
+o as (
+  select *, 2.0::double * source_size as lim, row_number() over (order by 2.0::double * source_size / w, source nulls last) as i from s),
+l as (
+  select i, (1.5::double * (select sum(source_size) from s) - coalesce(sum(lim) over (order by i rows between unbounded preceding and 1 preceding), 0))
+    / sum(w) over (order by i rows between current row and unbounded following) as level, lim, w from o),
+f as (select level from l where level * w < lim order by i limit 1),
+t as (select source, source_size, least(lim, w * coalesce((select level from f), lim)) as target from o),
+q as (
+  select d.*, t.source_size, t.target, sum(size) over (partition by d.source order by k, size rows unbounded preceding)::bigint as sent
+  from d join t on d.source is not distinct from t.source),
+e as (
+  select doc_id, source, k, size, turn, (sent + turn * source_size) / target as finish
+  from q, (values (0), (1)) v(turn) where size > 0 and target > 0),
+c as (
+  select *, sum(size) over (order by finish, source nulls last, k, turn, size rows unbounded preceding) as total from e),
+x as (
+  select doc_id, source, k, size, sum(greatest(0, least(size, floor(1.5 * (select sum(size) from d))::bigint - (total - size))))::bigint as taken
+  from c group by all)
+select q.doc_id, q.size, q.source_size, q.target::double as target, coalesce(x.taken, 0)::bigint as taken
+from q left join x on q.doc_id is not distinct from x.doc_id and q.source is not distinct from x.source and q.k = x.k
+"""
+
+
+@query(MIX_SQL)
+def op2_weighted_mix(spark, folder):
+    docs = table(spark, folder, "documents")
+    return mixing.schedule(docs, carry=["doc_id"]).select("doc_id", "size", "source_size", "target", "taken")
+
+
+URL_RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
+
+URL_SQL = r"""
+with u as (
+  select page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path from pages),
+r(h, p, v) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+m as (
+  select page_id, host, path, arg_max(h || p, length(h || p)) filter (where h is not null) as rule,
+    arg_max(v, length(h || p)) filter (where h is not null) as v
+  from u left join r on (host = h or ends_with(host, '.' || h)) and starts_with(path, p)
+  group by page_id, host, path)
+select page_id, host, path, rule, coalesce(v, 'allow') as verdict from m
+"""
+
+
+@query(URL_SQL)
+def op5_url_filter(spark, folder):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return urls.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query()
+def op9_kd_shards(spark, folder):
+    docs = table(spark, folder, "documents")
+    found = sharding.numbered(docs, ["doc_id"], leaves=24)
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+LEAK_SQL = r"""
+with d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+g as (
+  select distinct item_id, least(len(w), 10) as n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as gram
+  from (select item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i from b where len(w) > 0)),
+p as (
+  select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as gram
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i from d, (select distinct n from g)) where len(w) >= n),
+h as (select doc_id, i, p.n, item_id from p join g on p.gram = g.gram and p.n = g.n),
+k as (select doc_id, count(distinct x)::bigint as n_hit from (select doc_id, unnest(range(i, i + n)) as x from h) group by doc_id),
+m as (
+  select doc_id, count(*)::bigint as n_items, sha256(string_agg(item, ',' order by item)) as items_sha256
+  from (select distinct doc_id, item_id::varchar as item from h) group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  coalesce(items_sha256, sha256('')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join k using (doc_id) left join m using (doc_id)
+"""
+
+
+@query(LEAK_SQL)
+def op10_decontaminate(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )

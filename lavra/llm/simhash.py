@@ -174,7 +174,7 @@ def _classes(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
     name = F.struct(F.col(f"`{key}`").isNull(), F.col(f"`{key}`"), F.xxhash64(f"`{text}`").alias("hash"))
     marked = staged(
         docs.select(
-            *[F.col(f"`{c}`") for c in carry],
+            F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("_doc"),
             fingerprint_column(f"`{text}`", words).alias("fingerprint"),
             name.alias("_row"),
         ),
@@ -188,7 +188,8 @@ def _classes(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
     owner = first.join(linked, F.col("fingerprint") == F.col("_linked"), "left").select(
         "fingerprint", F.coalesce("_least", "_row").alias("_owner")
     )
-    return marked, owner
+    # Written, so that the join with a fingerprint of many copies can split its rows over tasks.
+    return marked, staged(owner, "owners")
 
 
 def near_duplicates(
@@ -206,7 +207,7 @@ def near_duplicates(
     kept = [c for c in (docs.columns if carry is None else carry) if c not in ("fingerprint", "component_id")]
     marked, owner = _classes(docs, text, key, words, kept)
     placed = marked.join(owner, "fingerprint")
-    return placed.select(*[F.col(f"`{c}`") for c in kept], "fingerprint", F.col(f"_owner.{key}").alias("component_id"))
+    return placed.select(*[F.col(f"_doc.`{c}`") for c in kept], "fingerprint", F.col(f"_owner.{key}").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5) -> DataFrame:
