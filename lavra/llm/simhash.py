@@ -2,16 +2,18 @@
 
 Two 64-bit fingerprints that differ in at most three bits differ in at most three of their eight
 bytes, so they share at least five positional bytes: the guaranteed minimum of the count filter.
-Tallying single bytes would pair a 256th of all fingerprints with each other, so the index is kept
-at the level of the filter itself: a posting list per choice of five positions and their values. A
-pair meets in a list exactly when its tally reaches five, and nothing below the minimum is ever
-paired. A list holds distinct fingerprints that agree in five bytes, so at most 2^24 of them,
-whatever the size of the corpus.
+Posting lists of single bytes would pair a 256th of all fingerprints with each other, so the index is
+kept by choices of positions: a list per choice and values of its bytes. The choices are such that any
+five shared positions hold one of them. In a list the shared bytes of a pair are tallied over all
+eight positions, pairs that reach five are verified by their bits, and the first choice that a pair
+shares is the one that reports it. With choices of five positions (the default) nothing below the
+minimum meets at all, and a list of distinct fingerprints holds at most 2^24, whatever the corpus.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import cache
 from itertools import combinations, repeat
 
 import numpy as np
@@ -26,8 +28,7 @@ from lavra.session import staged
 
 BITS, BYTES = 3, 8
 SHARED = BYTES - BITS
-CHOICES = list(combinations(range(BYTES), SHARED))
-MASKS = [sum(255 << (8 * p) for p in choice) for choice in CHOICES]
+SEED = 42
 # The eight bits of each byte value, and where the values of each byte position are counted.
 BITS_OF_BYTE = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(float)
 PLACE = 256 * np.arange(BYTES)
@@ -37,14 +38,26 @@ PAIRED = 3000
 SHORT = 16
 
 
-def fingerprint(text: bytes | None, words: int = 3) -> int:
+@cache
+def masks(size: int) -> tuple[int, ...]:
+    """Masks of choices of ``size`` byte positions such that any five positions hold one of them."""
+    open_sets = {frozenset(c) for c in combinations(range(BYTES), SHARED)}
+    chosen = []
+    while open_sets:
+        best = max(combinations(range(BYTES), size), key=lambda c: sum(o.issuperset(c) for o in open_sets))
+        chosen.append(sum(255 << (8 * p) for p in best))
+        open_sets = {o for o in open_sets if not o.issuperset(best)}
+    return tuple(chosen)
+
+
+def fingerprint(text: bytes | None, words: int = 3, seed: int = SEED) -> int:
     """Signed 64-bit SimHash of the word shingles of a lower-cased (A-Z) text; 0 without words."""
     found = text.lower().split() if text else []
     if not found:
         return 0
     size = min(words, len(found))
     shingles = map(b" ".join, zip(*(found[i:] for i in range(size))))
-    hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(42))), ">u8").astype("<u8")
+    hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(seed))), ">u8").astype("<u8")
     places = hashes.view(np.uint8).reshape(-1, BYTES) + PLACE
     ones = np.bincount(places.ravel(), minlength=BYTES * 256).reshape(BYTES, 256) @ BITS_OF_BYTE
     bits = np.packbits(2 * ones.ravel() > len(hashes), bitorder="little")
@@ -62,15 +75,19 @@ def hex_digits(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
 
 
-def _first_choice(same: np.ndarray) -> np.ndarray:
+def _first_choice(different: np.ndarray, size: int) -> np.ndarray:
     """Of the choices of positions that a pair shares, the first: the one list that reports it."""
-    first = np.full(len(same), -1)
-    for i in reversed(range(len(CHOICES))):
-        mask = np.uint64(MASKS[i])
-        first[(same & mask) == 0] = i
+    first = np.full(len(different), -1)
+    for i, mask in reversed(list(enumerate(masks(size)))):
+        first[(different & np.uint64(mask)) == 0] = i
     return first
 
 
+def _tally(different: np.ndarray) -> np.ndarray:
+    """Positional bytes that pairs share."""
+    return (different.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
+
+
 def _forest(count: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Smallest index linked to each index."""
     root = np.arange(count)
@@ -104,66 +121,73 @@ def _neighbours(values: np.ndarray, free: int) -> Iterator[tuple[np.ndarray, np.
             yield hit, at[hit]
 
 
-def _links_of_list(values: np.ndarray, slot: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what is linked inside one posting list: fewer than it has values."""
-    values = np.sort(values)
-    pairs = _pairs(values) if len(values) <= PAIRED else _neighbours(values, ~MASKS[slot] & (1 << 64) - 1)
-    root = _forest(len(values), pairs)
+def _links_of_list(values: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of links that connect what is linked inside one list: fewer than it has values."""
+    order = np.argsort(values)
+    values = values[order]
+    root = _forest(len(values), _pairs(values) if len(values) <= PAIRED else _neighbours(values, free))
     linked = np.flatnonzero(root != np.arange(len(values)))
-    return values[root[linked]], values[linked]
+    return order[root[linked]], order[linked]
 
 
-def _links(slots: np.ndarray, shared: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+def _links(slots: np.ndarray, shared: np.ndarray, prints: np.ndarray, nodes: np.ndarray, size: int) -> pa.RecordBatch:
     """Links of whole posting lists, which stand one after the other."""
     new = np.flatnonzero(np.concatenate(([True], (slots[1:] != slots[:-1]) | (shared[1:] != shared[:-1]))))
     sizes = np.diff(np.append(new, len(slots)))
     size_of = np.repeat(sizes, sizes)
     place = np.arange(len(slots)) - np.repeat(new, sizes)
+    choices = len(masks(size))
     left, right = [], []
     for step in range(1, SHORT):
         i = np.flatnonzero((size_of <= SHORT) & (place + step < size_of))
         different = prints[i] ^ prints[i + step]
-        near = np.flatnonzero(np.bitwise_count(different) <= BITS)
-        once = near[_first_choice(different[near]) == slots[i][near]]
-        left.append(prints[i][once])
-        right.append(prints[i + step][once])
-    for at, size in zip(new[sizes > SHORT].tolist(), sizes[sizes > SHORT].tolist()):
-        a, b = _links_of_list(prints[at : at + size], int(slots[at]))
-        left.append(a)
-        right.append(b)
-    columns = [pa.array(np.concatenate(x).view(np.int64)) for x in (left, right)]
-    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
-
-
-def _scan_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept: tuple[np.ndarray, ...] | None = None
-    for batch in batches:
-        now = tuple(batch.column(c).to_numpy() for c in ("slot", "shared", "fingerprint"))
-        if kept:
-            now = tuple(np.concatenate(x) for x in zip(kept, now))
-        slots, shared, _ = now
-        # The last list may go on in the next batch.
-        last = np.flatnonzero((slots != slots[-1]) | (shared != shared[-1])) if len(slots) else []
-        cut = int(last[-1]) + 1 if len(last) else 0
-        if cut:
-            yield _links(slots[:cut], shared[:cut], now[2][:cut].view(np.uint64))
-        kept = tuple(x[cut:] for x in now)
-    if kept and len(kept[0]):
-        yield _links(kept[0], kept[1], kept[2].view(np.uint64))
-
-
-def fingerprint_links(prints: DataFrame, fingerprint: str = "fingerprint") -> DataFrame:
-    """Links ``a, b`` between distinct fingerprints that differ in at most three bits.
-
-    Short lists give every pair once; a list of more than ``SHORT`` values gives a spanning forest
-    of its pairs, so the classes are complete while no list gives more links than it has values.
+        enough = np.flatnonzero(_tally(different) >= SHARED)
+        near = enough[np.bitwise_count(different[enough]) <= BITS]
+        once = near[_first_choice(different[near], size) == slots[i][near] % choices]
+        left.append(i[once])
+        right.append(i[once] + step)
+    for at, many in zip(new[sizes > SHORT].tolist(), sizes[sizes > SHORT].tolist()):
+        free = ~masks(size)[slots[at] % choices] & ((1 << 64) - 1)
+        a, b = _links_of_list(prints[at : at + many], free)
+        left.append(a + at)
+        right.append(b + at)
+    return pa.RecordBatch.from_arrays([pa.array(nodes[np.concatenate(x)]) for x in (left, right)], ["a", "b"])
+
+
+def _scan_lists(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[np.ndarray] | None = None
+        for batch in batches:
+            now = [batch.column(c).to_numpy() for c in ("slot", "shared", "fingerprint", "node")]
+            if kept:
+                now = [np.concatenate(x) for x in zip(kept, now)]
+            slots, shared, prints, nodes = now
+            # The last list may go on in the next batch.
+            other = np.flatnonzero((slots != slots[-1]) | (shared != shared[-1])) if len(slots) else []
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield _links(slots[:cut], shared[:cut], prints[:cut].view(np.uint64), nodes[:cut], size)
+            kept = [x[cut:] for x in now]
+        if kept and len(kept[0]):
+            yield _links(kept[0], kept[1], kept[2].view(np.uint64), kept[3], size)
+
+    return run
+
+
+def fingerprint_links(prints: DataFrame, size: int = SHARED) -> DataFrame:
+    """Links ``a, b`` between the nodes of ``table, fingerprint, node``, distinct in the first two.
+
+    Linked are fingerprints of one table that differ in at most three bits. Short lists give every
+    pair once; a list of more than ``SHORT`` values gives a spanning forest of its pairs, so the
+    classes are complete while no list gives more links than it has values.
     """
-    values = prints.select(F.col(fingerprint).alias("fingerprint"))
-    signed = [m - (1 << 64) if m >> 63 else m for m in MASKS]
+    signed = [m - (1 << 64) if m >> 63 else m for m in masks(size)]
     lists = F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in signed]))
-    postings = values.select("fingerprint", lists.alias("slot", "shared"))
+    postings = prints.select("table", "fingerprint", "node", lists.alias("_choice", "shared")).select(
+        (F.col("table") * len(signed) + F.col("_choice")).cast("int").alias("slot"), "shared", "fingerprint", "node"
+    )
     grouped = postings.repartition("slot", "shared").sortWithinPartitions("slot", "shared")
-    return grouped.mapInArrow(_scan_lists, "a long, b long")
+    return grouped.mapInArrow(_scan_lists(size), "a long, b long")
 
 
 def _classes(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -181,7 +205,8 @@ def _classes(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[s
         "fingerprints",
     )
     first = staged(marked.groupBy("fingerprint").agg(F.min("_row").alias("_row")), "distinct")
-    found = components(fingerprint_links(first))
+    prints = first.select(F.lit(0).alias("table"), "fingerprint", F.col("fingerprint").alias("node"))
+    found = components(fingerprint_links(prints))
     members = first.join(found, F.col("fingerprint") == F.col("node")).select("fingerprint", "root", "_row")
     least = members.groupBy("root").agg(F.min("_row").alias("_least"))
     linked = members.join(least, "root").select(F.col("fingerprint").alias("_linked"), "_least")
@@ -210,17 +235,80 @@ def near_duplicates(
     return placed.select(*[F.col(f"_doc.`{c}`") for c in kept], "fingerprint", F.col(f"_owner.{key}").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5) -> DataFrame:
-    """One document of every class stays, the one with the smallest key, with the columns of ``docs``.
+TABLES, FEATURE_WORDS, INDEX_BYTES = 6, 1, 4
+SHINGLE, SIMILARITY = 5, 0.8
+
+
+def _shingle_set(text: bytes | None) -> bytes:
+    """Sorted distinct hashes of the five-word shingles of a lower-cased text."""
+    found = text.lower().split() if text else []
+    size = min(SHINGLE, len(found))
+    shingles = map(b" ".join, zip(*(found[i:] for i in range(size)))) if size else ()
+    return np.unique(np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(SEED))), "<u8")).tobytes()
+
+
+def _jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
+    out = []
+    for a, b in zip(left.to_pylist(), right.to_pylist()):
+        x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        out.append(both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0)
+    return pa.array(out, pa.float64())
+
 
-    Only keys and fingerprints pass through the search; the texts meet its result once, by key. A
-    row without a key stays only where its whole class has none. Of rows that repeat the key that
-    stays, the one whose text has the smallest hash stays, and of equal rows one.
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY, tables: int = TABLES) -> DataFrame:
+    """One document of every group of near copies stays, with the columns of ``docs``.
+
+    Groups are the components of links between texts whose sets of five-word shingles (lower-cased,
+    of a shorter text the whole) have a Jaccard similarity of ``similarity`` or more. Candidates come
+    from the fingerprint index: three bits catch few pairs of that similarity in shingle fingerprints,
+    so ``tables`` fingerprints of single words, hashed with seeds of their own, are indexed, and a
+    pair is verified if it is linked in any of them. In lists of more than ``SHORT`` values the
+    candidates are a spanning forest.
+
+    The document with the smallest key stays, null keys last, then the one whose text has the
+    smallest hash; of rows equal in key and text one stays. Texts without words, null among them, are
+    copies of each other. Texts are told apart by 64-bit hashes of their words.
     """
-    _, owner = _classes(docs, text, key, words, [])
-    chosen = owner.select(F.col(f"_owner.{key}").alias("_key"), F.col("_owner.hash").alias("_hash")).distinct()
-    same = docs[f"`{key}`"].eqNullSafe(F.col("_key")) & (F.xxhash64(docs[f"`{text}`"]) == F.col("_hash"))
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    again = W.partitionBy(f"`{key}`", F.xxhash64(f"`{text}`")).orderBy(F.xxhash64(*columns))
-    alone = docs.join(chosen, same, "left_semi").withColumn("_place", F.row_number().over(again))
-    return alone.where("_place = 1").select(*columns)
+    value, columns = F.col(f"`{text}`"), [F.col(f"`{c}`") for c in docs.columns]
+
+    def mark(texts: pa.Array) -> pa.Array:
+        found = texts.cast(pa.binary()).to_pylist()
+        words = [b" ".join(t.lower().split()) if t else b"" for t in found]
+        same = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+        prints = [[fingerprint(w, FEATURE_WORDS, SEED + i) for i in range(tables)] for w in words]
+        return pa.StructArray.from_arrays([pa.array(same), pa.array(prints, pa.list_(pa.int64()))], ["node", "prints"])
+
+    row = F.struct(F.col(f"`{key}`").isNull().alias("null"), F.col(f"`{key}`").alias("key"), F.xxhash64(value).alias("hash"))
+    marked = docs.select(row.alias("_row"), F.arrow_udf(mark, "node long, prints array<long>")(value).alias("_m"))
+    # Copies first: one row for each different text.
+    texts = staged(marked.groupBy("_m.node").agg(F.min("_row").alias("_row"), F.first("_m.prints").alias("prints")), "texts")
+    each = texts.select("node", "_row", F.posexplode("prints").alias("table", "fingerprint"))
+    first = staged(each.groupBy("table", "fingerprint").agg(F.min("node").alias("node"), F.count("*").alias("n")), "distinct")
+    star = each.join(first.where("n > 1").withColumnRenamed("node", "b"), ["table", "fingerprint"]).select("node", "b")
+    links = star.select(F.col("node").alias("a"), "b").unionByName(fingerprint_links(first, INDEX_BYTES))
+    pairs = staged(
+        links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"
+    )
+    # The sets of just the texts in a pair.
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(texts, "node").select("node", "_row")
+    named = asked.select("node", F.col("_row.key").alias("_key"), F.col("_row.hash").alias("_hash")).alias("n")
+    met = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_h") == F.col("_hash"))
+    def shingle_sets(values: pa.Array) -> pa.Array:
+        return pa.array([_shingle_set(t) for t in values.cast(pa.binary()).to_pylist()], pa.binary())
+
+    keyed = docs.select(F.col(f"`{key}`").alias("_k"), F.xxhash64(value).alias("_h"), value.alias("_text"))
+    sets = staged(
+        keyed.join(named, met).select("node", F.arrow_udf(shingle_sets, "binary")("_text").alias("set")), "sets"
+    ).dropDuplicates(["node"])
+    both = pairs.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
+    similar = both.where(F.arrow_udf(_jaccard, "double")("_sa", "_sb") >= similarity).select("a", "b")
+    found = components(similar)
+    members = texts.select("node", "_row").join(found, "node", "left")
+    chosen = members.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("_row").alias("_row"))
+    chosen = staged(chosen.select(F.col("_row.key").alias("_key"), F.col("_row.hash").alias("_hash")), "chosen")
+
+    own = docs.select(F.struct(*columns).alias("_doc"), F.col(f"`{key}`").alias("_k"), F.xxhash64(value).alias("_h"))
+    again = W.partitionBy("_k", "_h").orderBy(F.xxhash64("_doc"))
+    alone = own.join(chosen, met, "left_semi").withColumn("_place", F.row_number().over(again))
+    return alone.where("_place = 1").select("_doc.*")
