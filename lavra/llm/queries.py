@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from lavra.llm import decontaminate, mixing, sharding, simhash, urls
+from lavra.llm import decontaminate, lines, mixing, quality, scoring, sharding, simhash, substrings, tokens, urls
 from lavra.llm.registry import QUERIES, query, table
+from lavra.session import staged
 
 __all__ = ["QUERIES"]
 
+# Vocabulary of op4_token_counts.
+PIECES = os.environ.get("LAVRA_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+
 
 @query()
 def op1_simhash_near_dedup(spark, folder):
@@ -121,3 +127,114 @@ def op10_decontaminate(spark, folder):
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+# Base metrics of the documents as a table b, and the certified cutoffs of each stratum as a table z.
+QUALITY_WITH = r"""
+w0 as (select doc_id, lang, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+g0 as (select doc_id, i, array_to_string(w[i:i + 4], ' ') as gram from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from w0 where len(w) >= 5)),
+g1 as (select doc_id, i, count(*) over (partition by doc_id, gram) as n from g0),
+g2 as (select doc_id, count(distinct x)::bigint as n from (select doc_id, unnest(range(i, i + 5)) as x from g1 where n > 1) group by doc_id),
+l0 as (select doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from w0),
+b as (
+  select w0.doc_id, w0.lang, len(w)::bigint as n_words, length(array_to_string(w, ''))::bigint as word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]'))::bigint as n_symbols, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+    coalesce(g2.n, 0)::bigint as n_repeat_words,
+    len(w) < 10 or 100 * coalesce(g2.n, 0) > 20 * len(w) as base_failed
+  from w0 join l0 using (doc_id) left join g2 using (doc_id)),
+h as (select doc_id from labels where doc_id is not null and quality is not null group by doc_id having min(quality) = 1 and max(quality) = 1),
+s as (
+  select doc_id, lang, unnest([{'r': 'symbols', 's': n_symbols / n_words}, {'r': 'repeats', 's': n_repeat_words / n_words},
+    {'r': 'lines', 's': 100.0::double * n_dup_lines / n_words}, {'r': 'length', 's': word_chars / n_words}], recursive := true)
+  from b where n_words > 0),
+c as (CUTS),
+t as (
+  select lang, c.r, c.j, c.cut, count(*) as n, count(*) filter (where s.s > c.cut) as k
+  from s join c using (r) where doc_id in (from h) and doc_id in (select doc_id from b where not base_failed) group by all),
+u as (
+  select *, k < n * SHARE and (select sum(exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln(SHARE) + (n - x) * ln(1 - SHARE)))
+      from range(0, k + 1) v(x)) <= DELTA / (RULES * (select count(distinct coalesce(lang, chr(0))) from t)) as ok from t),
+z as (
+  select lang, r, min(cut) as cut from (select *, bool_and(ok) over (partition by lang, r order by j) as sure from u) where sure group by lang, r)
+"""
+QUALITY_WITH = (
+    QUALITY_WITH.replace("CUTS", " union all ".join(
+        f"select '{r}' as r, {j} as j, {cut}::double as cut" for r, (_, cuts) in quality.RULES.items() for j, cut in enumerate(cuts)
+    )).replace("SHARE", f"{quality.ALPHA / len(quality.RULES)}::double").replace("DELTA", f"{quality.DELTA}::double").replace("RULES", str(len(quality.RULES)))
+)
+QUALITY_SQL = f"""with {QUALITY_WITH}
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not exists (
+  select 1 from s join z on s.r = z.r and s.lang is not distinct from z.lang where s.doc_id = b.doc_id and s.s > z.cut) as kept
+from b"""
+
+
+@query(QUALITY_SQL)
+def op3_quality_rules(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    measured = staged(quality.measure(docs).drop("text"), "metrics")
+    cutoffs = quality.certify(measured, quality.labelled_keys(table(spark, folder, "labels")))
+    return quality.judge(measured, cutoffs).select("doc_id", *quality.METRICS, "kept")
+
+
+REPEATS_SQL = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+p as (select doc_id, len(w) as n, unnest(w) as x, generate_subscripts(w, 1) as i from d),
+g as (select doc_id, n, i, concat_ws(' ', x, LEADS) as gram from p window o as (partition by doc_id order by i)),
+m as (select doc_id, i, row_number() over (partition by gram order by doc_id, i) as place from g where i <= n - 19),
+r as (select distinct doc_id, unnest(range(i, i + 20)) as i from m where place > 1),
+k as (select doc_id, string_agg(x, ' ' order by i) as kept from p anti join r using (doc_id, i) group by doc_id),
+n as (select doc_id, count(*) as n from r group by doc_id)
+select doc_id, len(w)::bigint as n_words, coalesce(n, 0)::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+from d left join k using (doc_id) left join n using (doc_id)
+""".replace("LEADS", ", ".join(f"lead(x, {i}) over o" for i in range(1, 20)))
+
+
+@query(REPEATS_SQL)
+def op8_substring_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = substrings.remove_repeats(docs, carry=["doc_id"])
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op4_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, tokens.piece_scores(PIECES)).select("doc_id", "n_words", "n_tokens")
+
+
+LINES_SQL = r"""
+with l as (
+  select doc_id, x - 1 as line, list_distinct(regexp_extract_all(string_split(text, chr(10))[x], '[^\x20\x09-\x0D]+')) as w
+  from (select doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) as x from documents where text is not null)),
+u as (select row_number() over (order by doc_id, line) as i, w, n, count(*) over (partition by s) as copies, row_number() over (partition by s order by doc_id, line) as nth,
+    doc_id, line from (select *, len(w) as n, list_sort(w) as s from l) where n > 0),
+t as (select i, n, unnest(w) as word from u where nth = 1 and n >= 4),
+f as (select word, count(*) as df from t group by word),
+o as (select i, n, word, row_number() over (partition by i order by df, word) as k from t join f using (word)),
+p as (select * from o where k <= n - (4 * n + 4) // 5 + 1),
+c as (select distinct a.i as a, b.i as b, a.n as na, b.n as nb from p a join p b on a.word = b.word and a.i < b.i and 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)),
+v as (select c.b from c join u x on x.i = c.a join u y on y.i = c.b group by c.a, c.b, x.w, y.w, na, nb
+  having 9 * len(list_intersect(x.w, y.w)) >= 4 * (na + nb)),
+r as (
+  select doc_id, line from u where nth > 1 union
+  select doc_id, line from u where i in (from v))
+select d.doc_id, case when text is null then 0 else len(string_split(text, chr(10))) end::bigint as n_lines,
+  (select count(*) from r where r.doc_id = d.doc_id)::bigint as n_removed,
+  sha256(coalesce((select string_agg(line::varchar, ',' order by line) from r where r.doc_id = d.doc_id), '')) as removed_sha256
+from documents d
+"""
+
+
+@query(LINES_SQL)
+def op6_line_dedup(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = lines.mark_lines(docs, carry=["doc_id"])
+    digest = F.sha2(F.array_join(F.col("removed").cast("array<string>"), ","), 256).alias("removed_sha256")
+    return found.select("doc_id", "n_lines", "n_removed", digest)
+
+
+@query()
+def op7_lm_scoring(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = scoring.score(docs, scoring.fit(docs))
+    return found.select("doc_id", "n_words", "log_likelihood", "mean_log_likelihood")
