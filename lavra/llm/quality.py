@@ -57,9 +57,9 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     Null and empty texts have no words and fail. Windows are told apart by 64-bit hashes of their
     words. Columns of the input named like a metric are replaced.
     """
-    rest = columns_of(docs, (*METRICS, "_words", "_hashes"))
+    rest = columns_of(docs, (*METRICS, "_words", "_hashes", "_whole"))
     value = F.col(f"`{text}`")
-    words = docs.select(*rest, value.alias("_text"), spaced_words(value).alias("_words"))
+    words = docs.select(*rest, value.alias("_whole"), spaced_words(value).alias("_words"))
     count = F.size("_words")
 
     def windows(w: Column) -> Column:
@@ -67,7 +67,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(REPEAT_WINDOW)]))
 
     hashed = words.withColumn("_hashes", F.coalesce(F.transform(F.array("_words"), windows)[0], F.array().cast("array<long>")))
-    lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    lines = F.filter(F.split("_whole", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
 
     def repeated(lines: Column) -> Column:
         return F.size(lines) - F.size(F.array_distinct(lines))
@@ -76,7 +76,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         *rest,
         count.cast("long").alias("n_words"),
         F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
-        F.coalesce(F.regexp_count("_text", F.lit(SYMBOLS)), F.lit(0)).cast("long").alias("n_symbols"),
+        F.coalesce(F.regexp_count("_whole", F.lit(SYMBOLS)), F.lit(0)).cast("long").alias("n_symbols"),
         F.coalesce(F.transform(F.array(lines), repeated)[0], F.lit(0)).cast("long").alias("n_dup_lines"),
         _repeat_words("_words", "_hashes").alias("n_repeat_words"),
     )
