@@ -99,15 +99,14 @@ def _joined_hits(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """The same hits for a benchmark of any size: documents get numbers, their windows are joined."""
     marked = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "scanned")
     lengths = [r.n for r in windows.select(F.size("words").alias("n")).distinct().collect()]
-    cuts = [
-        F.when(F.size("_words") >= n, F.transform(
-            F.sequence(F.lit(0), F.size("_words") - n),
-            lambda i, n=n: F.struct(i.alias("at"), F.lit(n).alias("n"), F.slice("_words", i + 1, n).alias("words")),
-        ))
-        for n in lengths
-    ]
+
+    def windows_of(n: int) -> Column:
+        starts = F.sequence(F.lit(0), F.size("_words") - n)
+        cut = F.transform(starts, lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.slice("_words", i + 1, n).alias("words")))
+        return F.when(F.size("_words") >= n, cut)
+
     none = F.array().cast("array<struct<at:int,n:int,words:array<string>>>")
-    cut = F.concat(none, *[F.coalesce(c, none) for c in cuts])
+    cut = F.concat(none, *[F.coalesce(windows_of(n), none) for n in lengths])
     places = marked.select("_row", F.explode(cut).alias("c")).select("_row", "c.*")
     found = places.join(windows, "words").groupBy("_row").agg(
         F.collect_list(F.struct("at", "n", "items")).alias("_hits")
