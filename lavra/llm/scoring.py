@@ -25,11 +25,12 @@ from lavra.llm.substrings import chunks, word_hashes
 from lavra.llm.text import columns_of
 from lavra.session import staged
 
-SIDE = 64
+SIDE = 32
 CODES = SIDE * SIDE
 OWN = CODES // 2
 REACH, WIDTH = 2, 16
-BATCH, RATE = 4096, 0.5
+BATCH, RATE = 512, 0.05
+SCORED = 2048
 # Parameters travel and are averaged in blocks of this many numbers.
 BLOCK = 8192
 
@@ -80,32 +81,47 @@ class Network:
     def log_probability(self, codes: np.ndarray, around: np.ndarray) -> np.ndarray:
         """Log-probability of every code given those around it."""
         out = np.empty(len(codes))
-        for at in range(0, len(codes), 4 * BATCH):
-            some = codes[at : at + 4 * BATCH]
+        for at in range(0, len(codes), SCORED):
+            some = codes[at : at + SCORED]
             row, column, i = some // SIDE, some % SIDE, np.arange(len(some))
-            first, _, second = self._outputs(self._hidden(around[at : at + 4 * BATCH]), row)
-            out[at : at + 4 * BATCH] = first[i, row] + second[i, column]
+            first, _, second = self._outputs(self._hidden(around[at : at + SCORED]), row)
+            out[at : at + SCORED] = first[i, row] + second[i, column]
         return out
 
-    def step(self, codes: np.ndarray, around: np.ndarray, rate: float) -> None:
-        """One gradient step on a batch."""
+    def gradients(self, codes: np.ndarray, around: np.ndarray) -> tuple[list[np.ndarray], list[tuple]]:
+        """Of the mean loss: of the output layers, and (table, rows, changes) of the tables in use."""
         row, column, i = codes // SIDE, codes % SIDE, np.arange(len(codes))
         hidden = self._hidden(around)
         first, shifted, second = self._outputs(hidden, row)
         first, second = np.exp(first), np.exp(second)
         first[i, row] -= 1
         second[i, column] -= 1
-        scale = np.float32(rate / len(codes))
+        first, second = first / np.float32(len(codes)), second / np.float32(len(codes))
         back = second @ self.columns.T
         down = (first @ self.rows.T + back) * (1 - hidden * hidden)
-        self.rows -= scale * (hidden.T @ first)
-        self.row_bias -= scale * first.sum(axis=0)
-        self.columns -= scale * (shifted.T @ second)
-        _subtract(self.chosen, row, back * scale)
-        _subtract(self.column_bias, row, second * scale)
-        for k in range(2 * REACH):
-            # Words are rare in a batch, so their embeddings move at a rate of their own.
-            _subtract(self.inputs[k], around[:, k], down * (scale * 8))
+        dense = [hidden.T @ first, first.sum(axis=0), shifted.T @ second]
+        tables = [(self.chosen, row, back), (self.column_bias, row, second)]
+        tables += [(self.inputs[k], around[:, k], down) for k in range(2 * REACH)]
+        return dense, [(table, *_by_row(rows, change)) for table, rows, change in tables]
+
+
+class Trainer:
+    """Gradient descent whose steps shrink with the squared gradients so far, by number or table row."""
+
+    def __init__(self, network: Network, rate: float):
+        self.network, self.rate = network, rate
+        self.dense = [np.full_like(p, 1e-6) for p in (network.rows, network.row_bias, network.columns)]
+        self.tables = [np.full((len(t), 1), 1e-6, np.float32) for t in (network.chosen, network.column_bias, *network.inputs)]
+
+    def step(self, codes: np.ndarray, around: np.ndarray) -> None:
+        network = self.network
+        dense, tables = network.gradients(codes, around)
+        for part, seen, change in zip((network.rows, network.row_bias, network.columns), self.dense, dense):
+            seen += change * change
+            part -= self.rate * change / np.sqrt(seen)
+        for (table, rows, change), seen in zip(tables, self.tables):
+            seen[rows] += (change * change).mean(axis=1, keepdims=True)
+            table[rows] -= self.rate * change / np.sqrt(seen[rows])
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -113,11 +129,12 @@ def _log_softmax(x: np.ndarray) -> np.ndarray:
     return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
 
-def _subtract(table: np.ndarray, rows: np.ndarray, change: np.ndarray) -> None:
+def _by_row(rows: np.ndarray, change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Changes added up by table row."""
     order = np.argsort(rows, kind="stable")
     ordered = rows[order]
     new = np.flatnonzero(np.diff(ordered, prepend=-1))
-    table[ordered[new]] -= np.add.reduceat(change[order], new, axis=0)
+    return ordered[new], np.add.reduceat(change[order], new, axis=0)
 
 
 def encode(hashes: np.ndarray, own: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -156,6 +173,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _train(network: np.ndarray, own: np.ndarray, number: np.ndarray, rate: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, seen = Network.of(network), 0
+        trainer = Trainer(model, rate)
         rng = np.random.default_rng(seed)
         for hashes, counts in _parts(batches):
             codes = encode(hashes, own, number)
@@ -163,7 +181,7 @@ def _train(network: np.ndarray, own: np.ndarray, number: np.ndarray, rate: float
             order = rng.permutation(len(codes))
             for at in range(0, len(codes), BATCH):
                 some = order[at : at + BATCH]
-                model.step(codes[some], around[some], rate * len(some) / BATCH)
+                trainer.step(codes[some], around[some])
             seen += len(codes)
         if seen:
             flat = model.flat().astype("<f4")
