@@ -88,30 +88,46 @@ def _tally(different: np.ndarray) -> np.ndarray:
     return (different.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
 
 
-def _forest(count: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Smallest index linked to each index."""
-    root = np.arange(count)
+def _forest(count: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs that connect all that the pairs connect; earlier groups of pairs first."""
+    root, left, right = np.arange(count), [], []
     for i, j in pairs:
-        while len(i):
+        while True:
             a, b = root[i], root[j]
             apart = a != b
-            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
-            np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+            i, j, low, high = i[apart], j[apart], np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+            if not len(i):
+                break
+            # Every root is hooked to the smallest root that one of its pairs leads to.
+            order = np.lexsort((low, high))
+            chosen = order[np.diff(high[order], prepend=-1) != 0]
+            root[high[chosen]] = low[chosen]
+            left.append(i[chosen])
+            right.append(j[chosen])
             while not np.array_equal(up := root[root], root):
                 root = up
-    return root
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *left]), np.concatenate([none, *right])
 
 
 def _pairs(values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs up to three bits apart, the closest first."""
+    left, right, apart = [], [], []
     rows = max(1, 1_000_000 // len(values))
     for at in range(0, len(values), rows):
-        i, j = np.nonzero(np.bitwise_count(values[at : at + rows, None] ^ values[None, :]) <= BITS)
+        bits = np.bitwise_count(values[at : at + rows, None] ^ values[None, :])
+        i, j = np.nonzero(bits <= BITS)
         later = i + at < j
-        yield i[later] + at, j[later]
+        left.append(i[later] + at)
+        right.append(j[later])
+        apart.append(bits[i[later], j[later]])
+    i, j, bits = (np.concatenate(x) for x in (left, right, apart))
+    for many in range(BITS + 1):
+        yield i[bits == many], j[bits == many]
 
 
 def _neighbours(values: np.ndarray, free: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of sorted values that differ in up to three bits of the mask ``free``."""
+    """The same of sorted distinct values that differ in bits of the mask ``free``, by looking them up."""
     bits = [1 << p for p in range(64) if free >> p & 1]
     for many in range(1, BITS + 1):
         for flipped in combinations(bits, many):
@@ -122,12 +138,11 @@ def _neighbours(values: np.ndarray, free: int) -> Iterator[tuple[np.ndarray, np.
 
 
 def _links_of_list(values: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of links that connect what is linked inside one list: fewer than it has values."""
+    """Places of the links that connect what is linked inside one list: fewer than it has values."""
     order = np.argsort(values)
     values = values[order]
-    root = _forest(len(values), _pairs(values) if len(values) <= PAIRED else _neighbours(values, free))
-    linked = np.flatnonzero(root != np.arange(len(values)))
-    return order[root[linked]], order[linked]
+    i, j = _forest(len(values), _pairs(values) if len(values) <= PAIRED else _neighbours(values, free))
+    return order[i], order[j]
 
 
 def _links(slots: np.ndarray, shared: np.ndarray, prints: np.ndarray, nodes: np.ndarray, size: int) -> pa.RecordBatch:

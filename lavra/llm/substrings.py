@@ -33,8 +33,10 @@ from lavra.llm.text import columns_of
 from lavra.session import staged
 
 WINDOW, GRAM = 20, 8
-# Words that a shard's index is planned for, and bytes of text that are cut into segments at once.
-SHARD_WORDS, CHUNK_BYTES = 300_000, 8 << 20
+# Words that a shard's index is planned for, and of an anchor above which it is dealt out.
+SHARD_WORDS, HOT_WORDS = 300_000, 30_000
+# Bytes of text that are cut into segments at once.
+CHUNK_BYTES = 8 << 20
 LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -261,9 +263,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", win
     shards = -(-total // SHARD_WORDS)
     spans = found.where(F.col("kind") == SPAN)
     if shards:
-        # An anchor that would fill a tenth of a shard is dealt out: fewer than ten for each shard.
+        # Anchors that would fill a tenth of a shard: fewer than ten for each shard.
         sizes = index.groupBy("anchor").agg(F.sum(F.col("windows") + window - 1).alias("_n"))
-        hot = sizes.where(F.col("_n") > max(1000, SHARD_WORDS // 10)).select("anchor", F.lit(True).alias("_hot"))
+        hot = sizes.where(F.col("_n") > HOT_WORDS).select("anchor", F.lit(True).alias("_hot"))
         marked = index.join(hot, "anchor", "left")
         wanted = F.struct(start, "windows", "anchor", F.coalesce("_hot", F.lit(False)).alias("hot"))
         lists = marked.select(F.col("doc").alias("_id"), hashed, wanted.alias("w")).groupBy("_id", "_hash").agg(
