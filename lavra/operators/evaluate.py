@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lavra.operators.ranking import running_sums, value_ranges
-from lavra.session import shuffle_width
+from lavra.session import shuffle_width, staged
 
 METRICS = ("accuracy", "balanced_accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
 
@@ -49,7 +49,8 @@ def _cumulated(
     its share of the distinct scores.
     """
     ranges = value_ranges(df.select(F.col(score).cast("double").alias("_v")), "_v", buckets or shuffle_width(df.sparkSession))
-    counts = score_counts(df, label, score, by, predicted)
+    # Written once: its totals by range and its running sums both start from it.
+    counts = staged(score_counts(df, label, score, by, predicted), "scores")
     return running_sums(counts, "score", ["tp", "fp"], by, ranges=ranges)
 
 
@@ -58,12 +59,10 @@ def curve_points(
 ) -> DataFrame:
     """Per distinct score as threshold: counts, true and false positive rates, precision."""
     rows, keys = _grouped(df, by)
-    points = _cumulated(rows, label, score, keys, buckets)
-    sides = rows.groupBy(*keys).agg(
-        F.count_if(F.col(label) == 1).alias("_p"), F.count_if(F.col(label) == 0).alias("_n")
-    )
-    # One row per group of the evaluation (model, fold ...).
-    curve = points.join(F.broadcast(sides), keys).select(
+    points = staged(_cumulated(rows, label, score, keys, buckets), "curve")
+    # The class totals are the last of the running sums.
+    sides = points.groupBy(*keys).agg(F.max("cum_tp").alias("_p"), F.max("cum_fp").alias("_n"))
+    curve = points.join(sides, keys).select(
         *keys,
         F.col("score").alias("threshold"),
         F.col("cum_tp").alias("tp"),

@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 from lavra.functions.text import quoted
 from lavra.operators.evaluate import ranking_metrics
 from lavra.operators.models import SEED, Fitted, predict
+from lavra.operators.ranking import key_hash, row_position
 from lavra.operators.sampling import sample_exact
+from lavra.session import staged
 
-# Rows that exchange values among themselves; one task sorts this many at a time.
-SWAP_ROWS = 100_000
+# Blocks of rows that exchange values among themselves, each ordered by one task. Their number is part of
+# the result, so it does not follow the size of the table; give more for tables of many millions of rows.
+BLOCKS = 16
 
 
 def permuted(
     rows: DataFrame, features: Sequence[str], row_id: str, repeats: int = 10, seed: int | str = SEED,
-    swap_rows: int = SWAP_ROWS,
+    blocks: int = BLOCKS,
 ) -> DataFrame:
     """Copies of the table, one per (feature, repeat), in which that feature is permuted.
 
@@ -29,7 +32,6 @@ def permuted(
     features of a repeat share this order, so the data is shuffled once per repeat and the copies
     per feature are made in place. Each feature keeps exactly its own set of values.
     """
-    blocks = max(1, rows.count() // swap_rows)
     tries = F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")
     copies = rows.select(*[quoted(c) for c in rows.columns], tries)
     hashed = copies.withColumn(
@@ -58,7 +60,8 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean and population deviation of the drop in average precision, per feature."""
     features = fitted.numeric + fitted.categorical
-    scored = predict(fitted, permuted(rows, features, row_id, repeats, seed), label, ["feature", "repeat"])
+    # Written once: the metrics read the scores for their ranges and again for their sums.
+    scored = staged(predict(fitted, permuted(rows, features, row_id, repeats, seed), label, ["feature", "repeat"]), "permuted")
     plain = ranking_metrics(predict(fitted, rows, label), "y_real", "score").first()["pr_auc"]
     drops = ranking_metrics(scored, "y_real", "score", ["feature", "repeat"])
     return drops.groupBy("feature").agg(
@@ -80,13 +83,13 @@ def slot_sources(slots: Sequence[str], features: Sequence[str]) -> list[tuple[in
 
 def linear_attribution(
     fitted: Fitted, rows: DataFrame, background: DataFrame, row_id: str,
-    explain: int | None = 150, against: int | None = 60, seed: int = SEED,
+    explain: int | None = None, against: int | None = None, seed: int = SEED,
 ) -> DataFrame:
     """Mean absolute contribution (log-odds) of every slot of a linear model.
 
     A contribution is the coefficient times the distance from the background mean, which is the
-    exact additive attribution of a linear model. ``explain`` and ``against`` bound the samples;
-    ``None`` takes all rows.
+    exact additive attribution of a linear model. All rows count, unless ``explain`` and ``against``
+    ask for samples of them.
     """
     classifier = fitted.model.stages[-1]
     if not hasattr(classifier, "coefficients"):
@@ -117,21 +120,23 @@ def linear_attribution(
 
 def sampled_attribution(
     fitted: Fitted, rows: DataFrame, background: DataFrame, row_id: str,
-    explain: int = 150, against: int = 60, orders: int = 10, seed: int = SEED,
+    explain: int | None = None, against: int | None = None, orders: int = 10, seed: int = SEED,
 ) -> DataFrame:
     """Mean absolute contribution of every source feature to the probability, for any model.
 
     Shapley values by sampled feature orders: a row starts as a background row and takes on its own
-    values one feature at a time; the change of the probability at a step goes to that feature.
+    values one feature at a time; the change of the probability at a step goes to that feature. All
+    rows are explained, and drawn from as background, unless ``explain`` and ``against`` ask for samples.
     Contributions are averaged over orders, then their absolute values over rows. All steps of all
     rows are scored as one table.
     """
     features = fitted.numeric + fitted.categorical
     values = F.struct(*[quoted(c) for c in features])
-    some = sample_exact(rows, explain, [row_id], seed)
-    base = sample_exact(background, against, [row_id], 7)
-    # At most ``against`` rows are numbered, and broadcast.
-    numbered = base.select((F.row_number().over(W.orderBy(row_id)) - 1).alias("_n"), values.alias("_base"))
+    some = rows if explain is None else sample_exact(rows, explain, [row_id], seed)
+    base = background if against is None else sample_exact(background, against, [row_id], 7)
+    base = staged(base.select(row_id, values.alias("_base")), "background")
+    placed = row_position(base, [], key_hash([row_id], "background"), "_place")
+    numbered = placed.select((F.col("_place") - 1).alias("_n"), "_base")
     place = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(row_id).cast("string"), F.col("_order").cast("string")))
     drawn = some.select(row_id, values.alias("_own"), F.explode(F.sequence(F.lit(1), F.lit(orders))).alias("_order"))
     drawn = drawn.withColumn("_n", F.pmod(F.conv(F.substring(place, 1, 12), 16, 10).cast("long"), F.lit(base.count())))
@@ -139,7 +144,7 @@ def sampled_attribution(
         F.array(*[F.struct(F.md5(F.concat(place, F.lit(c))).alias("h"), F.lit(c).alias("name")) for c in features])
     )
     steps = (
-        drawn.join(F.broadcast(numbered), "_n")
+        drawn.join(numbered, "_n")
         .withColumn("_turns", turns["name"])
         .withColumn("_step", F.explode(F.sequence(F.lit(0), F.lit(len(features)))))
     )

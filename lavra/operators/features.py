@@ -25,9 +25,11 @@ POOLED = "__pooled__"
 def exact_medians(df: DataFrame, columns: Sequence[str], bracket_rows: int = BRACKET_ROWS) -> dict[str, float | None]:
     """Exact medians of several columns without holding their values in one task.
 
-    Approximate quantiles bracket the middle; one count per round says how many values lie below
-    and inside the bracket; rounds go on until few are inside or the bracket is one value. Only
-    those few go through the exact ``percentile``.
+    Approximate quantiles bracket the middle of each column; one count per round says how many
+    values lie below and inside each bracket; rounds go on until few are inside or the bracket is
+    one value. The ends of a bracket are counted apart from what lies between them, so repeated
+    values settle at once and every round leaves fewer. Only the few values left in a
+    column's own bracket are ordered, whatever the other columns hold.
     """
     values = {c: missing_if_nan(F.col(quoted(c))) for c in columns}
     if not values:
@@ -38,52 +40,63 @@ def exact_medians(df: DataFrame, columns: Sequence[str], bracket_rows: int = BRA
         *[F.max(v).alias(f"b{i}") for i, v in enumerate(values.values())],
     ).first()
     out: dict[str, float | None] = {}
-    total, low, high, below, inside = {}, {}, {}, {}, {}
+    # Per column: the bracket, the values below it and inside it; and for each middle place its own.
+    asked: dict[tuple[str, int], list] = {}
     for i, c in enumerate(columns):
-        total[c], low[c], high[c], below[c], inside[c] = row[f"n{i}"], row[f"a{i}"], row[f"b{i}"], 0, row[f"n{i}"]
-        if not total[c]:
+        n = row[f"n{i}"]
+        if not n:
             out[c] = None
+            continue
+        for place in {(n - 1) // 2, n // 2}:
+            asked[c, place] = [row[f"a{i}"], row[f"b{i}"], 0, n]
 
-    def middle(c: str) -> tuple[int, int]:
-        return (total[c] - 1) // 2, total[c] // 2
-
-    def between(c: str) -> Column:
-        return F.when(values[c].between(low[c], high[c]), values[c])
-
-    def wide(c: str) -> bool:
-        return c not in out and inside[c] > bracket_rows and low[c] < high[c]
-
-    while todo := [c for c in columns if wide(c)]:
+    while todo := {k: v for k, v in asked.items() if v[3] > bracket_rows and v[0] < v[1]}:
         probes = []
-        for c in todo:
-            first, last = (m - below[c] for m in middle(c))
-            edges = [max(0.0, first / inside[c] - 1e-3), min(1.0, last / inside[c] + 1e-3)]
-            probes.append(F.percentile_approx(between(c), edges, 10_000).alias(f"q{len(probes)}"))
+        for i, ((c, place), (low, high, below, inside)) in enumerate(todo.items()):
+            share = (place - below) / inside
+            edges = [max(0.0, share - 1e-3), min(1.0, share + 1e-3)]
+            some = F.when(values[c].between(low, high), values[c])
+            probes.append(F.percentile_approx(some, edges, 10_000).alias(f"q{i}"))
         found = df.agg(*probes).first()
-        tries = {c: tuple(found[f"q{i}"]) for i, c in enumerate(todo)}
-        counted = df.agg(
-            *[F.count_if(values[c] < tries[c][0]).alias(f"l{i}") for i, c in enumerate(todo)],
-            *[F.count_if(values[c].between(*tries[c])).alias(f"m{i}") for i, c in enumerate(todo)],
-        ).first()
-        for i, c in enumerate(todo):
-            first, last = middle(c)
-            covers = counted[f"l{i}"] <= first and last < counted[f"l{i}"] + counted[f"m{i}"]
-            if not covers or counted[f"m{i}"] == inside[c]:
-                # No progress: the values are heavily repeated, so few distinct ones are left.
-                bracket_rows = max(bracket_rows, inside[c])
-                continue
-            (low[c], high[c]), below[c], inside[c] = tries[c], counted[f"l{i}"], counted[f"m{i}"]
-
-    last_step = [c for c in columns if c not in out]
-    exact = []
-    for i, c in enumerate(last_step):
-        ranks = [0.0 if inside[c] < 2 else (m - below[c]) / (inside[c] - 1) for m in middle(c)]
-        exact.append(F.percentile(between(c), F.array(*[F.lit(min(1.0, r)) for r in ranks])).alias(f"p{i}"))
-    if exact:
-        found = df.agg(*exact).first()
-        for i, c in enumerate(last_step):
-            a, b = found[f"p{i}"]
-            out[c] = (a + b) / 2
+        counts, tries = [], {}
+        for i, ((c, place), _) in enumerate(todo.items()):
+            a, b = tries[c, place] = found[f"q{i}"]
+            v = values[c]
+            counts += [
+                F.count_if(v < a).alias(f"l{i}"), F.count_if(v == a).alias(f"a{i}"),
+                F.count_if((v > a) & (v < b)).alias(f"m{i}"), F.count_if(v <= b).alias(f"u{i}"),
+                F.max(F.when(v < a, v)).alias(f"w{i}"), F.min(F.when(v > a, v)).alias(f"x{i}"),
+                F.max(F.when(v < b, v)).alias(f"y{i}"), F.min(F.when(v > b, v)).alias(f"z{i}"),
+            ]
+        counted = df.agg(*counts).first()
+        for i, ((c, place), (low, high, below, inside)) in enumerate(todo.items()):
+            a, b = tries[c, place]
+            under, at, between, upto = (counted[f"{k}{i}"] for k in "lamu")
+            if place < under:
+                new = [low, counted[f"w{i}"], below, under - below]
+            elif place < under + at:
+                new = [a, a, under, at]
+            elif place < under + at + between:
+                new = [counted[f"x{i}"], counted[f"y{i}"], under + at, between]
+            elif place < upto:
+                new = [b, b, under + at + between, upto - under - at - between]
+            else:
+                new = [counted[f"z{i}"], high, upto, below + inside - upto]
+            asked[c, place] = new
+
+    exact, sought = [], {k: v for k, v in asked.items() if v[0] < v[1]}
+    for i, ((c, place), (low, high, below, inside)) in enumerate(sought.items()):
+        ordered = F.sort_array(F.collect_list(F.when(values[c].between(low, high), values[c])))
+        exact.append(F.get(ordered, F.lit(place - below)).alias(f"p{i}"))
+    found = df.agg(*exact).first() if exact else {}
+    middle: dict[str, list] = {}
+    for i, (c, place) in enumerate(sought):
+        middle.setdefault(c, []).append(found[f"p{i}"])
+    for (c, _), (low, high, *_rest) in asked.items():
+        if low == high:
+            middle.setdefault(c, []).append(low)
+    for c, found_values in middle.items():
+        out[c] = sum(float(x) for x in found_values) / len(found_values)
     return {c: out[c] for c in columns}
 
 
@@ -221,7 +234,9 @@ def assemble(
 
 
 def balanced_weight(label: str, negatives: int, positives: int) -> Column:
-    """``n / (2 * n_class)`` per row."""
+    """``n / (2 * n_class)`` per row; with a single class there is nothing to balance and all weigh 1."""
+    if not positives or not negatives:
+        return F.lit(1.0)
     n = negatives + positives
     return F.when(F.col(label) == 1, F.lit(n / (2.0 * positives))).otherwise(F.lit(n / (2.0 * negatives)))
 

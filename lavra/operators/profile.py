@@ -47,6 +47,9 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
             F.sum("n").alias("rows"),
             F.count("value").alias("n_distinct"),
         )
+    # An empty table still has a row per column.
+    every = df.sparkSession.createDataFrame([(c,) for c in names], "column string")
+    found = every.join(found, "column", "left").fillna(0, ["nulls", "rows", "n_distinct"])
     return found.select(
         "column",
         "nulls",

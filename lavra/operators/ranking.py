@@ -17,19 +17,17 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lavra.functions.numbers import missing_if_nan
 from lavra.functions.text import quoted
 from lavra.session import HOT_ROWS, hot_limit, shuffle_width
 
-# Most rows of a (group, range) table that are broadcast.
-MAX_OFFSETS = 1_000_000
-
 
 class Ranges:
     """Cut points of a numeric column, with the values that hold a range of their own."""
 
-    def __init__(self, quantiles: Sequence[float] | None, rows: int = 0, missing: int = 0):
+    def __init__(self, quantiles: Sequence[float] | None, rows: int = 0, missing: int = 0) -> None:
         self.rows, self.missing = rows, missing
         values = [q for q in (quantiles or []) if q is not None and math.isfinite(q)]
         repeated = {a for a, b in zip(values, values[1:]) if a == b}
@@ -65,6 +63,16 @@ def value_ranges(df: DataFrame, value: str, buckets: int) -> Ranges:
     return Ranges(row["q"], row["rows"], row["rows"] - row["known"])
 
 
+def distinct_as_double(df: DataFrame, value: Column, number: str) -> Column:
+    """Whether no other value of the column's type has the same double as this one."""
+    kind = df.select(value.alias("v")).schema["v"].dataType
+    if isinstance(kind, T.LongType):
+        return F.abs(number) < 2.0**53
+    if isinstance(kind, T.DecimalType):
+        return F.abs(number) < 2.0**49 / 10.0**kind.scale
+    return F.lit(True)
+
+
 def _ordered(column: str, descending: bool) -> Column:
     return F.col(column).desc_nulls_last() if descending else F.col(column).asc_nulls_last()
 
@@ -85,11 +93,12 @@ def competition_rank(
 ) -> DataFrame:
     """Global rank with ties sharing the best place (1, 1, 3); null and masked rows get null.
 
-    Values are compared as doubles, NaN counts as missing.
+    Doubles only choose the range: rows are compared by the value itself. NaN counts as missing.
     """
     columns = df.columns
     masked = F.col(quoted(value)) if where is None else F.when(where, F.col(quoted(value)))
-    base = df.withColumn("_v", missing_if_nan(masked))
+    alone = distinct_as_double(df, masked, "_v")
+    base = df.withColumn("_v", missing_if_nan(masked)).withColumn("_o", F.when(F.col("_v").isNotNull(), masked))
     buckets = buckets or shuffle_width(df.sparkSession)
     ranges = value_ranges(base, "_v", buckets)
     base = ranges.assign(base, "_v", "_b")
@@ -97,9 +106,9 @@ def competition_rank(
     # As many rows as there are ranges, whatever the size of the table.
     ahead = F.broadcast(_ahead(counts, [], "_b", "_n", descending).select("_b", "_ahead"))
 
-    inside = F.rank().over(W.partitionBy("_b").orderBy(_ordered("_v", descending)))
+    inside = F.rank().over(W.partitionBy("_b").orderBy(_ordered("_o", descending)))
     if ranges.hot_values or ranges.missing > hot_limit(ranges.rows, buckets):
-        settled = F.col("_v").isNull() | F.col("_v").isin(ranges.hot_values)
+        settled = F.col("_v").isNull() | (F.col("_v").isin(ranges.hot_values) & alone)
         spread = base.where(~settled).withColumn("_in", inside)
         direct = base.where(settled).withColumn("_in", F.lit(1))
         placed = spread.unionByName(direct)
@@ -126,9 +135,10 @@ def rank_in_group(
     columns = df.columns
     group = list(group)
     spark = df.sparkSession
-    base = df.withColumn("_v", missing_if_nan(F.col(quoted(value))))
+    alone = distinct_as_double(df, F.col(quoted(value)), "_v")
+    base = df.withColumn("_v", missing_if_nan(F.col(quoted(value)))).withColumn("_o", F.col(quoted(value)))
     unranked = reduce(lambda a, b: a | b, [F.col(quoted(g)).isNull() for g in group], F.col("_v").isNull())
-    order = _ordered("_v", descending)
+    order = _ordered("_o", descending)
 
     rows, skipped = base.agg(F.count("*"), F.count_if(unranked)).first()
     width = shuffle_width(spark)
@@ -139,21 +149,21 @@ def rank_in_group(
     if not found:
         ranked = F.rank().over(W.partitionBy(*group).orderBy(order))
         if skipped <= limit:
-            return base.withColumn(out, F.when(~unranked, ranked).cast("long")).drop("_v")
+            return base.withColumn(out, F.when(~unranked, ranked).cast("long")).drop("_v", "_o")
         some = base.where(~unranked).withColumn(out, ranked.cast("long"))
         none = base.where(unranked).withColumn(out, F.lit(None).cast("long"))
         return some.unionByName(none).select(*[quoted(c) for c in columns], out)
 
     # Rows of all hot groups share one set of ranges: a range then holds few rows of any group.
     hot = F.broadcast(spark.createDataFrame(found, sizes.select(*group).schema))
-    share = max(2, min(buckets or width, MAX_OFFSETS // len(found)))
+    share = max(2, buckets or width)
     hot_rows = base.where(~unranked).join(hot, group, "left_semi")
     ranges = value_ranges(hot_rows, "_v", share)
     counts = ranges.assign(hot_rows, "_v", "_b").groupBy(*group, "_b").agg(F.count("*").alias("_n"))
-    ahead = F.broadcast(_ahead(counts, group, "_b", "_n", descending).select(*group, "_b", "_ahead"))
+    ahead = _ahead(counts, group, "_b", "_n", descending).select(*group, "_b", "_ahead")
     cut = ranges.assign(base, "_v", "_b").join(ahead, [*group, "_b"], "left")
     is_hot = F.col("_ahead").isNotNull()
-    settled = unranked | (is_hot & F.col("_v").isin(ranges.hot_values))
+    settled = unranked | (is_hot & F.col("_v").isin(ranges.hot_values) & alone)
     inside = F.rank().over(W.partitionBy(*group, F.when(is_hot, F.col("_b"))).orderBy(order))
     spread = cut.where(~settled).withColumn("_in", inside)
     direct = cut.where(settled).withColumn("_in", F.when(~unranked, F.lit(1)))
@@ -170,8 +180,9 @@ def row_position(
 ) -> DataFrame:
     """Position 1..n of every row by numeric columns (value, descending?), then by ``tie``.
 
-    ``tie`` is a hash text, unique per row: rows equal in all values are split over tasks by its
-    first digits. Nulls come last.
+    ``tie`` is a hash text, unique per row: rows equal in all values are split over tasks by as
+    many of its first digits as the shuffle width asks for. Nulls come last. Doubles only choose
+    the range: rows are ordered by the values themselves.
     """
     columns = df.columns
     buckets = buckets or shuffle_width(df.sparkSession)
@@ -181,18 +192,21 @@ def row_position(
     for i, (value, descending) in enumerate(order):
         number = missing_if_nan(value)
         rising = -number if descending else number
-        v, b = f"_v{i}", f"_b{i}"
+        v, b, o = f"_v{i}", f"_b{i}", f"_o{i}"
+        alone = distinct_as_double(df, value, v)
+        base = base.withColumn(o, F.when(number.isNotNull(), value))
         base = base.withColumn(v, F.coalesce(rising, F.lit(math.inf)))
         ranges = value_ranges(base.where(tied), v, buckets)
         # The unknown values at the end are one tied block as well.
         if len(ranges) > 1:
             ranges.splits.insert(-1, math.nextafter(math.inf, 0))
         base = ranges.assign(base, v, b).withColumn(b, F.when(tied, F.col(b)).otherwise(F.lit(-1)))
-        tied = tied & (F.col(v).isin(ranges.hot_values) | (F.col(v) == F.lit(math.inf)))
-        keys.append(v)
+        tied = tied & ((F.col(v).isin(ranges.hot_values) & alone) | (F.col(v) == F.lit(math.inf)))
+        keys.append(_ordered(o, descending))
         paths.append(b)
     base = base.withColumn("_t", tie)
-    base = base.withColumn("_bt", F.when(tied, F.substring("_t", 1, 2)).otherwise(F.lit("")))
+    digits = max(2, math.ceil(math.log(4 * buckets, 16)))
+    base = base.withColumn("_bt", F.when(tied, F.substring("_t", 1, digits)).otherwise(F.lit("")))
     paths.append("_bt")
 
     counts = base.groupBy(*paths).agg(F.count("*").alias("_n"))
@@ -223,7 +237,8 @@ def running_sums(
     buckets = buckets or shuffle_width(df.sparkSession)
     base = df.withColumn("_v", F.col(quoted(value)).cast("double"))
     base = (ranges or value_ranges(base, "_v", buckets)).assign(base, "_v", "_b")
-    inside = W.partitionBy(*group, "_b").orderBy(_ordered("_v", descending)).rowsBetween(W.unboundedPreceding, W.currentRow)
+    own = _ordered(quoted(value), descending)
+    inside = W.partitionBy(*group, "_b").orderBy(own).rowsBetween(W.unboundedPreceding, W.currentRow)
     before = W.partitionBy(*group).orderBy(_ordered("_b", descending)).rowsBetween(W.unboundedPreceding, -1)
     totals = base.groupBy(*group, "_b").agg(*[F.sum(s).alias(f"_sum_{s}") for s in sums])
     ahead = totals.select(
@@ -246,8 +261,16 @@ def ranking_list(
 
 
 def key_hash(columns: Sequence[str], seed: str = "") -> Column:
-    """md5 of a seed and the key fields: the same number in any partitioning and any engine."""
-    fields = [F.coalesce(F.col(quoted(c)).cast("string"), F.lit("")) for c in columns]
+    """md5 of a seed and the key fields: the same number in any partitioning and any engine.
+
+    Fields are joined by colons; colons and backslashes inside them are escaped, and null is ``\\N``,
+    so different keys are different texts.
+    """
+    def field(c: str) -> Column:
+        text = F.replace(F.col(quoted(c)).cast("string"), F.lit("\\"), F.lit("\\\\"))
+        return F.coalesce(F.replace(text, F.lit(":"), F.lit("\\:")), F.lit("\\N"))
+
+    fields = [field(c) for c in columns]
     return F.md5(F.concat_ws(":", *([F.lit(seed)] if seed else []), *fields))
 
 

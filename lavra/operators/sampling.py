@@ -84,10 +84,12 @@ def group_folds(
 
     Groups are placed by falling size, then positives, then hash, and dealt out in serpentine
     order: neighbours are alike, so every fold gets its share of each kind. Only group totals are
-    sorted. The folds are joined back with care for groups that hold much of the table.
+    sorted. The folds are joined back with care for groups that hold much of the table. A row
+    without a group is a group of its own, whose fold the hash of its columns decides.
     """
+    known = df.where(F.col(group).isNotNull())
     groups = staged(
-        df.groupBy(group).agg(F.count("*").alias("_size"), F.sum(label).cast("long").alias("_pos")),
+        known.groupBy(group).agg(F.count("*").alias("_size"), F.sum(label).cast("long").alias("_pos")),
         "groups",
     )
     placed = row_position(
@@ -97,9 +99,12 @@ def group_folds(
         "_place",
     )
     folds = placed.select(group, serpentine(F.col("_place"), k).alias(fold))
-    return skew_join(df, staged(folds, "folds"), [group])
+    alone = F.conv(F.substring(key_hash(df.columns, str(seed)), 1, 12), 16, 10).cast("long") % k
+    unknown = df.where(F.col(group).isNull()).withColumn(fold, alone.cast("int"))
+    return skew_join(known, staged(folds, "folds"), [group]).select(*unknown.columns).unionByName(unknown)
 
 
 def holdout(df: DataFrame, fold: str = "fold", test: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Training rows and test rows; the first fold is the test set."""
-    return df.where(F.col(fold) != test).drop(fold), df.where(F.col(fold) == test).drop(fold)
+    """Training rows and test rows; the first fold is the test set. A row without a fold is an error."""
+    number = F.coalesce(F.col(fold), F.raise_error(F.lit("a row has no fold")).cast("int"))
+    return df.where(number != test).drop(fold), df.where(number == test).drop(fold)

@@ -35,10 +35,10 @@ class RawSource:
 
 
 def bronze(
-    spark: SparkSession, sources: Sequence[RawSource], folder: str, rows: int | None = fixed.SAMPLE_ROWS,
+    spark: SparkSession, sources: Sequence[RawSource], folder: str, rows: int | None = None,
     seed: int = fixed.SEED,
 ) -> DataFrame:
-    """Write a sample of every source (or all of it, with ``rows=None``) and the lineage manifest."""
+    """Write every source, or with ``rows`` an exact sample of each, and the lineage manifest."""
     lineage = []
     for s in sources:
         if rows is None:
@@ -177,8 +177,8 @@ def gold_state_summary(municipalities: DataFrame) -> DataFrame:
     return sorted_by(summary, ("sigla_uf", False))
 
 
-def gold(silver_tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
-    """Write all gold tables and the layer summary.
+def gold(silver_tables: Mapping[str, DataFrame], folder: str, sampled: bool = False) -> dict[str, DataFrame]:
+    """Write all gold tables and the layer summary, which says so where the ranking is of a sample.
 
     The municipal table is written first; what builds on it reads the written copy.
     """
@@ -199,19 +199,26 @@ def gold(silver_tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataF
     )
     summary = key_value_report(
         {"municipios_gold": out["indicadores_municipios"], "alunos_gold": out["amostra_alunos"]},
-        {"corte_proficiencia_alfabetizacao": fixed.CUTOFF, "observacao_ranking_municipal": fixed.RANKING_NOTE},
+        {"corte_proficiencia_alfabetizacao": fixed.CUTOFF} | ({"observacao_ranking_municipal": fixed.RANKING_NOTE} if sampled else {}),
     )
     out["_resumo"] = written("_resumo", summary)
     return out
 
 
-def run_layers(spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, rows: int | None = fixed.SAMPLE_ROWS) -> dict[str, DataFrame]:
-    """Bronze to gold for raw tables named ``alunos``, ``ufs`` and ``municipios``."""
-    bronze(spark, [RawSource(name, table) for name, table in raw.items()], f"{folder}/bronze", rows)
+def run_layers(
+    spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, rows: int | None = None,
+    keys: Mapping[str, Sequence[str]] | None = None,
+) -> dict[str, DataFrame]:
+    """Bronze to gold for raw tables named ``alunos``, ``ufs`` and ``municipios``.
+
+    ``rows`` samples each source, by the key given in ``keys`` where it has one.
+    """
+    sources = [RawSource(name, table, key=(keys or {}).get(name)) for name, table in raw.items()]
+    bronze(spark, sources, f"{folder}/bronze", rows)
     tables, reports = {}, []
     for table in (STUDENTS, STATES, MUNICIPALITIES):
         source = spark.read.parquet(f"{folder}/bronze/{table.name}")
         tables[table.name], report = silver(source, table, f"{folder}/silver/{table.name}")
         reports.append(report)
     write_layer(reduce(lambda a, b: a.unionByName(b), reports), f"{folder}/silver/_relatorio_qualidade")
-    return gold(tables, f"{folder}/gold")
+    return gold(tables, f"{folder}/gold", sampled=rows is not None)

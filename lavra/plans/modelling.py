@@ -30,11 +30,13 @@ QUERY_MODELS = (
 
 
 def modelling_table(t):
-    measured = t.documents.select(
+    # Only labelled texts are split into words.
+    labelled_texts = t.documents.join(t.labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    measured = staged(labelled_texts.select(
         "doc_id", "lang", GROUP, "n_chars",
         F.size(F.split(F.trim("text"), r"\s+")).alias("n_words"),
         F.when(F.contains(F.col("text"), F.lit("\n")), F.size(F.split("text", "\n"))).alias("n_lines"),
-    ).withColumn("word_length", F.try_divide(F.col("n_chars").cast("double"), "n_words"))
+    ).withColumn("word_length", F.try_divide(F.col("n_chars").cast("double"), "n_words")), "texts")
     labelled = enrich(t.labels, measured, ["doc_id"])
     return labelled.withColumn(TARGET, 1 - F.col("quality"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,18 +40,23 @@ def flatten_json(
 def header_row_table(df: DataFrame, column: str) -> DataFrame:
     """Rows of an array of maps whose element 0 maps each internal key to its label.
 
-    The labels are read from one payload. A payload with fewer than two elements raises when the rows
-    are computed.
+    Every payload is read by its own header, so keys may mean different things in each; labels that
+    a payload lacks are null in its rows. The columns are the labels of all payloads, in the order
+    they first stand in. A payload with fewer than two elements raises when the rows are computed.
     """
-    labels = df.select(F.element_at(F.col(column), 1).alias("labels")).first()
-    if labels is None:
+    header = F.element_at(F.col(column), 1)
+    places = df.select(F.posexplode(F.map_values(header)).alias("pos", "label")).groupBy("label").agg(F.min("pos").alias("pos"))
+    # One row per output column.
+    labels = [r["label"] for r in places.orderBy("pos", "label").collect() if r["label"] is not None]
+    if not labels:
         raise ValueError("no payload")
     kept = [c for c in df.columns if c != column]
     complaint = F.raise_error(F.lit("payload without data rows")).cast(df.schema[column].dataType)
     whole = F.when(F.size(column) >= 2, F.col(column)).otherwise(complaint)
-    rows = df.select(*kept, F.posexplode(whole).alias("_pos", "_row")).where("_pos > 0")
-    return rows.select(
-        *kept,
-        F.col("_pos").alias("_ordinal"),
-        *[F.try_element_at("_row", F.lit(key)).alias(label) for key, label in labels["labels"].items()],
-    )
+    rows = df.select(*kept, F.map_entries(header).alias("_header"), F.posexplode(whole).alias("_pos", "_row")).where("_pos > 0")
+
+    def value(label: str) -> Column:
+        key = F.get(F.filter("_header", lambda e: e["value"] == label), F.lit(0))["key"]
+        return F.try_element_at("_row", key).alias(label)
+
+    return rows.select(*kept, F.col("_pos").alias("_ordinal"), *[value(label) for label in labels])

@@ -23,10 +23,11 @@ CP1252_BYTES = "80 82 83 84 85 86 87 88 89 8A 8B 8C 8E 91 92 93 94 95 96 97 98 9
 CP1252_CHARS = "€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ"
 
 
-def _csv_reader(spark: SparkSession, sep: str, encoding: str):
+def _csv_reader(spark: SparkSession, sep: str, encoding: str, multi_line: bool = False):
     charset = "ISO-8859-1" if encoding.lower() in ("cp1252", "latin-1") else encoding
     return spark.read.options(
-        header=True, sep=sep, encoding=charset, inferSchema=False, escape='"', enforceSchema=False
+        header=True, sep=sep, encoding=charset, inferSchema=False, escape='"', enforceSchema=False,
+        multiLine=multi_line,
     )
 
 
@@ -43,9 +44,14 @@ def scan_raw(
     sep: str = ",",
     encoding: str = "UTF-8",
     missing: Sequence[str] = MISSING_CELLS,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Header CSV with every column as text. A missing path is an error."""
-    raw = _csv_reader(spark, sep, encoding).csv(path)
+    """Header CSV with every column as text. A missing path is an error.
+
+    ``multi_line`` reads line breaks inside quotes as part of the cell; each file is then read by
+    one task, so large inputs should come as many files.
+    """
+    raw = _csv_reader(spark, sep, encoding, multi_line).csv(path)
     return raw.select(*[_cell(F.col(quoted(c)), encoding, missing).alias(c) for c in raw.columns])
 
 
@@ -55,16 +61,17 @@ def scan_tolerant(
     sep: str = ";",
     encoding: str = "UTF-8",
     missing: Sequence[str] = MISSING_CELLS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """As ``scan_raw``, but lines with too many fields are skipped and short ones padded with null.
 
     Spark marks long and short lines alike, so marked lines are told apart by counting the
     delimiters outside quotes. Column pruning inside the CSV parser would hide the marks and is off.
     """
-    names = _csv_reader(spark, sep, encoding).csv(path).columns
+    names = _csv_reader(spark, sep, encoding, multi_line).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
     raw = (
-        _csv_reader(spark, sep, encoding)
+        _csv_reader(spark, sep, encoding, multi_line)
         .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False)
         .schema(schema)
         .csv(path)

@@ -24,7 +24,8 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         writer.options(header=True, escape='"').csv(path)
-        return df.count()
+        written = df.sparkSession.read.options(header=True, escape='"', multiLine=True, inferSchema=False)
+        return written.csv(path).count() if df.columns else 0
     writer.format(fmt).save(path)
     return df.sparkSession.read.format(fmt).schema(df.schema).load(path).count()
 
