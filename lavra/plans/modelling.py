@@ -13,6 +13,7 @@ from lavra.operators import evaluate, explain, features, models
 from lavra.operators.joins import enrich
 from lavra.operators.profile import describe
 from lavra.operators.sampling import group_folds, holdout
+from lavra.plans.rankings import GROUPS
 from lavra.plans.registry import query
 from lavra.session import staged
 
@@ -181,7 +182,10 @@ def model_predictions(t):
     return models.predict(fitted, test, TARGET, ["doc_id", GROUP])
 
 
-@query()
+@query("""with d as (select doc_id, source as grp, 1 - quality as y from documents join labels using (doc_id)), """
+       + GROUPS.format(k=5) + """
+select 'logistic_regression' as best_model, 'risk' as target, ['n_chars', 'n_words', 'n_lines', 'word_length', 'lang'] as features,
+  count(*) filter (fold > 0) as train_rows, count(*) filter (fold = 0) as test_rows from d join f using (grp)""")
 def model_metadata(t):
     fitted, train, test = _fitted(t)
     scores = evaluate.binary_metrics(models.predict(fitted, test, TARGET), "y_real", "score", "y_pred")
