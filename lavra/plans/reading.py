@@ -8,8 +8,8 @@ from lavra.operators.columns import find_column
 from lavra.operators.sampling import sample_with_counts
 from lavra.plans.registry import query
 from lavra.session import scratch_path
-from lavra.sources.files import largest_file as biggest, profile_files, schema_catalog as catalog
-from lavra.sources.links import LinkClass, classify_links, links_with_fallback, page_links as anchors
+from lavra.sources.files import largest_file as biggest, profile_files, scan_by_profile, schema_catalog as catalog
+from lavra.sources.links import LinkClass, page_link_classes
 from lavra.sources.payloads import flatten_json, header_row_table as labelled_rows
 from lavra.sources.scan import available, scan_raw, scan_tolerant
 from lavra.sources.sinks import append_manifest, write_layer
@@ -77,6 +77,13 @@ def file_profile(t):
     )
 
 
+@query("""
+select o_orderkey::varchar as o_orderkey, o_custkey::varchar as o_custkey, o_orderpriority from orders where o_orderstatus in ('F', 'O', 'P')""")
+def folder_by_profile(t):
+    """Files of different delimiters, each read by what its profile says, as one table."""
+    return scan_by_profile(t.spark, _exports(t))
+
+
 @query()
 def largest_file(t):
     path = biggest(t.spark, _exports(t))
@@ -129,8 +136,7 @@ w as (select page_id, k as link_class from pages, (select unnest(['article', 'vo
 select page_id, link_class, coalesce(link, 'https://example.org/' || link_class) as link, link is not null as found
 from w left join m using (page_id, link_class)""")
 def page_links(t):
-    found = classify_links(anchors(t.pages, "html", "url", ["page_id"]), LINK_CLASSES, ["page_id"])
-    return links_with_fallback(t.pages, found, LINK_SPARE, ["page_id"])
+    return page_link_classes(t.pages, "html", "url", LINK_CLASSES, LINK_SPARE, ["page_id"])
 
 
 @query("""

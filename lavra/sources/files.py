@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.functions.text import quoted
+from lavra.sources.scan import scan_raw
 
 # Delimiters tried, in order of preference, and the one used when none occurs.
 DELIMITERS = (";", ",", "|", "\t")
@@ -21,7 +24,7 @@ def profile_files(spark: SparkSession, path: str, by_folder: bool = False) -> Da
     """Encoding, delimiter and line count per file (or per folder of part files).
 
     Files are read as raw lines, so a large one is split over many tasks and every byte of it is
-    looked at. The delimiter is the candidate that occurs most often in the first line.
+    looked at. The delimiter is the candidate that occurs most often in the first line outside quotes.
     """
     lines = (
         spark.read.option("recursiveFileLookup", True)
@@ -44,8 +47,9 @@ def profile_files(spark: SparkSession, path: str, by_folder: bool = False) -> Da
         F.bool_or(odd).alias("odd"),
         F.min_by("value", place).alias("first_line"),
     )
+    plain = F.regexp_replace("first_line", '"[^"]*"', "")
     counts = [
-        F.length("first_line") - F.length(F.replace(F.col("first_line"), F.lit(d), F.lit("")))
+        F.length(plain) - F.length(F.replace(plain, F.lit(d), F.lit("")))
         for d in DELIMITERS
     ]
     best = F.greatest(*counts)
@@ -58,6 +62,22 @@ def profile_files(spark: SparkSession, path: str, by_folder: bool = False) -> Da
     )
 
 
+def scan_by_profile(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """All files of a tree as one text table: a reader for each encoding and delimiter, united by column name.
+
+    Columns that some files lack are null in their rows. The driver learns the paths by kind, as it
+    does when it lists the tree.
+    """
+    kinds = profile_files(spark, path).groupBy("encoding", "separator").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    parts = [
+        scan_raw(spark, [unquote(p) for p in r["paths"]], r["separator"], r["encoding"], multi_line=multi_line)
+        for r in kinds.orderBy("encoding", "separator").collect()
+    ]
+    if not parts:
+        raise ValueError(f"no files in {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """Path and size of every matching file in a tree; the contents are not read."""
     return (

@@ -81,22 +81,63 @@ def resolve_url(base: Column, href: Column) -> Column:
     )
 
 
-def page_links(pages: DataFrame, html: str, url: str, keep: Sequence[str]) -> DataFrame:
-    """One row per anchor with a target: page columns, position, absolute link, lower-case text."""
-    visible = F.regexp_replace(F.col(html), HIDDEN, "")
-    anchors = F.arrays_zip(
+def _anchors(html: Column) -> Column:
+    """Attributes and body of the anchors of a page that have a target, in order."""
+    visible = F.regexp_replace(html, HIDDEN, "")
+    found = F.arrays_zip(
         F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(1)).alias("attrs"),
         F.regexp_extract_all(visible, F.lit(ANCHOR), F.lit(2)).alias("body"),
     )
+    return F.filter(found, lambda a: a["attrs"].rlike(HREF))
+
+
+def _target(base: Column, attrs: Column) -> Column:
+    href = F.concat(*[F.regexp_extract(attrs, HREF, i) for i in (1, 2, 3)])
+    return resolve_url(base, F.trim(unescape(href)))
+
+
+def _label(body: Column) -> Column:
+    text = unescape(F.regexp_replace(body, r"(?s)<[^>]*>", " "))
+    return F.lower(F.trim(F.regexp_replace(text, r"\s+", " ")))
+
+
+def page_links(pages: DataFrame, html: str, url: str, keep: Sequence[str]) -> DataFrame:
+    """One row per anchor with a target: page columns, position, absolute link, lower-case text."""
     # The page itself is not carried through the generator: only its key and address are.
-    rows = pages.select(*keep, F.col(url).alias("_base"), F.posexplode(anchors).alias("pos", "a"))
-    href = F.concat(*[F.regexp_extract("a.attrs", HREF, i) for i in (1, 2, 3)])
-    text = unescape(F.regexp_replace("a.body", r"(?s)<[^>]*>", " "))
-    return (
-        rows.where(F.col("a.attrs").rlike(HREF))
-        .withColumn("link", resolve_url(F.col("_base"), F.trim(unescape(href))))
-        .withColumn("link_text", F.lower(F.trim(F.regexp_replace(text, r"\s+", " "))))
-        .select(*keep, "pos", "link", "link_text")
+    rows = pages.select(*keep, F.col(url).alias("_base"), F.posexplode(_anchors(F.col(html))).alias("pos", "a"))
+    return rows.select(
+        *keep, "pos", _target(F.col("_base"), F.col("a.attrs")).alias("link"), _label(F.col("a.body")).alias("link_text")
+    )
+
+
+def page_link_classes(
+    pages: DataFrame, html: str, url: str, classes: Sequence[LinkClass], fallback: dict[str, str], keep: Sequence[str]
+) -> DataFrame:
+    """Every page with every class: its last matching link, or the fallback address, and whether it was found.
+
+    The anchors of a page are judged in its own row, so nothing is shuffled.
+    """
+    labelled = F.transform(_anchors(F.col(html)), lambda a: F.struct(a["attrs"].alias("attrs"), _label(a["body"]).alias("text")))
+    rows = pages.select(*keep, F.col(url).alias("_base"), labelled.alias("_links"))
+
+    def last(k: LinkClass) -> Column:
+        hits = F.filter("_links", lambda a: k.matches(a["text"]))
+        return F.try_element_at(hits, F.lit(-1))["attrs"]
+
+    known = {k.name: k for k in classes}
+    every = [
+        F.struct(
+            F.lit(name).alias("link_class"), F.lit(spare).alias("spare"),
+            (last(known[name]) if name in known else F.lit(None).cast("string")).alias("attrs"),
+        )
+        for name, spare in fallback.items()
+    ]
+    each = rows.select(*keep, "_base", F.explode(F.array(*every)).alias("w")).select(*keep, "_base", "w.*")
+    # Only the links that are returned are resolved.
+    link = F.when(F.col("attrs").isNotNull(), _target(F.col("_base"), F.col("attrs")))
+    resolved = each.withColumn("_link", link)
+    return resolved.select(
+        *keep, "link_class", F.coalesce("_link", "spare").alias("link"), F.col("_link").isNotNull().alias("found")
     )
 
 

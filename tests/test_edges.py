@@ -94,3 +94,12 @@ def test_medians_beside_a_flag(spark):
 def test_dates_and_nulls_do_not_stop_a_key(spark):
     df = spark.createDataFrame([(datetime.date(2020, 1, 1), None)], "d date, n int")
     assert len(df.select(ranking.key_hash(["d", "n"])).first()[0]) == 32
+
+
+def test_folder_of_mixed_files(spark, tmp_path):
+    from lavra.sources.files import scan_by_profile
+
+    (tmp_path / "a.csv").write_bytes('"x;y;z",name\n1,água\n'.encode())
+    (tmp_path / "b.csv").write_bytes('name;more\n"a;b\xe7";2\n'.encode("latin-1"))
+    rows = {(r["x;y;z"], r["name"], r["more"]) for r in scan_by_profile(spark, str(tmp_path)).collect()}
+    assert rows == {("1", "água", None), (None, "a;bç", "2")}

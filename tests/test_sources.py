@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lavra.sources.files import largest_file, profile_files, schema_catalog
-from lavra.sources.links import LinkClass, classify_links, links_with_fallback, page_links, resolve_url
+from lavra.sources.links import LinkClass, classify_links, links_with_fallback, page_link_classes, page_links, resolve_url
 from lavra.sources.parts import union_parts
 from lavra.sources.payloads import flatten_json, header_row_table
 from lavra.sources.scan import available, scan_raw, scan_tolerant, scan_typed
@@ -99,6 +99,9 @@ def test_links(spark):
     found = classify_links(page_links(pages, "html", "url", ["id"]), classes, ["id"])
     spare = {"ufs": "f1", "mun": "f2", "micro": "f3"}
     got = {(r["id"], r["link_class"]): (r["link"], r["found"]) for r in links_with_fallback(pages, found, spare, ["id"]).collect()}
+    local = page_link_classes(pages, "html", "url", classes, spare, ["id"])
+    assert got == {(r["id"], r["link_class"]): (r["link"], r["found"]) for r in local.collect()}
+    assert "Exchange" not in local._jdf.queryExecution().toString()
     assert got == {
         (1, "ufs"): ("https://g.br/p/two.xlsx", True), (1, "mun"): ("https://g.br/p/m.xlsx?a=1&b=2", True),
         (1, "micro"): ("f3", False), (2, "ufs"): ("f1", False), (2, "mun"): ("f2", False), (2, "micro"): ("f3", False),
