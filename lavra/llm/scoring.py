@@ -29,7 +29,9 @@ SIDE = 32
 CODES = SIDE * SIDE
 OWN = CODES // 2
 REACH, WIDTH = 2, 16
-BATCH, RATE = 512, 0.05
+# First row of each offset's embeddings.
+OFFSETS = (CODES + 1) * np.arange(2 * REACH)
+BATCH, RATE = 1024, 0.05
 SCORED = 2048
 # Parameters travel and are averaged in blocks of this many numbers.
 BLOCK = 8192
@@ -37,7 +39,7 @@ BLOCK = 8192
 
 @dataclass
 class Network:
-    """Embeddings by offset (the last row stands for the edge of a text), hidden and output layers."""
+    """Embeddings of all offsets in one table (each ends in a row for the edge of a text), and output layers."""
 
     inputs: np.ndarray
     rows: np.ndarray
@@ -54,7 +56,7 @@ class Network:
 
     @classmethod
     def of(cls, flat: np.ndarray) -> Network:
-        shapes = [(2 * REACH, CODES + 1, WIDTH), (WIDTH, SIDE), (SIDE,), (SIDE, WIDTH), (WIDTH, SIDE), (SIDE, SIDE)]
+        shapes = [(2 * REACH * (CODES + 1), WIDTH), (WIDTH, SIDE), (SIDE,), (SIDE, WIDTH), (WIDTH, SIDE), (SIDE, SIDE)]
         ends = np.cumsum([0, *(int(np.prod(s)) for s in shapes)])
         return cls(*(flat[a:b].reshape(s).astype(np.float32) for a, b, s in zip(ends, ends[1:], shapes)))
 
@@ -66,12 +68,12 @@ class Network:
         rows = square.sum(axis=1)
         small = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
         return cls(
-            small(2 * REACH, CODES + 1, WIDTH), np.zeros((WIDTH, SIDE), np.float32), np.log(rows / rows.sum()).astype(np.float32),
+            small(2 * REACH * (CODES + 1), WIDTH), np.zeros((WIDTH, SIDE), np.float32), np.log(rows / rows.sum()).astype(np.float32),
             small(SIDE, WIDTH), np.zeros((WIDTH, SIDE), np.float32), np.log(square / rows[:, None]).astype(np.float32),
         )
 
     def _hidden(self, around: np.ndarray) -> np.ndarray:
-        return np.tanh(sum(self.inputs[k][around[:, k]] for k in range(2 * REACH)))
+        return np.tanh(sum(self.inputs[around[:, k] + OFFSETS[k]] for k in range(2 * REACH)))
 
     def _outputs(self, hidden: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         shifted = hidden + self.chosen[row]
@@ -100,9 +102,10 @@ class Network:
         back = second @ self.columns.T
         down = (first @ self.rows.T + back) * (1 - hidden * hidden)
         dense = [hidden.T @ first, first.sum(axis=0), shifted.T @ second]
-        tables = [(self.chosen, row, back), (self.column_bias, row, second)]
-        tables += [(self.inputs[k], around[:, k], down) for k in range(2 * REACH)]
-        return dense, [(table, *_by_row(rows, change)) for table, rows, change in tables]
+        both = np.concatenate((back, second), axis=1)
+        chosen, changes = _by_row(row, both)
+        near = _by_row((around + OFFSETS).T.ravel(), np.tile(down, (2 * REACH, 1)))
+        return dense, [(self.chosen, chosen, changes[:, :WIDTH]), (self.column_bias, chosen, changes[:, WIDTH:]), (self.inputs, *near)]
 
 
 class Trainer:
@@ -111,7 +114,7 @@ class Trainer:
     def __init__(self, network: Network, rate: float):
         self.network, self.rate = network, rate
         self.dense = [np.full_like(p, 1e-6) for p in (network.rows, network.row_bias, network.columns)]
-        self.tables = [np.full((len(t), 1), 1e-6, np.float32) for t in (network.chosen, network.column_bias, *network.inputs)]
+        self.tables = [np.full((len(t), 1), 1e-6, np.float32) for t in (network.chosen, network.column_bias, network.inputs)]
 
     def step(self, codes: np.ndarray, around: np.ndarray) -> None:
         network = self.network
@@ -120,18 +123,22 @@ class Trainer:
             seen += change * change
             part -= self.rate * change / np.sqrt(seen)
         for (table, rows, change), seen in zip(tables, self.tables):
-            seen[rows] += (change * change).mean(axis=1, keepdims=True)
-            table[rows] -= self.rate * change / np.sqrt(seen[rows])
+            squares = seen[rows] + np.einsum("ij,ij->i", change, change)[:, None] / np.float32(change.shape[1])
+            seen[rows] = squares
+            table[rows] -= change * (self.rate / np.sqrt(squares))
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    """Along the rows. One maximum serves all: the scores of a batch are far less than 80 apart."""
+    x = x - x.max()
+    total = np.exp(x) @ np.ones(x.shape[1], x.dtype)
+    return x - np.log(total + np.finfo(x.dtype).tiny)[:, None]
 
 
 def _by_row(rows: np.ndarray, change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Changes added up by table row."""
-    order = np.argsort(rows, kind="stable")
+    # Row numbers fit 16 bits, which are sorted digit by digit.
+    order = np.argsort(rows.astype(np.uint16), kind="stable")
     ordered = rows[order]
     new = np.flatnonzero(np.diff(ordered, prepend=-1))
     return ordered[new], np.add.reduceat(change[order], new, axis=0)
