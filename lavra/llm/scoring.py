@@ -31,7 +31,7 @@ OWN = CODES // 2
 REACH, WIDTH = 2, 16
 # First row of each offset's embeddings.
 OFFSETS = (CODES + 1) * np.arange(2 * REACH)
-BATCH, RATE = 1024, 0.05
+BATCH, RATE = 1024, 0.08
 SCORED = 2048
 # Parameters travel and are averaged in blocks of this many numbers.
 BLOCK = 8192
@@ -155,15 +155,11 @@ def encode(hashes: np.ndarray, own: np.ndarray, number: np.ndarray) -> np.ndarra
 
 def surroundings(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Codes at -2, -1, 1 and 2 of every place of every text; beyond a text's ends the edge code."""
-    ends = np.cumsum(counts)
-    start, end = np.repeat(ends - counts, counts), np.repeat(ends, counts)
-    at = np.arange(len(codes))
-    out = np.empty((len(codes), 2 * REACH), np.int64)
-    for k, offset in enumerate([o for o in range(-REACH, REACH + 1) if o]):
-        other = at + offset
-        inside = (other >= start) & (other < end)
-        out[:, k] = np.where(inside, codes[np.clip(other, 0, max(0, len(codes) - 1))], CODES) if len(codes) else 0
-    return out
+    # Every text stands between edge codes.
+    place = np.arange(len(codes)) + REACH * (np.repeat(np.arange(len(counts)), counts) + 1)
+    padded = np.full(len(codes) + REACH * (len(counts) + 1), CODES, np.int32)
+    padded[place] = codes
+    return np.stack([padded[place + o] for o in range(-REACH, REACH + 1) if o], axis=1)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:

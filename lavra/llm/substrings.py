@@ -50,16 +50,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the different words of all texts, each word's number among them, words of each text."""
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(texts.fill_null("")))
+    words, ends = lists.flatten(), lists.offsets.to_numpy()
+    # Only a text without words gives an empty piece.
+    filled = pc.not_equal(words, "")
+    if not pc.all(filled).as_py():
+        ends = np.concatenate(([0], np.cumsum(filled.to_numpy(zero_copy_only=False))))[ends]
+        words = words.filter(filled)
+    coded = words.dictionary_encode()
+    known = coded.dictionary.cast(pa.binary()).to_pylist()
+    return np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known)), coded.indices.to_numpy(), np.diff(ends)
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts, and the number of words of each text."""
-    lists = pc.ascii_split_whitespace(texts.fill_null(""))
-    words = lists.flatten()
-    filled = pc.not_equal(words, "").to_numpy(zero_copy_only=False)
-    ends = np.concatenate(([0], np.cumsum(filled)))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
-    coded = words.filter(pa.array(filled)).dictionary_encode()
-    known = coded.dictionary.cast(pa.binary()).to_pylist()
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known))
-    return hashes[coded.indices.to_numpy()], np.diff(ends)
+    known, code, counts = word_codes(texts)
+    return known[code], counts
 
 
 def chunks(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
