@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.substrings import LAST, _keyed, chunks, mixed, word_hashes
+from lavra.llm.substrings import LAST, _keyed, chunks, mixed, word_codes, word_hashes
 from lavra.llm.text import columns_of
 from lavra.session import staged
 
@@ -50,7 +50,8 @@ def _cell(words: np.ndarray) -> np.ndarray:
 def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(CELLS, np.int64)
     for part in (c for batch in batches for c in chunks(batch, "_text")):
-        counts += np.bincount(_cell(word_hashes(part.column("_text"))[0]), minlength=CELLS)
+        known, code, _ = word_codes(part.column("_text"))
+        np.add.at(counts, _cell(known), np.bincount(code, minlength=len(known)))
     cells = np.flatnonzero(counts)
     for at in range(0, len(cells), 1 << 16):
         some = cells[at : at + (1 << 16)]
@@ -89,13 +90,21 @@ class Sets:
         texts = part.column("_text").cast(pa.binary()).to_pylist()
         split = [t.split(b"\n") if t else [] for t in texts]
         many = np.fromiter(map(len, split), np.int64, len(split))
-        words, counts = word_hashes(pa.array([x for s in split for x in s], pa.binary()).cast(pa.string()))
+        known, code, counts = word_codes(pa.array([x for s in split for x in s], pa.binary()).cast(pa.string()))
         line = np.repeat(np.arange(len(counts)), counts)
-        order = np.lexsort((words, levels[_cell(words)], line))
-        words, line = words[order], line[order]
-        new = np.ones(len(words), bool)
-        new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
-        self.words, line = words[new], line[new]
+        level = levels[_cell(known)] if len(known) else np.zeros(0, np.uint8)
+        # Line, rarity and half of the hash in one number; should two words of a line share it, by all of them.
+        short = (level.astype(np.uint64) << np.uint64(32)) | (known >> np.uint64(32))
+        number = (line.astype(np.uint64) << np.uint64(40)) | short[code]
+        order = np.argsort(number)
+        code, line, number = code[order], line[order], number[order]
+        if len(counts) >> 24 or np.any((number[1:] == number[:-1]) & (code[1:] != code[:-1])):
+            order = np.lexsort((known[code], level[code], line))
+            code, line = code[order], line[order]
+        new = np.ones(len(code), bool)
+        new[1:] = (code[1:] != code[:-1]) | (line[1:] != line[:-1])
+        code, line = code[new], line[new]
+        self.words = known[code]
         used = np.flatnonzero(np.diff(line, prepend=-1))
         number = line[used]
         self.start, self.size = used, np.diff(np.append(used, len(line)))
@@ -104,7 +113,7 @@ class Sets:
         self.doc = part.column("_id").to_numpy()[row]
         self.place = (inside << 32) | part.column("_hash").to_numpy()[row]
         if len(used):
-            spread = mixed(self.words ^ np.uint64(0x5851F42D4C957F2D))
+            spread = mixed(known ^ np.uint64(0x5851F42D4C957F2D))[code]
             self.name = mixed(np.add.reduceat(spread, used) + self.size.astype(np.uint64)).view(np.int64)
             bits = np.uint64(1) << (spread >> np.uint64(58))
             self.sketch = np.bitwise_xor.reduceat(bits, used).view(np.int64)
@@ -115,7 +124,7 @@ class Sets:
         return len(self.size)
 
 
-POSTING = "word long, name long, sketch long, doc long, place long, size int, at int"
+POSTING = "word long, name long, sketch long, doc long, place long, where long"
 
 
 def _post(levels):
@@ -138,7 +147,7 @@ def _post(levels):
             rows = np.concatenate((alone, set_of, copies))
             word = np.concatenate((sets.name[alone], sets.words[sets.start[set_of] + at].view(np.int64), mixed(sets.doc[copies]).view(np.int64)))
             where = np.concatenate((np.full(len(alone), -1), at, np.full(len(copies), -2)))
-            columns = (word, sets.name[rows], sets.sketch[rows], sets.doc[rows], sets.place[rows], sets.size[rows].astype(np.int32), where.astype(np.int32))
+            columns = (word, sets.name[rows], sets.sketch[rows], sets.doc[rows], sets.place[rows], sets.size[rows] << 32 | (where + 2))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in POSTING.split(", ")])
 
     return run
@@ -156,11 +165,12 @@ def _candidates(size, at, sketch, i, j):
 
 
 def _match(rows: dict[str, np.ndarray], first: int | None) -> list[np.ndarray]:
-    """Copies and candidate pairs of whole lists, sorted by (word, at = -1?, name, doc, place)."""
+    """Copies and candidate pairs of whole lists, sorted by (word, name, doc, place)."""
+    rows = rows | {"size": rows["where"] >> 32, "at": (rows["where"] & 0xFFFFFFFF) - 2}
     copy = rows["at"] == -2
     out = [[rows["doc"][copy], rows["place"][copy], np.full(copy.sum(), LAST), np.full(copy.sum(), -1), np.zeros(copy.sum(), bool)]]
     rows = {k: v[~copy] for k, v in rows.items()}
-    group = rows["equal"].astype(bool)
+    group = rows["at"] == -1
     word, name = rows["word"], rows["name"]
     new = np.ones(len(word), bool)
     new[1:] = (word[1:] != word[:-1]) | (group[1:] != group[:-1]) | (name[1:] != name[:-1])
@@ -173,7 +183,7 @@ def _match(rows: dict[str, np.ndarray], first: int | None) -> list[np.ndarray]:
     word, size, at, sketch, doc, place, asked = (rows[k][keep] for k in ("word", "size", "at", "sketch", "doc", "place", "asked"))
     order = np.lexsort((place, doc, word))
     word, size, at, sketch, doc, place, asked = (x[order] for x in (word, size, at, sketch, doc, place, asked))
-    size, at, sketch = size.astype(np.int64), at.astype(np.int64), sketch.view(np.uint64)
+    sketch = sketch.view(np.uint64)
     begin = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))) if len(word) else np.zeros(0, int)
     many = np.diff(np.append(begin, len(word)))
     length, inside = np.repeat(many, many), np.arange(len(word)) - np.repeat(begin, many)
@@ -207,7 +217,7 @@ def _match(rows: dict[str, np.ndarray], first: int | None) -> list[np.ndarray]:
 
 
 def _scan_lists(first: int | None):
-    names = ("word", "name", "sketch", "doc", "place", "size", "at", "equal", "asked")
+    names = ("word", "name", "sketch", "doc", "place", "where", "asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[str, np.ndarray] = {}
@@ -234,14 +244,24 @@ def _scan_lists(first: int | None):
 def _collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word sets of the wanted lines."""
     for part in (c for batch in batches for c in chunks(batch, "_text")):
-        sets = Sets(part, np.zeros(CELLS, np.uint8))
-        wanted = part.column("_lines").to_pylist()
-        ids, hashes = part.column("_id").to_pylist(), part.column("_hash").to_pylist()
-        asked = {(i, n << 32 | h) for i, h, w in zip(ids, hashes, wanted) for n in w}
-        rows = [k for k, x in enumerate(zip(sets.doc.tolist(), sets.place.tolist())) if x in asked]
-        content = [sets.words[sets.start[k] : sets.start[k] + sets.size[k]].astype("<u8").tobytes() for k in rows]
+        doc, place, texts = [], [], []
+        columns = (part.column(c).to_pylist() for c in ("_id", "_hash", "_lines"))
+        for text, key, digest, wanted in zip(part.column("_text").cast(pa.binary()).to_pylist(), *columns):
+            lines = text.split(b"\n")
+            doc += [key] * len(wanted)
+            place += [n << 32 | digest for n in wanted]
+            texts += [lines[n] for n in wanted]
+        words, counts = word_hashes(pa.array(texts, pa.binary()).cast(pa.string()))
+        line = np.repeat(np.arange(len(counts)), counts)
+        order = np.lexsort((words, line))
+        words, line = words[order], line[order]
+        new = np.ones(len(words), bool)
+        new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
+        ends = np.concatenate(([0], np.cumsum(np.bincount(line[new], minlength=len(counts))))) * 8
+        data = words[new].astype("<u8").tobytes()
+        sets = [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(sets.doc[rows]), pa.array(sets.place[rows]), pa.array(content, pa.binary())], ["doc", "place", "words"]
+            [pa.array(doc, pa.int64()), pa.array(place, pa.int64()), pa.array(sets, pa.binary())], ["doc", "place", "words"]
         )
 
 
@@ -274,13 +294,13 @@ def _verified(read: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def _lists(read: DataFrame, levels, first: int | None, asked: DataFrame | None) -> DataFrame:
-    postings = read.mapInArrow(_post(levels), POSTING).withColumn("equal", F.when(F.col("at") == -1, 1).otherwise(0))
-    if asked is None:
-        postings = postings.withColumn("asked", F.lit(True))
-    else:
+    postings = read.mapInArrow(_post(levels), POSTING)
+    if asked is not None:
         marked = asked.withColumn("_a", F.lit(True))
         postings = postings.join(marked, ["doc", "place"], "left").withColumn("asked", F.coalesce("_a", F.lit(False))).drop("_a")
-    met = postings.repartition("word").sortWithinPartitions("word", "equal", "name", "doc", "place")
+    met = postings.repartition("word").sortWithinPartitions("word", "name", "doc", "place")
+    if asked is None:
+        met = met.withColumn("asked", F.lit(True))
     return staged(met.mapInArrow(_scan_lists(first), FOUND), "candidates")
 
 
