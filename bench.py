@@ -6,6 +6,7 @@ Every query runs once to warm up and then three times; the best time counts.
 
 import json
 import os
+import tempfile
 import time
 
 from lavra.plans.queries import QUERIES, Tables
@@ -30,6 +31,7 @@ def main() -> None:
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="lavra-"),
     })
     spark.sparkContext.setLogLevel("ERROR")
     names = os.environ.get("BENCH_QUERIES", "").split(",") if os.environ.get("BENCH_QUERIES") else HEADLINE

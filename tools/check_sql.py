@@ -6,6 +6,7 @@ usage: python tools/check_sql.py [folder] [query ...]
 import math
 import pathlib
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -30,7 +31,8 @@ def table(columns, rows):
 def main(folder, names):
     spark = build_session(
         "check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-            "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+            "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="lavra-")}
     )
     spark.sparkContext.setLogLevel("ERROR")
     db = duckdb.connect()
