@@ -18,6 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lavra.llm.text import columns_of, spaced_words
+from lavra.session import staged
 
 SYMBOLS = r"[#*$%&|<>]"
 REPEAT_WINDOW = 5
@@ -165,5 +166,8 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key:
         F.col(f"`{stratum}`").alias("_level"), F.col(f"`{key}`").alias("_id"),
     )
     some = own.drop("_doc").join(F.broadcast(holdout.select("_key")), F.col("_id") == F.col("_key"), "left_semi")
-    cutoffs = certify(measure(some, "_text"), holdout, "_level", "_id", **levels)
-    return judge(measure(own, "_text"), cutoffs, "_level").where("kept").select("_doc.*")
+    labelled = staged(measure(some, "_text").drop("_text"), "labelled")
+    cutoffs = certify(labelled, holdout, "_level", "_id", **levels)
+    # The number keeps the filter above the metrics: pushed below, it would compute each wherever it names it.
+    measured = measure(own, "_text").withColumn("_number", F.monotonically_increasing_id())
+    return judge(measured, cutoffs, "_level").where("kept and _number >= 0").select("_doc.*")
