@@ -24,6 +24,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lavra.llm.components import components
+from lavra.llm.substrings import mixed
 from lavra.session import staged
 
 BITS, BYTES = 3, 8
@@ -50,18 +51,23 @@ def masks(size: int) -> tuple[int, ...]:
     return tuple(chosen)
 
 
-def fingerprint(text: bytes | None, words: int = 3, seed: int = SEED) -> int:
-    """Signed 64-bit SimHash of the word shingles of a lower-cased (A-Z) text; 0 without words."""
-    found = text.lower().split() if text else []
-    if not found:
-        return 0
-    size = min(words, len(found))
-    shingles = map(b" ".join, zip(*(found[i:] for i in range(size))))
-    hashes = np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(seed))), ">u8").astype("<u8")
+def shingle_hashes(words: list[bytes], size: int, seed: int = SEED) -> np.ndarray:
+    """64-bit hashes of the word shingles, repeats included; fewer words are one shingle."""
+    size = min(size, len(words))
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(size)))) if size else ()
+    return np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(seed))), ">u8").astype("<u8")
+
+
+def majority(hashes: np.ndarray) -> int:
+    """Signed number of the bits that are set in more than half of the hashes; 0 without any."""
     places = hashes.view(np.uint8).reshape(-1, BYTES) + PLACE
     ones = np.bincount(places.ravel(), minlength=BYTES * 256).reshape(BYTES, 256) @ BITS_OF_BYTE
-    bits = np.packbits(2 * ones.ravel() > len(hashes), bitorder="little")
-    return int(bits.view("<i8")[0])
+    return int(np.packbits(2 * ones.ravel() > len(hashes), bitorder="little").view("<i8")[0])
+
+
+def fingerprint(text: bytes | None, words: int = 3) -> int:
+    """Signed 64-bit SimHash of the word shingles of a lower-cased (A-Z) text; 0 without words."""
+    return majority(shingle_hashes(text.lower().split() if text else [], words))
 
 
 def fingerprint_column(text: str = "text", words: int = 3) -> Column:
@@ -145,8 +151,10 @@ def _links_of_list(values: np.ndarray, free: int) -> tuple[np.ndarray, np.ndarra
     return order[i], order[j]
 
 
-def _links(slots: np.ndarray, shared: np.ndarray, prints: np.ndarray, nodes: np.ndarray, size: int) -> pa.RecordBatch:
-    """Links of whole posting lists, which stand one after the other."""
+def _links(
+    slots: np.ndarray, shared: np.ndarray, prints: np.ndarray, nodes: np.ndarray, size: int, whole: int
+) -> pa.RecordBatch:
+    """Links of complete posting lists, which stand one after the other."""
     new = np.flatnonzero(np.concatenate(([True], (slots[1:] != slots[:-1]) | (shared[1:] != shared[:-1]))))
     sizes = np.diff(np.append(new, len(slots)))
     size_of = np.repeat(sizes, sizes)
@@ -162,14 +170,19 @@ def _links(slots: np.ndarray, shared: np.ndarray, prints: np.ndarray, nodes: np.
         left.append(i[once])
         right.append(i[once] + step)
     for at, many in zip(new[sizes > SHORT].tolist(), sizes[sizes > SHORT].tolist()):
-        free = ~masks(size)[slots[at] % choices] & ((1 << 64) - 1)
-        a, b = _links_of_list(prints[at : at + many], free)
+        values = prints[at : at + many]
+        if many <= whole:
+            a, b = (np.concatenate(x) for x in zip(*_pairs(values)))
+            once = _first_choice(values[a] ^ values[b], size) == slots[at] % choices
+            a, b = a[once], b[once]
+        else:
+            a, b = _links_of_list(values, ~masks(size)[slots[at] % choices] & ((1 << 64) - 1))
         left.append(a + at)
         right.append(b + at)
     return pa.RecordBatch.from_arrays([pa.array(nodes[np.concatenate(x)]) for x in (left, right)], ["a", "b"])
 
 
-def _scan_lists(size: int):
+def _scan_lists(size: int, whole: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
         for batch in batches:
@@ -181,20 +194,20 @@ def _scan_lists(size: int):
             other = np.flatnonzero((slots != slots[-1]) | (shared != shared[-1])) if len(slots) else []
             cut = int(other[-1]) + 1 if len(other) else 0
             if cut:
-                yield _links(slots[:cut], shared[:cut], prints[:cut].view(np.uint64), nodes[:cut], size)
+                yield _links(slots[:cut], shared[:cut], prints[:cut].view(np.uint64), nodes[:cut], size, whole)
             kept = [x[cut:] for x in now]
         if kept and len(kept[0]):
-            yield _links(kept[0], kept[1], kept[2].view(np.uint64), kept[3], size)
+            yield _links(kept[0], kept[1], kept[2].view(np.uint64), kept[3], size, whole)
 
     return run
 
 
-def fingerprint_links(prints: DataFrame, size: int = SHARED) -> DataFrame:
+def fingerprint_links(prints: DataFrame, size: int = SHARED, whole: int = SHORT) -> DataFrame:
     """Links ``a, b`` between the nodes of ``table, fingerprint, node``, distinct in the first two.
 
-    Linked are fingerprints of one table that differ in at most three bits. Short lists give every
-    pair once; a list of more than ``SHORT`` values gives a spanning forest of its pairs, so the
-    classes are complete while no list gives more links than it has values.
+    Linked are fingerprints of one table that differ in at most three bits. Lists of
+    up to ``whole`` values give every pair once; a longer one gives a spanning forest of its pairs,
+    the closest first, so the classes are complete while it gives fewer links than it has values.
     """
     signed = [m - (1 << 64) if m >> 63 else m for m in masks(size)]
     lists = F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in signed]))
@@ -202,7 +215,7 @@ def fingerprint_links(prints: DataFrame, size: int = SHARED) -> DataFrame:
         (F.col("table") * len(signed) + F.col("_choice")).cast("int").alias("slot"), "shared", "fingerprint", "node"
     )
     grouped = postings.repartition("slot", "shared").sortWithinPartitions("slot", "shared")
-    return grouped.mapInArrow(_scan_lists(size), "a long, b long")
+    return grouped.mapInArrow(_scan_lists(size, whole), "a long, b long")
 
 
 def _classes(docs: DataFrame, text: str, key: str, words: int, carry: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -250,16 +263,39 @@ def near_duplicates(
     return placed.select(*[F.col(f"_doc.`{c}`") for c in kept], "fingerprint", F.col(f"_owner.{key}").alias("component_id"))
 
 
-TABLES, FEATURE_WORDS, INDEX_BYTES = 6, 1, 4
+TABLES, INDEX_BYTES, WHOLE_LISTS = 8, 4, 64
 SHINGLE, SIMILARITY = 5, 0.8
+# Bits of the parity sketch of a shingle set: one hash in 2048 each.
+SKETCH_BITS = 11
+
+
+def _marks(text: bytes | None, tables: int) -> tuple[int, list[int], int, bytes]:
+    """Hash of the words, fingerprints of single words, size and parity sketch of the shingle set."""
+    words = text.lower().split() if text else []
+    single = shingle_hashes(words, 1)
+    prints = [majority(mixed(single + np.uint64(i * 0x9E3779B97F4A7C15 % (1 << 64)))) for i in range(tables)]
+    shingles = np.unique(shingle_hashes(words, SHINGLE))
+    odd = np.bincount((shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS) & 1
+    same = xxhash.xxh64_intdigest(b" ".join(words))
+    return same - (1 << 64) if same >> 63 else same, prints, len(shingles), np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _shingle_set(text: bytes | None) -> bytes:
-    """Sorted distinct hashes of the five-word shingles of a lower-cased text."""
-    found = text.lower().split() if text else []
-    size = min(SHINGLE, len(found))
-    shingles = map(b" ".join, zip(*(found[i:] for i in range(size)))) if size else ()
-    return np.unique(np.frombuffer(b"".join(map(xxhash.xxh64_digest, shingles, repeat(SEED))), "<u8")).tobytes()
+def _possible(similarity: float):
+    """Whether two sets can be that similar: a bit that differs stands for at least one shingle of just one of them."""
+
+    def run(left: pa.Array, right: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
+        x, y = (np.frombuffer(b"".join(c.to_pylist()), "<u8").reshape(len(c), -1) for c in (left, right))
+        total = a.to_numpy() + b.to_numpy()
+        most = total * (1 - similarity) / (1 + similarity) + 1e-6
+        fits = np.minimum(a.to_numpy(), b.to_numpy()) + 1e-6 >= similarity * np.maximum(a.to_numpy(), b.to_numpy())
+        return pa.array(fits & (np.bitwise_count(x ^ y).sum(axis=1) <= most))
+
+    return F.arrow_udf(run, "boolean")
+
+
+def _shingle_sets(values: pa.Array) -> pa.Array:
+    found = [np.unique(shingle_hashes(t.lower().split() if t else [], SHINGLE)) for t in values.cast(pa.binary()).to_pylist()]
+    return pa.array([x.tobytes() for x in found], pa.binary())
 
 
 def _jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -277,9 +313,9 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", similarit
     Groups are the components of links between texts whose sets of five-word shingles (lower-cased,
     of a shorter text the whole) have a Jaccard similarity of ``similarity`` or more. Candidates come
     from the fingerprint index: three bits catch few pairs of that similarity in shingle fingerprints,
-    so ``tables`` fingerprints of single words, hashed with seeds of their own, are indexed, and a
-    pair is verified if it is linked in any of them. In lists of more than ``SHORT`` values the
-    candidates are a spanning forest.
+    so ``tables`` fingerprints of single words, each with hashes of its own, are indexed. A pair that
+    is linked in any of them is verified, unless sizes and sketches of the two sets rule it out. Lists of more than ``WHOLE_LISTS``
+    fingerprints give a spanning forest of their closest pairs instead of all.
 
     The document with the smallest key stays, null keys last, then the one whose text has the
     smallest hash; of rows equal in key and text one stays. Texts without words, null among them, are
@@ -288,34 +324,36 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", similarit
     value, columns = F.col(f"`{text}`"), [F.col(f"`{c}`") for c in docs.columns]
 
     def mark(texts: pa.Array) -> pa.Array:
-        found = texts.cast(pa.binary()).to_pylist()
-        words = [b" ".join(t.lower().split()) if t else b"" for t in found]
-        same = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
-        prints = [[fingerprint(w, FEATURE_WORDS, SEED + i) for i in range(tables)] for w in words]
-        return pa.StructArray.from_arrays([pa.array(same), pa.array(prints, pa.list_(pa.int64()))], ["node", "prints"])
+        marks = [_marks(t, tables) for t in texts.cast(pa.binary()).to_pylist()]
+        kinds = (pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.binary())
+        parts = [pa.array([m[i] for m in marks], k) for i, k in enumerate(kinds)]
+        return pa.StructArray.from_arrays(parts, ["node", "prints", "size", "sketch"])
 
     row = F.struct(F.col(f"`{key}`").isNull().alias("null"), F.col(f"`{key}`").alias("key"), F.xxhash64(value).alias("hash"))
-    marked = docs.select(row.alias("_row"), F.arrow_udf(mark, "node long, prints array<long>")(value).alias("_m"))
+    marked = docs.select(
+        row.alias("_row"), F.arrow_udf(mark, "node long, prints array<long>, size long, sketch binary")(value).alias("_m")
+    )
     # Copies first: one row for each different text.
-    texts = staged(marked.groupBy("_m.node").agg(F.min("_row").alias("_row"), F.first("_m.prints").alias("prints")), "texts")
-    each = texts.select("node", "_row", F.posexplode("prints").alias("table", "fingerprint"))
+    texts = staged(
+        marked.groupBy("_m.node").agg(
+            F.min("_row").alias("_row"), *[F.first(f"_m.{c}").alias(c) for c in ("prints", "size", "sketch")]
+        ), "texts",
+    )
+    each = texts.select("node", F.posexplode("prints").alias("table", "fingerprint"))
     first = staged(each.groupBy("table", "fingerprint").agg(F.min("node").alias("node"), F.count("*").alias("n")), "distinct")
     star = each.join(first.where("n > 1").withColumnRenamed("node", "b"), ["table", "fingerprint"]).select("node", "b")
-    links = star.select(F.col("node").alias("a"), "b").unionByName(fingerprint_links(first, INDEX_BYTES))
-    pairs = staged(
-        links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs"
-    )
+    links = star.select(F.col("node").alias("a"), "b").unionByName(fingerprint_links(first, INDEX_BYTES, WHOLE_LISTS))
+    pairs = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    marks = texts.select("node", "size", "sketch")
+    known = pairs.join(marks.toDF("a", "_na", "_ska"), "a").join(marks.toDF("b", "_nb", "_skb"), "b")
+    pairs = staged(known.where(_possible(similarity)("_ska", "_skb", "_na", "_nb")).select("a", "b"), "pairs")
     # The sets of just the texts in a pair.
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(texts, "node").select("node", "_row")
-    named = asked.select("node", F.col("_row.key").alias("_key"), F.col("_row.hash").alias("_hash")).alias("n")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(texts, "node")
+    named = asked.select("node", F.col("_row.key").alias("_key"), F.col("_row.hash").alias("_hash"))
     met = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_h") == F.col("_hash"))
-    def shingle_sets(values: pa.Array) -> pa.Array:
-        return pa.array([_shingle_set(t) for t in values.cast(pa.binary()).to_pylist()], pa.binary())
-
     keyed = docs.select(F.col(f"`{key}`").alias("_k"), F.xxhash64(value).alias("_h"), value.alias("_text"))
-    sets = staged(
-        keyed.join(named, met).select("node", F.arrow_udf(shingle_sets, "binary")("_text").alias("set")), "sets"
-    ).dropDuplicates(["node"])
+    sets = keyed.join(named, met).select("node", F.arrow_udf(_shingle_sets, "binary")("_text").alias("set"))
+    sets = staged(sets, "sets").dropDuplicates(["node"])
     both = pairs.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
     similar = both.where(F.arrow_udf(_jaccard, "double")("_sa", "_sb") >= similarity).select("a", "b")
     found = components(similar)
