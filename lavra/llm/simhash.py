@@ -183,10 +183,13 @@ def _links(
 
 
 def _scan_lists(size: int, whole: int):
+    bytes_of = np.array(masks(size), np.uint64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] | None = None
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in ("slot", "shared", "fingerprint", "node")]
+            slots, prints, nodes = (batch.column(c).to_numpy() for c in ("slot", "fingerprint", "node"))
+            now = [slots, bytes_of[slots % len(bytes_of)] & prints.view(np.uint64), prints, nodes]
             if kept:
                 now = [np.concatenate(x) for x in zip(kept, now)]
             slots, shared, prints, nodes = now
@@ -210,11 +213,12 @@ def fingerprint_links(prints: DataFrame, size: int = SHARED, whole: int = SHORT)
     the closest first, so the classes are complete while it gives fewer links than it has values.
     """
     signed = [m - (1 << 64) if m >> 63 else m for m in masks(size)]
-    lists = F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in signed]))
-    postings = prints.select("table", "fingerprint", "node", lists.alias("_choice", "shared")).select(
-        (F.col("table") * len(signed) + F.col("_choice")).cast("int").alias("slot"), "shared", "fingerprint", "node"
-    )
-    grouped = postings.repartition("slot", "shared").sortWithinPartitions("slot", "shared")
+    slots = F.sequence(F.col("table") * len(signed), (F.col("table") + 1) * len(signed) - 1)
+    postings = prints.select("fingerprint", "node", F.explode(slots.cast("array<int>")).alias("slot"))
+    # The bytes of the list follow from slot and fingerprint, so they do not travel.
+    mask = F.element_at(F.array(*map(F.lit, signed)), (F.col("slot") % len(signed) + 1).cast("int"))
+    shared = F.col("fingerprint").bitwiseAND(mask)
+    grouped = postings.repartition(F.col("slot"), shared).sortWithinPartitions(F.col("slot"), shared)
     return grouped.mapInArrow(_scan_lists(size, whole), "a long, b long")
 
 
