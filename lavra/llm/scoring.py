@@ -4,11 +4,13 @@ A small network sees up to two words on either side of a place, never the word i
 the word. The log-probabilities of all words of a document, each given its neighbours, add up to the
 document's score. Words are codes: the most frequent ones of the corpus have one of their own, the
 others share the rest by hash. A code is predicted in two steps, its row and then its column in a
-square, so a prediction costs twice the side of the square instead of all codes.
+square, so a prediction costs twice the side of the square instead of all codes. A word that shares its
+code takes its share of the code's probability, by its count: the vocabulary is all counted words. The
+counts grow with the corpus, so they stay a table that the words of the scored texts meet in a join.
 
 Training starts from the corpus's word frequencies, which the output biases hold exactly. Every task
 then runs gradient descent over its own documents, and the tasks' networks are averaged by the words
-they saw. Counts and training cover all documents; what comes back is of fixed size.
+they saw. Counts and training cover all documents; what comes back to the driver is of fixed size.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from lavra.llm.substrings import chunks, word_hashes
 from lavra.llm.text import columns_of
 from lavra.session import staged
 
-SIDE = 32
+SIDE = 64
 CODES = SIDE * SIDE
 OWN = CODES // 2
 REACH, WIDTH = 2, 16
@@ -33,6 +35,8 @@ REACH, WIDTH = 2, 16
 OFFSETS = (CODES + 1) * np.arange(2 * REACH)
 BATCH, RATE = 1024, 0.08
 SCORED = 2048
+# Count of a word that the fitted corpus does not hold, inside its code.
+UNSEEN = 0.5
 # Parameters travel and are averaged in blocks of this many numbers.
 BLOCK = 8192
 
@@ -215,12 +219,21 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 @dataclass
-class Model:
-    """A fitted network with the words that have their own code; fixed size, sent to every task."""
+class Coded:
+    """A fitted network, the words that have their own code, and the words counted by code; sent to every task."""
 
     network: np.ndarray
     own: np.ndarray
     number: np.ndarray
+    frequencies: np.ndarray
+
+
+@dataclass
+class Model:
+    """What every task holds, of fixed size, and the counts ``word, n`` of all words, a table."""
+
+    coded: Coded
+    counts: DataFrame
 
 
 def fit(docs: DataFrame, text: str = "text", rounds: int = 1, rate: float = RATE) -> Model:
@@ -248,27 +261,62 @@ def fit(docs: DataFrame, text: str = "text", rounds: int = 1, rate: float = RATE
         rows = sorted(mean.collect(), key=lambda r: r["block"])
         if rows:
             network = np.concatenate([np.frombuffer(r["numbers"], "<f4") for r in rows])
-    return Model(network, own, number)
+    return Model(Coded(network, own, number, frequencies), counts)
+
+
+def _shared_words(sent):
+    """How often each text of a batch, by hash, holds each word that shares its code; copies add up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coded = sent.value
+        for part in (c for batch in batches for c in chunks(batch, "_text")):
+            words, counts = word_hashes(part.column("_text"))
+            shared = encode(words, coded.own, coded.number) >= OWN
+            texts, words = np.repeat(part.column("_hash").to_numpy(), counts)[shared], words[shared]
+            order = np.lexsort((words, texts))
+            texts, words = texts[order], words[order]
+            new = np.ones(len(words), bool)
+            new[1:] = (words[1:] != words[:-1]) | (texts[1:] != texts[:-1])
+            at = np.flatnonzero(new)
+            columns = (texts[at], words[at].view(np.int64), np.diff(np.append(at, len(words))))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_hash", "word", "times"])
+
+    return run
+
+
+def _seen(docs: DataFrame, model: Model, sent, text: str) -> DataFrame:
+    """``_hash, _seen``: by text, what its words with shared codes have above unseen ones (logarithm)."""
+    read = docs.select(F.xxhash64(f"`{text}`").alias("_hash"), F.col(f"`{text}`").alias("_text"))
+    asked = read.mapInArrow(_shared_words(sent), "_hash long, word long, times long")
+    gains = asked.join(model.counts, "word").groupBy("_hash").agg(F.sum(F.col("times") * F.log(F.col("n") / UNSEEN)).alias("_sum"))
+    copies = read.groupBy("_hash").agg(F.count("*").alias("_copies"))
+    # Written, so that the join with a text of many copies can split its rows over tasks.
+    return staged(gains.join(copies, "_hash").select("_hash", (F.col("_sum") / F.col("_copies")).alias("_seen")), "seen")
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``log_likelihood`` (sum over all words) and ``mean_log_likelihood``.
 
-    Null and empty texts have no words, a sum of 0 and no mean. Input columns named like the new ones
-    are replaced; repeated rows score alike.
+    Every word has a probability of its own: that of its code, times its share of the words counted
+    under the code, among which unseen words count ``UNSEEN``. Null and empty texts have no words, a sum
+    of 0 and no mean. Input columns named like the new ones are replaced; repeated rows score alike.
+    Texts are told apart by 64-bit hashes.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model.coded)
     networks: list[Network] = []
 
     def run(texts: pa.Array) -> pa.Array:
         fitted = sent.value
         if not networks:
             networks.append(Network.of(fitted.network))
+        # Of an unseen word inside its code; words with a code of their own are all of it.
+        inside = np.log(UNSEEN / (fitted.frequencies + UNSEEN))
+        inside[:OWN] = 0
         words, sums = [], []
         whole = pa.RecordBatch.from_arrays([texts], ["_text"])
         for hashes, counts in _parts(iter([whole] if len(texts) else [])):
             codes = encode(hashes, fitted.own, fitted.number)
-            each = networks[0].log_probability(codes, surroundings(codes, counts))
+            each = networks[0].log_probability(codes, surroundings(codes, counts)) + inside[codes]
             total = np.concatenate(([0.0], np.cumsum(each)))
             ends = np.concatenate(([0], np.cumsum(counts)))
             words.append(counts)
@@ -279,6 +327,13 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         )
 
     rest = columns_of(docs, ("n_words", "log_likelihood", "mean_log_likelihood"))
-    scored = docs.select(*rest, F.arrow_udf(run, "n_words long, log_likelihood double")(F.col(f"`{text}`")).alias("_s"))
-    mean = F.when(F.col("_s.n_words") > 0, F.col("_s.log_likelihood") / F.col("_s.n_words"))
-    return scored.select(*rest, "_s.*", mean.alias("mean_log_likelihood"))
+    scored = docs.select(
+        F.struct(F.lit(0).alias("_"), *rest).alias("_doc"), F.xxhash64(f"`{text}`").alias("_hash"),
+        F.arrow_udf(run, "n_words long, log_likelihood double")(F.col(f"`{text}`")).alias("_s"),
+    ).join(_seen(docs, model, sent, text), "_hash", "left")
+    both = F.col("_s.log_likelihood") + F.coalesce("_seen", F.lit(0.0))
+    names = [c for c in docs.columns if c not in ("n_words", "log_likelihood", "mean_log_likelihood")]
+    return scored.select(
+        *[F.col(f"_doc.`{c}`") for c in names], "_s.n_words", both.alias("log_likelihood"),
+        F.when(F.col("_s.n_words") > 0, both / F.col("_s.n_words")).alias("mean_log_likelihood"),
+    )

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import xxhash
 
 from lavra.llm import scoring
 from tests.llm.data import SCHEMA, clashing, odd_rows
@@ -69,3 +70,18 @@ def test_odd_rows(spark):
         assert r.n_words == words and (r.mean_log_likelihood is None) == (words == 0) and r.log_likelihood <= 0
     empty = spark.createDataFrame([], SCHEMA)
     assert scoring.score(empty, scoring.fit(empty)).count() == 0
+
+
+def test_words_of_one_code_have_their_own_probabilities(spark):
+    def code(word):
+        return xxhash.xxh64_intdigest(word.encode()) % (scoring.CODES - scoring.OWN)
+
+    common = [f"c{i}" for i in range(scoring.OWN)]
+    train = [(i, " ".join(common), "en", "s", 1) for i in range(6)] + [(9, "rare rare rare once", "en", "s", 1)]
+    junk = next(w for w in (f"x{i}" for i in range(10**6)) if code(w) == code("rare"))
+    texts = {1: "rare c1 c2 rare", 2: f"{junk} c1 c2 {junk}", 3: "rare c1 c2 rare", 4: "c1 c2"}
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts.items()], SCHEMA).repartition(3)
+    model = scoring.fit(spark.createDataFrame(train, SCHEMA).repartition(2))
+    got = {r.doc_id: r.log_likelihood for r in scoring.score(docs, model).collect()}
+    assert abs(got[1] - got[2] - 2 * np.log(3 / scoring.UNSEEN)) < 1e-6
+    assert abs(got[1] - got[3]) < 1e-9 and got[4] > got[2]
