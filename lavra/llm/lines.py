@@ -73,9 +73,9 @@ def _pack_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def rarity(read: DataFrame) -> np.ndarray:
-    """The sketch: a byte for each cell, larger for more frequent words."""
-    counts = read.mapInArrow(_count_cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+def rarity(read: DataFrame, count=_count_cells) -> np.ndarray:
+    """The sketch: a byte for each cell, larger for more frequent words (or what else ``count`` counts)."""
+    counts = read.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     blocks = counts.withColumn("_b", F.floor(F.col("cell") / CELL_BLOCK)).repartition("_b").select("cell", "n")
     levels = np.zeros(CELLS, np.uint8)
     for r in blocks.mapInArrow(_pack_cells, "block long, levels binary").collect():

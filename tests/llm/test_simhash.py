@@ -126,3 +126,15 @@ def test_null_keys_keep_a_row(spark):
     rows = [(None, "one two three", None, None, 1), (None, "one two three", None, None, 1), (None, "other words here now", None, None, 1)]
     kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(r.text for r in kept) == ["one two three", "other words here now"]
+
+
+def ids(rows, spark):
+    return sorted(r.doc_id for r in simhash.keep_one(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)).collect())
+
+
+def test_near_copies_among_texts_of_one_fingerprint(spark):
+    rng = random.Random(12)
+    # Table rows: every other word is the same and decides all bits of a fingerprint of words.
+    table = [" ".join(f"| {w}" for w in prose(rng, 80, 5000).split()) for _ in range(20)]
+    near = [t.replace("| ", "| changed ", 1) for t in table[10:]]
+    assert ids(list(enumerate(table)) + [(100 + i, t) for i, t in enumerate(near)], spark) == list(range(20))
