@@ -275,6 +275,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 SKETCH_BITS = 11
 # Lists of more texts are linked by pivots first, then compared in blocks of this many.
 WHOLE_LIST, LIST_BLOCK = 64, 1000
+# Most turns of pivots; the comparison after them does not depend on it, only takes longer.
+PIVOTS = 8
 _ORDER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -411,8 +413,8 @@ def similar_links(docs: DataFrame, texts: DataFrame, text: str, key: str, simila
     """Links ``a, b`` between nodes of ``texts``: all their components of pairs with that similarity, or more.
 
     Two such sets share one of the rarest shingles of both (their prefixes), so they meet in its list.
-    Short lists give all their pairs. In a long one every text meets a pivot, another in each turn, as long as
-    that links anything; then all pairs that are still apart are compared. So no pair is passed
+    Short lists give all their pairs. In a long one every text meets a pivot, another in each of a few turns, as long
+    as that links anything; then all pairs that are still apart are compared. So no pair is passed
     over but those that verified links have joined already.
     """
     value = F.col(f"`{text}`")
@@ -452,9 +454,9 @@ def similar_links(docs: DataFrame, texts: DataFrame, text: str, key: str, simila
         apart = staged(rooted.join(pivots, "shingle"), "apart")
         star = apart.where("root <> _p.root").select(F.col("node").alias("a"), F.col("_p.node").alias("b"))
         more = verified(star)
-        if not more.limit(1).count():
-            return links.unionByName(verified(_compared(apart, similarity)))
         links, turn = links.unionByName(more), turn + 1
+        if turn == PIVOTS or not more.limit(1).count():
+            return links.unionByName(verified(_compared(apart, similarity)))
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:

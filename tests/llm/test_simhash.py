@@ -138,3 +138,21 @@ def test_near_copies_among_texts_of_one_fingerprint(spark):
     table = [" ".join(f"| {w}" for w in prose(rng, 80, 5000).split()) for _ in range(20)]
     near = [t.replace("| ", "| changed ", 1) for t in table[10:]]
     assert ids(list(enumerate(table)) + [(100 + i, t) for i, t in enumerate(near)], spark) == list(range(20))
+
+
+@pytest.mark.parametrize("turns", [0, 8])
+def test_long_lists_pass_over_no_pair(spark, monkeypatch, turns):
+    monkeypatch.setattr(simhash, "PIVOTS", turns + 1)
+    monkeypatch.setattr(simhash, "LIST_BLOCK", 30)
+    rng = random.Random(14)
+    shared = prose(rng, 300, 5000).split()
+    texts = []
+    for _ in range(100):
+        # Most of a text is common to all, but no two of them are near.
+        texts.append(shared + prose(rng, 90, 10**6).split())
+    near = [t[:-3] + ["other", "last", "words"] for t in texts[40:60]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(200 + i, " ".join(t)) for i, t in enumerate(near)]
+    # A large group: each is near the others of it.
+    base = prose(rng, 200, 5000).split()
+    rows += [(1000 + i, " ".join([*base[:i], "edit", *base[i + 1 :]])) for i in range(150)]
+    assert ids(rows, spark) == [*range(100), 1000]
