@@ -156,3 +156,18 @@ def test_long_lists_pass_over_no_pair(spark, monkeypatch, turns):
     base = prose(rng, 200, 5000).split()
     rows += [(1000 + i, " ".join([*base[:i], "edit", *base[i + 1 :]])) for i in range(150)]
     assert ids(rows, spark) == [*range(100), 1000]
+
+
+def test_cut_and_extended_copies_are_found(spark):
+    rng = random.Random(15)
+    rows = []
+    for i in range(120):
+        words = prose(rng, rng.randrange(60, 600), 5000).split()
+        less = int((len(words) - 4) * (0.81, 0.86, 0.9)[i % 3]) + 5
+        rows.append((i, " ".join(words)))
+        other = words[:less] if i % 2 else words + prose(rng, (len(words) - less) * 11 // 10, 5000).split()
+        rows.append((1000 + i, " ".join(other)))
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
+    near = [i for i in range(120) if 5 * len(sets[i] & sets[1000 + i]) >= 4 * len(sets[i] | sets[1000 + i])]
+    assert len(near) > 100
+    assert ids(rows, spark) == [*range(120), *(1000 + i for i in range(120) if i not in near)]
