@@ -30,8 +30,6 @@ RULES = {
     "length": ("word_chars / n_words", (40.0, 30.0, 25.0, 20.0, 17.0, 15.0, 13.0, 12.0)),
 }
 ALPHA, DELTA = 0.01, 0.05
-# Most labelled documents that cutoffs are fitted on, chosen by a hash of the key.
-HOLDOUT = 200_000
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
@@ -89,13 +87,13 @@ def score(rule: str) -> Column:
     return F.when(F.col("n_words") > 0, F.expr(RULES[rule][0]))
 
 
-def labelled_keys(labels: DataFrame, key: str = "doc_id", quality: str = "quality", holdout: int = HOLDOUT) -> DataFrame:
-    """``_key, good`` of the holdout: labels without contradiction, at most about ``holdout`` of them."""
+def labelled_keys(labels: DataFrame, key: str = "doc_id", quality: str = "quality", holdout: int | None = None) -> DataFrame:
+    """``_key, good`` of the holdout: labels without contradiction, all unless ``holdout`` asks for about so many."""
     known = labels.where(F.col(f"`{key}`").isNotNull() & F.col(f"`{quality}`").isNotNull())
     single = known.groupBy(F.col(f"`{key}`").alias("_key")).agg(
         F.min(f"`{quality}`").alias("_low"), F.max(f"`{quality}`").alias("_high")
     ).where("_low = _high").select("_key", (F.col("_low") == 1).alias("good"))
-    share = holdout / max(1, single.count())
+    share = 1 if holdout is None else holdout / max(1, single.count())
     if share >= 1:
         return single
     # The leading bits of an md5 are uniform, so this share of the labels lies below the limit.
@@ -119,15 +117,18 @@ def tail(k: Column, n: Column, p: float) -> Column:
 def certify(measured: DataFrame, holdout: DataFrame, stratum: str = "lang", key: str = "doc_id", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """``_stratum`` and a cutoff a rule, null where none is certified, of strata that have one.
 
-    ``measured`` needs the rows of the holdout only. A stratum with a certified cutoff has at least
-    ``log(tests / delta) * rules / alpha`` labels, so the holdout's size bounds their number.
+    ``measured`` needs the rows of the holdout only. Labels and metrics meet by a shuffle, without texts. A
+    stratum with a certified cutoff has at least about ``log(tests / delta) * rules / alpha`` labels.
     """
-    labelled = measured.join(F.broadcast(holdout.where("good")), F.col(f"`{key}`") == F.col("_key")).where("not base_failed")
+    scores = measured.where("not base_failed").select(
+        F.col(f"`{key}`").alias("_label"), F.col(f"`{stratum}`").alias("_level"), *METRICS[:-1]
+    )
+    labelled = scores.join(holdout.where("good"), F.col("_label") == F.col("_key"))
     above = [
         F.count_if(score(rule) > F.lit(cut)).alias(f"{rule}_{j}")
         for rule, (_, cuts) in RULES.items() for j, cut in enumerate(cuts)
     ]
-    counts = labelled.groupBy(F.col(f"`{stratum}`").alias("_stratum")).agg(F.count("*").alias("n"), *above)
+    counts = labelled.groupBy(F.col("_level").alias("_stratum")).agg(F.count("*").alias("n"), *above)
     strata = W.partitionBy(F.lit(0))
     tests = F.explode(F.array(*[
         F.struct(F.lit(rule).alias("rule"), F.lit(j).alias("j"), F.lit(cut).alias("cut"), F.col(f"{rule}_{j}").alias("k"))
@@ -165,9 +166,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key:
         F.struct(*columns_of(docs)).alias("_doc"), F.col(f"`{text}`").alias("_text"),
         F.col(f"`{stratum}`").alias("_level"), F.col(f"`{key}`").alias("_id"),
     )
-    some = own.drop("_doc").join(F.broadcast(holdout.select("_key")), F.col("_id") == F.col("_key"), "left_semi")
-    labelled = staged(measure(some, "_text").drop("_text"), "labelled")
-    cutoffs = certify(labelled, holdout, "_level", "_id", **levels)
-    # The number keeps the filter above the metrics: pushed below, it would compute each wherever it names it.
-    measured = measure(own, "_text").withColumn("_number", F.monotonically_increasing_id())
-    return judge(measured, cutoffs, "_level").where("kept and _number >= 0").select("_doc.*")
+    # Written, so that the cutoffs and the judgement share one pass over the texts.
+    measured = staged(measure(own, "_text").drop("_text"), "metrics")
+    cutoffs = certify(measured, holdout, "_level", "_id", **levels)
+    return judge(measured, cutoffs, "_level").where("kept").select("_doc.*")

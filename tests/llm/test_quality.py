@@ -84,3 +84,9 @@ def test_holdout_is_bounded(spark):
     some = quality.labelled_keys(labels, holdout=500)
     assert 400 < some.count() < 600
     assert some.where("_key = 3 or _key = 7").count() == 0
+
+
+def test_no_label_is_left_out(spark):
+    labels = spark.range(250_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
+    counts = quality.labelled_keys(labels).groupBy("good").count().collect()
+    assert {r.good: r["count"] for r in counts} == {True: 125_000, False: 125_000}
