@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from lavra.llm import decontaminate, lines, mixing, quality, scoring, sharding, simhash, substrings, tokens, urls
+from lavra.llm import align, codes, decontaminate, lines, mixing, quality, scoring, setjoin, sharding, simhash, substrings, tokens, urls
 from lavra.llm.registry import QUERIES, query, table
 from lavra.session import staged
 
@@ -14,6 +14,8 @@ __all__ = ["QUERIES"]
 
 # Vocabulary of op4_token_counts.
 PIECES = os.environ.get("LAVRA_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
+# The tokenizers that op12_token_alignment lays side by side.
+TOKENIZERS = (os.environ.get("LAVRA_BYTES", "/opt/tokenizers/byte_bpe_50k.json"), PIECES)
 
 
 @query()
@@ -238,3 +240,80 @@ def op7_lm_scoring(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = scoring.score(docs, scoring.fit(docs))
     return found.select("doc_id", "n_words", "log_likelihood", "mean_log_likelihood")
+
+
+@query()
+def op12_token_alignment(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return align.align(docs, *TOKENIZERS, carry=["doc_id"])[0]
+
+
+def _codes_sql() -> str:
+    """The rounds of op13_vector_codes written out, a pair of expressions each."""
+    nearest = """
+{d} as materialized (
+  select rid, part, min(d * 256 + entry) as best from (
+    select x.rid, x.part, b.entry, sum((x.val - b.val) * (x.val - b.val))::bigint as d
+    from x join {b} b using (part, pos) group by all)
+  group by all)"""
+    means = """,
+{b} as materialized (
+  select o.part, o.entry, o.pos, coalesce(s.val, o.val) as val
+  from {last} o left join (
+    select x.part, d.best % 256 as entry, x.pos, floor(sum(x.val)::double / count(*))::bigint as val
+    from x join {d} d using (rid, part) group by all) s using (part, entry, pos))"""
+    rounds = ""
+    for i in range(codes.ROUNDS):
+        rounds += "," + nearest.format(d=f"d{i}", b=f"b{i}") + means.format(b=f"b{i + 1}", last=f"b{i}", d=f"d{i}")
+    last = codes.ROUNDS
+    return f"""
+with v as materialized (
+  select row_number() over (order by vec_id, embedding) as rid, vec_id, label,
+    list_transform(embedding, lambda e: floor(e::double * 1024)::bigint) as v
+  from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0),
+x as materialized (
+  select rid, i // (n // 4) as part, i % (n // 4) as pos, v[i + 1] as val
+  from (select rid, v, len(v) as n, unnest(range(len(v))) as i from v)),
+b0 as materialized (select part, rid - 1 as entry, pos, val from x where rid <= 256){rounds},{nearest.format(d="f", b=f"b{last}")},
+r as (
+  select rid, string_agg(printf('%02x', best % 256), '' order by part) as code, sum(best // 256)::bigint as error
+  from f group by rid)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+  sha256((select string_agg(val::varchar, ',' order by part, entry, pos) from b{last})) as codebooks_sha256
+from v join r using (rid)
+"""
+
+
+@query(_codes_sql())
+def op13_vector_codes(spark, folder):
+    coded, books = codes.compress(table(spark, folder, "embeddings"), carry=["vec_id"])
+    return coded.select("vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+JACCARD_SQL = r"""
+with recursive w as (
+  select doc_id, row_number() over () as rid, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+s as materialized (
+  select rid, doc_id, list_distinct(list_transform(range(1, case when len(w) = 0 then 1 else greatest(len(w) - 3, 2) end),
+    lambda i: md5(array_to_string(w[i : i + 4], ' ')))) as s from w),
+e as materialized (select rid, len(s) as n, unnest(s) as h from s),
+c as materialized (
+  select a, b from (
+    select x.rid as a, y.rid as b, min(x.n) as na, min(y.n) as nb, count(*) as shared
+    from e x join e y on x.h = y.h and x.rid < y.rid and 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n) group by 1, 2)
+  where 100 * shared >= 80 * (na + nb - shared)),
+l as materialized (select a, b from c union all select b, a from c),
+t(rid, root) as (
+  select rid, rid from s union select l.b, t.root from t join l on l.a = t.rid)
+select s.doc_id, len(s.s)::bigint as n_shingles, min(o.doc_id) as component_id
+from s join t using (rid) join s o on o.rid = t.root group by s.rid, s.doc_id, s.s
+"""
+
+
+@query(JACCARD_SQL)
+def op11_jaccard_join(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return setjoin.jaccard_components(docs, carry=["doc_id"])
