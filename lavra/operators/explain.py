@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -16,33 +16,24 @@ from lavra.operators.ranking import key_hash, row_position
 from lavra.operators.sampling import sample_exact
 from lavra.session import staged
 
-# Blocks of rows that exchange values among themselves, each ordered by one task. Their number is part of
-# the result, so it does not follow the size of the table; give more for tables of many millions of rows.
-BLOCKS = 16
 
-
-def permuted(
-    rows: DataFrame, features: Sequence[str], row_id: str, repeats: int = 10, seed: int | str = SEED,
-    blocks: int = BLOCKS,
-) -> DataFrame:
+def permuted(rows: DataFrame, features: Sequence[str], row_id: str, repeats: int = 10, seed: int | str = SEED) -> DataFrame:
     """Copies of the table, one per (feature, repeat), in which that feature is permuted.
 
-    In each repeat the rows stand in hash order, cut into blocks by further hash digits; a row
-    takes the value of the next row of its block and the last takes that of the first. All
-    features of a repeat share this order, so the data is shuffled once per repeat and the copies
-    per feature are made in place. Each feature keeps exactly its own set of values.
+    In each repeat the rows stand in one ring, in the order of a hash of their id; a row takes the value of the
+    next row and the last that of the first, so no row keeps its own unless it is alone. Places are
+    numbered by ranges of the hash and neighbours meet in a join on the place, so the result depends on the ids and the seed
+    only. All features of a repeat share this order. Each feature keeps exactly its own set of values.
     """
     tries = F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat")
     copies = rows.select(*[quoted(c) for c in rows.columns], tries)
-    hashed = copies.withColumn(
-        "_h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("repeat").cast("string"), F.col(row_id).cast("string")))
-    ).withColumn("_block", F.pmod(F.conv(F.substring("_h", 1, 12), 16, 10).cast("long"), F.lit(blocks)))
-    ring = W.partitionBy("repeat", "_block").orderBy(F.substring("_h", 13, 20), row_id)
-    values = F.struct(*[quoted(c) for c in features])
-    donor = F.coalesce(F.lead(values).over(ring), F.first(values).over(ring))
-    swapped = hashed.withColumn("_donor", donor).withColumn(
-        "feature", F.explode(F.array(*[F.lit(c) for c in features]))
-    )
+    order = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("repeat").cast("string"), F.col(quoted(row_id)).cast("string")))
+    placed = staged(row_position(copies, [(F.col("repeat"), False)], order, "_place"), "ring")
+    many = F.lit(placed.count() // repeats)
+    # Whoever stands before a row takes its values; the first row's go to the last.
+    before = F.when((F.col("_place") - 1) % many == 0, F.col("_place") + many - 1).otherwise(F.col("_place") - 1)
+    donors = placed.select(before.alias("_place"), F.struct(*[quoted(c) for c in features]).alias("_donor"))
+    swapped = placed.join(donors, "_place").withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
     others = [c for c in rows.columns if c not in features]
     return swapped.select(
         *[quoted(c) for c in others],
@@ -70,15 +61,14 @@ def permutation_importance(
     )
 
 
-def slot_sources(slots: Sequence[str], features: Sequence[str]) -> list[tuple[int, str, str]]:
-    """(position, slot, source feature): the same name, else the longest ``<feature>_`` prefix."""
-    out = []
-    for i, slot in enumerate(slots):
-        name = slot.split("__", 1)[1] if "__" in slot else slot
-        prefixes = [f for f in features if name.startswith(f + "_")]
-        source = name if name in features or not prefixes else max(prefixes, key=len)
-        out.append((i, slot, source))
-    return out
+def source_of(slot: str, features: Sequence[str]) -> Column:
+    """Source feature of a slot name: the same name, else the longest ``<feature>_`` prefix, else the name."""
+    name = F.regexp_replace(F.col(slot), "^.*?__", "")
+    found = name
+    # Longer names are asked first.
+    for f in sorted(features, key=len):
+        found = F.when(F.startswith(name, F.lit(f + "_")), F.lit(f)).otherwise(found)
+    return F.when(name.isin(list(features)), name).otherwise(found)
 
 
 def linear_attribution(
@@ -101,21 +91,16 @@ def linear_attribution(
         array = vector_to_array("features")
         return fitted.model.transform(df).select(F.posexplode(array).alias("slot", "x"))
 
-    # One row per slot of the feature vector.
-    sources = slot_sources(fitted.slots, fitted.numeric + fitted.categorical)
-    weights = fitted.model.stages[-1].coefficients.toArray().tolist()
-    table = rows.sparkSession.createDataFrame(
-        [(i, slot, source, float(w)) for (i, slot, source), w in zip(sources, weights)],
-        "slot int, feature_transformada string, feature_original string, weight double",
+    # One row per slot of the feature vector: the model's own coefficients.
+    weights = rows.sparkSession.createDataFrame(
+        list(enumerate(fitted.model.stages[-1].coefficients.toArray().tolist())), "slot int, weight double"
     )
+    names = fitted.slots.withColumnsRenamed({"name": "feature_transformada", "source": "feature_original"})
     means = slots_of(base).groupBy("slot").agg(F.avg("x").alias("mean"))
-    facts = table.join(means, "slot")
-    return (
-        slots_of(some)
-        .join(F.broadcast(facts), "slot")
-        .groupBy("feature_transformada", "feature_original")
-        .agg(F.avg(F.abs(F.col("weight") * (F.col("x") - F.col("mean")))).alias("mean_abs_shap"))
+    gains = slots_of(some).join(weights.join(means, "slot"), "slot").groupBy("slot").agg(
+        F.avg(F.abs(F.col("weight") * (F.col("x") - F.col("mean")))).alias("mean_abs_shap")
     )
+    return gains.join(names, "slot").select("feature_transformada", "feature_original", "mean_abs_shap")
 
 
 def sampled_attribution(

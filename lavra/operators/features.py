@@ -6,22 +6,16 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lavra.functions.numbers import missing_if_nan
 from lavra.functions.text import quoted
-
-# Most distinct values a categorical feature may have; its category list lives on the driver.
-MAX_CATEGORIES = 10_000
+from lavra.operators.categories import CategoryFeatures, Dictionary, fit_dictionary, slot_table
 
 # Values between the bracketing quantiles are handed to one exact percentile below this count.
 BRACKET_ROWS = 100_000
 
-POOLED = "__pooled__"
-
-
 def exact_medians(df: DataFrame, columns: Sequence[str], bracket_rows: int = BRACKET_ROWS) -> dict[str, float | None]:
     """Exact medians of several columns without holding their values in one task.
 
@@ -100,45 +94,31 @@ def exact_medians(df: DataFrame, columns: Sequence[str], bracket_rows: int = BRA
     return {c: out[c] for c in columns}
 
 
-def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per (column, value) of the categorical columns, null included, in one pass."""
-    texts = df.select(*[F.col(quoted(c)).cast("string").alias(c) for c in columns])
-    return texts.unpivot([], [quoted(c) for c in columns], "column", "value").groupBy("column", "value").agg(
-        F.count("*").alias("n")
-    )
-
-
-def modes(counts: DataFrame) -> DataFrame:
-    """The most frequent non-null value per column; of equally frequent ones the smallest."""
-    return counts.where("value is not null").groupBy("column").agg(
-        F.min_by("value", F.struct(-F.col("n"), "value")).alias("mode")
-    )
-
-
 @dataclass
 class Preparation:
-    """Fitted numbers of the feature preparation."""
+    """Fitted numbers of the feature preparation; categories are a table."""
 
     numeric: list[str]
-    categorical: list[str]
     medians: dict[str, float]
     means: dict[str, float] = field(default_factory=dict)
     stds: dict[str, float] = field(default_factory=dict)
-    modes: dict[str, str] = field(default_factory=dict)
-    kept: dict[str, list[str]] = field(default_factory=dict)
-    pooled: dict[str, list[str]] = field(default_factory=dict)
+    dictionary: Dictionary | None = None
+
+    @property
+    def categorical(self) -> list[str]:
+        return list(self.dictionary.columns) if self.dictionary else []
 
 
 def fit_preparation(
     train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], min_frequency: int = 2
 ) -> Preparation:
-    """Medians, then means and population deviations of the filled columns, modes, category lists.
+    """Medians, then means and population deviations of the filled columns, and the category dictionary.
 
     Columns without any value are dropped, as there is nothing to fill them with.
     """
     medians = exact_medians(train, numeric)
     used = [c for c in numeric if medians[c] is not None]
-    fitted = Preparation(used, list(categorical), {c: medians[c] for c in used})
+    fitted = Preparation(used, {c: medians[c] for c in used})
     if used:
         filled = [F.coalesce(missing_if_nan(F.col(quoted(c))), F.lit(medians[c])) for c in used]
         row = train.agg(
@@ -149,88 +129,37 @@ def fit_preparation(
             fitted.means[c] = row[f"m{i}"]
             fitted.stds[c] = row[f"s{i}"] or 1.0
     if categorical:
-        limit = MAX_CATEGORIES * len(categorical)
-        rows = category_counts(train, categorical).limit(limit + 1).collect()
-        if len(rows) > limit:
-            raise ValueError(f"more than {MAX_CATEGORIES} categories per column to encode in {list(categorical)}")
-        seen: dict[str, dict[str, int]] = {}
-        missing: dict[str, int] = {}
-        for r in rows:
-            if r["value"] is None:
-                missing[r["column"]] = r["n"]
-            else:
-                seen.setdefault(r["column"], {})[r["value"]] = r["n"]
-        fitted.categorical = [c for c in categorical if c in seen]
-        for c in fitted.categorical:
-            fitted.modes[c] = min(seen[c], key=lambda v: (-seen[c][v], v))
-            seen[c][fitted.modes[c]] += missing.get(c, 0)
-        for c in fitted.categorical:
-            n = seen[c]
-            fitted.kept[c] = sorted(v for v, k in n.items() if k >= min_frequency)
-            fitted.pooled[c] = sorted(v for v, k in n.items() if k < min_frequency)
+        fitted.dictionary = fit_dictionary(train, categorical, min_frequency)
     return fitted
 
 
-def _sql_text(value: str) -> str:
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _sql_number(value: float) -> str:
     return f"{value!r}D"
 
 
 def assemble(
-    train: DataFrame, fitted: Preparation, scale: bool, encoding: str, out: str = "features"
-) -> tuple[PipelineModel, list[str]]:
-    """ML stages that build the feature vector, and the name of every slot of it.
+    spark: SparkSession, fitted: Preparation, scale: bool, encoding: str, out: str = "features"
+) -> tuple[PipelineModel, DataFrame]:
+    """The ML stage that builds the feature vector, and a table ``slot, name, source`` of its slots.
 
     Numeric columns are filled with the median and, with ``scale``, standardised. Categories are
     filled with the mode, then one-hot encoded (rare ones share a slot, unknown ones are all zero)
     or given their ordinal (unknown ones -1).
     """
-    stages, inputs, names = [], [], []
     numbers = []
     for c in fitted.numeric:
         filled = f"coalesce(nanvl(cast({quoted(c)} as double), null), {_sql_number(fitted.medians[c])})"
         if scale:
             filled = f"({filled} - {_sql_number(fitted.means[c])}) / {_sql_number(fitted.stds[c])}"
-        numbers.append(f"{filled} as {quoted('num__' + c)}")
-        inputs.append(f"num__{c}")
-        names.append(f"num__{c}")
-    texts = []
-    for c in fitted.categorical:
-        filled = f"coalesce(cast({quoted(c)} as string), {_sql_text(fitted.modes[c])})"
-        if encoding == "onehot" and fitted.pooled[c]:
-            rare = ", ".join(_sql_text(v) for v in fitted.pooled[c])
-            filled = f"case when {filled} in ({rare}) then '{POOLED}' else {filled} end"
-        texts.append(f"{filled} as {quoted('txt__' + c)}")
-    if numbers or texts:
-        stages.append(SQLTransformer(statement="select *, " + ", ".join(numbers + texts) + " from __THIS__"))
-    for c in fitted.categorical:
-        if encoding == "onehot":
-            labels = fitted.kept[c] + ([POOLED] if fitted.pooled[c] else [])
-        else:
-            labels = sorted(fitted.kept[c] + fitted.pooled[c])
-        indexer = StringIndexerModel.from_labels(
-            labels, inputCol=f"txt__{c}", outputCol=f"idx__{c}", handleInvalid="keep"
-        )
-        stages.append(indexer)
-        if encoding == "onehot":
-            # The slot that dropLast leaves out is the one of unknown values.
-            encoder = OneHotEncoder(inputCols=[f"idx__{c}"], outputCols=[f"cat__{c}"], dropLast=True)
-            stages.append(encoder.fit(PipelineModel(stages).transform(train)))
-            names += [f"cat__{c}_{label}" for label in labels]
-        else:
-            stages.append(
-                SQLTransformer(
-                    statement=f"select *, if({quoted('idx__' + c)} = {len(labels)}, -1D, {quoted('idx__' + c)}) "
-                    f"as {quoted('cat__' + c)} from __THIS__"
-                )
-            )
-            names.append(f"cat__{c}")
-        inputs.append(f"cat__{c}")
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=out))
-    return PipelineModel(stages), names
+        numbers.append(filled)
+    known = fitted.dictionary
+    columns = list(known.columns) if known else []
+    stage = CategoryFeatures(
+        numbers=numbers, columns=columns, modes=[known.columns[c][0] for c in columns],
+        widths=[known.width(c) for c in columns], encoding=encoding,
+        path=known.path if known else "", size=known.bytes if known else 0, outputCol=out,
+    )
+    return PipelineModel([stage]), slot_table(spark, fitted.numeric, known, encoding)
 
 
 def balanced_weight(label: str, negatives: int, positives: int) -> Column:
@@ -252,8 +181,11 @@ def preparation_table(spark, fitted: Preparation) -> DataFrame:
     for c in fitted.numeric:
         rows += [(c, "median", float(fitted.medians[c]), None), (c, "mean", float(fitted.means[c]), None),
                  (c, "std", float(fitted.stds[c]), None)]
-    for c in fitted.categorical:
-        rows.append((c, "mode", None, fitted.modes[c]))
-        rows += [(c, "category", float(i), v) for i, v in enumerate(fitted.kept[c])]
-        rows += [(c, "pooled", None, v) for v in fitted.pooled[c]]
-    return spark.createDataFrame(rows, "feature string, statistic string, value double, text string")
+    rows += [(c, "mode", None, fitted.dictionary.columns[c][0]) for c in fitted.categorical]
+    table = spark.createDataFrame(rows, "feature string, statistic string, value double, text string")
+    if fitted.dictionary:
+        table = table.unionByName(fitted.dictionary.table(spark).select(
+            F.col("column").alias("feature"), F.when(F.col("rare"), "pooled").otherwise("category").alias("statistic"),
+            F.when(~F.col("rare"), F.col("slot")).cast("double").alias("value"), F.col("value").alias("text"),
+        ))
+    return table

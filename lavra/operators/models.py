@@ -94,7 +94,7 @@ class Prepared:
     """Fitted preparation and the training vectors, written once: solvers read them many times."""
 
     stages: PipelineModel
-    slots: list[str]
+    slots: DataFrame
     vectors: DataFrame
     rows: int
     numeric: list[str]
@@ -110,7 +110,7 @@ class Prepared:
 @dataclass
 class Fitted:
     model: PipelineModel
-    slots: list[str]
+    slots: DataFrame
     numeric: list[str]
     categorical: list[str]
     spec: ModelSpec
@@ -122,7 +122,7 @@ def prepare(
 ) -> Prepared:
     """Fit the preparation that a kind of model wants on the training rows."""
     negatives, positives = class_counts(train, label)
-    stages, slots = assemble(train, fit_preparation(train, numeric, categorical), spec.scale, spec.encoding)
+    stages, slots = assemble(train.sparkSession, fit_preparation(train, numeric, categorical), spec.scale, spec.encoding)
     vectors = stages.transform(train).select(
         "features",
         F.col(label).cast("double").alias("label"),

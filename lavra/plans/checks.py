@@ -64,6 +64,41 @@ def permutation_sums(t):
     )
 
 
+@query("""select 'value' as feature, repeat, count(*) as n, 0::bigint as own, count(distinct o_orderkey) as n_values
+from orders, (values (1), (2), (3)) r(repeat) group by repeat""")
+def permutation_ring(t):
+    """No row keeps its own value, and none is taken twice."""
+    rows = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderkey").alias("value"), "o_orderstatus")
+    return explain.permuted(rows, ["value"], "id", 3).groupBy("feature", "repeat").agg(
+        F.count("*").alias("n"), F.count_if(F.col("value") == F.col("id")).alias("own"), F.count_distinct("value").alias("n_values")
+    )
+
+
+STRATA = """
+with recursive d as (select o_custkey as grp, count(*)::hugeint as size, count(*) filter (o_orderstatus = 'F')::hugeint as pos from orders group by 1),
+t as (select sum(size)::hugeint as rows, sum(pos)::hugeint as ones, count(*) as m from d),
+p as (select grp, size, pos, row_number() over (order by size desc, pos desc, md5('42:' || grp)) as i from d),
+r(i, sizes, ones, fold) as (
+  select 0::bigint, [0, 0, 0, 0]::hugeint[], [0, 0, 0, 0]::hugeint[], -1
+  union all
+  select n.i, list_transform(range(4), lambda j: n.sizes[j + 1] + case when j = n.fold then n.size else 0 end),
+    list_transform(range(4), lambda j: n.ones[j + 1] + case when j = n.fold then n.pos else 0 end), n.fold
+  from (
+    select r.i + 1 as i, r.sizes, r.ones, p.size, p.pos, (list_sort(list_transform(range(4), lambda j:
+      {'cost': r.sizes[j + 1] * p.size * t.ones * t.ones + r.ones[j + 1] * p.pos * t.rows * t.rows, 'fold': j::int})))[1].fold as fold
+    from r join p on p.i = r.i + 1, t) n)
+select size::bigint as size, pos::bigint as positives, fold, count(*) as n_groups from r join p using (i) group by 1, 2, 3"""
+
+
+@query(STRATA)
+def stratified_folds(t):
+    """Groups of each size and number of positives in every fold; packed one by one in the SQL."""
+    rows = t.orders.select(F.col("o_custkey").alias("grp"), (F.col("o_orderstatus") == "F").cast("int").alias("y"))
+    folded = sampling.stratified_group_folds(rows, "grp", "y", 4)
+    groups = folded.groupBy("grp", "fold").agg(F.count("*").alias("size"), F.sum("y").alias("positives"))
+    return groups.groupBy("size", "positives", "fold").agg(F.count("*").alias("n_groups"))
+
+
 @query(f"""with {modelling.SCORED},
 r as (select l_linestatus, sum(fp * (ctp - tp / 2.0)) / (max(p) * max(n)) as roc_auc, sum(tp * ctp / (ctp + cfp)) / max(p) as pr_auc from k group by 1),
 w as (select max(pr_auc) filter (l_linestatus = 'O') - max(pr_auc) filter (l_linestatus = 'F') as dp,

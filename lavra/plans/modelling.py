@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lavra.operators import evaluate, explain, features, models
+from lavra.operators import categories, evaluate, explain, features, models
 from lavra.operators.joins import enrich
 from lavra.operators.profile import describe
 from lavra.operators.sampling import group_folds, holdout
@@ -93,7 +93,28 @@ s as (select o_orderstatus as v, count(*) as n from orders where o_orderstatus i
 select 'o_orderpriority' as "column", (select v from c order by n desc, v limit 1) as mode
 union all select 'o_orderstatus', (select v from s order by n desc, v limit 1)""")
 def most_frequent(t):
-    return features.modes(features.category_counts(t.orders, ["o_orderpriority", "o_orderstatus"]))
+    return categories.modes(categories.category_counts(t.orders, ["o_orderpriority", "o_orderstatus"]))
+
+
+@query("""
+with v as (select coalesce(case when l_orderkey % 11 > 0 then l_orderkey || '-' || l_linenumber % 5 end,
+    (select min(l_orderkey || '-' || l_linenumber % 5) from (
+      select *, count(*) over (partition by l_orderkey, l_linenumber % 5) as n from lineitem where l_orderkey % 11 > 0) w
+      where n = (select max(k) from (select count(*) as k from lineitem where l_orderkey % 11 > 0 group by l_orderkey, l_linenumber % 5)))) as value,
+  l_orderkey % 11 = 0 as missing from lineitem),
+c as (select value, count(*) as n from v group by 1),
+p as (select value, n, row_number() over (order by value) - 1 as place, count(*) filter (n >= 2) over (order by value) - 1 as kept,
+  (select count(*) from c where n >= 2) as width from c)
+select place::int as place, (case when n >= 2 then kept else width end)::int as slot, n as rows from p""")
+def many_categories(t):
+    """A category for most of the rows: numbered, and looked up again by every row."""
+    code = F.concat_ws("-", "l_orderkey", F.col("l_linenumber") % 5)
+    rows = t.lineitem.select(F.when(F.col("l_orderkey") % 11 > 0, code).alias("code"))
+    fitted = categories.fit_dictionary(rows, ["code"])
+    mode, table = fitted.columns["code"][0], fitted.table(t.spark)
+    placed = categories.encode(rows, table, "code", mode, "place", "place", fitted.bytes)
+    both = categories.encode(placed, table, "code", mode, "slot", "slot", fitted.bytes)
+    return both.groupBy("place", "slot").agg(F.count("*").alias("rows"))
 
 
 @query()
@@ -101,8 +122,9 @@ def encoded_features(t):
     """The assembled vector of the linear flavour, described slot by slot."""
     train, test = _split(t)
     prepared, slots = features.assemble(
-        train, features.fit_preparation(train, NUMERIC, CATEGORICAL), True, "onehot"
+        t.spark, features.fit_preparation(train, NUMERIC, CATEGORICAL), True, "onehot"
     )
+    slots = categories.slot_names(slots)
     array = prepared.transform(test).select(vector_to_array("features").alias("x"))
     wide = array.select(*[F.col("x")[i].alias(s) for i, s in enumerate(slots)])
     return describe(wide, slots)
@@ -230,10 +252,8 @@ def importance_rollup(t):
         return t.lineitem.groupBy(slot.alias("slot")).agg(F.avg(value).alias("mean_abs_shap"))
 
     importance = slots("status", "l_linestatus", "l_discount").unionByName(slots("flag", "l_returnflag", "l_tax"))
-    names = [r["slot"] for r in importance.select("slot").collect()]  # one per category
-    sources = explain.slot_sources(names, ["status", "flag"])
-    table = t.spark.createDataFrame([(s, f) for _, s, f in sources], "slot string, feature_original string")
-    rolled = explain.importance_rollup(importance.join(F.broadcast(table), "slot"))
+    named = importance.withColumn("feature_original", explain.source_of("slot", ["status", "flag"]))
+    rolled = explain.importance_rollup(named)
     return rolled.withColumn("mean_abs_shap", F.round("mean_abs_shap", 6))
 
 

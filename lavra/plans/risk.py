@@ -18,7 +18,7 @@ from lavra.operators.columns import (
 from lavra.operators.joins import coverage, enrich
 from lavra.operators.ranking import ranking_list, sorted_by
 from lavra.operators.reshape import first_per_key
-from lavra.operators.sampling import fallback_group, group_folds, holdout
+from lavra.operators.sampling import fallback_group, holdout, stratified_group_folds
 from lavra.plans import literacy as fixed
 from lavra.session import staged
 
@@ -140,8 +140,8 @@ def train(
     constant = constant_columns(known, features)
     numeric, categorical = numeric_and_categorical(known, [c for c in features if c not in constant])
 
-    train_rows, test_rows = holdout(staged(group_folds(known, "_group", fixed.TARGET, 5, seed), "outer"))
-    inner = staged(group_folds(train_rows, "_group", fixed.TARGET, 4, seed), "inner")
+    train_rows, test_rows = holdout(staged(stratified_group_folds(known, "_group", fixed.TARGET, 5, seed), "outer"))
+    inner = staged(stratified_group_folds(train_rows, "_group", fixed.TARGET, 4, seed), "inner")
     cv = staged(models.cross_validate(inner, fixed.TARGET, numeric, categorical, specs), "cv")
     best = cv.agg(F.max_by("modelo", "pr_auc_media").alias("m")).first()["m"]
     spec = next(s for s in specs if s.name == best)

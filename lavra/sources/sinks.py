@@ -8,6 +8,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lavra.operators.categories import CategoryFeatures
+
 MANIFEST_SCHEMA = (
     "fonte string, url string, arquivo_original string, arquivo_tabular string, "
     "linhas_origem long, linhas_bronze long"
@@ -54,6 +56,15 @@ def external_manifest(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
 def save_run(
     path: str, model: PipelineModel, predictions: DataFrame, metadata: DataFrame
 ) -> None:
+    """Model, predictions and metadata in one folder; the model's category dictionary goes with it."""
+    spark, stages = predictions.sparkSession, []
+    for i, stage in enumerate(model.stages):
+        if isinstance(stage, CategoryFeatures) and stage.getOrDefault(stage.columns):
+            folder = f"{path}/categories-{i}"
+            spark.read.parquet(stage.getOrDefault(stage.path)).write.mode("overwrite").parquet(folder)
+            stage = stage.at(folder)
+        stages.append(stage)
+    model = PipelineModel(stages)
     model.write().overwrite().save(f"{path}/model")
     predictions.write.mode("overwrite").parquet(f"{path}/predictions")
     write_json(metadata, f"{path}/metadata")

@@ -1,5 +1,6 @@
 """Features, metrics, models and explanations, against hand-worked and brute-force results."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -8,7 +9,9 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lavra.operators import evaluate, explain, features, models
+from lavra.operators import evaluate, explain, features, models, sampling
+from lavra.operators.categories import slot_names
+from lavra.session import staged
 from lavra.sources.sinks import load_run, save_run
 
 Y = [1, 0, 1, 1, 0, 0, 1, 0]
@@ -103,10 +106,11 @@ def labelled(spark):
 
 def test_preparation(spark, labelled):
     fitted = features.fit_preparation(labelled, ["x", "z", "none"], ["g"])
-    assert fitted.numeric == ["x", "z"] and fitted.pooled["g"] == ["once"]
-    assert fitted.kept["g"] == ["p", "q", "r's"]
-    onehot, slots = features.assemble(labelled, fitted, True, "onehot")
-    assert slots == ["num__x", "num__z", "cat__g_p", "cat__g_q", "cat__g_r's", "cat__g___pooled__"]
+    told = {r["value"]: (r["rare"], r["place"], r["slot"]) for r in fitted.dictionary.table(spark).collect()}
+    assert fitted.numeric == ["x", "z"] and fitted.categorical == ["g"]
+    assert told == {"once": (True, 0, 3), "p": (False, 1, 0), "q": (False, 2, 1), "r's": (False, 3, 2)}
+    onehot, slots = features.assemble(spark, fitted, True, "onehot")
+    assert slot_names(slots) == ["num__x", "num__z", "cat__g_p", "cat__g_q", "cat__g_r's", "cat__g___pooled__"]
     probe = spark.createDataFrame(
         [(1, None, 5.0, None, "q"), (2, 1.0, 5.0, None, "new"), (3, 1.0, 5.0, None, "once"), (4, 1.0, 5.0, None, None)],
         "id int, x double, z double, none double, g string",
@@ -115,17 +119,34 @@ def test_preparation(spark, labelled):
     assert rows[0][0] == pytest.approx((fitted.medians["x"] - fitted.means["x"]) / fitted.stds["x"])
     assert [r[2:] for r in rows[:3]] == [[0, 1, 0, 0], [0, 0, 0, 0], [0, 0, 0, 1]]
     assert sum(rows[3][2:5]) == 1
-    ordinal, slots = features.assemble(labelled, fitted, False, "ordinal")
+    ordinal, slots = features.assemble(spark, fitted, False, "ordinal")
     codes = [r[0][2] for r in ordinal.transform(probe).orderBy("id").select(vector_to_array("features")).collect()]
-    assert slots == ["num__x", "num__z", "cat__g"] and codes[:3] == [2.0, -1.0, 0.0]
+    assert slot_names(slots) == ["num__x", "num__z", "cat__g"] and codes[:3] == [2.0, -1.0, 0.0]
     scaled = onehot.transform(labelled).select(vector_to_array("features")[0].alias("v")).agg(F.avg("v"), F.stddev_pop("v")).first()
     assert scaled[0] == pytest.approx(0, abs=1e-9) and scaled[1] == pytest.approx(1)
 
 
-def test_too_many_categories(spark, labelled, monkeypatch):
-    monkeypatch.setattr(features, "MAX_CATEGORIES", 2)
-    with pytest.raises(ValueError, match="categories"):
-        features.fit_preparation(labelled, [], ["g"])
+def test_two_hundred_thousand_categories(spark):
+    rows = spark.range(0, 500_000).select(F.col("id"), F.concat(F.lit("c"), F.col("id") % 200_000).alias("g"), (F.col("id") % 2).cast("int").alias("y"))
+    fitted = features.fit_preparation(rows, [], ["g"], min_frequency=3)
+    mode, every, frequent = fitted.dictionary.columns["g"]
+    assert (mode, every, frequent) == ("c0", 200_000, 100_000) and fitted.dictionary.width("g") == 100_001
+    model, slots = features.assemble(spark, fitted, True, "onehot")
+    probe = spark.createDataFrame([(0, "c0"), (1, "c99999"), (2, "c150000"), (3, "new"), (4, None)], "id int, g string")
+    got = {r["id"]: r["features"] for r in model.transform(probe).collect()}
+    names = sorted(f"c{i}" for i in range(100_000))
+    assert all(v.size == 100_001 for v in got.values())
+    assert got[0].indices.tolist() == [names.index("c0")] == got[4].indices.tolist()
+    assert got[1].indices.tolist() == [names.index("c99999")]
+    assert got[2].indices.tolist() == [100_000] and got[3].indices.tolist() == []
+    assert slots.count() == 100_001 and slots.where("slot = 100000").first()["name"] == "cat__g___pooled__"
+
+
+def test_no_features_and_no_values(spark, labelled):
+    fitted = features.fit_preparation(labelled.select("none", "y", F.lit(None).cast("string").alias("g")), ["none"], ["g"])
+    assert fitted.numeric == [] and fitted.categorical == []
+    model, slots = features.assemble(spark, fitted, True, "onehot")
+    assert model.transform(labelled).first()["features"].size == 0 and slots.count() == 0
 
 
 def test_logistic_matches_newton(labelled):
@@ -179,9 +200,15 @@ def test_save_and_load(spark, labelled, tmp_path):
     assert facts.first()["best_model"] == "logistic_regression" and facts.first()["train_rows"] == 10
 
 
-@pytest.mark.parametrize("blocks", [1, 50])
-def test_permuted_keeps_values(labelled, blocks):
-    copies = explain.permuted(labelled, ["x", "g"], "id", 3, blocks=blocks)
+@pytest.mark.parametrize("partitions", [2, 16])
+def test_permuted_keeps_values(spark, labelled, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    copies = staged(explain.permuted(labelled.repartition(partitions), ["x", "g"], "id", 3))
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    order = sorted(range(401), key=lambda i: hashlib.md5(f"42:1:{i}".encode()).hexdigest())
+    taken = {r["id"]: r["z"] for r in explain.permuted(labelled, ["z"], "id", 1).collect()}
+    own = {r["id"]: r["z"] for r in labelled.collect()}
+    assert all(taken[a] == own[b] for a, b in zip(order, order[1:] + order[:1]))
     assert copies.count() == labelled.count() * 6
     plain = {r["id"]: r for r in labelled.collect()}
     moved = 0
@@ -204,11 +231,11 @@ def test_importance_and_attribution(labelled):
     slots = np.array([r[0] for r in fitted.model.transform(labelled).select(vector_to_array("features")).collect()])
     beta = fitted.model.stages[-1].coefficients.toArray()
     expected = np.abs(beta * (slots - slots.mean(axis=0))).mean(axis=0)
-    assert [got[s] for s in fitted.slots] == pytest.approx(list(expected))
+    assert [got[s] for s in slot_names(fitted.slots)] == pytest.approx(list(expected))
     rolled = {r["feature_original"]: r["mean_abs_shap"] for r in explain.importance_rollup(whole).collect()}
     assert rolled["g"] == pytest.approx(sum(v for k, v in got.items() if k.startswith("cat__g_")))
     few = explain.linear_attribution(fitted, labelled, labelled, "id", 20, 10)
-    assert few.count() == len(fitted.slots)
+    assert few.count() == fitted.slots.count()
 
 
 def test_sampled_attribution_agrees_with_exact_orders(labelled):
@@ -228,6 +255,53 @@ def test_sampled_attribution_agrees_with_exact_orders(labelled):
     assert found["z"] == pytest.approx(abs((z_only - none + own - x_only) / 2), rel=0.1, abs=5e-3)
 
 
-def test_slot_sources():
+def test_source_of(spark):
     slots = ["num__pib", "cat__sigla_uf_PE", "cat__sigla_x", "odd"]
-    assert [s for _, _, s in explain.slot_sources(slots, ["pib", "sigla", "sigla_uf"])] == ["pib", "sigla_uf", "sigla", "odd"]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(slots)], "i int, slot string")
+    got = df.orderBy("i").select(explain.source_of("slot", ["pib", "sigla", "sigla_uf"])).collect()
+    assert [r[0] for r in got] == ["pib", "sigla_uf", "sigla", "odd"]
+
+
+def plain_deal(groups, k):
+    """One group after the other into the fold that it leaves most even."""
+    rows, ones = max(1, sum(s for s, _ in groups)), max(1, sum(p for _, p in groups))
+    sizes, positives, out = [0] * k, [0] * k, []
+    for s, p in groups:
+        f = min(range(k), key=lambda f: (sizes[f] * s * ones**2 + positives[f] * p * rows**2, f))
+        sizes[f] += s
+        positives[f] += p
+        out.append(f)
+    return out, sizes, positives
+
+
+def test_groups_are_dealt_as_one_by_one():
+    rng = random.Random(2)
+    for _ in range(50):
+        groups = sorted(((rng.randrange(1, 9), 0) for _ in range(rng.randrange(1, 60))), reverse=True)
+        groups = sorted([(s, rng.randrange(s + 1)) for s, _ in groups] + [(40, 3)] * rng.randrange(3), reverse=True)
+        k = rng.randrange(2, 6)
+        folds, _, _ = plain_deal(groups, k)
+        kinds = sorted(set(groups), reverse=True)
+        got = sampling.deal([(s, p, groups.count((s, p))) for s, p in kinds], k)
+        want = [[sum(g == kind and f == j for g, f in zip(groups, folds)) for j in range(k)] for kind in kinds]
+        assert got == want
+
+
+def test_a_large_group_leaves_the_other_folds_even(spark):
+    rng = random.Random(4)
+    rows = [("big", int(rng.random() < 0.3)) for _ in range(3000)]
+    rows += [(f"g{rng.randrange(900)}", int(rng.random() < 0.3)) for _ in range(6000)] + [(None, 1)] * 20
+    df = spark.createDataFrame([(i, g, y) for i, (g, y) in enumerate(rows)], "id int, g string, y int")
+    folded = staged(sampling.stratified_group_folds(df, "g", "y", 4))
+    assert folded.count() == len(rows) and folded.groupBy("g").agg(F.count_distinct("fold").alias("n")).where("g is not null and n > 1").count() == 0
+    folds = folded.where("g is not null").groupBy("fold").agg(F.count("*").alias("n"), F.avg("y").alias("rate"), F.count_if(F.col("g") == "big").alias("big")).collect()
+    assert {r["n"] for r in folds if r["big"]} == {3000}
+    others = [r for r in folds if not r["big"]]
+    assert max(r["n"] for r in others) - min(r["n"] for r in others) <= 10
+    assert max(r["rate"] for r in others) - min(r["rate"] for r in others) < 0.01
+
+
+def test_size_classes(spark):
+    numbers = [0, 1, 2, 127, 128, 129, 255, 256, 10**6, 2**40 + 12345]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in numbers], "n long").select(sampling.size_class(F.col("n"))).collect()]
+    assert got == [n if n < 128 else n >> (n.bit_length() - 7) << (n.bit_length() - 7) for n in numbers]
