@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lavra.operators import categories, evaluate, explain, features, models
+from lavra.operators import categories, evaluate, explain, features, models, trees
 from lavra.operators.joins import enrich
 from lavra.operators.profile import describe
 from lavra.operators.sampling import group_folds, holdout
@@ -242,6 +242,27 @@ def sampled_attribution(t):
     return explain.sampled_attribution(forest, test, train, "doc_id")
 
 
+@query("""with d as (select doc_id, source as grp, 1 - quality as y from documents join labels using (doc_id)), """
+       + GROUPS.format(k=5) + """
+select doc_id, kind, 0.0::double as gap from d join f using (grp), (values ('random_forest'), ('hist_gradient_boosting')) k(kind) where fold = 0""")
+def tree_attribution(t):
+    """What the gains of each document leave of its score, for a forest and a boosted ensemble."""
+    train, test = _split(t)
+    out = []
+    for spec in QUERY_MODELS[1:]:
+        fitted = models.fit(train, TARGET, NUMERIC, CATEGORICAL, spec)
+        scored = staged(fitted.model.transform(test).select("doc_id", "features", "rawPrediction", "probability"), "scored")
+        gains, base = trees.tree_attribution(fitted.model.stages[-1], scored, "doc_id")
+        if spec.name == "random_forest":
+            score = vector_to_array("probability")[1]
+        else:
+            score = 2 * vector_to_array("rawPrediction")[1]
+        total = gains.groupBy("doc_id").agg(F.sum("gain").alias("gain"))
+        gap = F.round(score - F.lit(base) - F.coalesce("gain", F.lit(0.0)), 6) + F.lit(0.0)
+        out.append(scored.join(total, "doc_id", "left").select("doc_id", F.lit(spec.name).alias("kind"), gap.alias("gap")))
+    return out[0].unionByName(out[1])
+
+
 @query("""
 select split_part(slot, '=', 1) as feature_original, round(sum(v), 6) as mean_abs_shap from (
   select 'status=' || l_linestatus as slot, avg(l_discount) as v from lineitem group by 1

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lavra.functions.indicators import inverse_target
 from lavra.functions.text import normalize_code
-from lavra.operators import aggregate, evaluate, explain, models, profile
+from lavra.operators import aggregate, evaluate, explain, models, profile, trees
 from lavra.operators.columns import (
     constant_columns, curate, drop_leakage, numeric_and_categorical, require_columns, require_tables,
     select_existing,
@@ -160,7 +160,7 @@ def train(
 def explain_run(run: Training, repeats: int = 10) -> dict[str, DataFrame]:
     """Permutation importance and additive attribution.
 
-    A linear model is attributed in closed form, by slot and by feature; others by sampled orders.
+    Linear models and ensembles of trees are attributed exactly, by slot and by feature.
     """
     out = {
         "permutation_importance": sorted_by(
@@ -169,11 +169,13 @@ def explain_run(run: Training, repeats: int = 10) -> dict[str, DataFrame]:
         )
     }
     if run.fitted.spec.name == "logistic_regression":
-        slots = staged(explain.linear_attribution(run.fitted, run.test, run.train, ROW_ID), "slots")
-        out["shap_importance_transformed"] = sorted_by(slots, ("mean_abs_shap", True))
-        by_feature = explain.importance_rollup(slots)
+        slots = explain.linear_attribution(run.fitted, run.test, run.train, ROW_ID)
     else:
-        by_feature = explain.sampled_attribution(run.fitted, run.test, run.train, ROW_ID)
+        gains, _ = trees.tree_attribution(run.fitted.model.stages[-1], run.fitted.model.transform(run.test), ROW_ID)
+        slots = trees.mean_attribution(gains, run.fitted.slots)
+    slots = staged(slots, "slots")
+    out["shap_importance_transformed"] = sorted_by(slots, ("mean_abs_shap", True))
+    by_feature = explain.importance_rollup(slots)
     out["shap_importance"] = sorted_by(by_feature, ("mean_abs_shap", True))
     return out
 

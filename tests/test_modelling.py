@@ -1,6 +1,8 @@
 """Features, metrics, models and explanations, against hand-worked and brute-force results."""
 
 import hashlib
+import itertools
+import math
 import random
 
 import numpy as np
@@ -9,7 +11,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from lavra.operators import evaluate, explain, features, models, sampling
+from lavra.operators import evaluate, explain, features, models, sampling, trees
 from lavra.operators.categories import slot_names
 from lavra.session import staged
 from lavra.sources.sinks import load_run, save_run
@@ -305,3 +307,62 @@ def test_size_classes(spark):
     numbers = [0, 1, 2, 127, 128, 129, 255, 256, 10**6, 2**40 + 12345]
     got = [r[0] for r in spark.createDataFrame([(n,) for n in numbers], "n long").select(sampling.size_class(F.col("n"))).collect()]
     assert got == [n if n < 128 else n >> (n.bit_length() - 7) << (n.bit_length() - 7) for n in numbers]
+
+
+def plain_shapley(leaves, x):
+    """Shapley values of all slots by the sum over all sets, of the game that a leaf table describes."""
+    slots = sorted({s for leaf in leaves for s in leaf["slots"]})
+
+    def worth(known):
+        total = 0.0
+        for leaf in leaves:
+            part = leaf["value"]
+            for s, low, high, share in zip(leaf["slots"], leaf["lows"], leaf["highs"], leaf["shares"]):
+                part *= (low < x[s] <= high) if s in known else share
+            total += part
+        return total
+
+    out = {}
+    for s in slots:
+        others = [o for o in slots if o != s]
+        out[s] = sum(
+            math.factorial(k) * math.factorial(len(slots) - 1 - k) / math.factorial(len(slots)) * (worth({*c, s}) - worth(set(c)))
+            for k in range(len(slots)) for c in itertools.combinations(others, k)
+        )
+    return out, worth(set())
+
+
+@pytest.mark.parametrize("spec", [
+    models.ModelSpec("random_forest", params={"n_estimators": 3, "max_depth": 5}),
+    models.ModelSpec("hist_gradient_boosting", encoding="ordinal", weighted=False, params={"max_iter": 3, "max_leaf_nodes": 15}),
+])
+def test_tree_attribution_is_shapley(spark, labelled, spec, monkeypatch):
+    fitted = models.fit(labelled, "y", ["x", "z"], ["g"], spec)
+    scored = staged(fitted.model.transform(labelled))
+    leaves = trees.leaf_paths(fitted.model.stages[-1]).collect()
+    gains, base = trees.tree_attribution(fitted.model.stages[-1], scored, "id")
+    got = {}
+    for r in gains.collect():
+        got.setdefault(r["id"], {})[r["slot"]] = r["gain"]
+    rows = scored.select("id", vector_to_array("features").alias("f"), "probability", "rawPrediction").collect()
+    for r in rows[:25]:
+        want, none = plain_shapley(leaves, r["f"])
+        assert got[r["id"]] == pytest.approx(want, abs=1e-9) and none == pytest.approx(base)
+    for r in rows:
+        score = r["probability"][1] if spec.name == "random_forest" else 2 * r["rawPrediction"][1]
+        assert sum(got[r["id"]].values()) == pytest.approx(score - base, abs=1e-9)
+    # In several passes over the rows, the same.
+    monkeypatch.setattr(trees, "LEAVES", 10)
+    again, _ = trees.tree_attribution(fitted.model.stages[-1], scored, "id")
+    assert {(r["id"], r["slot"]): round(r["gain"], 9) for r in again.collect()} == {
+        (i, s): round(v, 9) for i, own in got.items() for s, v in own.items()
+    }
+    told = {r["feature_transformada"]: r["mean_abs_shap"] for r in trees.mean_attribution(gains, fitted.slots).collect()}
+    names = slot_names(fitted.slots)
+    assert told == pytest.approx({names[s]: np.mean([abs(g[s]) for g in got.values()]) for s in next(iter(got.values()))})
+
+
+def test_an_ensemble_without_splits_has_no_gains(spark, labelled):
+    fitted = models.fit(labelled.where("y = 1"), "y", ["x"], [], models.ModelSpec("random_forest", params={"n_estimators": 2}))
+    gains, base = trees.tree_attribution(fitted.model.stages[-1], fitted.model.transform(labelled), "id")
+    assert gains.count() == 0 and base == 1.0
