@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lavra.operators.aggregate import mean_and_std
 from lavra.operators.ranking import running_sums, value_ranges
 from lavra.session import shuffle_width, staged
 
@@ -144,6 +145,11 @@ def metrics_long(metrics: DataFrame, value: str, names: Sequence[str] = METRICS)
     return metrics.select(*names).unpivot([], list(names), "metrica", value)
 
 
+def mean_over_folds(scores: DataFrame, fold: str = "fold", model: str = "modelo", label: str = "y", score: str = "score", predicted: str = "pred") -> DataFrame:
+    """Mean and deviation over folds of all metrics, per model."""
+    return mean_and_std(binary_metrics(scores, label, score, predicted, [model, fold]), [model], METRICS)
+
+
 def compare_metrics(
     baseline: DataFrame, variant: DataFrame, base_name: str = "base", variant_name: str = "variant"
 ) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,12 +45,17 @@ def measured(df: DataFrame, on: Sequence[str]) -> tuple[int, int, int]:
     return row["rows"], row["bytes"], row["most"]
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], limit: int) -> DataFrame | None:
-    """Keys that hold more than ``limit`` rows, or none."""
-    counts = df.groupBy(*on).agg(F.count("*").alias("_rows")).where(F.col("_rows") > limit)
-    keys = counts.select(*on)
+def key_counts(df: DataFrame, on: Sequence[str], floor: int = HOT_ROWS) -> tuple[DataFrame | None, bool]:
+    """Keys that hold more than their share of the rows, or none, and whether the null keys do; one pass."""
+    per_key = staged(df.groupBy(*on).agg(F.count("*").alias("_rows")), "keys")
+    no_key = reduce(lambda a, b: a | b, [F.col(quoted(k)).isNull() for k in on])
+    rows, nulls = per_key.agg(F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.sum(F.when(no_key, F.col("_rows"))), F.lit(0))).first()
+    limit = hot_limit(rows, shuffle_width(df.sparkSession), floor)
+    if rows <= limit:
+        return None, False
+    keys = per_key.where(~no_key & (F.col("_rows") > limit)).select(*on)
     found = keys.collect()  # at most rows / limit keys: no more than there are shuffle partitions
-    return df.sparkSession.createDataFrame(found, keys.schema) if found else None
+    return (df.sparkSession.createDataFrame(found, keys.schema) if found else None), nulls > limit
 
 
 def skew_join(
@@ -64,7 +70,7 @@ def skew_join(
     """Left, inner or semi join of a large table to one with unique keys.
 
     A right side whose measured size is small is broadcast. Otherwise the key column of the left
-    side is counted once. Rows of hot keys then stay where they are and meet a broadcast of just
+    side is counted once, in one pass. Rows of hot keys then stay where they are and meet a broadcast of just
     those right rows (at most one key per shuffle partition); a great many null keys skip the
     join; the rest is shuffled. Without such keys it is the plain join.
     """
@@ -74,13 +80,13 @@ def skew_join(
     if right_bytes <= broadcast_bytes:
         return left.join(F.broadcast(right), on, how)
 
-    no_key = reduce(lambda a, b: a | b, [left[k].isNull() for k in on])
-    rows, nulls = left.agg(F.count("*"), F.count_if(no_key)).first()
-    limit = hot_limit(rows, shuffle_width(left.sparkSession), floor)
-    hot = hot_keys(left.where(~no_key), on, limit) if rows > limit else None
-    if hot is None and nulls <= limit:
+    hot, many_nulls = key_counts(left, on, floor)
+    if hot is None and not many_nulls:
         return left.join(right, on, how)
 
+    # Hot, cold and null keys are read apart: a computed left side is worked out once.
+    left = staged(left, "left")
+    no_key = reduce(lambda a, b: a | b, [left[k].isNull() for k in on])
     keyed = left.where(~no_key)
     if hot is None:
         parts = [keyed.join(right, on, how)]
@@ -105,6 +111,29 @@ def rename_collisions(left: DataFrame, right: DataFrame, on: Sequence[str], suff
     return right.withColumnsRenamed(clash)
 
 
+def checked_side(right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The right side of a many-to-one join, written once; the pass that writes it raises where a key occurs twice.
+
+    Rows are grouped by key on the way, so the check is part of the plan and needs no pass of its own. Rows
+    with a null in the key match nothing and are left out.
+    """
+    on = list(on)
+    known = reduce(lambda a, b: a & b, [F.col(quoted(k)).isNotNull() for k in on])
+    values = [c for c in right.columns if c not in on]
+    held = F.struct(F.lit(0).alias("_"), *[F.col(quoted(c)) for c in values])
+    one = right.where(known).groupBy(*on).agg(F.any_value(held).alias("_row"), F.count("*").alias("_n"))
+    complaint = F.concat(F.lit(f"right side is not unique on {on}: one key occurs "), F.col("_n").cast("string"), F.lit(" times"))
+    row = F.when(F.col("_n") > 1, F.raise_error(complaint).cast(one.schema["_row"].dataType)).otherwise(F.col("_row"))
+    try:
+        return staged(one.select(*on, row.alias("_row")), "right").select(
+            *[F.col(quoted(c)) if c in on else F.col(f"_row.{quoted(c)}").alias(c) for c in right.columns]
+        )
+    except PySparkException as e:
+        if "right side is not unique" in str(e):
+            raise ValueError(f"right side is not unique on {on}") from e
+        raise
+
+
 def enrich(
     left: DataFrame,
     right: DataFrame,
@@ -117,15 +146,12 @@ def enrich(
     """Many-to-one left join.
 
     With ``duplicates='check'`` a right key that occurs twice is an error; with ``'first'`` the
-    right row that comes first by ``order`` is kept. Null keys match nothing. The right side is
-    read twice, to be measured and to be joined: stage it first if it is costly to compute.
+    right row that comes first by ``order`` is kept. Null keys match nothing. Each side is read once: the right
+    side is checked, measured and written in one pass, and joined from there.
     """
     on = list(on)
-    if duplicates == "first":
-        right = staged(first_per_key(right, on, order), "first")
-    _, size, most = measured(right, on)
-    if most > 1:
-        raise ValueError(f"right side is not unique on {on}: one key occurs {most} times")
+    right = staged(first_per_key(right, on, order), "first") if duplicates == "first" else checked_side(right, on)
+    size = size_of(right)
     right = rename_collisions(left, right, on, suffix)
     return skew_join(left, right, on, "left", right_bytes=size, **limits)
 

@@ -16,8 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
-from lavra.operators.aggregate import mean_and_std
-from lavra.operators.evaluate import METRICS, binary_metrics
+from lavra.operators.evaluate import binary_metrics, mean_over_folds
 from lavra.operators.features import assemble, balanced_weight, class_counts, fit_preparation
 from lavra.session import staged
 
@@ -185,8 +184,8 @@ def cross_validate(
 ) -> DataFrame:
     """Mean and deviation over folds of all metrics per model, best average precision first."""
     scores = cross_predictions(df, label, numeric, categorical, [(s.name, s, {}) for s in specs], fold, folds)
-    per_fold = binary_metrics(scores, "y_real", "score", "y_pred", ["modelo", "fold"])
-    return mean_and_std(per_fold, ["modelo"], METRICS).orderBy(F.col("pr_auc_media").desc_nulls_last(), "modelo")
+    rolled = mean_over_folds(scores, "fold", "modelo", "y_real", "score", "y_pred")
+    return rolled.orderBy(F.col("pr_auc_media").desc_nulls_last(), "modelo")
 
 
 def draw_parameters(grid: Mapping[str, Sequence], draws: int = 10, seed: int = SEED) -> list[dict]:
@@ -220,18 +219,18 @@ def random_search(
 
 def run_metadata(
     spark: SparkSession, fitted: Fitted, target: str, group: str, constant: Sequence[str],
-    metrics: Mapping[str, float], train_rows: int, test_rows: int, seed: int = SEED,
+    metrics: Mapping[str, float], train_rows: int, test_rows: int, seed: int = SEED, positive_class: str = "1",
 ) -> DataFrame:
     """One row that describes a run: model, features by type, parameters, metrics, row counts."""
     schema = (
         "best_model string, target string, group_column string, features array<string>, "
         "numeric_features array<string>, categorical_features array<string>, "
         "constant_features_removed array<string>, best_params map<string,string>, "
-        "test_metrics map<string,double>, train_rows long, test_rows long, random_seed int"
+        "test_metrics map<string,double>, train_rows long, test_rows long, random_seed int, positive_class string"
     )
     row = (
         fitted.spec.name, target, group, fitted.numeric + fitted.categorical, fitted.numeric,
         fitted.categorical, list(constant), {k: str(v) for k, v in fitted.params.items()},
-        {k: v for k, v in metrics.items() if v is not None}, train_rows, test_rows, seed,
+        {k: v for k, v in metrics.items() if v is not None}, train_rows, test_rows, seed, positive_class,
     )
     return spark.createDataFrame([row], schema)

@@ -135,19 +135,25 @@ def binary(column: str, test: str = "validacao_binaria_0_1") -> Rule:
     return Rule(test, column, allowed=(0, 1))
 
 
+def distinct_rows(df: DataFrame, copies: str = "_copies") -> DataFrame:
+    """Different rows, each with the number of its copies."""
+    return df.groupBy(*[F.col(quoted(c)) for c in df.columns]).agg(F.count("*").alias(copies))
+
+
 def quality_report(
-    df: DataFrame, table: str, rules: Sequence[Rule], rows_before: int | None = None
+    df: DataFrame, table: str, rules: Sequence[Rule], rows_before: int | None = None, copies: str | None = None
 ) -> DataFrame:
     """Long report of duplicates removed, nulls per column and rule violations.
 
     Nulls break no rule; rules on absent columns report 0. One aggregate covers the whole table.
-    ``rows_before`` is the row count before exact duplicates were dropped from ``df``.
+    ``rows_before`` is the row count before exact duplicates were dropped from ``df``, or ``copies`` names a column with
+    how many equal rows each row stands for (``distinct_rows``), so that one pass over the source gives both.
     """
-    tests = [("valores_nulos", c, F.count_if(F.col(quoted(c)).isNull())) for c in df.columns]
+    tests = [("valores_nulos", c, F.count_if(F.col(quoted(c)).isNull())) for c in df.columns if c != copies]
     for r in rules:
         hits = F.count_if(r.broken()) if r.column in df.columns else F.lit(0).cast("long")
         tests.append((r.test, r.column, hits))
-    before = F.lit(rows_before).cast("long") if rows_before is not None else F.count("*")
+    before = F.lit(rows_before).cast("long") if rows_before is not None else F.sum(copies) if copies else F.count("*")
     tests.insert(0, ("duplicatas_removidas", "", before - F.count("*")))
 
     row = df.agg(F.array(*[F.coalesce(n, F.lit(0)) for _, _, n in tests]).alias("result"))

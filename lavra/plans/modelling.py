@@ -178,6 +178,76 @@ def confusion(t):
     return evaluate.confusion(_scored_lines(t), "y", "pred")
 
 
+RISK_ROWS = ("d as (select doc_id, source as grp, 1 - quality as y, lang, n_chars from documents join labels using (doc_id)), "
+             + GROUPS.format(k=5) + ", e as (select d.* from d join f using (grp) where fold > 0)")
+
+
+@query(f"""with {RISK_ROWS},
+l as (select coalesce(lang, (select lang from e where lang is not null group by 1 order by count(*) desc, lang limit 1)) as lang from e),
+c as (select lang, count(*) as k from l group by 1),
+s as (select 'cat__lang_' || case when k >= 2 then lang else '__pooled__' end as name from c group by 1
+  union all select unnest(['num__n_chars', 'num__n_words', 'num__n_lines', 'num__word_length', 'intercept']))
+select name, true as settled from s""")
+def logistic_gradient(t):
+    """The gradient of the penalised, weighted loss at the fitted coefficients, slot by slot: zero where the fit has settled."""
+    train, _ = _split(t)
+    ready = models.prepare(train, TARGET, NUMERIC, CATEGORICAL, models.LOGISTIC)
+    fitted = ready.fit(models.LOGISTIC)
+    model = fitted.model.stages[-1]
+    scored = model.transform(ready.vectors).withColumn("_r", F.col("weight") * (vector_to_array("probability")[1] - F.col("label")))
+    total = scored.agg(F.sum("weight")).first()[0]
+    # One row per slot: the model's own coefficients.
+    coefficients = t.spark.createDataFrame(list(enumerate(model.coefficients.toArray().tolist())), "slot int, beta double")
+    penalty = 1.0 / ready.rows
+    parts = scored.select("_r", F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    slopes = parts.groupBy("slot").agg((F.sum(F.col("_r") * F.col("x")) / total).alias("g")).join(coefficients, "slot")
+    slopes = slopes.join(fitted.slots, "slot").select("name", (F.col("g") + penalty * F.col("beta")).alias("g"))
+    intercept = scored.agg((F.sum("_r") / total).alias("g")).select(F.lit("intercept").alias("name"), "g")
+    return slopes.unionByName(intercept).select("name", (F.abs("g") < 1e-4).alias("settled"))
+
+
+@query(f"""with {RISK_ROWS}
+select y::double as label, round(count(*) over () / (2.0 * count(*) over (partition by y)), 8) as weight, count(*) over (partition by y) as rows from e
+qualify row_number() over (partition by y) = 1""")
+def class_weights(t):
+    train, _ = _split(t)
+    vectors = models.prepare(train, TARGET, NUMERIC, CATEGORICAL, models.LOGISTIC).vectors
+    return vectors.groupBy("label", F.round("weight", 8).alias("weight")).agg(F.count("*").alias("rows"))
+
+
+@query(f"""with {RISK_ROWS},
+l as (select coalesce(lang, (select lang from e where lang is not null group by 1 order by count(*) desc, lang limit 1)) as lang from e),
+c as (select lang, count(*) as k from l group by 1),
+n as (select case when k >= 2 then lang else '__pooled__' end as lang, sum(k) as k from c group by 1)
+select 'cat__lang_' || lang as name, round(k::double / (select count(*) from e), 6) + 0.0 as mean,
+  round(sqrt(k::double / (select count(*) from e) * (1 - k::double / (select count(*) from e))), 6) + 0.0 as std from n
+union all select unnest(['num__n_chars', 'num__n_words', 'num__n_lines', 'num__word_length']), 0.0, 1.0""")
+def slot_moments(t):
+    """Mean and deviation of every slot over the training rows: scaled numbers, and shares of the categories."""
+    train, _ = _split(t)
+    ready = models.prepare(train, TARGET, NUMERIC, CATEGORICAL, models.LOGISTIC)
+    parts = ready.vectors.select(F.posexplode(vector_to_array("features")).alias("slot", "x"))
+    moments = parts.groupBy("slot").agg(
+        (F.round(F.avg("x"), 6) + F.lit(0.0)).alias("mean"), (F.round(F.stddev_pop("x"), 6) + F.lit(0.0)).alias("std")
+    )
+    return moments.join(ready.slots, "slot").select("name", "mean", "std")
+
+
+@query(f"""with {SCORED},
+c as (select l_linestatus, count(*) filter (y = 1 and score >= 0.5)::double as tp, count(*) filter (y = 0 and score >= 0.5)::double as fp,
+  count(*) filter (y = 1 and score < 0.5)::double as fn, count(*) filter (y = 0 and score < 0.5)::double as tn from d group by 1),
+m as (select (tp + tn) / (tp + fp + fn + tn) as accuracy, 2 * tp / (2 * tp + fp + fn) as f1, tp / (tp + fn) as recall from c)
+select 'given' as modelo, round(avg(accuracy), 8) as accuracy_media, round(stddev_pop(accuracy), 8) + 0.0 as accuracy_std,
+  round(avg(f1), 8) as f1_media, round(stddev_pop(f1), 8) + 0.0 as f1_std, round(avg(recall), 8) as recall_media, round(stddev_pop(recall), 8) + 0.0 as recall_std from m""")
+def fold_metrics(t):
+    """Metrics of given scores over folds, as cross-validation rolls them up."""
+    scores = _scored_lines(t).withColumn("modelo", F.lit("given"))
+    rolled = evaluate.mean_over_folds(scores, "l_linestatus")
+    return rolled.select("modelo", *[
+        (F.round(f"{m}_{k}", 8) + F.lit(0.0)).alias(f"{m}_{k}") for m in ("accuracy", "f1", "recall") for k in ("media", "std")
+    ])
+
+
 @query()
 def model_cv(t):
     train, _ = _split(t)

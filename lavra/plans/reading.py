@@ -10,7 +10,7 @@ from lavra.plans.registry import query
 from lavra.session import scratch_path
 from lavra.sources.files import largest_file as biggest, profile_files, scan_by_profile, schema_catalog as catalog
 from lavra.sources.links import LinkClass, page_link_classes
-from lavra.sources.payloads import flatten_json, header_row_table as labelled_rows
+from lavra.sources.payloads import flatten_json, header_row_table as labelled_rows, variant_fields
 from lavra.sources.scan import available, scan_raw, scan_tolerant
 from lavra.sources.sinks import append_manifest, write_layer
 
@@ -174,3 +174,20 @@ def header_row_table(t):
     code = find_column(flat.columns, ["município", "código"])
     value = find_column(flat.columns, ["valor"])
     return flat.select("record", F.col(code).alias("code"), F.col(value).alias("value"))
+
+
+@query("""
+select event_id, case event_id % 4 when 2 then null when 3 then null else user_id::varchar end as id,
+  case event_id % 4 when 0 then user_id when 1 then user_id end as number,
+  case when event_id % 4 = 2 then user_id end as inner_id from events""")
+def mixed_json(t):
+    """Records that give their id as a number, as text, inside an object, or are no JSON at all."""
+    user = F.col("user_id").cast("string")
+    record = (
+        F.when(F.col("event_id") % 4 == 0, F.concat(F.lit('{"id": '), user, F.lit("}")))
+        .when(F.col("event_id") % 4 == 1, F.concat(F.lit('{"id": "'), user, F.lit('", "more": [1, "x"]}')))
+        .when(F.col("event_id") % 4 == 2, F.concat(F.lit('{"place": {"id": '), user, F.lit("}}")))
+        .otherwise(F.concat(F.lit("no json "), user))
+    )
+    fields = {"id": ("$.id", "string"), "number": ("$.id", "bigint"), "inner_id": ("$.place.id", "bigint")}
+    return variant_fields(t.events.select("event_id", record.alias("r")), "r", fields)

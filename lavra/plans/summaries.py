@@ -194,7 +194,20 @@ def quality_report(t):
         profile.in_range("l_quantity", 0, 40), profile.in_range("l_discount", 0, 100),
         profile.binary("l_linenumber"), profile.in_range("l_missing", 0, 100),
     ]
-    return profile.quality_report(raw.distinct(), "lineitem", rules, rows_before=raw.count())
+    return profile.quality_report(profile.distinct_rows(raw), "lineitem", rules, copies="_copies")
+
+
+@query("""
+select o_orderkey, (o_orderkey * 3)::double as mostly, case when o_orderkey % 4 = 0 then 'x' else o_orderkey::varchar end as mixed,
+  o_orderkey::varchar as id_order from orders""")
+def numeric_when_safe(t):
+    """Texts that are numbers in nine of ten rows become numbers; identifiers and the others stay text."""
+    number = F.col("o_orderkey")
+    texts = t.orders.select(
+        "o_orderkey", (number * 3).cast("string").alias("mostly"),
+        F.when(number % 4 == 0, "x").otherwise(number.cast("string")).alias("mixed"), number.cast("string").alias("id_order"),
+    )
+    return profile.numeric_when_safe(texts)
 
 
 def _wide_orders(t):

@@ -37,6 +37,18 @@ def flatten_json(
     return record.select(*kept, *columns)
 
 
+def variant_fields(df: DataFrame, column: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Fields of JSON records whose values differ in type from record to record.
+
+    ``fields`` maps output names to a JSON path and a type. Records are parsed once into a variant, without a schema: a value that
+    cannot be cast to its field's type is null in that field alone, and a text that is no JSON is null in all.
+    Objects and arrays read as ``string`` are their JSON.
+    """
+    record = df.withColumn("_record", F.try_parse_json(F.col(column)))
+    kept = [c for c in df.columns if c != column]
+    return record.select(*kept, *[F.try_variant_get("_record", path, kind).alias(name) for name, (path, kind) in fields.items()])
+
+
 def header_row_table(df: DataFrame, column: str) -> DataFrame:
     """Rows of an array of maps whose element 0 maps each internal key to its label.
 
