@@ -11,7 +11,7 @@ from lavra.plans.rankings import GROUPS
 from lavra.plans.registry import query
 from lavra.session import scratch_path, staged
 from lavra.sources.payloads import header_row_table
-from lavra.sources.scan import scan_raw, scan_typed
+from lavra.sources.scan import scan_quoted, scan_raw, scan_typed
 from lavra.sources.sinks import load_run, save_run, write_json, write_layer
 
 RISK_FOLDS = (
@@ -184,6 +184,17 @@ def quoted_line_breaks(t):
     return scan_raw(t.spark, path, multi_line=True)
 
 
+@query("""select l_orderkey::varchar as l_orderkey, l_linenumber::varchar as l_linenumber,
+  case when l_linenumber % 2 = 0 then l_returnflag || chr(10) || '"' || l_linestatus || '",' || chr(10) || 'x' else l_returnflag end as note from lineitem""")
+def quoted_breaks_in_splits(t):
+    """Quoted line breaks, quotes and commas, read without a task that holds a file."""
+    path = scratch_path(t.spark, "breaks")
+    note = F.when(F.col("l_linenumber") % 2 == 0, F.concat("l_returnflag", F.lit('\n"'), "l_linestatus", F.lit('",\nx'))).otherwise(F.col("l_returnflag"))
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", note.alias("note"))
+    rows.write.options(header=True, escape='"').csv(path)
+    return scan_quoted(t.spark, path)
+
+
 @query("""
 select n, sum(size)::bigint as rows from (
   select count(distinct fold) as n, count(*) as size from (

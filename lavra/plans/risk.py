@@ -104,9 +104,11 @@ def exploration(data: DataFrame) -> dict[str, DataFrame]:
         ),
     }
     if "sigla_uf" in data.columns:
-        out["risco_por_uf"] = sorted_by(
-            aggregate.rate_by_category(data, "sigla_uf", fixed.TARGET, "alunos", "taxa_risco", "taxa_risco_pct"),
-            ("sigla_uf", False),
+        rates = aggregate.rate_by_category(data, "sigla_uf", fixed.TARGET, "alunos", "taxa_risco", "taxa_risco_pct")
+        out["risco_por_uf"] = sorted_by(rates, ("sigla_uf", False))
+        # What the chart shows: states of enough students, from the lowest rate up.
+        out["grafico_risco_por_uf"] = sorted_by(
+            rates.where(F.col("alunos") >= fixed.CHART_MINIMUM), ("taxa_risco_pct", False), ("sigla_uf", False)
         )
     return out
 
@@ -209,3 +211,16 @@ def without_feature(run: Training, feature: str = "sigla_uf") -> tuple[DataFrame
     metrics = evaluate.binary_metrics(predictions, "y_real", "prob_risco_sem_uf", "y_pred_sem_uf")
     comparison = evaluate.compare_metrics(run.metrics, metrics, f"modelo_com_{feature}", f"modelo_sem_{feature}")
     return comparison, evaluate.verdict(comparison, fixed.VERDICT_TEXTS, fixed.SMALL_DELTA), predictions
+
+
+def ablation_summary(run: Training, feature: str, comparison: DataFrame, verdict: DataFrame) -> DataFrame:
+    """One row: the original model, the feature taken away, how many are left, the changes of three metrics, and the verdict."""
+    deltas = comparison.agg(*[
+        F.max(F.when(F.col("metrica") == m, F.col("delta_absoluto"))).alias(f"delta_{m}") for m in ("pr_auc", "roc_auc", "balanced_accuracy")
+    ])
+    left = len([c for c in run.fitted.numeric + run.fitted.categorical if c != feature])
+    text = verdict.select("interpretacao").first()["interpretacao"]
+    return deltas.select(
+        F.lit(run.best).alias("modelo_original"), F.lit(feature).alias("feature_removida"), F.lit(left).alias("features_restantes"),
+        "*", F.lit(text).alias("interpretacao"),
+    )

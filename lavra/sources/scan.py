@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lavra.functions.text import quoted
+from lavra.operators.joins import skew_join
+from lavra.session import staged
 
 # Cell texts that a raw read takes as missing.
 MISSING_CELLS = (
@@ -82,6 +85,52 @@ def scan_tolerant(
     return kept.select(*[_cell(F.col(quoted(c)), encoding, missing).alias(c) for c in names])
 
 
+def scan_quoted(
+    spark: SparkSession, path: str | Sequence[str], sep: str = ",", missing: Sequence[str] = MISSING_CELLS
+) -> DataFrame:
+    """As ``scan_raw`` with ``multi_line``, but a file is read in as many splits as its size asks for.
+
+    A line belongs to the record before it when an odd number of quotes stands ahead of it in its file. Quotes
+    are counted in each split, the parities of the splits ahead are added (a row per split), and only lines of records with
+    line breaks are put together. Files are UTF-8, lines end with ``\\n`` or ``\\r\\n``, each file has
+    the same header, and every record has as many cells; a quote that is never closed takes the rest of its file along.
+    """
+    names = _csv_reader(spark, sep, "UTF-8", True).csv(path).columns
+    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    lines = spark.read.option("lineSep", "\n").text(path).select(*split, F.monotonically_increasing_id().alias("_id"), "value")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    inside = W.partitionBy("_file", "_block").orderBy("_id")
+    counted = staged(lines.withColumn("_q", quotes).withColumns({
+        "_ahead": F.coalesce(F.sum("_q").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)),
+        "_first": (F.col("_block") == 0) & (F.row_number().over(inside) == 1),
+    }), "lines")
+    # One row per split of a file.
+    before = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    splits = counted.groupBy("_file", "_block").agg(F.sum("_q").alias("_all"))
+    splits = splits.withColumn("_open", F.coalesce(F.sum("_all").over(before), F.lit(0))).drop("_all")
+    opened = skew_join(counted, staged(splits, "splits"), ["_file", "_block"])
+    starts = (F.col("_open") + F.col("_ahead")) % 2 == 0
+    closed = (F.col("_open") + F.col("_ahead") + F.col("_q")) % 2 == 0
+    marked = staged(opened.select("_file", "_block", "_id", "value", "_first", starts.alias("_starts"), closed.alias("_closed")), "marked")
+    whole = marked.where("_starts and _closed")
+    # Lines of longer records: each knows the last line before it, in its split or an earlier one, that starts a record.
+    parts = marked.where("not (_starts and _closed)")
+    last = parts.where("_starts").groupBy("_file", "_block").agg(F.max(F.struct("_block", "_id")).alias("_last"))
+    every = staged(parts.select("_file", "_block").distinct().join(last, ["_file", "_block"], "left"), "starts")
+    every = every.withColumn("_before", F.max("_last").over(before)).drop("_last")
+    known = F.max(F.when(F.col("_starts"), F.struct("_block", "_id"))).over(inside.rowsBetween(W.unboundedPreceding, 0))
+    owned = skew_join(parts.withColumn("_own", known), every, ["_file", "_block"])
+    joined = owned.groupBy("_file", F.coalesce("_own", "_before").alias("_record")).agg(
+        F.max("_first").alias("_first"), F.sort_array(F.collect_list(F.struct("_block", "_id", "value"))).alias("_lines")
+    )
+    text = F.array_join(F.transform("_lines", lambda line: line["value"]), "\n")
+    records = whole.select("value", "_first").unionByName(joined.select(text.alias("value"), "_first")).where("not _first")
+    schema = ", ".join(f"`c{i}` string" for i in range(len(names)))
+    cells = F.from_csv(F.regexp_replace("value", "\r$", ""), F.lit(schema), {"sep": sep, "escape": '"', "maxCharsPerColumn": "-1"})
+    filled = records.where(F.length(F.trim("value")) > 0).select(cells.alias("c"))
+    return filled.select(*[_cell(F.col(f"c.c{i}"), "utf-8", missing).alias(c) for i, c in enumerate(names)])
+
+
 def scan_typed(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """A layer table. Parquet carries its own types; a schema narrows or pins them."""
     reader = spark.read if schema is None else spark.read.schema(schema)

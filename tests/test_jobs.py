@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lavra.operators import models
-from lavra.plans import context, layers, literacy, risk
+from lavra.plans import context, jobs, layers, literacy, risk
+from lavra.sources.sinks import load_run
 
 
 @pytest.fixture(scope="module")
@@ -202,3 +203,45 @@ def test_modelling(spark, gold, outside, territory, tmp_path):
     assert comparison.count() == 7 and verdict.count() == 1 and predictions.count() == run.predictions.count()
     with pytest.raises(ValueError):
         risk.without_feature(run, "gone")
+
+
+def census(spark):
+    return spark.createDataFrame([("2600000", "X", "PE", "26", "1", "2", "1", "5")], "CO_MUNICIPIO string, NO_MUNICIPIO string, "
+                                 "SG_UF string, CO_UF string, TP_LOCALIZACAO string, TP_DEPENDENCIA string, IN_INTERNET string, QT_SALAS_UTILIZADAS string")
+
+
+def test_halves_fail_alone(spark, outside, tmp_path):
+    keys, _ = outside
+    codes = [f"{2600000 + 100 * s + m}" for s in range(3) for m in range(12)]
+    facts = {"censo": ("Censo", 2023, "schools"), "ibge": ("IBGE", 2022, "territory")}
+
+    def broken():
+        raise OSError("no answer")
+
+    sources = {"localities": lambda: localities(spark), "population": lambda: statistics(spark, [(c, "1.000,0") for c in codes]), "product": broken}
+    out = jobs.run_context(spark, str(tmp_path / "a"), keys, broken, sources, facts)
+    assert set(out.tables) == {"ibge"} and set(out.failures) == {"censo", "product"}
+    table = out.tables["ibge"]
+    assert table.count() == 36 and table.where("populacao_2022 = 1000 and pib_2022_mil_reais is null and pop_urbana_2022 is null").count() == 36
+    told = {r["fonte"]: r for r in spark.read.parquet(str(tmp_path / "a" / "_manifest")).collect()}
+    assert told["Censo"]["arquivo"] == "" and told["IBGE"]["arquivo"].endswith("/ibge")
+    assert (told["IBGE"]["ano"], told["IBGE"]["chave_integracao"]) == (2022, "codigo_municipio")
+    out = jobs.run_context(spark, str(tmp_path / "b"), keys, lambda: census(spark), {"product": broken}, facts)
+    assert set(out.tables) == {"censo"} and set(out.failures) == {"ibge", "product"}
+    assert {r["fonte"]: bool(r["arquivo"]) for r in spark.read.parquet(str(tmp_path / "b" / "_manifest")).collect()} == {"Censo": True, "IBGE": False}
+    out = jobs.run_context(spark, str(tmp_path / "c"), keys, broken, {}, facts)
+    assert not out.tables and spark.read.parquet(str(tmp_path / "c" / "_manifest")).where("arquivo = ''").count() == 2
+
+
+def test_risk_in_one_call(spark, gold, outside, territory, tmp_path):
+    made = risk.modelling_table(gold[0]["amostra_alunos"], gold[0]["indicadores_municipios"], outside[1], territory[0])
+    table, kept, _ = risk.curated(made.data)
+    small = [models.ModelSpec("random_forest", params={"n_estimators": 3, "max_depth": 4})]
+    run, reports = jobs.run_risk(str(tmp_path / "risk"), table, kept, small, draws=1, repeats=1, minimum=2)
+    model, predictions, facts = load_run(spark, str(tmp_path / "risk" / "run"))
+    assert predictions.count() == run.test.count() and facts.first()["best_model"] == "random_forest" and facts.first()["positive_class"] == "1"
+    summary = reports["robustez_resumo"].first()
+    assert (summary["modelo_original"], summary["feature_removida"]) == ("random_forest", "sigla_uf")
+    assert summary["features_restantes"] == len(run.fitted.numeric + run.fitted.categorical) - 1 and summary["interpretacao"]
+    assert reports["shap_importance"].count() > 0 and reports["ranking_municipios"].count() > 0
+    assert {r["feature_original"] for r in reports["shap_importance_transformed"].collect()} <= set(kept)

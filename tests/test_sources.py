@@ -1,3 +1,6 @@
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +8,7 @@ from lavra.sources.files import largest_file, profile_files, schema_catalog
 from lavra.sources.links import LinkClass, classify_links, links_with_fallback, page_link_classes, page_links, resolve_url
 from lavra.sources.parts import union_parts
 from lavra.sources.payloads import flatten_json, header_row_table
-from lavra.sources.scan import available, scan_raw, scan_tolerant, scan_typed
+from lavra.sources.scan import available, scan_quoted, scan_raw, scan_tolerant, scan_typed
 from lavra.sources.sinks import append_manifest, external_manifest, write_json, write_layer
 from lavra.streaming.chunks import ingest_new_files
 from lavra.functions.text import clean_text
@@ -164,3 +167,28 @@ def test_chunks_take_each_file_once(spark, tmp_path):
         query = ingest_new_files(spark, source, "a string, b string", clean, target, progress, files_per_chunk=1)
         query.awaitTermination(60)
     assert sorted(r["a"] or "" for r in spark.read.parquet(target).collect()) == ["", "", "", "0", "1", "2"]
+
+
+def test_quoted_breaks_across_splits(spark, tmp_path):
+    rng = random.Random(3)
+    folder = tmp_path / "quoted"
+    folder.mkdir()
+    for k in range(2):
+        with open(folder / f"part{k}.csv", "w", newline="") as f:
+            writer = csv.writer(f, lineterminator="\r\n" if k else "\n")
+            writer.writerow(["id", "a note", "end"])
+            for i in range(400):
+                parts = [rng.choice(["x", "\n", '"', ",", "é", "\n\n", "words here"]) for _ in range(rng.randrange(1, 12))]
+                writer.writerow([f"{k}-{i}", "n" + "".join(parts) + "z", "e"])
+    whole = sorted(map(tuple, scan_raw(spark, str(folder), multi_line=True).collect()))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0b")
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 16
+        found = scan_quoted(spark, str(folder))
+        assert found.columns == ["id", "a note", "end"]
+        assert sorted(map(tuple, found.collect())) == whole and len(whole) == 800
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
