@@ -126,7 +126,7 @@ def test_census(outside):
     assert "media_salas_existentes" not in census.columns
 
 
-def localities(spark):
+def raw_localities(spark):
     uf = {"id": 26, "sigla": "PE", "nome": "Pernambuco", "regiao": {"id": 2, "sigla": "NE", "nome": "Nordeste"}}
     rows = []
     for s in range(3):
@@ -137,7 +137,11 @@ def localities(spark):
             else:
                 record["microrregiao"] = {"id": 4, "nome": "mi", "mesorregiao": {"id": 5, "nome": "me", "UF": uf}}
             rows.append((json.dumps(record, ensure_ascii=False),))
-    return context.localities(spark.createDataFrame(rows, "record string"))
+    return spark.createDataFrame(rows, "record string")
+
+
+def localities(spark):
+    return context.localities(raw_localities(spark))
 
 
 def statistics(spark, values, split=None):
@@ -218,7 +222,7 @@ def test_halves_fail_alone(spark, outside, tmp_path):
     def broken():
         raise OSError("no answer")
 
-    sources = {"localities": lambda: localities(spark), "population": lambda: statistics(spark, [(c, "1.000,0") for c in codes]), "product": broken}
+    sources = {"localities": lambda: raw_localities(spark), "population": lambda: statistics(spark, [(c, "1.000,0") for c in codes]), "product": broken}
     out = jobs.run_context(spark, str(tmp_path / "a"), keys, broken, sources, facts)
     assert set(out.tables) == {"ibge"} and set(out.failures) == {"censo", "product"}
     table = out.tables["ibge"]
