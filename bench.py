@@ -19,6 +19,7 @@ HEADLINE = (
     "rank_global", "rank_with_ties", "rank_in_group", "ranking_list", "melt_years", "sample_exact",
     "group_folds_by_order", "page_links", "event_json", "header_row_table", "exact_medians",
     "impute_scale_encode", "binary_metrics", "curve_points", "risk_rollup",
+    "many_categories", "permutation_ring", "stratified_folds", "mixed_json", "quoted_breaks_in_splits",
 )
 REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 

@@ -19,6 +19,7 @@ from lavra.operators.ranking import competition_rank, rank_in_group, sorted_by
 from lavra.operators.reshape import melt_years
 from lavra.operators.sampling import sample_with_counts
 from lavra.plans import literacy as fixed
+from lavra.sources.links import page_link_classes
 from lavra.sources.sinks import append_manifest, write_layer
 
 
@@ -205,6 +206,14 @@ def gold(silver_tables: Mapping[str, DataFrame], folder: str, sampled: bool = Fa
     return out
 
 
+def source_links(pages: DataFrame, fallback: Mapping[str, str], html: str = "html", url: str = "url") -> DataFrame:
+    """The download links that stored pages name: a row per page and kind, with the fallback address where a page has none.
+
+    ``fallback`` holds an address for each of the kinds in ``literacy.LINK_CLASSES`` that is wanted.
+    """
+    return page_link_classes(pages, html, url, fixed.LINK_CLASSES, dict(fallback), [url])
+
+
 def run_layers(
     spark: SparkSession, raw: Mapping[str, DataFrame], folder: str, rows: int | None = None,
     keys: Mapping[str, Sequence[str]] | None = None,

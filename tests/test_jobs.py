@@ -74,6 +74,16 @@ def test_layers(spark, gold):
     assert summary["municipios_gold"] == "36" and summary["corte_proficiencia_alfabetizacao"] == "743"
 
 
+def test_source_links(spark):
+    html = '<a href="/a">Resultado e Meta - Brasil e UF</a><a href="b.zip">Microdados Alfabetiza</a><a href="/c">Resultado, meta: Munic</a>'
+    pages = spark.createDataFrame([("https://example.org/x/", html), ("https://example.org/y/", "<p>none</p>")], "url string, html string")
+    spare = {"brasil_ufs": "https://spare/1", "municipios": "https://spare/2", "microdados": "https://spare/3"}
+    got = {(r["url"][-2], r["link_class"]): (r["link"], r["found"]) for r in layers.source_links(pages, spare).collect()}
+    assert got["x", "brasil_ufs"] == ("https://example.org/a", True) and got["x", "municipios"] == ("https://example.org/c", True)
+    assert got["x", "microdados"] == ("https://example.org/x/b.zip", True)
+    assert {v for k, v in got.items() if k[0] == "y"} == {(v, False) for v in spare.values()}
+
+
 def test_state_indicators(gold):
     rows = {r["nome_uf"]: r for r in gold[0]["indicadores_ufs"].collect()}
     assert rows["NOME_UF"]["ranking_ufs_2024"] is None and rows["NOME_UF"]["codigo_uf"] == "00"
