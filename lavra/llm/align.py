@@ -27,14 +27,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lavra.llm.substrings import chunks
 from lavra.session import scratch_path, shuffle_width, staged
 
 # Pairs of ids in a table of counts that is sent to every task (16 bytes each), and in a range of a longer one.
 TABLE_ROWS, RANGE_ROWS = 2_000_000, 1_000_000
 # Different pairs a task keeps before it hands their counts on.
 KEPT = 2_000_000
+# Bytes of text whose distinct stretches are tokenized together; a longer text alone.
+CHUNK_BYTES = 4 << 20
+# Tokens of both sides that are laid over each other at once; a longer text alone.
+TOKENS = 400_000
 # A space behind a character that is no white space for any of the tokenizers starts a stretch.
 BEFORE = r"([^\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]) "
 # A code point that is no character marks the starts; texts that hold it are tokenized as a whole.
@@ -64,10 +68,10 @@ class BytePairs:
 
         with open(path, encoding="utf-8") as f:
             text = f.read()
-        self.tokenizer = Tokenizer.from_str(text)
-        self.tokenizer.encode_special_tokens = True
+        slow = Tokenizer.from_str(text)
+        slow.encode_special_tokens = True
         letters, told = byte_letters(), json.loads(text)
-        entries = self.tokenizer.get_vocab(with_added_tokens=True)
+        entries = slow.get_vocab(with_added_tokens=True)
         self.bytes = [b""] * (max(entries.values()) + 1)
         for token, i in entries.items():
             known = all(c in letters for c in token)
@@ -77,6 +81,7 @@ class BytePairs:
         self.local = before.get("type") == "ByteLevel" and bool(before.get("use_regex", True)) and not before.get("add_prefix_space")
         self.local &= not told.get("normalizer") and not told["model"].get("ignore_merges")
         self.fast = self._ranked(told) if self.local else None
+        self.slow = None if self.fast else slow
 
     def _ranked(self, told: dict):
         """The same vocabulary in the faster tiktoken, if its ids stand in the order of its merges."""
@@ -94,7 +99,7 @@ class BytePairs:
         """Ids of a text that starts with a space."""
         if self.fast:
             return self.fast.encode_ordinary(spaced)
-        return self.tokenizer.encode(spaced, add_special_tokens=False).ids
+        return self.slow.encode(spaced, add_special_tokens=False).ids
 
 
 class Pieces:
@@ -129,6 +134,13 @@ class Side:
         self.sizes = _lengths(coder)[ids]
         self.doc = np.repeat(np.arange(len(many)), many)
 
+    def between(self, start: int, end: int) -> Side:
+        """The tokens of some of the texts."""
+        part = object.__new__(Side)
+        some = slice(int(self.many[:start].sum()), int(self.many[:end].sum()))
+        part.ids, part.sizes, part.doc, part.many = self.ids[some], self.sizes[some], self.doc[some] - start, self.many[start:end]
+        return part
+
     def only(self, kept: np.ndarray) -> None:
         """Drop the tokens of all other texts."""
         here = kept[self.doc]
@@ -257,44 +269,64 @@ def groups(a: Side, b: Side, size: int) -> tuple[np.ndarray, list[str]]:
 
 
 def pack(values: np.ndarray, times: np.ndarray) -> bytes:
-    """Sorted distinct numbers and how often each occurs, as byte planes that compress well."""
-    steps = np.stack((np.diff(values, prepend=0), times)).astype("<u8")
-    return np.ascontiguousarray(steps.reshape(-1).view(np.uint8).reshape(-1, 8).T).tobytes()
+    """Sorted distinct numbers and how often each occurs, as byte planes (their number first) that compress well."""
+    steps = np.concatenate((np.diff(values, prepend=0), times))
+    width = 4 if not len(steps) or int(steps.max()) >> 32 == 0 else 8
+    return bytes([width]) + np.ascontiguousarray(steps.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
 
 
 def unpack(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(packed, np.uint8).reshape(8, -1).T
-    steps = np.ascontiguousarray(planes).view("<u8").reshape(2, -1).astype(np.int64)
+    width = packed[0]
+    planes = np.frombuffer(packed, np.uint8, offset=1).reshape(width, -1).T
+    steps = np.ascontiguousarray(planes).view(f"<u{width}").reshape(2, -1).astype(np.int64)
     return np.cumsum(steps[0]), steps[1]
 
 
 ALIGNED = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs binary"
 
 
-def _align(texts: pa.Array, paths: tuple[str, str], digest: bool) -> pa.Array:
-    """Counts, groups and linked pairs of ids (A's id times the size of B's vocabulary plus B's) of texts."""
-    coders = [tokenizer(p) for p in paths]
-    out: dict[str, list] = {f.split()[0]: [] for f in ALIGNED.split(", ")}
-    whole = pa.RecordBatch.from_arrays([texts], ["text"])
-    for part in chunks(whole, "text") if len(texts) else ():
-        a, b = encoded(part.column("text"), coders)
-        i, j = overlaps(a, b)
-        many, told = groups(a, b, max(len(c.bytes) for c in coders))
-        linked = a.doc[i]
-        bits = (len(coders[0].bytes) * len(coders[1].bytes)).bit_length()
-        pair = np.sort((linked << bits) | (a.ids[i] * len(coders[1].bytes) + b.ids[j]))
-        new = np.flatnonzero(np.diff(pair, prepend=-1))
-        times = np.diff(np.append(new, len(pair)))
-        ends = np.searchsorted(pair[new] >> bits, np.arange(len(a.many)), "right").tolist()
-        known = pair[new] & ((1 << bits) - 1)
-        out["n_a"] += a.many.tolist()
-        out["n_b"] += b.many.tolist()
-        out["n_groups"] += many.tolist()
-        out["n_links"] += np.bincount(linked, minlength=len(a.many)).tolist()
-        out["groups_sha256"] += [hashlib.sha256(t.encode()).hexdigest() if t and digest else t for t in told]
-        out["pairs"] += [pack(known[s:e], times[s:e]) for s, e in zip([0, *ends[:-1]], ends)]
-    kinds = [pa.int64()] * 4 + [pa.string(), pa.binary()]
-    return pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
+def _aligned(a: Side, b: Side, coders: Sequence[BytePairs | Pieces], digest: bool) -> tuple[list, ...]:
+    """The columns of ``ALIGNED`` for some texts."""
+    i, j = overlaps(a, b)
+    many, told = groups(a, b, max(len(c.bytes) for c in coders))
+    linked = a.doc[i]
+    bits = (len(coders[0].bytes) * len(coders[1].bytes)).bit_length()
+    pair = np.sort((linked << bits) | (a.ids[i] * len(coders[1].bytes) + b.ids[j]))
+    new = np.flatnonzero(np.diff(pair, prepend=-1))
+    times = np.diff(np.append(new, len(pair)))
+    ends = np.searchsorted(pair[new] >> bits, np.arange(len(a.many)), "right").tolist()
+    known = pair[new] & ((1 << bits) - 1)
+    return (
+        a.many.tolist(), b.many.tolist(), many.tolist(), np.bincount(linked, minlength=len(a.many)).tolist(),
+        [hashlib.sha256(t.encode()).hexdigest() if t and digest else t for t in told],
+        [pack(known[s:e], times[s:e]) for s, e in zip([0, *ends[:-1]], ends)],
+    )
+
+
+def _align(paths: tuple[str, str], digest: bool):
+    """Rows ``_row, _text`` with the columns of ``ALIGNED`` instead of the text; pairs are A's id times the size of B's vocabulary plus B's."""
+    fields = [f.split() for f in ALIGNED.split(", ")]
+    kinds = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coders = [tokenizer(p) for p in paths]
+        for batch in batches:
+            sizes = pc.binary_length(batch.column("_text")).fill_null(0).to_numpy().astype(np.int64)
+            firsts = np.flatnonzero(np.diff(np.cumsum(sizes) // CHUNK_BYTES, prepend=-1)).tolist()
+            for first, last in zip(firsts, [*firsts[1:], batch.num_rows]):
+                part = batch.slice(first, last - first)
+                sides = encoded(part.column("_text"), coders)
+                out: list[list] = [[] for _ in fields]
+                # Tokens are shared by many texts; what lies over what is worked out for fewer at a time.
+                starts = np.flatnonzero(np.diff(np.cumsum(sides[0].many + sides[1].many) // TOKENS, prepend=-1)).tolist()
+                for start, end in zip(starts, [*starts[1:], part.num_rows]):
+                    a, b = (s.between(start, end) for s in sides)
+                    for column, values in zip(out, _aligned(a, b, coders, digest)):
+                        column += values
+                columns = [pa.array(v, kinds[k]) for v, (_, k) in zip(out, fields)]
+                yield pa.RecordBatch.from_arrays([part.column("_row"), *columns], ["_row", *(n for n, _ in fields)])
+
+    return run
 
 
 def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,7 +366,8 @@ def _in_ranges(counts: DataFrame, docs: DataFrame, rows: int, range_rows: int) -
     go to as many tasks as share its documents, and stand before them.
     """
     width = shuffle_width(counts.sparkSession)
-    share = [i / (parts := -(-rows // range_rows)) for i in range(1, parts)]
+    parts = -(-rows // range_rows)
+    share = [i / parts for i in range(1, parts)]
     limits = sorted(set(counts.approxQuantile("pair", share, 1e-4))) if share else []
     limits = np.array(limits, np.int64)
     salts = max(1, width // (len(limits) + 1))
@@ -354,9 +387,8 @@ def _in_ranges(counts: DataFrame, docs: DataFrame, rows: int, range_rows: int) -
                 [pa.array(ids, pa.int64()), pa.array(ranges, pa.int32()), pa.array(slices, pa.binary())], ["_doc", "range", "pairs"]
             )
 
-    bounds = F.lit(0)
-    for limit in limits.tolist():
-        bounds = bounds + (F.col("pair") >= limit).cast("int")
+    below = F.filter(F.array(*map(F.lit, limits.tolist())).cast("array<long>"), lambda limit: limit <= F.col("pair"))
+    bounds = F.size(below)
     # Counts travel in blocks of their range, once for each salt.
     cells = counts.withColumn("range", bounds).select("range", F.struct("pair", "n", "best").alias("c"), (F.hash("pair") % 64).alias("b"))
     blocks = cells.groupBy("range", "b").agg(F.collect_list("c").alias("cells")).select(
@@ -419,11 +451,10 @@ def align(
     new = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
     kept = [c for c in (docs.columns if carry is None else carry) if c not in new]
 
-    def run(texts: pa.Array) -> pa.Array:
-        return _align(texts, (first, second), digest)
-
     row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in kept]).alias("_row")
-    marked = docs.select(row, F.arrow_udf(run, ALIGNED)(F.col(f"`{text}`")).alias("_m")).select("_row", "_m.*", F.monotonically_increasing_id().alias("_doc"))
+    read = docs.select(row, F.col(f"`{text}`").cast("string").alias("_text"))
+    schema = T.StructType([read.schema["_row"], *T.StructType.fromDDL(ALIGNED).fields])
+    marked = read.mapInArrow(_align((first, second), digest), schema).withColumn("_doc", F.monotonically_increasing_id())
     path = scratch_path(docs.sparkSession, "aligned")
     # The pairs are byte planes that only a strong codec makes small.
     marked.write.option("compression", "zstd").parquet(path)
