@@ -184,30 +184,43 @@ def _cut(queue: DataFrame, turns: int, share: float) -> DataFrame:
 
 
 def mix(
-    docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", **options
+    docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id", ordered: bool = True, **options
 ) -> DataFrame:
     """The mix itself: rows of ``docs`` in order of finish time, a row for each turn that is taken.
 
     The document that the budget ends in is taken whole if at least half of it is. Columns are those
-    of ``docs``. Only keys, sizes and hashes pass through the queues; the texts meet the result once.
-    Rows equal in key and text are numbered on both sides, so each gets one place in the queue.
+    of ``docs``, whatever their names. Only keys, sizes and hashes pass through the queues and the cut; the texts meet their
+    finish times once, and move once more only if they are to be ``ordered``. Rows equal in key and text are numbered on both
+    sides, so each gets one place in the queue. Null and empty texts have no words and are not taken; an empty table
+    gives an empty mix.
     """
     digest = F.xxhash64(f"`{text}`")
     thin = docs.withColumn("_digest", digest)
     placed = schedule(thin, text=text, source=source, key=key, carry=[key, "_digest"], **options)
-    columns = columns_of(docs)
-    own = W.partitionBy("_k", "_digest")
-    left = docs.select(F.struct(*columns).alias("_doc"), F.col(f"`{key}`").alias("_k"), digest.alias("_digest"))
-    left = left.withColumn("_n", F.row_number().over(own.orderBy(F.xxhash64("_doc"))))
-    right = placed.withColumnRenamed(key, "_k").withColumn("_n", F.row_number().over(own.orderBy("finish")))
     turns = F.sequence(F.lit(0), F.round(F.col("taken") / F.col("size")).cast("int") - 1)
-    right = right.where(2 * F.col("taken") >= F.col("size")).where("taken > 0").select(
-        "_k", "_digest", "_n", F.explode(turns).alias("_turn"), "finish", "source_size", "target"
+    pace = F.col("source_size") / F.col("target")
+    taken = staged(
+        placed.where("2 * taken >= size and taken > 0").select(
+            F.col(f"`{key}`").alias("_k"), "_digest", "finish", F.transform(turns, lambda t: F.col("finish") + t * pace).alias("_times")
+        ),
+        "taken",
     )
-    joined = left.alias("l").join(
-        right.alias("r"),
-        F.col("l._k").eqNullSafe(F.col("r._k")) & (F.col("l._digest") == F.col("r._digest")) & (F.col("l._n") == F.col("r._n")),
-    )
-    when = (F.col("finish") + F.col("_turn") * F.col("source_size") / F.col("target")).alias("_when")
-    ordered = joined.select("_doc", when).repartitionByRange("_when").sortWithinPartitions("_when")
-    return ordered.select("_doc.*")
+    own = docs.select(F.struct(*columns_of(docs)).alias("_doc"), F.col(f"`{key}`").alias("_k"), digest.alias("_digest"))
+    same = lambda a, b: F.col(f"{a}._k").eqNullSafe(F.col(f"{b}._k")) & (F.col(f"{a}._digest") == F.col(f"{b}._digest"))
+    keys = docs.select(F.col(f"`{key}`").alias("_k"), digest.alias("_digest"))
+    repeated = staged(keys.groupBy("_k", "_digest").agg(F.count("*").alias("_n")).where("_n > 1"), "repeated")
+    if repeated.limit(1).count():
+        again = W.partitionBy("_k", "_digest")
+        several = own.alias("l").join(repeated.alias("r"), same("l", "r"), "left_semi")
+        several = several.withColumn("_n", F.row_number().over(again.orderBy(F.xxhash64("_doc"))))
+        places = taken.alias("l").join(repeated.alias("r"), same("l", "r"), "left_semi")
+        places = places.withColumn("_n", F.row_number().over(again.orderBy("finish")))
+        met = several.alias("l").join(places.alias("r"), same("l", "r") & (F.col("l._n") == F.col("r._n"))).select("_doc", "_times")
+        own, taken = (x.alias("l").join(repeated.alias("r"), same("l", "r"), "left_anti") for x in (own, taken))
+        joined = own.alias("l").join(taken.alias("r"), same("l", "r")).select("_doc", "_times").unionByName(met)
+    else:
+        joined = own.alias("l").join(taken.alias("r"), same("l", "r")).select("_doc", "_times")
+    sent = joined.select("_doc", F.explode("_times").alias("_when"))
+    if ordered:
+        sent = sent.repartitionByRange("_when").sortWithinPartitions("_when")
+    return sent.select("_doc.*")

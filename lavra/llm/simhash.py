@@ -12,22 +12,18 @@ minimum meets at all, and a list of distinct fingerprints holds at most 2^24, wh
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Sequence
 from functools import cache
 from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lavra.llm.components import components
-from lavra.llm.lines import _cell, rarity
-from lavra.llm.substrings import chunks, mixed, word_hashes
+from lavra.llm.text import columns_of
 from lavra.session import staged
 
 BITS, BYTES = 3, 8
@@ -270,230 +266,27 @@ def near_duplicates(
     return placed.select(*[F.col(f"_doc.`{c}`") for c in kept], "fingerprint", F.col(f"_owner.{key}").alias("component_id"))
 
 
-SHINGLE, SIMILARITY = 5, 0.8
-# Bits of the parity sketch of a shingle set: one hash in 2048 each.
-SKETCH_BITS = 11
-# Lists of more texts are linked by pivots first, then compared in blocks of this many.
-WHOLE_LIST, LIST_BLOCK = 64, 1000
-# Most turns of pivots; the comparison after them does not depend on it, only takes longer.
-PIVOTS = 8
-_ORDER = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _shingled(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of lower-cased texts: hashes of the words, shingle hashes one after the other, and of how many each text has.
-
-    A text of fewer words than a shingle has none: only copies are like it.
-    """
-    words, counts = word_hashes(pc.ascii_lower(texts))
-    ends = np.cumsum(counts)
-    starts = ends - counts
-    inside = np.arange(len(words)) - np.repeat(starts, counts)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(words + (inside + 1).astype(np.uint64) * _ORDER), dtype=np.uint64)))
-    nodes = mixed(sums[ends] - sums[starts] + counts.astype(np.uint64))
-    many = np.maximum(counts - SHINGLE + 1, 0)
-    at = np.repeat(starts, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    value = np.zeros(len(at), np.uint64)
-    for k in range(SHINGLE):
-        value = mixed(value + _ORDER) + words[at + k]
-    return nodes, mixed(value), many
-
-
-def _count_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of the shingles that a batch holds more than once, by cell: the frequent ones are among them."""
-    for part in (c for batch in batches for c in chunks(batch, "_text")):
-        values, times = np.unique(_shingled(part.column("_text"))[1], return_counts=True)
-        often = times > 1
-        yield pa.RecordBatch.from_arrays([pa.array(_cell(values[often])), pa.array(times[often])], ["cell", "n"])
-
-
-def _marks(texts: pa.Array, levels: np.ndarray, similarity: float) -> list[tuple[int, int, bytes, bytes]]:
-    """Hash of the words, size and parity sketch of the shingle set, and its prefix: the rarest shingles."""
-    nodes, values, many = _shingled(texts)
-    ends = np.cumsum(many)
-    out = []
-    for node, end, count in zip(nodes.view(np.int64).tolist(), ends.tolist(), many.tolist()):
-        shingles = np.unique(values[end - count : end])
-        odd = np.bincount((shingles >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS) & 1
-        size = len(shingles)
-        prefix = shingles[np.argsort(levels[_cell(shingles)], kind="stable")][: size - math.ceil(similarity * size - 1e-6) + 1]
-        out.append((node, size, np.packbits(odd.astype(np.uint8)).tobytes(), prefix.astype("<u8").tobytes() if size else b""))
-    return out
-
-
-def _possible(similarity: float):
-    """Whether two sets can be that similar: a bit that differs stands for at least one shingle of just one of them."""
-
-    def run(left: pa.Array, right: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
-        x, y = (np.frombuffer(b"".join(c.to_pylist()), "<u8").reshape(len(c), -1) for c in (left, right))
-        total = a.to_numpy() + b.to_numpy()
-        most = total * (1 - similarity) / (1 + similarity) + 1e-6
-        fits = np.minimum(a.to_numpy(), b.to_numpy()) + 1e-6 >= similarity * np.maximum(a.to_numpy(), b.to_numpy())
-        return pa.array(fits & (np.bitwise_count(x ^ y).sum(axis=1) <= most))
-
-    return F.arrow_udf(run, "boolean")
-
-
-def _shingle_sets(values: pa.Array) -> pa.Array:
-    _, shingles, many = _shingled(values)
-    ends = np.cumsum(many)
-    return pa.array([np.unique(shingles[a:b]).tobytes() for a, b in zip((ends - many).tolist(), ends.tolist())], pa.binary())
-
-
-def _jaccard(left: pa.Array, right: pa.Array) -> pa.Array:
-    out = []
-    for a, b in zip(left.to_pylist(), right.to_pylist()):
-        x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(both / (len(x) + len(y) - both) if len(x) + len(y) else 1.0)
-    return pa.array(out, pa.float64())
-
-
-def _explode_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each shingle of a prefix, with its place in it."""
-    for batch in batches:
-        prefixes = batch.column("prefix").to_pylist()
-        many = np.array([len(x) // 8 for x in prefixes], np.int64)
-        at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        node, size = (np.repeat(batch.column(c).to_numpy(), many) for c in ("node", "size"))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.frombuffer(b"".join(prefixes), "<i8")), pa.array(node), pa.array(size), pa.array(at)],
-            ["shingle", "node", "size", "at"],
-        )
-
-
-def _compare_lists(similarity: float):
-    """Pairs of each list (``shingle, low, high``) that can be similar: of one block all, of two those across; never within a root."""
-    names = ("shingle", "low", "high", "block", "node", "root", "size", "at")
-
-    def pairs(block, node, root, size, at) -> Iterator[pa.RecordBatch]:
-        rows = max(1, 1_000_000 // len(node))
-        for first in range(0, len(node), rows):
-            i, j = (x.ravel() for x in np.meshgrid(np.arange(first, min(first + rows, len(node))), np.arange(len(node)), indexing="ij"))
-            across = (block[i] != block[j]) | (block[0] == block[-1])
-            i, j = (x[across & (i < j) & (root[i] != root[j])] for x in (i, j))
-            # The first shingle that two sets share has all that they share at or behind it.
-            share = (size[i] + size[j]) * similarity / (1 + similarity) - 1e-6
-            fits = np.minimum(size[i] - at[i], size[j] - at[j]) >= share
-            i, j = i[fits], j[fits]
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["a", "b"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = []
-        for batch in batches:
-            now = [batch.column(c).to_numpy() for c in names]
-            if kept:
-                now = [np.concatenate(x) for x in zip(kept, now)]
-            if not len(now[0]):
-                continue
-            new = np.any([x[1:] != x[:-1] for x in now[:3]], axis=0)
-            starts = np.concatenate(([0], np.flatnonzero(new) + 1))
-            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                yield from pairs(*(x[a:b] for x in now[3:]))
-            kept = [x[starts[-1] :] for x in now]
-        if kept:
-            yield from pairs(*kept[3:])
-
-    return run
-
-
-def _compared(lists: DataFrame, similarity: float) -> DataFrame:
-    """Candidates ``a, b`` of whole lists ``shingle, node, root, size, at, n``; a long list meets block by block in many tasks."""
-    blocks = F.ceil(F.col("n") / LIST_BLOCK)
-    dealt = lists.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    both = dealt.select("shingle", "node", "root", "size", "at", "block", other)
-    both = both.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
-    met = both.repartition("shingle", "low", "high").sortWithinPartitions("shingle", "low", "high", "block")
-    return met.mapInArrow(_compare_lists(similarity), "a long, b long")
-
-
-def similar_links(docs: DataFrame, texts: DataFrame, text: str, key: str, similarity: float) -> DataFrame:
-    """Links ``a, b`` between nodes of ``texts``: all their components of pairs with that similarity, or more.
-
-    Two such sets share one of the rarest shingles of both (their prefixes), so they meet in its list.
-    Short lists give all their pairs. In a long one every text meets a pivot, another in each of a few turns, as long
-    as that links anything; then all pairs that are still apart are compared. So no pair is passed
-    over but those that verified links have joined already.
-    """
-    value = F.col(f"`{text}`")
-    marks = texts.select("node", "size", "sketch")
-    met = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_h") == F.col("_hash"))
-    keyed = docs.select(F.col(f"`{key}`").alias("_k"), F.xxhash64(value).alias("_h"), value.alias("_text"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        known = pairs.join(marks.toDF("a", "_na", "_ska"), "a").join(marks.toDF("b", "_nb", "_skb"), "b")
-        pairs = staged(known.where(_possible(similarity)("_ska", "_skb", "_na", "_nb")).select("a", "b"), "pairs")
-        # The sets of just the texts in a pair.
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(texts, "node")
-        named = asked.select("node", F.col("_row.key").alias("_key"), F.col("_row.hash").alias("_hash"))
-        sets = keyed.join(named, met).select("node", F.arrow_udf(_shingle_sets, "binary")("_text").alias("set"))
-        sets = staged(sets, "sets").dropDuplicates(["node"])
-        both = pairs.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
-        return staged(both.where(F.arrow_udf(_jaccard, "double")("_sa", "_sb") >= similarity).select("a", "b"), "similar")
-
-    postings = texts.where("size > 0").select("node", "size", "prefix").mapInArrow(_explode_prefix, "shingle long, node long, size long, at long")
-    counts = postings.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
-    lists = staged(postings.join(counts, "shingle"), "lists")
-    alone = lists.withColumn("root", F.col("node"))
-    links = verified(_compared(alone.where(F.col("n") <= WHOLE_LIST), similarity))
-    long = lists.where(F.col("n") > WHOLE_LIST)
-    if not long.limit(1).count():
-        return links
-
-    turn = 0
-    while True:
-        found = components(links)
-        rooted = long.join(found.toDF("node", "_root"), "node", "left").withColumn("root", F.coalesce("_root", "node")).drop("_root")
-        pivots = rooted.groupBy("shingle").agg(
-            F.min("root").alias("_low"), F.max("root").alias("_high"),
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("_p"),
-        ).where("_low < _high")
-        apart = staged(rooted.join(pivots, "shingle"), "apart")
-        star = apart.where("root <> _p.root").select(F.col("node").alias("a"), F.col("_p.node").alias("b"))
-        more = verified(star)
-        links, turn = links.unionByName(more), turn + 1
-        if turn == PIVOTS or not more.limit(1).count():
-            return links.unionByName(verified(_compared(apart, similarity)))
-
-
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
-    """One document of every group of near copies stays, with the columns of ``docs``.
-
-    Groups are the components of links between texts whose sets of five-word shingles (lower-cased,
-    of a shorter text the whole) have a Jaccard similarity of ``similarity`` or more, all of them:
-    ``similar_links`` is no probabilistic search.
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 3) -> DataFrame:
+    """One document of every class of ``near_duplicates`` stays, with the columns of ``docs``.
 
     The document with the smallest key stays, null keys last, then the one whose text has the
-    smallest hash; of rows equal in key and text one stays. Texts without words, null among them, are
-    copies of each other. Texts, words and shingles are told apart by 64-bit hashes.
+    smallest hash; of rows equal in key and text the one whose columns have the smallest hash. Texts without words, null among
+    them, share fingerprint 0 and are copies of each other. Very long texts are read whole, an empty table stays empty, and
+    extra columns of any name pass through. Texts are told apart by 64-bit hashes.
     """
-    value, columns = F.col(f"`{text}`"), [F.col(f"`{c}`") for c in docs.columns]
-    levels = docs.sparkSession.sparkContext.broadcast(rarity(docs.select(value.alias("_text")), _count_shingles))
-
-    def mark(texts: pa.Array) -> pa.Array:
-        whole = pa.RecordBatch.from_arrays([texts], ["_text"])
-        marks = [m for part in chunks(whole, "_text") for m in _marks(part.column("_text"), levels.value, similarity)] if len(texts) else []
-        kinds = {"node": pa.int64(), "size": pa.int64(), "sketch": pa.binary(), "prefix": pa.binary()}
-        return pa.StructArray.from_arrays([pa.array([m[i] for m in marks], k) for i, k in enumerate(kinds.values())], list(kinds))
-
-    row = F.struct(F.col(f"`{key}`").isNull().alias("null"), F.col(f"`{key}`").alias("key"), F.xxhash64(value).alias("hash"))
-    marked = docs.select(row.alias("_row"), F.arrow_udf(mark, "node long, size long, sketch binary, prefix binary")(value).alias("_m"))
-    # Copies first: one row for each different text.
-    texts = staged(
-        marked.groupBy("_m.node").agg(
-            F.min("_row").alias("_row"), *[F.first(f"_m.{c}").alias(c) for c in ("size", "sketch", "prefix")]
-        ), "texts",
+    marked, owner = _classes(docs, text, key, words, [])
+    again = marked.groupBy("_row").agg(F.count("*").alias("_n")).where("_n > 1")
+    chosen = owner.select("_owner").distinct().join(again, F.col("_owner") == F.col("_row"), "left")
+    chosen = staged(
+        chosen.select(F.col(f"_owner.{key}").alias("_key"), F.col("_owner.hash").alias("_hash"), F.col("_n").isNotNull().alias("_many")),
+        "chosen",
     )
-    found = components(similar_links(docs, texts, text, key, similarity))
-    members = texts.select("node", "_row").join(found, "node", "left")
-    chosen = members.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("_row").alias("_row"))
-    chosen = staged(chosen.select(F.col("_row.key").alias("_key"), F.col("_row.hash").alias("_hash")), "chosen")
-
+    value = F.col(f"`{text}`")
+    own = docs.select(F.struct(*columns_of(docs)).alias("_doc"), F.col(f"`{key}`").alias("_k"), F.xxhash64(value).alias("_h"))
     met = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_h") == F.col("_hash"))
-    own = docs.select(F.struct(*columns).alias("_doc"), F.col(f"`{key}`").alias("_k"), F.xxhash64(value).alias("_h"))
-    again = W.partitionBy("_k", "_h").orderBy(F.xxhash64("_doc"))
-    alone = own.join(chosen, met, "left_semi").withColumn("_place", F.row_number().over(again))
-    return alone.where("_place = 1").select("_doc.*")
+    if not chosen.where("_many").limit(1).count():
+        return own.join(chosen, met, "left_semi").select("_doc.*")
+    alone = own.join(chosen.where("not _many"), met, "left_semi").select("_doc")
+    # Of repeated rows each task keeps one, and then all tasks together.
+    several = own.join(chosen.where("_many"), met, "left_semi").groupBy("_k", "_h")
+    return alone.unionByName(several.agg(F.min_by("_doc", F.xxhash64("_doc")).alias("_doc")).select("_doc")).select("_doc.*")

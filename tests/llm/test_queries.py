@@ -8,10 +8,10 @@ import pytest
 import __spark_entry__ as entry_points
 import corpus_pipeline
 from lavra.llm.queries import QUERIES
-from lavra.llm.simhash import keep_one
 from lavra.session import staged
 from tests.llm.test_decontaminate import plain as leaks
 from tests.llm.test_quality import plain as metrics
+from tests.llm.test_simhash import classes, plain_fingerprint
 from tools.check_sql import table
 
 FOLDER = pathlib.Path("/root/testdata/sf0.001")
@@ -30,7 +30,7 @@ def db():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     df = entry_points.queries()[name](spark, str(FOLDER))
-    source = "pages" if name.startswith("op5_") else "documents"
+    source = {"op5": "pages", "op13": "embeddings"}.get(name.split("_")[0], "documents")
     rows = [tuple(r) for r in df.collect()]
     assert len(rows) == db.execute(f"select count(*) from {source}").fetchone()[0]
     if name in entry_points.oracle_sql():
@@ -49,11 +49,9 @@ def test_pipeline_stages(spark):
             # So few labels certify nothing: only the base rules act.
             assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in before if not metrics(r.text)[-1])
         if name == "near_dedup":
-            sets = {r.doc_id: shingles(r.text) for r in before}
-            assert similar_pairs({r.doc_id: sets[r.doc_id] for r in rows}) == []
-            gone = set(sets) - {r.doc_id for r in rows}
-            pairs = similar_pairs(sets)
-            assert gone <= {b for _, b in pairs}
+            prints = {r.doc_id: plain_fingerprint(r.text) for r in before}
+            near = [(a, b) for a in prints for b in prints if (prints[a] ^ prints[b]).bit_count() <= 3]
+            assert sorted(r.doc_id for r in rows) == sorted(set(classes(near, prints).values()))
         if name == "decontamination":
             clean = [r.doc_id for r, (_, hit, _) in zip(before, leaks([(r.doc_id, r.text) for r in before], items)) if not hit]
             assert sorted(r.doc_id for r in rows) == sorted(clean)
@@ -65,23 +63,3 @@ def test_pipeline_stages(spark):
             assert after.columns == docs.columns
     again = corpus_pipeline.run(spark, str(FOLDER))
     assert sorted(map(str, again.collect())) == sorted(map(str, rows))
-
-
-def shingles(text):
-    words = text.encode().lower().split()
-    return {tuple(words[i : i + min(5, len(words))]) for i in range(max(1, len(words) - 4))}
-
-
-def similar_pairs(sets):
-    ids = sorted(sets)
-    return [
-        (a, b) for i, a in enumerate(ids) for b in ids[i + 1 :]
-        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
-    ]
-
-
-def test_keep_one_leaves_the_rest(spark):
-    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
-    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
-    later = {b for _, b in similar_pairs(sets)}
-    assert {r.doc_id for r in keep_one(docs).collect()} >= set(sets) - later

@@ -104,70 +104,30 @@ def test_empty_table(spark):
     assert simhash.keep_one(docs).count() == 0
 
 
-def test_one_of_each_group_stays(spark):
+def test_one_of_each_class_stays(spark):
     rng = random.Random(8)
     base = [prose(rng, 150, 5000) for _ in range(6)]
     rows = [(i, t, "en", "s", 1) for i, t in enumerate(base)]
-    edited = []
-    for i, t in enumerate(base[:3]):
-        words = t.split(" ")
-        words[40] = "changed"
-        edited.append((100 + i, " ".join(words), "en", "s", 1))
-    half = " ".join(base[3].split(" ")[:75] + prose(rng, 75, 5000).split(" "))
-    rows += edited + [(50, base[4], "en", "t", 2), (4, base[4].upper(), "en", "s", 1), (200, half, "en", "s", 1)]
-    rows += [(300, None, None, None, None), (301, "", None, None, None), (5, base[5], "en", "s", 1)]
+    rows += [(50, base[4], "en", "t", 2), (4, base[4].upper(), "en", "s", 1)]
+    rows += [(300, None, None, None, None), (301, "", None, None, None), (5, base[5], "en", "s", 1), (5, base[5], "de", "s", 1)]
+    # Three-word shingles of one word each: a few edits of a long text move few bits.
+    for i in range(40):
+        words = base[0].split(" ")
+        words[3 * i] = "changed"
+        rows.append((100 + i, " ".join(words), "en", "s", 1))
+    prints = [plain_fingerprint(r[1]) for r in rows]
+    same = classes([(a, b) for a in prints for b in prints if (a ^ b).bit_count() <= 3], prints)
+    least = {}
+    for (key, *_), p in zip(rows, prints):
+        least[same[p]] = min(key, least.get(same[p], key))
     docs = clashing(spark.createDataFrame(rows, SCHEMA))
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 200, 300]
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(least.values())
+    assert len(least) < 40
 
 
 def test_null_keys_keep_a_row(spark):
     rows = [(None, "one two three", None, None, 1), (None, "one two three", None, None, 1), (None, "other words here now", None, None, 1)]
     kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
     assert sorted(r.text for r in kept) == ["one two three", "other words here now"]
-
-
-def ids(rows, spark):
-    return sorted(r.doc_id for r in simhash.keep_one(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA)).collect())
-
-
-def test_near_copies_among_texts_of_one_fingerprint(spark):
-    rng = random.Random(12)
-    # Table rows: every other word is the same and decides all bits of a fingerprint of words.
-    table = [" ".join(f"| {w}" for w in prose(rng, 80, 5000).split()) for _ in range(20)]
-    near = [t.replace("| ", "| changed ", 1) for t in table[10:]]
-    assert ids(list(enumerate(table)) + [(100 + i, t) for i, t in enumerate(near)], spark) == list(range(20))
-
-
-@pytest.mark.parametrize("turns", [0, 8])
-def test_long_lists_pass_over_no_pair(spark, monkeypatch, turns):
-    monkeypatch.setattr(simhash, "PIVOTS", turns + 1)
-    monkeypatch.setattr(simhash, "LIST_BLOCK", 30)
-    rng = random.Random(14)
-    shared = prose(rng, 300, 5000).split()
-    texts = []
-    for _ in range(100):
-        # Most of a text is common to all, but no two of them are near.
-        texts.append(shared + prose(rng, 90, 10**6).split())
-    near = [t[:-3] + ["other", "last", "words"] for t in texts[40:60]]
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(200 + i, " ".join(t)) for i, t in enumerate(near)]
-    # A large group: each is near the others of it.
-    base = prose(rng, 200, 5000).split()
-    rows += [(1000 + i, " ".join([*base[:i], "edit", *base[i + 1 :]])) for i in range(150)]
-    assert ids(rows, spark) == [*range(100), 1000]
-
-
-def test_cut_and_extended_copies_are_found(spark):
-    rng = random.Random(15)
-    rows = []
-    for i in range(120):
-        words = prose(rng, rng.randrange(60, 600), 5000).split()
-        less = int((len(words) - 4) * (0.81, 0.86, 0.9)[i % 3]) + 5
-        rows.append((i, " ".join(words)))
-        other = words[:less] if i % 2 else words + prose(rng, (len(words) - less) * 11 // 10, 5000).split()
-        rows.append((1000 + i, " ".join(other)))
-    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, t in rows for w in [t.split()]}
-    near = [i for i in range(120) if 5 * len(sets[i] & sets[1000 + i]) >= 4 * len(sets[i] | sets[1000 + i])]
-    assert len(near) > 100
-    assert ids(rows, spark) == [*range(120), *(1000 + i for i in range(120) if i not in near)]
