@@ -1,12 +1,12 @@
 """Quality rules whose cutoffs are certified on labelled documents, all in Spark SQL.
 
-A rule rejects what scores above its cutoff. Candidates of a rule go from loose to strict; in every
-stratum each is tested on the labelled good documents: an exact binomial test of "this cutoff rejects
-more than the allowed share of good documents". The strictest cutoff up to which every test of the
-rule is passed becomes the rule's. Testing in a fixed order and stopping at the first failure needs
-no correction among the cutoffs of a rule; rules and strata share the error level evenly (Bonferroni),
-and the rules of a stratum share the allowed share. So with probability ``1 - delta`` no stratum loses
-more than ``alpha`` of its good documents. Where labels are too few to tell, a rule rejects nothing.
+A rule rejects what scores above its cutoff. The rules' cutoffs go from loose to strict in steps, all rules together: a
+step rejects what any rule rejects at it, and all that the steps before it reject. In every stratum (a language) the steps are tested in this
+order on the labelled good documents, by an exact binomial test of "this step rejects more than the
+allowed share of good documents". The strictest step up to which every test is passed becomes the stratum's.
+Testing in a fixed order and stopping at the first failure needs no correction among steps, so all of the allowed share and
+of a stratum's error level goes into each test; strata share the error level evenly (Bonferroni). So with probability
+``1 - delta`` no stratum loses more than ``alpha`` of its good documents. Where labels are too few to tell, nothing is rejected.
 """
 
 from __future__ import annotations
@@ -18,18 +18,19 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lavra.llm.text import columns_of, spaced_words
+from lavra.operators.joins import skew_join
 from lavra.session import staged
 
 SYMBOLS = r"[#*$%&|<>]"
 REPEAT_WINDOW = 5
-# Score of a rule, larger is worse, and its candidate cutoffs from loose to strict.
+# Score of a rule, larger is worse, and its cutoffs from loose to strict, one for each step.
 RULES = {
-    "symbols": ("n_symbols / n_words", (2.0, 1.5, 1.0, 0.75, 0.5, 0.35, 0.25, 0.15, 0.1)),
+    "symbols": ("n_symbols / n_words", (2.0, 1.5, 1.0, 0.75, 0.5, 0.35, 0.25, 0.15)),
     "repeats": ("n_repeat_words / n_words", (0.2, 0.18, 0.16, 0.14, 0.12, 0.1, 0.08, 0.06)),
     "lines": ("100.0D * n_dup_lines / n_words", (20.0, 15.0, 10.0, 7.0, 5.0, 4.0, 3.0, 2.0)),
     "length": ("word_chars / n_words", (40.0, 30.0, 25.0, 20.0, 17.0, 15.0, 13.0, 12.0)),
 }
-ALPHA, DELTA = 0.01, 0.05
+ALPHA, DELTA, STEPS = 0.02, 0.05, 8
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
@@ -54,7 +55,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the metrics of whole texts and ``base_failed``.
 
     Null and empty texts have no words and fail. Windows are told apart by 64-bit hashes of their
-    words. Columns of the input named like a metric are replaced.
+    words. Very long texts are measured whole; an empty table stays empty. Columns of the input named like a metric are replaced.
     """
     rest = columns_of(docs, (*METRICS, "_words", "_hashes", "_whole"))
     value = F.col(f"`{text}`")
@@ -114,44 +115,53 @@ def tail(k: Column, n: Column, p: float) -> Column:
     return F.when(k > 0, F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(k, F.lit(1))), first, add)["s"]).otherwise(F.exp(start))
 
 
+def rejected(step: Column | int) -> Column:
+    """Whether any rule rejects a measured row at a step; no step (null) rejects nothing."""
+    place = (F.lit(step) if isinstance(step, int) else step) + 1
+    hit = F.lit(False)
+    for rule, (_, cuts) in RULES.items():
+        hit = hit | F.coalesce(score(rule) > F.try_element_at(F.array(*map(F.lit, cuts)), place), F.lit(False))
+    return hit
+
+
+def _named(stratum: Column) -> Column:
+    """A stratum as a text that is never null, for joins; null is a stratum of its own."""
+    return F.coalesce(F.concat(F.lit("="), stratum.cast("string")), F.lit(""))
+
+
 def certify(measured: DataFrame, holdout: DataFrame, stratum: str = "lang", key: str = "doc_id", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """``_stratum`` and a cutoff a rule, null where none is certified, of strata that have one.
+    """``_stratum`` (as ``_named``) and ``_step`` of the strata that have a certified step.
 
-    ``measured`` needs the rows of the holdout only. Labels and metrics meet by a shuffle, without texts. A
-    stratum with a certified cutoff has at least about ``log(tests / delta) * rules / alpha`` labels.
+    ``measured`` needs the rows of the holdout only. Labels and metrics meet by a shuffle, without texts. A key that
+    several rows of a stratum have counts once, as rejected if any of its rows is. A
+    stratum with a certified step has at least ``log(delta / strata) / log(1 - alpha)`` labels: 217 with four strata.
     """
     scores = measured.where("not base_failed").select(
-        F.col(f"`{key}`").alias("_label"), F.col(f"`{stratum}`").alias("_level"), *METRICS[:-1]
+        F.col(f"`{key}`").alias("_label"), _named(F.col(f"`{stratum}`")).alias("_stratum"), *METRICS[:-1]
     )
     labelled = scores.join(holdout.where("good"), F.col("_label") == F.col("_key"))
-    above = [
-        F.count_if(score(rule) > F.lit(cut)).alias(f"{rule}_{j}")
-        for rule, (_, cuts) in RULES.items() for j, cut in enumerate(cuts)
-    ]
-    counts = labelled.groupBy(F.col("_level").alias("_stratum")).agg(F.count("*").alias("n"), *above)
+    single = labelled.groupBy("_key", "_stratum").agg(*[F.max(rejected(j)).alias(f"_r{j}") for j in range(STEPS)])
+    counts = single.groupBy("_stratum").agg(F.count("*").alias("n"), *[F.count_if(f"_r{j}").alias(f"_k{j}") for j in range(STEPS)])
+    # One row a stratum and step.
+    tests = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.col(f"_k{j}").alias("k")) for j in range(STEPS)]))
     strata = W.partitionBy(F.lit(0))
-    tests = F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(j).alias("j"), F.lit(cut).alias("cut"), F.col(f"{rule}_{j}").alias("k"))
-        for rule, (_, cuts) in RULES.items() for j, cut in enumerate(cuts)
-    ]))
-    # One row a stratum and candidate.
     each = counts.withColumn("m", F.count("*").over(strata)).select("_stratum", "n", "m", tests.alias("t")).select("_stratum", "n", "m", "t.*")
-    share = alpha / len(RULES)
-    allowed = F.lit(delta) / (F.col("m") * len(RULES))
     # At or above the mean the tail is near a half or more: no need to sum it.
-    passed = (F.col("k") < F.col("n") * share) & (tail(F.least("k", F.ceil(F.col("n") * share)), F.col("n"), share) <= allowed)
-    order = W.partitionBy("_stratum", "rule").orderBy("j").rowsBetween(W.unboundedPreceding, 0)
+    low = F.col("k") < F.col("n") * alpha
+    passed = low & (tail(F.least("k", F.ceil(F.col("n") * alpha)), F.col("n"), alpha) <= F.lit(delta) / F.col("m"))
+    order = W.partitionBy("_stratum").orderBy("j").rowsBetween(W.unboundedPreceding, 0)
     certified = each.withColumn("ok", F.min(passed.cast("int")).over(order)).where("ok = 1")
-    return certified.groupBy("_stratum").agg(*[F.min(F.when(F.col("rule") == r, F.col("cut"))).alias(f"_cut_{r}") for r in RULES])
+    return certified.groupBy("_stratum").agg(F.max("j").alias("_step"))
+
 
+def judge(measured: DataFrame, steps: DataFrame, stratum: str = "lang") -> DataFrame:
+    """``measured`` with ``kept``: not failed, and no rule's score above its cutoff at the step of its stratum.
 
-def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str = "lang") -> DataFrame:
-    """``measured`` with ``kept``: not failed, and no rule's score above the cutoff of its stratum."""
-    joined = measured.join(F.broadcast(cutoffs), F.col(f"`{stratum}`").eqNullSafe(F.col("_stratum")), "left")
-    rejected = F.lit(False)
-    for rule in RULES:
-        rejected = rejected | F.coalesce(score(rule) > F.col(f"_cut_{rule}"), F.lit(False))
-    return joined.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("_stratum", *[f"_cut_{r}" for r in RULES])
+    The few rows of the steps are broadcast once their size is known to be small, and else meet by a shuffle.
+    """
+    named = measured.withColumn("_stratum", _named(F.col(f"`{stratum}`")))
+    joined = skew_join(named, steps, ["_stratum"])
+    return joined.withColumn("kept", ~F.col("base_failed") & ~rejected(F.col("_step"))).drop("_stratum", "_step")
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key: str = "doc_id", text: str = "text", **levels) -> DataFrame:
@@ -168,5 +178,5 @@ def apply_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", key:
     )
     # Written, so that the cutoffs and the judgement share one pass over the texts.
     measured = staged(measure(own, "_text").drop("_text"), "metrics")
-    cutoffs = certify(measured, holdout, "_level", "_id", **levels)
-    return judge(measured, cutoffs, "_level").where("kept").select("_doc.*")
+    steps = staged(certify(measured, holdout, "_level", "_id", **levels), "steps")
+    return judge(measured, steps, "_level").where("kept").select("_doc.*")

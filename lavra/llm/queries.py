@@ -146,27 +146,26 @@ b as (
   from w0 join l0 using (doc_id) left join g2 using (doc_id)),
 h as (select doc_id from labels where doc_id is not null and quality is not null group by doc_id having min(quality) = 1 and max(quality) = 1),
 s as (
-  select doc_id, lang, unnest([{'r': 'symbols', 's': n_symbols / n_words}, {'r': 'repeats', 's': n_repeat_words / n_words},
-    {'r': 'lines', 's': 100.0::double * n_dup_lines / n_words}, {'r': 'length', 's': word_chars / n_words}], recursive := true)
-  from b where n_words > 0),
-c as (CUTS),
+  select doc_id, lang, c.j, base_failed, n_symbols / n_words > c.symbols or n_repeat_words / n_words > c.repeats
+    or 100.0::double * n_dup_lines / n_words > c.lines or word_chars / n_words > c.length as hit
+  from b, (CUTS) c where n_words > 0),
 t as (
-  select lang, c.r, c.j, c.cut, count(*) as n, count(*) filter (where s.s > c.cut) as k
-  from s join c using (r) where doc_id in (from h) and doc_id in (select doc_id from b where not base_failed) group by all),
+  select lang, j, count(*) as n, count(*) filter (where hit) as k
+  from (select doc_id, lang, j, bool_or(hit) as hit from s where not base_failed and doc_id in (from h) group by all) group by lang, j),
 u as (
-  select *, k < n * SHARE and (select sum(exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln(SHARE) + (n - x) * ln(1 - SHARE)))
-      from range(0, k + 1) v(x)) <= DELTA / (RULES * (select count(distinct coalesce(lang, chr(0))) from t)) as ok from t),
+  select *, k < n * ALPHA and (select sum(exp(lgamma(n + 1) - lgamma(x + 1) - lgamma(n - x + 1) + x * ln(ALPHA) + (n - x) * ln(1 - ALPHA)))
+      from range(0, k + 1) v(x)) <= DELTA / (select count(distinct coalesce(lang, chr(0))) from t) as ok from t),
 z as (
-  select lang, r, min(cut) as cut from (select *, bool_and(ok) over (partition by lang, r order by j) as sure from u) where sure group by lang, r)
+  select lang, max(j) as j from (select *, bool_and(ok) over (partition by lang order by j) as sure from u) where sure group by lang)
 """
 QUALITY_WITH = (
     QUALITY_WITH.replace("CUTS", " union all ".join(
-        f"select '{r}' as r, {j} as j, {cut}::double as cut" for r, (_, cuts) in quality.RULES.items() for j, cut in enumerate(cuts)
-    )).replace("SHARE", f"{quality.ALPHA / len(quality.RULES)}::double").replace("DELTA", f"{quality.DELTA}::double").replace("RULES", str(len(quality.RULES)))
+        f"select {j} as j, " + ", ".join(f"{cuts[j]}::double as {r}" for r, (_, cuts) in quality.RULES.items()) for j in range(quality.STEPS)
+    )).replace("ALPHA", f"{quality.ALPHA}::double").replace("DELTA", f"{quality.DELTA}::double")
 )
 QUALITY_SQL = f"""with {QUALITY_WITH}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not exists (
-  select 1 from s join z on s.r = z.r and s.lang is not distinct from z.lang where s.doc_id = b.doc_id and s.s > z.cut) as kept
+  select 1 from s join z on s.j = z.j and s.lang is not distinct from z.lang where s.doc_id = b.doc_id and s.hit) as kept
 from b"""
 
 
@@ -174,8 +173,8 @@ from b"""
 def op3_quality_rules(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
     measured = staged(quality.measure(docs).drop("text"), "metrics")
-    cutoffs = quality.certify(measured, quality.labelled_keys(table(spark, folder, "labels")))
-    return quality.judge(measured, cutoffs).select("doc_id", *quality.METRICS, "kept")
+    steps = staged(quality.certify(measured, quality.labelled_keys(table(spark, folder, "labels"))), "steps")
+    return quality.judge(measured, steps).select("doc_id", *quality.METRICS, "kept")
 
 
 REPEATS_SQL = r"""

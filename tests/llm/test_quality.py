@@ -1,13 +1,17 @@
 import math
+import pathlib
 import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from lavra.llm import quality
+from lavra.session import staged
 from tests.llm.data import SCHEMA, clashing, odd_rows, prose
 
+FOLDER = pathlib.Path("/root/testdata/sf0.01")
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
 
@@ -58,10 +62,13 @@ def labelled(spark, n=6000):
 def test_certified_cutoffs(spark):
     docs, labels, rows = labelled(spark)
     measured = quality.measure(docs)
-    cutoffs = quality.certify(measured, quality.labelled_keys(labels), alpha=0.02).collect()
-    assert [r["_stratum"] for r in cutoffs] == ["en"]
-    cut = cutoffs[0]["_cut_symbols"]
-    assert cut is not None and 0.1 <= cut <= 0.35
+    steps = quality.certify(measured, quality.labelled_keys(labels), alpha=0.02).collect()
+    assert [r["_stratum"] for r in steps] == ["=en"]
+    assert quality.RULES["symbols"][1][steps[0]["_step"]] <= 0.35
+    # A key of many rows is one label.
+    again = quality.certify(measured.where("lang = 'xx'").unionByName(measured.where("doc_id = 4")), quality.labelled_keys(labels), alpha=0.02)
+    many = measured.where("doc_id = 60").crossJoin(spark.range(5000)).drop("id")
+    assert again.count() == 0 and quality.certify(many, quality.labelled_keys(labels), alpha=0.02).count() == 0
     kept = {r.doc_id for r in quality.apply_rules(docs, labels, alpha=0.02).collect()}
     good = {r.doc_id for r in labels.collect() if r.quality == 1} & set(rows)
     bad = set(rows) - good
@@ -90,3 +97,17 @@ def test_no_label_is_left_out(spark):
     labels = spark.range(250_000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("quality"))
     counts = quality.labelled_keys(labels).groupBy("good").count().collect()
     assert {r.good: r["count"] for r in counts} == {True: 125_000, False: 125_000}
+
+
+@pytest.mark.skipif(not FOLDER.is_dir(), reason="the given tables are not here")
+def test_certified_steps_decide_on_the_given_tables(spark):
+    """On sf0.01 English has enough labels: the method rejects what the base rules keep, and hardly any good document."""
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{n}.parquet") for n in ("documents", "labels"))
+    measured = staged(quality.measure(docs).drop("text"))
+    steps = quality.certify(measured, quality.labelled_keys(labels))
+    assert [r["_stratum"] for r in steps.collect()] == ["=en"]
+    judged = quality.judge(measured, staged(steps)).where("not base_failed and not kept")
+    gone = {r.doc_id for r in judged.collect()}
+    assert len(gone) > 20 and {r.lang for r in judged.collect()} == {"en"}
+    good = {r.doc_id for r in labels.where("quality = 1").collect()}
+    assert len(gone & good) <= 0.02 * len(good)
