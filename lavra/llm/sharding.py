@@ -196,8 +196,9 @@ def numbered(
 ) -> DataFrame:
     """The carried columns with ``size``, ``text_crc32``, ``shard`` and ``slot``, gapless from 0 in a shard.
 
-    The slot follows the hash of text and key; equal rows may swap theirs. A shard is numbered in
-    runs of the hash, so no task holds a whole shard.
+    The slot follows a hash of key and text; equal rows may swap theirs. A shard is numbered in
+    runs of that hash, so no task holds a whole shard, not even of copies of one text. Null keys and texts
+    have places like any other; an empty table stays empty.
     """
     space, tree = plan(docs, options.get("leaves", 24), options.get("target_bytes"), options.get("dimensions", ("source", "lang", "n_chars")), key, text)
     value = F.col(f"`{text}`")
@@ -206,11 +207,11 @@ def numbered(
         space.tie().alias("_tie"), document_bytes(value).alias("size"),
         F.crc32(F.coalesce(value, F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    placed = staged(tree.assign(thin, "_keys", "shard").withColumn("_run", F.shiftright("_tie", TIE - RUN_BITS).cast("int")), "shards")
+    placed = staged(tree.assign(thin, "_keys", "shard").withColumn("_mix", F.xxhash64("_key", "_tie")).withColumn("_run", F.shiftright("_mix", 64 - RUN_BITS).cast("int")), "shards")
     runs = placed.groupBy("shard", "_run").agg(F.count("*").alias("_n"))
     before = W.partitionBy("shard").orderBy("_run").rowsBetween(W.unboundedPreceding, -1)
     ahead = runs.select("shard", "_run", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
-    inside = F.row_number().over(W.partitionBy("shard", "_run").orderBy("_tie", "_key", "size", "text_crc32")) - 1
+    inside = F.row_number().over(W.partitionBy("shard", "_run").orderBy("_mix", "_tie", "_key", "size", "text_crc32")) - 1
     slot = (F.col("_ahead") + F.col("_in")).cast("long").alias("slot")
     joined = placed.withColumn("_in", inside).join(ahead, ["shard", "_run"])
     return joined.select("_doc.*", "size", "text_crc32", "shard", slot)

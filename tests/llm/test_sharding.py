@@ -53,3 +53,12 @@ def test_odd_rows(spark):
     few = sharding.assign_shards(spark.createDataFrame(rows[:2], SCHEMA), leaves=24).collect()
     assert len({r.shard for r in few}) == 2
     assert sharding.assign_shards(docs.select("doc_id", "text"), leaves=3).select("shard").distinct().count() == 3
+
+
+def test_copies_of_a_text_are_numbered_in_many_runs(spark):
+    rows = [(i, "one text for all of them", "en", "s", 24) for i in range(6000)]
+    found = sharding.numbered(spark.createDataFrame(rows, SCHEMA), ["doc_id"], leaves=4)
+    slots = {}
+    for r in found.collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
