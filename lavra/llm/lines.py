@@ -187,11 +187,23 @@ def _match(rows: dict[str, np.ndarray], first: int | None) -> list[np.ndarray]:
     begin = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))) if len(word) else np.zeros(0, int)
     many = np.diff(np.append(begin, len(word)))
     length, inside = np.repeat(many, many), np.arange(len(word)) - np.repeat(begin, many)
-    pairs = []
+
+    def nearest(later: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of all candidates of each of these lines the nearest few, and whether it had more."""
+        order = np.lexsort((earlier, np.bitwise_count(sketch[later] ^ sketch[earlier]), later))
+        later, earlier = later[order], earlier[order]
+        fresh = np.flatnonzero(np.diff(later, prepend=-1))
+        total = np.diff(np.append(fresh, len(later)))
+        nth = np.arange(len(later)) - np.repeat(fresh, total)
+        some = nth < (first or LAST)
+        return later[some], earlier[some], (np.repeat(total, total) > (first or LAST))[some]
+
+    short = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
     for step in range(1, SHORT):
         j = np.flatnonzero((length <= SHORT) & (inside >= step) & asked)
         good = _candidates(size, at, sketch, j - step, j)
-        pairs.append((j[good], j[good] - step))
+        short.append((j[good], j[good] - step))
+    pairs = [nearest(*(np.concatenate(x) for x in zip(*short)))]
     for start, count in zip(begin[many > SHORT].tolist(), many[many > SHORT].tolist()):
         block = max(1, 2_000_000 // count)
         for low in range(0, count, block):
@@ -201,16 +213,9 @@ def _match(rows: dict[str, np.ndarray], first: int | None) -> list[np.ndarray]:
             i, j = i.ravel(), j.ravel()
             i, j = i[i < j], j[i < j]
             good = _candidates(size, at, sketch, i, j)
-            pairs.append((j[good], i[good]))
-    later, earlier = (np.concatenate(x) for x in zip(*pairs)) if pairs else (np.zeros(0, int),) * 2
-    apart = np.bitwise_count(sketch[later] ^ sketch[earlier]) if len(later) else later
-    order = np.lexsort((earlier, apart, later))
-    later, earlier = later[order], earlier[order]
-    fresh = np.diff(later, prepend=-1) != 0
-    nth = np.arange(len(later)) - np.maximum.accumulate(np.where(fresh, np.arange(len(later)), 0)) if len(later) else later
-    total = np.bincount(later, minlength=len(word))[later] if len(later) else later
-    some = nth < first if first else np.ones(len(later), bool)
-    later, earlier, more = later[some], earlier[some], (total > (first or LAST))[some]
+            # All candidates of a line are in its block, so no more than the nearest are kept from it.
+            pairs.append(nearest(j[good], i[good]))
+    later, earlier, more = (np.concatenate(x) for x in zip(*pairs))
     strict = (doc[earlier] != doc[later]) | (place[earlier] >> 32 != place[later] >> 32)
     out.append([x[strict] for x in (doc[later], place[later], doc[earlier], place[earlier], more)])
     return [np.concatenate(x) for x in zip(*out)]

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 from fractions import Fraction
 
+import numpy as np
 import pytest
 
 from lavra.llm import lines
@@ -74,3 +76,19 @@ def test_odd_rows(spark):
     kept = ["\n".join(x for i, x in enumerate(r[1].split("\n")) if i not in g) if r[1] is not None else None for r, g in zip(rows, plain(rows))]
     assert sorted(str(r.text) for r in cut.collect()) == sorted(map(str, kept))
     assert lines.mark_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_list_of_template_lines_keeps_only_the_nearest():
+    """Thousands of lines in one list: each has thousands of candidates, and keeps four."""
+    n = 6000
+    rows = {
+        "word": np.full(n, 7), "name": np.arange(n), "sketch": np.arange(n) % 3, "doc": np.arange(n), "place": np.zeros(n, np.int64),
+        "where": np.full(n, 10 << 32 | 2), "asked": np.ones(n, bool),
+    }
+    tracemalloc.start()
+    out = lines._match(rows, 4)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    doc, _, other, _, more = out
+    assert len(doc) == 4 * n - 10 and more.sum() > 3 * n and peak < 300 << 20
+    assert (other[doc == 100] % 3 == 1).all() and sorted(other[doc == 100]) == [1, 4, 7, 10]
