@@ -85,3 +85,9 @@ def test_words_of_one_code_have_their_own_probabilities(spark):
     got = {r.doc_id: r.log_likelihood for r in scoring.score(docs, model).collect()}
     assert abs(got[1] - got[2] - 2 * np.log(3 / scoring.UNSEEN)) < 1e-6
     assert abs(got[1] - got[3]) < 1e-9 and got[4] > got[2]
+
+
+def test_rows_far_below_the_others_keep_their_scores():
+    x = np.array([[100.0, 99.0, 98.0], [-15.0, -16.0, -17.0], [0.0, -200.0, -200.0]], np.float32)
+    exact = x - np.log(np.exp(x.astype(float) - x.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)) - x.max(axis=1, keepdims=True)
+    assert np.allclose(scoring._log_softmax(x), exact, atol=1e-5)
