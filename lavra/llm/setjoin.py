@@ -39,8 +39,12 @@ WORDS, PERCENT, SUBSET = 5, 80, 2
 LIST_ROWS = 4096
 # Rows of a block in the comparison of lists with several classes.
 BLOCK = 1000
+# Partners of a hub in one task.
+HUB_ROWS = 4096
 # Most turns of pivots before the comparison, which is the same without them, only longer.
-TURNS = 4
+TURNS = 2
+# Bits of a set's parity sketch, as a power of two.
+SKETCH_BITS = 9
 _ORDER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,6 +53,21 @@ def needed(size: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return -(-percent * size // 100)
 
 
+def overlap(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Elements that sets of these sizes share at least if they are similar."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+def sketched(sketches: pa.Array) -> np.ndarray:
+    """Parity sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(sketches.to_pylist()), "<u8").reshape(len(sketches), -1)
+
+
+def near_enough(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Whether sets of these sketches and sizes can be similar: a bit that differs stands for an element of just one of them."""
+    return np.bitwise_count(x ^ y).sum(axis=1) <= a + b - 2 * overlap(a, b, percent)
+
+
 def similar(both: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return 100 * both >= percent * (a + b - both)
 
@@ -98,7 +117,7 @@ def _count_repeats(words: int):
     return run
 
 
-MARKS = "node long, size long, light double, heavy double, prefix binary"
+MARKS = "node long, size long, light double, heavy double, sketch binary, prefix binary"
 
 
 def _marks(texts: pa.Array, levels: np.ndarray, words: int, percent: int, subset: int) -> pa.Array:
@@ -118,8 +137,10 @@ def _marks(texts: pa.Array, levels: np.ndarray, words: int, percent: int, subset
         out["size"] += size.tolist()
         out["light"] += [float(math.comb(p, subset)) for p in several.tolist()]
         out["heavy"] += np.bincount(doc, scanned, len(size)).tolist()
+        odd = np.bincount((doc << SKETCH_BITS) + (value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(size) << SKETCH_BITS) & 1
+        out["sketch"] += [row.tobytes() for row in np.packbits(odd.reshape(len(size), -1).astype(np.uint8), axis=1)]
         out["prefix"] += [value[s : s + p].astype("<u8").tobytes() for s, p in zip((ends - size).tolist(), several.tolist())]
-    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary()]
     return pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 
 
@@ -147,15 +168,18 @@ def boundary(sets: DataFrame, percent: int = PERCENT) -> int:
     return math.ceil(2 ** (best / 2))
 
 
+# A list's part in a task and its number of parts, and a set's size and the place of an element, share a number each.
+_HALF = 32
+
+
 def _post(heavy_from: int, levels, percent: int, subset: int):
-    """Entries of sets in their lists: list, how many tasks share it and which one, set, size, place of the element."""
-    schema = ["list", "blocks", "salt", "node", "size", "at"]
+    """Entries of sets in their lists: list, part (and parts) of it, set, size and place of the element."""
 
     def entry(lists, level, node, size, at) -> pa.RecordBatch:
         blocks = 1 + (np.exp2(level / 8.0) // LIST_ROWS).astype(np.int64)
         salt = (mixed(node) % blocks.astype(np.uint64)).astype(np.int64)
-        cells = (lists.view(np.int64), blocks, salt, node, size, at)
-        return pa.RecordBatch.from_arrays([pa.array(c) for c in cells], schema)
+        cells = (lists.view(np.int64), (salt << _HALF) | blocks, node, (size << _HALF) | at)
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in cells], ["list", "part", "node", "place"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,53 +217,55 @@ def _pivots(percent: int):
 
     Entries of a list come by size; the pivot is the first whose size is near enough.
     """
-    names = ["list", "blocks", "node", "size", "at"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
-        held: tuple[int, int, int, int] | None = None  # list, salt, pivot, its size
+        held: tuple[int, int, int, int] | None = None  # list, part, pivot, its size
 
-        def told(cells: list[np.ndarray], last: np.ndarray) -> pa.RecordBatch:
+        def told(cells: list[np.ndarray], last: bool) -> pa.RecordBatch:
+            """Whole rows; ``last`` says whether the list of the final row ends with it."""
             nonlocal held
-            lists, salt, blocks, node, size, at = cells
-            before = np.ones(len(lists), bool)
-            before[1:] = (lists[1:] != lists[:-1]) | (salt[1:] != salt[:-1])
-            goes_on = held is not None and len(lists) and (lists[0], salt[0]) == held[:2]
+            lists, part, node, place = cells
+            size = place >> _HALF
+            first = np.ones(len(lists), bool)
+            first[1:] = (lists[1:] != lists[:-1]) | (part[1:] != part[:-1])
+            goes_on = held is not None and (lists[0], part[0]) == held[:2]
+            first[0] = not goes_on
+            alone = first & np.append(first[1:], last)
+            pivot = np.where(alone, node, 0)
+            starts = np.flatnonzero(first & ~alone)
+            ends = np.flatnonzero(np.append(first[1:], True))
             if goes_on:
-                before[0] = False
-            after = np.append(before[1:], last[: min(1, len(lists))])
-            pivot, pivot_size = np.zeros(len(lists), np.int64), np.zeros(len(lists), np.int64)
-            starts = np.flatnonzero(before)
-            firsts = starts if before[:1].all() else np.concatenate(([0], starts))
-            for s, e in zip(firsts.tolist(), [*firsts[1:].tolist(), len(lists)]):
+                starts = np.append(0, starts)
+            for s in starts.tolist():
                 near, own = (held[2], held[3]) if s == 0 and goes_on else (node[s], size[s])
-                k = s
+                e, k = int(ends[np.searchsorted(ends, s)]) + 1, s
                 while k < e:
                     if 100 * own < percent * size[k]:
                         near, own = node[k], size[k]
-                    stop = k + int(np.searchsorted(size[k:e], 100 * own // percent, "right"))
-                    stop = max(stop, k + 1)
-                    pivot[k:stop], pivot_size[k:stop] = near, own
+                    stop = max(k + 1, k + int(np.searchsorted(size[k:e], 100 * own // percent, "right")))
+                    pivot[k:stop] = near
                     k = stop
-                if e == len(lists):
-                    held = (lists[s], salt[s], near, own)
-            some = ~before | ~after | (blocks > 1)
-            columns = (lists, blocks, node, size, at, pivot)
-            return pa.RecordBatch.from_arrays([pa.array(c[some]) for c in columns], [*names, "pivot"])
+                held = (lists[s], part[s], near, own)
+            if alone[-1]:
+                held = (lists[-1], part[-1], node[-1], size[-1])
+            blocks = part & ((1 << _HALF) - 1)
+            some = ~alone | (blocks > 1)
+            columns = (lists, blocks, node, size, place & ((1 << _HALF) - 1), pivot)
+            return pa.RecordBatch.from_arrays([pa.array(c[some]) for c in columns], ["list", "blocks", "node", "size", "at", "pivot"])
 
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in ("list", "salt", "blocks", "node", "size", "at")]
+            now = [batch.column(c).to_numpy() for c in ("list", "part", "node", "place")]
             if kept:
                 now = [np.concatenate(x) for x in zip(kept, now)]
             if len(now[0]) < 2:
                 kept = now
                 continue
             # The last row waits for the next one, to know whether its list goes on.
-            last = np.array([now[0][-1] != now[0][-2] or now[1][-1] != now[1][-2]])
-            yield told([x[:-1] for x in now], last)
+            yield told([x[:-1] for x in now], bool(now[0][-1] != now[0][-2] or now[1][-1] != now[1][-2]))
             kept = [x[-1:] for x in now]
         if kept and len(kept[0]):
-            yield told(kept, np.array([True]))
+            yield told(kept, True)
 
     return run
 
@@ -248,8 +274,8 @@ def _compare(percent: int):
     """Pairs of a list that can be similar and are in different classes: of one block all, of two those across."""
     names = ("list", "low", "high", "block", "node", "root", "size", "at")
 
-    def pairs(block, node, root, size, at) -> Iterator[pa.RecordBatch]:
-        rows = max(1, 1_000_000 // len(node))
+    def pairs(block, node, root, size, at, sketch) -> Iterator[pa.RecordBatch]:
+        rows = max(1, 500_000 // len(node))
         for first in range(0, len(node), rows):
             i, j = (x.ravel() for x in np.meshgrid(np.arange(first, min(first + rows, len(node))), np.arange(len(node)), indexing="ij"))
             across = (block[i] != block[j]) | (block[0] == block[-1])
@@ -258,17 +284,19 @@ def _compare(percent: int):
             most = np.minimum(size[i] - at[i], size[j] - at[j])
             fits = similar(np.minimum(most, np.minimum(size[i], size[j])), size[i], size[j], percent)
             i, j = i[fits], j[fits]
+            fits = near_enough(sketch[i], sketch[j], size[i], size[j], percent)
+            i, j = i[fits], j[fits]
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
         for batch in batches:
-            now = [batch.column(c).to_numpy() for c in names]
+            if not batch.num_rows:
+                continue
+            now = [*(batch.column(c).to_numpy() for c in names), sketched(batch.column("sketch"))]
             if kept:
                 now = [np.concatenate(x) for x in zip(kept, now)]
-            if not len(now[0]):
-                continue
             starts = np.concatenate(([0], np.flatnonzero(np.any([x[1:] != x[:-1] for x in now[:3]], axis=0)) + 1))
             for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
                 yield from pairs(*(x[a:b] for x in now[3:]))
@@ -280,71 +308,119 @@ def _compare(percent: int):
 
 
 def _compared(lists: DataFrame, percent: int) -> DataFrame:
-    """Candidates of whole lists ``list, node, root, size, at, n``; a long one meets block by block in many tasks."""
+    """Candidates of whole lists ``list, node, root, size, at, sketch, n``; a long one meets block by block in many tasks."""
     dealt = lists.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    both = dealt.select("list", "node", "root", "size", "at", "block", other)
+    both = dealt.select("list", "node", "root", "size", "at", "sketch", "block", other)
     both = both.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
     met = both.repartition("list", "low", "high").sortWithinPartitions("list", "low", "high", "block")
     return met.mapInArrow(_compare(percent), "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sets are similar."""
+def _against_first(percent: int):
+    """Pairs ``a, b`` of rows ``hub, part, first, node, set``: members that are similar to the hub, which stands before them."""
 
-    def enough(left: pa.Array, right: pa.Array) -> pa.Array:
-        out = []
-        for a, b in zip(left.to_pylist(), right.to_pylist()):
-            x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-            at = np.searchsorted(y, x)
-            both = int((y[np.minimum(at, len(y) - 1)] == x).sum()) if len(y) else 0
-            out.append(bool(similar(both, len(x), len(y), percent)))
-        return pa.array(out, pa.bool_())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, own = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            left, right = [], []
+            columns = (batch.column(c).to_pylist() for c in ("hub", "part", "first", "node", "set"))
+            for hub, part, first, node, packed in zip(*columns):
+                elements = np.frombuffer(packed, "<u8")
+                if not first:
+                    if place != (hub, part):
+                        place, own = (hub, part), elements
+                    continue
+                at = np.searchsorted(own, elements)
+                both = int((own[np.minimum(at, len(own) - 1)] == elements).sum())
+                if similar(both, len(own), len(elements), percent):
+                    left.append(node)
+                    right.append(hub)
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
 
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    met = pairs.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b")
-    return staged(met.where(F.arrow_udf(enough, "boolean")("_sa", "_sb")).select("a", "b"), "similar")
+    return run
+
+
+class Verifier:
+    """Looks pairs of sets up in the documents again and keeps those that are similar."""
+
+    def __init__(self, docs: DataFrame, texts: DataFrame, text: str, key: str, words: int, percent: int):
+        value = F.col(f"`{text}`")
+        self.docs = docs.select(F.col(f"`{key}`").alias("_k"), F.xxhash64(value).alias("_h"), value.alias("_text"))
+        self.names = texts.select("node", F.col("_row.key").alias("_key"), F.col("_row.hash").alias("_hash"))
+        self.sketches = texts.select("node", "size", "sketch")
+        self.words, self.percent = words, percent
+
+    def _possible(self, pairs: DataFrame) -> DataFrame:
+        """Different pairs that sizes and sketches do not rule out."""
+        percent = self.percent
+
+        def fits(left: pa.Array, right: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
+            a, b = a.to_numpy(), b.to_numpy()
+            return pa.array(near_enough(sketched(left), sketched(right), a, b, percent) if len(a) else np.zeros(0, bool))
+
+        near = 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
+        pairs = pairs.where("a <> b").distinct()
+        known = pairs.join(self.sketches.toDF("a", "_na", "_sa"), "a").join(self.sketches.toDF("b", "_nb", "_sb"), "b").where(near)
+        return known.where(F.arrow_udf(fits, "boolean")("_sa", "_sb", "_na", "_nb")).select("a", "b")
+
+    def __call__(self, pairs: DataFrame) -> DataFrame:
+        """The similar ones of ``a, b``; ``b`` is the hub that its partners are sent to.
+
+        A hub of many partners is sent to several tasks with a part of them each. Only the documents of
+        pairs are read for their words again, and a set travels once for each of its pairs.
+        """
+        words, percent = self.words, self.percent
+
+        def told(values: pa.Array) -> pa.Array:
+            whole = pa.RecordBatch.from_arrays([values], ["text"])
+            out = []
+            for part in chunks(whole, "text") if len(values) else ():
+                value, _, size = distinct(part.column("text"), words)
+                ends = np.cumsum(size).tolist()
+                out += [value[s:e].astype("<u8").tobytes() for s, e in zip([0, *ends[:-1]], ends)]
+            return pa.array(out, pa.binary())
+
+        pairs = staged(self._possible(pairs), "pairs")
+        hubs = pairs.groupBy(F.col("b").alias("hub")).agg(F.ceil(F.count("*") / HUB_ROWS).alias("parts"))
+        dealt = pairs.withColumnRenamed("b", "hub").join(hubs, "hub")
+        members = dealt.select(
+            F.col("a").alias("node"), "hub", F.pmod(F.xxhash64("a"), "parts").alias("part"), F.lit(True).alias("first")
+        )
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+        heads = hubs.select(F.col("hub").alias("node"), "hub", every, F.lit(False).alias("first"))
+        places = members.unionByName(heads).groupBy("node").agg(F.collect_list(F.struct("hub", "part", "first")).alias("places"))
+        asked = staged(places.join(self.names, "node"), "asked")
+        met = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_h") == F.col("_hash"))
+        found = self.docs.join(asked, met).select("node", F.arrow_udf(told, "binary")("_text").alias("set"), "places")
+        sent = found.select(F.explode("places").alias("p"), "node", "set").select("p.*", "node", "set")
+        ordered = sent.repartition("hub", "part").sortWithinPartitions("hub", "part", "first")
+        return staged(ordered.mapInArrow(_against_first(percent), "a long, b long"), "similar")
 
 
 def similar_sets(
-    docs: DataFrame, texts: DataFrame, levels, text: str, key: str, words: int, percent: int, subset: int
+    docs: DataFrame, texts: DataFrame, prefixes: DataFrame, levels, text: str, key: str, words: int, percent: int, subset: int
 ) -> DataFrame:
-    """Links ``a, b`` between sets of ``texts`` that have the components of all similar pairs."""
+    """Links ``a, b`` between sets of ``texts`` (with their ``prefixes``) that have the components of all similar pairs."""
     from_size = boundary(texts, percent)
-    # Sets of fewer than four elements are similar to equal ones only.
-    able = texts.where(F.col("size") * (100 - percent) + percent >= 100)
-    entries = able.select("node", "size", "prefix").mapInArrow(
-        _post(from_size, levels, percent, subset), "list long, blocks long, salt long, node long, size long, at long"
+    verified = Verifier(docs, texts, text, key, words, percent)
+    # Smaller sets are similar to equal ones only.
+    able = prefixes.where(F.col("size") * (100 - percent) + percent >= 100)
+    entries = able.mapInArrow(
+        _post(from_size, levels, percent, subset), "list long, part long, node long, place long"
     )
-    dealt = entries.repartition("list", "salt").sortWithinPartitions("list", "salt", "size", "node")
+    dealt = entries.repartition("list", "part").sortWithinPartitions("list", "part", "place", "node")
     lists = staged(
         dealt.mapInArrow(_pivots(percent), "list long, blocks long, node long, size long, at long, pivot long"), "lists"
     )
-    named = F.struct(F.col("_row.key").alias("_key"), F.col("_row.hash").alias("_hash")).alias("_name")
-    asked = staged(lists.select("node").distinct().join(texts.select("node", named), "node").select("node", "_name.*"), "asked")
-    value = F.col(f"`{text}`")
-    keyed = docs.select(F.col(f"`{key}`").alias("_k"), F.xxhash64(value).alias("_h"), value.alias("_text"))
-
-    def told(values: pa.Array) -> pa.Array:
-        whole = pa.RecordBatch.from_arrays([values], ["text"])
-        out = []
-        for part in chunks(whole, "text") if len(values) else ():
-            value, _, size = distinct(part.column("text"), words)
-            ends = np.cumsum(size).tolist()
-            out += [value[s:e].astype("<u8").tobytes() for s, e in zip([0, *ends[:-1]], ends)]
-        return pa.array(out, pa.binary())
-
-    met = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_h") == F.col("_hash"))
-    # Rows equal in key and text would give a set twice.
-    one = keyed.join(asked, met).dropDuplicates(["node"])
-    sets = staged(one.select("node", F.arrow_udf(told, "binary")("_text").alias("set")), "sets")
-
-    star = lists.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    # Each set meets the pivot that most of its lists have.
+    met = lists.where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("n"))
+    star = met.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b")).select(F.col("node").alias("a"), "b")
     # Parts of a list in different tasks have different pivots, which meet the smallest.
     parts = lists.where("blocks > 1").select("list", "pivot").distinct()
     centre = parts.groupBy("list").agg(F.min("pivot").alias("_least"))
     across = parts.join(centre, "list").where("pivot <> _least").select(F.col("pivot").alias("a"), F.col("_least").alias("b"))
-    links, turn = _verified(star.unionByName(across), sets, percent), 0
+    links, turn = verified(star.unionByName(across)), 0
     while True:
         found = components(links)
         rooted = lists.select("list", "node", "size", "at").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -352,16 +428,17 @@ def similar_sets(
             F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("n"),
             F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("_p"),
         ).where("_low < _high").drop("_low", "_high")
-        left = staged(rooted.join(apart, "list"), "apart")
-        rows, work = left.agg(F.count("*"), F.coalesce(F.sum(F.col("n") / 2), F.lit(0.0))).first()
-        if not rows:
+        left = staged(rooted.join(apart, "list").join(texts.select("node", "sketch"), "node"), "apart")
+        if not left.limit(1).count():
             return links
-        if turn == TURNS or work <= 16 * rows:
-            return links.unionByName(_verified(_compared(left.drop("_p"), percent), sets, percent))
-        more = _verified(left.where("root <> _p.root").select(F.col("node").alias("a"), F.col("_p.node").alias("b")), sets, percent)
-        links, turn = links.unionByName(more), turn + 1
-        if not more.limit(1).count():
-            return links.unionByName(_verified(_compared(left.drop("_p"), percent), sets, percent))
+        more = None
+        if turn < TURNS:
+            # Again one pair for each set: with the pivot that most of its lists have.
+            met = left.where("root <> _p.root").groupBy("node", F.col("_p.node").alias("pivot")).agg(F.count("*").alias("n"))
+            more = verified(met.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b")).select(F.col("node").alias("a"), "b"))
+            links, turn = links.unionByName(more), turn + 1
+        if more is None or not more.limit(1).count():
+            return links.unionByName(verified(_compared(left.drop("_p"), percent)))
 
 
 def jaccard_components(
@@ -399,13 +476,10 @@ def jaccard_components(
     )
     # Equal sets first: one row for each different set.
     some = marked.where("size > 0")
-    texts = staged(
-        some.groupBy("node").agg(
-            F.min("_row").alias("_row"), *[F.first(c).alias(c) for c in ("size", "light", "heavy", "prefix")]
-        ),
-        "texts",
-    )
-    found = components(similar_sets(docs, texts, levels, text, key, words, percent, subset))
+    each = some.groupBy("node")
+    texts = staged(each.agg(F.min("_row").alias("_row"), *[F.first(c).alias(c) for c in ("size", "light", "heavy", "sketch")]), "texts")
+    prefixes = each.agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    found = components(similar_sets(docs, texts, prefixes, levels, text, key, words, percent, subset))
     members = texts.select("node", "_row").join(found, "node", "left")
     least = members.groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("_row").alias("_least"))
     owner = members.select("node", F.coalesce("root", "node").alias("root")).join(least, "root")
