@@ -62,7 +62,8 @@ ROLLUP_NAMES = {
 
 def _scores(t):
     """A closed-form score per order, standing in for a model's probability."""
-    score = F.round(F.col("o_totalprice") / 600000, 4)
+    # The product is rounded, as SQL does it: ``round`` to 4 places looks at the decimal digits, where halves fall otherwise.
+    score = F.round(F.col("o_totalprice") / 600000 * 10000) / 10000
     return t.orders.select(
         "o_custkey", score.alias("score"), (score >= 0.5).cast("int").alias("pred"),
         (F.col("o_orderstatus") == "F").cast("int").alias("real"),

@@ -1,7 +1,10 @@
 """Registered queries next to their SQL on small tables with values that the given ones lack."""
 
+import datetime
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from tools.check_sql import table
@@ -29,3 +32,13 @@ def test_key_set_with_keys_longer_than_the_code(spark, agrees):
     orders = spark.createDataFrame([(7,), (100001,), (100002,), (1000012,), (None,)], "o_custkey long")
     lines = spark.createDataFrame([(7,), (10000,), (99999,), (100002,)], "l_suppkey long")
     assert agrees("key_set", orders=orders, lineitem=lines)
+
+
+def test_ranking_list_with_scores_at_a_half(spark, agrees):
+    """Prices that are halves of a ten-thousandth of 600,000: a rank hangs on where their scores are rounded to."""
+    orders = spark.range(400).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") / 5).cast("long").alias("o_custkey"),
+        (F.lit(417030.0) + 60 * F.col("id")).alias("o_totalprice"), F.lit("F").alias("o_orderstatus"),
+        F.lit(datetime.datetime(2000, 1, 1)).alias("o_orderdate"),
+    )
+    assert agrees("ranking_list", orders=orders)
