@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lavra.functions.text import quoted
-from lavra.operators.joins import skew_join
 from lavra.session import staged
 
 # Cell texts that a raw read takes as missing.
@@ -85,46 +87,99 @@ def scan_tolerant(
     return kept.select(*[_cell(F.col(quoted(c)), encoding, missing).alias(c) for c in names])
 
 
+# Part of a record that a row is: all of it, the end (or middle) of one from an earlier split, the start of one.
+WHOLE, ENDED, STARTED = 0, 1, 2
+RECORDS = "_file long, _block long, _edge int, _header boolean, value string"
+
+
+def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records of lines ``_file, _block, value, _open`` in the order of their splits; headers are left out.
+
+    ``_open`` says whether the split starts inside quotes. Lines of an unfinished record wait for its end.
+    """
+    place, opened, edge, header = None, 0, WHOLE, False
+    waiting: list[pa.Array] = []
+
+    def rows(edges: Sequence[int], headers: Sequence[bool], values: pa.Array) -> pa.RecordBatch:
+        files, blocks = ([x] * len(values) for x in place)
+        columns = [pa.array(files, pa.int64()), pa.array(blocks, pa.int64()), pa.array(edges, pa.int32()), pa.array(headers, pa.bool_())]
+        return pa.RecordBatch.from_arrays([*columns, values], [c.split()[0] for c in RECORDS.split(", ")])
+
+    def joined(values: pa.Array, ends: Sequence[int]) -> pa.Array:
+        """Lines of each record, up to these places, in one text."""
+        if len(ends) == len(values):
+            return values
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), values)
+        return pc.binary_join(lists, "\n")
+
+    def unfinished() -> Iterator[pa.RecordBatch]:
+        if waiting:
+            values = pa.concat_arrays(waiting)
+            yield rows([edge or STARTED], [header], joined(values, [len(values)]))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        file, block, lines = batch.column("_file").to_numpy(), batch.column("_block").to_numpy(), batch.column("value")
+        quotes = pc.count_substring(lines, '"').to_numpy()
+        starts = np.concatenate(([0], np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1))
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(file)]):
+            if place != (file[a], block[a]):
+                yield from unfinished()
+                place, waiting = (int(file[a]), int(block[a])), []
+                opened = int(batch.column("_open")[a].as_py())
+                edge, header = (ENDED if opened else WHOLE), place[1] == 0
+            inside = (opened + np.cumsum(quotes[a:b])) % 2
+            opened = int(inside[-1])
+            ends = np.flatnonzero(inside == 0) + 1
+            if not len(ends):
+                waiting.append(lines.slice(a, b - a))
+                continue
+            more = sum(map(len, waiting))
+            values = pa.concat_arrays([*waiting, lines.slice(a, int(ends[-1]))])
+            texts = joined(values, ends + more)
+            waiting = [lines.slice(a + int(ends[-1]), b - a - int(ends[-1]))] if ends[-1] < b - a else []
+            if header:
+                texts = texts.slice(1)
+            edges = np.zeros(len(texts), np.int32)
+            if edge:
+                edges[0] = edge
+            edge, header = WHOLE, False
+            if len(texts):
+                yield rows(edges, np.zeros(len(texts), bool), texts)
+    yield from unfinished()
+
+
 def scan_quoted(
     spark: SparkSession, path: str | Sequence[str], sep: str = ",", missing: Sequence[str] = MISSING_CELLS
 ) -> DataFrame:
     """As ``scan_raw`` with ``multi_line``, but a file is read in as many splits as its size asks for.
 
-    A line belongs to the record before it when an odd number of quotes stands ahead of it in its file. Quotes
-    are counted in each split, the parities of the splits ahead are added (a row per split), and only lines of records with
-    line breaks are put together. Files are UTF-8, lines end with ``\\n`` or ``\\r\\n``, each file has
-    the same header, and every record has as many cells; a quote that is never closed takes the rest of its file along.
+    A line belongs to the record before it when an odd number of quotes stands ahead of it in its file. Quotes are
+    counted by split and the parities of the splits ahead are added (a row per split). Each split's task then puts its
+    records together as it reads; only what a split has of records that cross its edges is shuffled. Files are told apart
+    by 64-bit hashes. Files are UTF-8, lines end with ``\\n`` or ``\\r\\n``, each file has the same header, and every
+    record has as many cells; a quote that is never closed takes the rest of its file along.
     """
     names = _csv_reader(spark, sep, "UTF-8", True).csv(path).columns
-    split = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
-    lines = spark.read.option("lineSep", "\n").text(path).select(*split, F.monotonically_increasing_id().alias("_id"), "value")
+    split = [F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    lines = spark.read.option("lineSep", "\n").text(path).select(*split, "value")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    inside = W.partitionBy("_file", "_block").orderBy("_id")
-    counted = staged(lines.withColumn("_q", quotes).withColumns({
-        "_ahead": F.coalesce(F.sum("_q").over(inside.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)),
-        "_first": (F.col("_block") == 0) & (F.row_number().over(inside) == 1),
-    }), "lines")
-    # One row per split of a file.
-    before = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    splits = counted.groupBy("_file", "_block").agg(F.sum("_q").alias("_all"))
-    splits = splits.withColumn("_open", F.coalesce(F.sum("_all").over(before), F.lit(0))).drop("_all")
-    opened = skew_join(counted, staged(splits, "splits"), ["_file", "_block"])
-    starts = (F.col("_open") + F.col("_ahead")) % 2 == 0
-    closed = (F.col("_open") + F.col("_ahead") + F.col("_q")) % 2 == 0
-    marked = staged(opened.select("_file", "_block", "_id", "value", "_first", starts.alias("_starts"), closed.alias("_closed")), "marked")
-    whole = marked.where("_starts and _closed")
-    # Lines of longer records: each knows the last line before it, in its split or an earlier one, that starts a record.
-    parts = marked.where("not (_starts and _closed)")
-    last = parts.where("_starts").groupBy("_file", "_block").agg(F.max(F.struct("_block", "_id")).alias("_last"))
-    every = staged(parts.select("_file", "_block").distinct().join(last, ["_file", "_block"], "left"), "starts")
-    every = every.withColumn("_before", F.max("_last").over(before)).drop("_last")
-    known = F.max(F.when(F.col("_starts"), F.struct("_block", "_id"))).over(inside.rowsBetween(W.unboundedPreceding, 0))
-    owned = skew_join(parts.withColumn("_own", known), every, ["_file", "_block"])
-    joined = owned.groupBy("_file", F.coalesce("_own", "_before").alias("_record")).agg(
-        F.max("_first").alias("_first"), F.sort_array(F.collect_list(F.struct("_block", "_id", "value"))).alias("_lines")
+    # One row per split of a file. The driver lists the splits too; only those that start inside quotes are sent to all tasks.
+    ahead = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    splits = lines.groupBy("_file", "_block").agg(F.sum(quotes).alias("_all"))
+    opened = splits.select("_file", "_block", (F.coalesce(F.sum("_all").over(ahead), F.lit(0)) % 2 == 1).alias("_open")).where("_open")
+    marked = lines.join(F.broadcast(opened), ["_file", "_block"], "left").withColumn("_open", F.coalesce("_open", F.lit(False)))
+    told = staged(marked.mapInArrow(_records, RECORDS), "records")
+    # At most two rows per split: the end of a record, or all of the split inside one, and a start.
+    parts = told.where("_edge > 0")
+    upto = W.partitionBy("_file").orderBy("_block", "_edge").rowsBetween(W.unboundedPreceding, 0)
+    started = F.max(F.when(F.col("_edge") == STARTED, F.col("_block"))).over(upto)
+    joined = parts.withColumn("_record", started).groupBy("_file", "_record").agg(
+        F.max("_header").alias("_header"), F.sort_array(F.collect_list(F.struct("_block", "_edge", "value"))).alias("_parts")
     )
-    text = F.array_join(F.transform("_lines", lambda line: line["value"]), "\n")
-    records = whole.select("value", "_first").unionByName(joined.select(text.alias("value"), "_first")).where("not _first")
+    text = F.array_join(F.transform("_parts", lambda part: part["value"]), "\n")
+    records = told.where("_edge = 0").select("value").unionByName(joined.where("not _header").select(text.alias("value")))
     schema = ", ".join(f"`c{i}` string" for i in range(len(names)))
     cells = F.from_csv(F.regexp_replace("value", "\r$", ""), F.lit(schema), {"sep": sep, "escape": '"', "maxCharsPerColumn": "-1"})
     filled = records.where(F.length(F.trim("value")) > 0).select(cells.alias("c"))

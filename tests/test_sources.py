@@ -8,6 +8,8 @@ from lavra.sources.files import largest_file, profile_files, schema_catalog
 from lavra.sources.links import LinkClass, classify_links, links_with_fallback, page_link_classes, page_links, resolve_url
 from lavra.sources.parts import union_parts
 from lavra.sources.payloads import flatten_json, header_row_table
+from lavra.session import staged
+from lavra.sources import scan
 from lavra.sources.scan import available, scan_quoted, scan_raw, scan_tolerant, scan_typed
 from lavra.sources.sinks import append_manifest, external_manifest, write_json, write_layer
 from lavra.streaming.chunks import ingest_new_files
@@ -192,3 +194,35 @@ def test_quoted_breaks_across_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_quoted_lines_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """Records, one and the header longer than several splits; only counts by split and cut records are ordered."""
+    folder = tmp_path / "long"
+    folder.mkdir()
+    for k in range(3):
+        with open(folder / f"part{k}.csv", "w", newline="") as f:
+            writer = csv.writer(f, lineterminator="\n")
+            writer.writerow(["id", "head" + "\n of it" * 300])
+            for i in range(60):
+                writer.writerow([f"{k}-{i}", 'a "b"' + "\n,c" * (2000 if i % 20 == 7 else i % 3) + "z"])
+    whole = sorted(map(tuple, scan_raw(spark, str(folder), multi_line=True).collect()))
+    plans = []
+
+    def told(df, name="stage"):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+        return staged(df, name)
+
+    monkeypatch.setattr(scan, "staged", told)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+        spark.conf.set("spark.sql.files.openCostInBytes", "0b")
+        assert sorted(map(tuple, scan_quoted(spark, str(folder)).collect())) == whole and len(whole) == 180
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    for plan in plans:
+        for i in (i for i, line in enumerate(plan) if "Window [" in line):
+            # Under a window, rows are added up before any text is read.
+            assert next(x for x in plan[i + 1 :] if "Aggregate" in x or "Relation" in x).count("Aggregate") == 1
