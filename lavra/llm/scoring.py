@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.substrings import chunks, word_hashes
+from lavra.llm.substrings import PIECE_BYTES, chunks, word_hashes
 from lavra.llm.text import columns_of
 from lavra.session import staged
 
@@ -160,16 +160,24 @@ def surroundings(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Codes at -2, -1, 1 and 2 of every place of every text; beyond a text's ends the edge code."""
     # Every text stands between edge codes.
     place = np.arange(len(codes)) + REACH * (np.repeat(np.arange(len(counts)), counts) + 1)
-    padded = np.full(len(codes) + REACH * (len(counts) + 1), CODES, np.int32)
+    padded = np.full(len(codes) + REACH * (len(counts) + 1), CODES, np.int16)
     padded[place] = codes
     return np.stack([padded[place + o] for o in range(-REACH, REACH + 1) if o], axis=1)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    for part in (c for batch in batches for c in chunks(batch, "_text")):
+    for part in (c for batch in batches for c in chunks(batch, "_text", PIECE_BYTES)):
         yield word_hashes(part.column("_text"))
 
 
+def _coded(batches: Iterator[pa.RecordBatch], own: np.ndarray, number: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes of the words of many texts at once, and the number of words of each text."""
+    for part in (c for batch in batches for c in chunks(batch, "_text")):
+        pieces = [(encode(hashes, own, number).astype(np.int16), counts) for hashes, counts in _parts(iter([part]))]
+        codes, counts = zip(*pieces)
+        yield np.concatenate(codes), np.concatenate(counts)
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for hashes, _ in _parts(batches):
         words, times = np.unique(hashes, return_counts=True)
@@ -181,8 +189,7 @@ def _train(network: np.ndarray, own: np.ndarray, number: np.ndarray, rate: float
         model, seen = Network.of(network), 0
         trainer = Trainer(model, rate)
         rng = np.random.default_rng(seed)
-        for hashes, counts in _parts(batches):
-            codes = encode(hashes, own, number)
+        for codes, counts in _coded(batches, own, number):
             around = surroundings(codes, counts)
             order = rng.permutation(len(codes))
             for at in range(0, len(codes), BATCH):
@@ -268,7 +275,7 @@ def _shared_words(sent):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coded = sent.value
-        for part in (c for batch in batches for c in chunks(batch, "_text")):
+        for part in (c for batch in batches for c in chunks(batch, "_text", PIECE_BYTES)):
             words, counts = word_hashes(part.column("_text"))
             shared = encode(words, coded.own, coded.number) >= OWN
             texts, words = np.repeat(part.column("_hash").to_numpy(), counts)[shared], words[shared]

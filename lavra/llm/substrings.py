@@ -37,6 +37,8 @@ WINDOW, GRAM = 20, 8
 SHARD_WORDS, HOT_WORDS = 300_000, 30_000
 # Bytes of text that are cut into segments at once.
 CHUNK_BYTES = 8 << 20
+# Bytes of text that are cut into words at once where texts do not meet each other: a word takes many times its bytes.
+PIECE_BYTES = 1 << 20
 LAST = (1 << 63) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -70,10 +72,10 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return known[code], counts
 
 
-def chunks(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch of a few megabytes of text each; a longer text has its own."""
+def chunks(batch: pa.RecordBatch, text: str, size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of about ``size`` bytes of text each; a longer text has its own."""
     sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy().astype(np.int64)
-    group = np.cumsum(sizes) // CHUNK_BYTES
+    group = np.cumsum(sizes) // size
     starts = np.flatnonzero(np.diff(group, prepend=-1))
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(sizes)]):
         yield batch.slice(a, b - a)

@@ -1,6 +1,9 @@
 import random
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from lavra.llm import scoring
@@ -91,3 +94,17 @@ def test_rows_far_below_the_others_keep_their_scores():
     x = np.array([[100.0, 99.0, 98.0], [-15.0, -16.0, -17.0], [0.0, -200.0, -200.0]], np.float32)
     exact = x - np.log(np.exp(x.astype(float) - x.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)) - x.max(axis=1, keepdims=True)
     assert np.allclose(scoring._log_softmax(x), exact, atol=1e-5)
+
+
+def test_a_large_batch_takes_little_memory():
+    """Words of many texts are looked at some megabytes at a time; a word takes many times its bytes."""
+    texts = pa.array([" ".join(f"w{(i * 7 + k) % 5000}" for k in range(200)) for i in range(6000)])
+    batch = pa.RecordBatch.from_arrays([texts, pa.array(range(6000))], ["_text", "_hash"])
+    none, kinds = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    sent = SimpleNamespace(value=scoring.Coded(np.zeros(0), none, kinds, np.ones(scoring.CODES)))
+    tracemalloc.start()
+    try:
+        rows = sum(found.num_rows for found in scoring._shared_words(sent)(iter([batch])))
+        assert rows == 6000 * 200 and tracemalloc.get_traced_memory()[1] < 24 << 20
+    finally:
+        tracemalloc.stop()
