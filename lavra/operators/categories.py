@@ -99,12 +99,16 @@ def fit_dictionary(train: DataFrame, columns: Sequence[str], min_frequency: int
     return Dictionary(path, found, size_of(table.select("value", "place", "slot")))
 
 
-def encode(df: DataFrame, dictionary: DataFrame, column: str, mode: str, number: str, out: str, size: int | None = None) -> DataFrame:
-    """Add the number of each row's category; missing ones are the mode, unknown ones get null."""
-    own = dictionary.where(F.col("column") == column).select(F.col("value").alias("_value"), F.col(number).alias(out))
+def encode(
+    df: DataFrame, dictionary: DataFrame, column: str, mode: str, numbers: Mapping[str, str], size: int | None = None
+) -> DataFrame:
+    """Add numbers (and their new names) of each row's category, by one join; missing ones are the mode, unknown ones get null."""
+    own = dictionary.where(F.col("column") == column).select(
+        F.col("value").alias("_value"), *[F.col(number).alias(out) for number, out in numbers.items()]
+    )
     filled = df.withColumn("_value", F.coalesce(F.col(quoted(column)).cast("string"), F.lit(mode)))
     names = [quoted(c) for c in df.columns]
-    return skew_join(filled, own, ["_value"], right_bytes=size).select(*names, out)
+    return skew_join(filled, own, ["_value"], right_bytes=size).select(*names, *numbers.values())
 
 
 class CategoryFeatures(Transformer, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
@@ -138,7 +142,7 @@ class CategoryFeatures(Transformer, HasOutputCol, DefaultParamsReadable, Default
         cells = [F.struct(F.lit(i).alias("slot"), F.expr(e).alias("value")) for i, e in enumerate(numbers)]
         for k, (c, mode, width) in enumerate(zip(columns, self.getOrDefault(self.modes), self.getOrDefault(self.widths))):
             table = dataset.sparkSession.read.parquet(self.getOrDefault(self.path))
-            rows = encode(rows, table, c, mode, "slot" if onehot else "place", f"_slot{k}", self.getOrDefault(self.size))
+            rows = encode(rows, table, c, mode, {"slot" if onehot else "place": f"_slot{k}"}, self.getOrDefault(self.size))
             found = F.col(f"_slot{k}")
             if onehot:
                 cells.append(F.struct((found + at).cast("int").alias("slot"), F.when(found.isNotNull(), F.lit(1.0)).alias("value")))

@@ -112,8 +112,7 @@ def many_categories(t):
     rows = t.lineitem.select(F.when(F.col("l_orderkey") % 11 > 0, code).alias("code"))
     fitted = categories.fit_dictionary(rows, ["code"])
     mode, table = fitted.columns["code"][0], fitted.table(t.spark)
-    placed = categories.encode(rows, table, "code", mode, "place", "place", fitted.bytes)
-    both = categories.encode(placed, table, "code", mode, "slot", "slot", fitted.bytes)
+    both = categories.encode(rows, table, "code", mode, {"place": "place", "slot": "slot"}, fitted.bytes)
     return both.groupBy("place", "slot").agg(F.count("*").alias("rows"))
 
 

@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from lavra.operators import categories
+from lavra.operators.joins import skew_join
 from tools.check_sql import table
 
 
@@ -42,3 +44,10 @@ def test_ranking_list_with_scores_at_a_half(spark, agrees):
         F.lit(datetime.datetime(2000, 1, 1)).alias("o_orderdate"),
     )
     assert agrees("ranking_list", orders=orders)
+
+
+def test_many_categories_meets_its_dictionary_once(spark, agrees, monkeypatch):
+    joins = []
+    monkeypatch.setattr(categories, "skew_join", lambda *a, **k: joins.append(a) or skew_join(*a, **k))
+    lines = spark.range(300).select((F.col("id") / 3).cast("long").alias("l_orderkey"), (F.col("id") % 7).alias("l_linenumber"))
+    assert agrees("many_categories", lineitem=lines) and len(joins) == 1
