@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lavra.llm.components import components
 from lavra.llm.lines import _cell, rarity
-from lavra.llm.substrings import chunks, mixed, word_hashes
+from lavra.llm.substrings import PIECE_BYTES, chunks, mixed, word_hashes
 from lavra.session import staged
 
 WORDS, PERCENT, SUBSET = 5, 80, 2
@@ -108,7 +108,8 @@ def _count_repeats(words: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (c for batch in batches for c in chunks(batch, "_text")):
-            value = np.sort(shingles(part.column("_text"), words)[0])
+            pieces = chunks(part, "_text", PIECE_BYTES)
+            value = np.sort(np.concatenate([shingles(piece.column("_text"), words)[0] for piece in pieces]))
             first = np.flatnonzero(np.concatenate((np.ones(min(1, len(value)), bool), value[1:] != value[:-1])))
             times = np.diff(np.append(first, len(value)))
             often = times > 1
@@ -124,7 +125,7 @@ def _marks(texts: pa.Array, levels: np.ndarray, words: int, percent: int, subset
     """Of each text: hash and size of its set, what it costs either way, and its prefix."""
     out: dict[str, list] = {f.split()[0]: [] for f in MARKS.split(", ")}
     whole = pa.RecordBatch.from_arrays([texts], ["text"])
-    for part in chunks(whole, "text") if len(texts) else ():
+    for part in chunks(whole, "text", PIECE_BYTES) if len(texts) else ():
         value, doc, size = distinct(part.column("text"), words, levels)
         ends = np.cumsum(size)
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mixed(value + _ORDER), dtype=np.uint64)))
@@ -137,8 +138,10 @@ def _marks(texts: pa.Array, levels: np.ndarray, words: int, percent: int, subset
         out["size"] += size.tolist()
         out["light"] += [float(math.comb(p, subset)) for p in several.tolist()]
         out["heavy"] += np.bincount(doc, scanned, len(size)).tolist()
-        odd = np.bincount((doc << SKETCH_BITS) + (value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(size) << SKETCH_BITS) & 1
-        out["sketch"] += [row.tobytes() for row in np.packbits(odd.reshape(len(size), -1).astype(np.uint8), axis=1)]
+        # Counts of a byte, which may run over: only their last bit is used.
+        odd = np.zeros(len(size) << SKETCH_BITS, np.uint8)
+        np.add.at(odd, (doc << SKETCH_BITS) + (value >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint8(1))
+        out["sketch"] += [row.tobytes() for row in np.packbits((odd & 1).reshape(len(size), -1), axis=1)]
         out["prefix"] += [value[s : s + p].astype("<u8").tobytes() for s, p in zip((ends - size).tolist(), several.tolist())]
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.binary()]
     return pa.StructArray.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
@@ -324,12 +327,13 @@ def _against_first(percent: int):
         place, own = None, np.zeros(0, np.uint64)
         for batch in batches:
             left, right = [], []
-            columns = (batch.column(c).to_pylist() for c in ("hub", "part", "first", "node", "set"))
-            for hub, part, first, node, packed in zip(*columns):
-                elements = np.frombuffer(packed, "<u8")
+            columns = (batch.column(c).to_pylist() for c in ("hub", "part", "first", "node"))
+            # Sets are looked at where the batch holds them; only the hub's stays behind.
+            for hub, part, first, node, packed in zip(*columns, batch.column("set")):
+                elements = np.frombuffer(packed.as_buffer(), "<u8")
                 if not first:
                     if place != (hub, part):
-                        place, own = (hub, part), elements
+                        place, own = (hub, part), elements.copy()
                     continue
                 at = np.searchsorted(own, elements)
                 both = int((own[np.minimum(at, len(own) - 1)] == elements).sum())
@@ -375,7 +379,7 @@ class Verifier:
         def told(values: pa.Array) -> pa.Array:
             whole = pa.RecordBatch.from_arrays([values], ["text"])
             out = []
-            for part in chunks(whole, "text") if len(values) else ():
+            for part in chunks(whole, "text", PIECE_BYTES) if len(values) else ():
                 value, _, size = distinct(part.column("text"), words)
                 ends = np.cumsum(size).tolist()
                 out += [value[s:e].astype("<u8").tobytes() for s, e in zip([0, *ends[:-1]], ends)]

@@ -1,10 +1,12 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from lavra.llm import setjoin
+from lavra.llm.lines import CELLS
 from tests.llm.data import SCHEMA, clashing, odd_rows, prose
 from tests.llm.test_simhash import classes
 
@@ -129,3 +131,20 @@ def test_cut_and_extended_copies_are_found(spark):
     near = [i for i in range(120) if 5 * len(sets[i] & sets[1000 + i]) >= 4 * len(sets[i] | sets[1000 + i])]
     assert len(near) > 100
     assert ids(rows, spark) == [*range(120), *(1000 + i for i in range(120) if i not in near)]
+
+
+def test_worker_memory_of_large_batches():
+    """Marks of many texts take a few times a megabyte of them, and sets that meet a hub are not copied."""
+    texts = pa.array([" ".join(f"w{(i * 7 + k) % 5000}" for k in range(200)) for i in range(4000)])
+    packed = pa.array([np.arange(i, i + 3000, dtype=np.uint64).tobytes() for i in range(1000)])
+    columns = [pa.array([1] * 1000), pa.array([0] * 1000), pa.array([i > 0 for i in range(1000)]), pa.array(range(1000)), packed]
+    met = pa.RecordBatch.from_arrays(columns, ["hub", "part", "first", "node", "set"])
+    tracemalloc.start()
+    try:
+        pairs = [r for found in setjoin._against_first(80)(iter([met])) for r in found.column("a").to_pylist()]
+        assert pairs == [i for i in range(1, 1000) if 100 * (3000 - i) >= 80 * (3000 + i)]
+        assert tracemalloc.get_traced_memory()[1] < 4 << 20
+        assert len(setjoin._marks(texts, np.zeros(CELLS, np.uint8), 5, 80, 2)) == 4000
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
