@@ -13,8 +13,10 @@ scanned from it on, both added up over all sets by size.
 
 Equal sets are put together first. What is asked for are classes, so a list is not expanded into all its
 pairs: each set meets a pivot of its list, these pairs are verified on the whole sets, and only lists that still hold
-different classes are compared further, in blocks over tasks, with filters by size and by the place of
-the shared element. Every pair of similar sets either has such a comparison or is joined by verified links.
+different classes are compared further, in blocks over tasks, with filters by size, by the place of
+the shared element and by sketches: in turns that give each set the nearest one of another class, which joins groups of
+near copies with a pair or so for each set, and then all pairs between the classes that are left. Of lists that hold the same sets
+one is looked at. Every pair of similar sets either has such a comparison or is joined by verified links.
 """
 
 from __future__ import annotations
@@ -41,8 +43,10 @@ LIST_ROWS = 4096
 BLOCK = 1000
 # Partners of a hub in one task.
 HUB_ROWS = 4096
-# Most turns of pivots before the comparison, which is the same without them, only longer.
+# Turns of nearest pairs before the comparison of all that are left, which is the same without them, only longer.
 TURNS = 2
+# Lists up to this length are compared for all lists of a batch at once.
+SHORT = 24
 # Bits of a set's parity sketch, as a power of two.
 SKETCH_BITS = 9
 _ORDER = np.uint64(0x9E3779B97F4A7C15)
@@ -63,9 +67,14 @@ def sketched(sketches: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(sketches.to_pylist()), "<u8").reshape(len(sketches), -1)
 
 
-def near_enough(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Whether sets of these sketches and sizes can be similar: a bit that differs stands for an element of just one of them."""
-    return np.bitwise_count(x ^ y).sum(axis=1) <= a + b - 2 * overlap(a, b, percent)
+def differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Bits that differ in sketches; each stands for an element of just one of the sets."""
+    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+
+
+def most_apart(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Elements that just one of two similar sets of these sizes has, at most."""
+    return a + b - 2 * overlap(a, b, percent)
 
 
 def similar(both: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> np.ndarray:
@@ -273,24 +282,46 @@ def _pivots(percent: int):
     return run
 
 
-def _compare(percent: int):
-    """Pairs of a list that can be similar and are in different classes: of one block all, of two those across."""
+def _compare(percent: int, nearest: bool):
+    """Pairs of a list that can be similar and are in different classes: of one block all, of two those across.
+
+    With ``nearest`` each set of a list has just the one whose sketch is nearest: no more pairs than sets.
+    """
     names = ("list", "low", "high", "block", "node", "root", "size", "at")
 
-    def pairs(block, node, root, size, at, sketch) -> Iterator[pa.RecordBatch]:
-        rows = max(1, 500_000 // len(node))
-        for first in range(0, len(node), rows):
-            i, j = (x.ravel() for x in np.meshgrid(np.arange(first, min(first + rows, len(node))), np.arange(len(node)), indexing="ij"))
-            across = (block[i] != block[j]) | (block[0] == block[-1])
-            i, j = (x[across & (i < j) & (root[i] != root[j])] for x in (i, j))
-            # The first element that two sets share has all that they share at or behind it.
-            most = np.minimum(size[i] - at[i], size[j] - at[j])
-            fits = similar(np.minimum(most, np.minimum(size[i], size[j])), size[i], size[j], percent)
-            i, j = i[fits], j[fits]
-            fits = near_enough(sketch[i], sketch[j], size[i], size[j], percent)
-            i, j = i[fits], j[fits]
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(node[i]), pa.array(node[j])], ["a", "b"])
+    def fitting(rows: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        lists, low, high, block, node, root, size, at, sketch = rows
+        some = (root[i] != root[j]) & ((block[i] != block[j]) | (low[i] == high[i]))
+        i, j = i[some], j[some]
+        # The first element that two sets share has all that they share at or behind it.
+        most = np.minimum(size[i] - at[i], size[j] - at[j])
+        fits = similar(np.minimum(most, np.minimum(size[i], size[j])), size[i], size[j], percent)
+        i, j = i[fits], j[fits]
+        apart = differing(sketch[i], sketch[j])
+        fits = apart <= most_apart(size[i], size[j], percent)
+        i, j, apart = i[fits], j[fits], apart[fits]
+        if nearest:
+            order = np.lexsort((node[j], apart, i))
+            order = order[np.diff(i[order], prepend=-1) > 0]
+            i, j, apart = i[order], j[order], apart[order]
+        found = (lists[i], node[i], size[i], at[i], node[j], apart)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["list", "a", "size", "at", "b", "apart"])
+
+    def pairs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """Of whole lists: the short ones at once, pairs of the same distance by pairs of the same distance."""
+        new = np.concatenate(([True], np.any([x[1:] != x[:-1] for x in rows[:3]], axis=0)))
+        start = np.flatnonzero(new)
+        many = np.diff(np.append(start, len(new)))
+        inside = np.arange(len(new)) - np.repeat(start, many)
+        short = np.repeat(many, many) <= SHORT
+        later = [np.flatnonzero(short & (inside >= step)) for step in range(1, SHORT)]
+        i, j = np.concatenate([x - step for step, x in enumerate(later, 1)]), np.concatenate(later)
+        yield fitting(rows, *((np.append(i, j), np.append(j, i)) if nearest else (i, j)))
+        for s, n in zip(start[many > SHORT].tolist(), many[many > SHORT].tolist()):
+            turn = max(1, 500_000 // n)
+            for first in range(s, s + n, turn):
+                i, j = (x.ravel() for x in np.meshgrid(np.arange(first, min(first + turn, s + n)), np.arange(s, s + n), indexing="ij"))
+                yield fitting(rows, *((i, j) if nearest else (i[i < j], j[i < j])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []
@@ -300,24 +331,38 @@ def _compare(percent: int):
             now = [*(batch.column(c).to_numpy() for c in names), sketched(batch.column("sketch"))]
             if kept:
                 now = [np.concatenate(x) for x in zip(kept, now)]
-            starts = np.concatenate(([0], np.flatnonzero(np.any([x[1:] != x[:-1] for x in now[:3]], axis=0)) + 1))
-            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
-                yield from pairs(*(x[a:b] for x in now[3:]))
-            kept = [x[starts[-1] :] for x in now]
+            # The last list may go on in the next batch.
+            open_from = np.flatnonzero(np.any([x != x[-1] for x in now[:3]], axis=0))
+            cut = int(open_from[-1]) + 1 if len(open_from) else 0
+            if cut:
+                yield from pairs([x[:cut] for x in now])
+            kept = [x[cut:] for x in now]
         if kept:
-            yield from pairs(*kept[3:])
+            yield from pairs(kept)
 
     return run
 
 
-def _compared(lists: DataFrame, percent: int) -> DataFrame:
-    """Candidates of whole lists ``list, node, root, size, at, sketch, n``; a long one meets block by block in many tasks."""
+def _compared(lists: DataFrame, percent: int, nearest: bool = False) -> DataFrame:
+    """Candidates ``a, b`` of whole lists ``list, node, root, size, at, sketch, n``, with the row of ``a`` and how far they are apart.
+
+    A long list meets block by block in many tasks.
+    """
     dealt = lists.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     both = dealt.select("list", "node", "root", "size", "at", "sketch", "block", other)
     both = both.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other")
     met = both.repartition("list", "low", "high").sortWithinPartitions("list", "low", "high", "block")
-    return met.mapInArrow(_compare(percent), "a long, b long")
+    return met.mapInArrow(_compare(percent, nearest), "list long, a long, size long, at long, b long, apart long")
+
+
+def _one_of_same(lists: DataFrame) -> DataFrame:
+    """One list of those that hold the same sets, which have the same pairs: the one whose element comes first in all of them."""
+    held = lists.groupBy("list").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.sum("at").alias("at")
+    )
+    one = held.where("n > 1").groupBy("n", "x", "y").agg(F.min_by("list", F.struct("at", "list")).alias("list"))
+    return lists.join(one.select("list"), "list", "left_semi")
 
 
 def _against_first(percent: int):
@@ -345,6 +390,12 @@ def _against_first(percent: int):
     return run
 
 
+def _hash_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cells = _cell(batch.column("_hash").to_numpy().view(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.ones(len(cells), np.int64))], ["cell", "n"])
+
+
 class Verifier:
     """Looks pairs of sets up in the documents again and keeps those that are similar."""
 
@@ -361,7 +412,7 @@ class Verifier:
 
         def fits(left: pa.Array, right: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
             a, b = a.to_numpy(), b.to_numpy()
-            return pa.array(near_enough(sketched(left), sketched(right), a, b, percent) if len(a) else np.zeros(0, bool))
+            return pa.array(differing(sketched(left), sketched(right)) <= most_apart(a, b, percent) if len(a) else np.zeros(0, bool))
 
         near = 100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")
         pairs = pairs.where("a <> b").distinct()
@@ -372,7 +423,8 @@ class Verifier:
         """The similar ones of ``a, b``; ``b`` is the hub that its partners are sent to.
 
         A hub of many partners is sent to several tasks with a part of them each. Only the documents of
-        pairs are read for their words again, and a set travels once for each of its pairs.
+        pairs are read for their words again, and a set travels once for each of its pairs. Other documents are left out
+        before they are shuffled, by a sketch of fixed size of the hashes that are asked for.
         """
         words, percent = self.words, self.percent
 
@@ -395,8 +447,13 @@ class Verifier:
         heads = hubs.select(F.col("hub").alias("node"), "hub", every, F.lit(False).alias("first"))
         places = members.unionByName(heads).groupBy("node").agg(F.collect_list(F.struct("hub", "part", "first")).alias("places"))
         asked = staged(places.join(self.names, "node"), "asked")
+        wanted = self.docs.sparkSession.sparkContext.broadcast(rarity(asked.select("_hash"), _hash_cells))
+
+        def may_be(hashes: pa.Array) -> pa.Array:
+            return pa.array(wanted.value[_cell(hashes.to_numpy().view(np.uint64))] > 0)
+
         met = F.col("_k").eqNullSafe(F.col("_key")) & (F.col("_h") == F.col("_hash"))
-        found = self.docs.join(asked, met).select("node", F.arrow_udf(told, "binary")("_text").alias("set"), "places")
+        found = self.docs.where(F.arrow_udf(may_be, "boolean")("_h")).join(asked, met).select("node", F.arrow_udf(told, "binary")("_text").alias("set"), "places")
         sent = found.select(F.explode("places").alias("p"), "node", "set").select("p.*", "node", "set")
         ordered = sent.repartition("hub", "part").sortWithinPartitions("hub", "part", "first")
         return staged(ordered.mapInArrow(_against_first(percent), "a long, b long"), "similar")
@@ -414,9 +471,10 @@ def similar_sets(
         _post(from_size, levels, percent, subset), "list long, part long, node long, place long"
     )
     dealt = entries.repartition("list", "part").sortWithinPartitions("list", "part", "place", "node")
-    lists = staged(
-        dealt.mapInArrow(_pivots(percent), "list long, blocks long, node long, size long, at long, pivot long"), "lists"
+    paired = staged(
+        dealt.mapInArrow(_pivots(percent), "list long, blocks long, node long, size long, at long, pivot long"), "paired"
     )
+    lists = staged(_one_of_same(paired), "lists")
     # Each set meets the pivot that most of its lists have.
     met = lists.where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("n"))
     star = met.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b")).select(F.col("node").alias("a"), "b")
@@ -425,24 +483,25 @@ def similar_sets(
     centre = parts.groupBy("list").agg(F.min("pivot").alias("_least"))
     across = parts.join(centre, "list").where("pivot <> _least").select(F.col("pivot").alias("a"), F.col("_least").alias("b"))
     links, turn = verified(star.unionByName(across)), 0
+    left = lists.select("list", "node", "size", "at")
     while True:
         found = components(links)
-        rooted = lists.select("list", "node", "size", "at").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        apart = rooted.groupBy("list").agg(
-            F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("n"),
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("_p"),
-        ).where("_low < _high").drop("_low", "_high")
+        rooted = left.join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        apart = rooted.groupBy("list").agg(F.min("root").alias("_low"), F.max("root").alias("_high"), F.count("*").alias("n"))
+        apart = apart.where("_low < _high").drop("_low", "_high")
         left = staged(rooted.join(apart, "list").join(texts.select("node", "sketch"), "node"), "apart")
         if not left.limit(1).count():
             return links
-        more = None
         if turn < TURNS:
-            # Again one pair for each set: with the pivot that most of its lists have.
-            met = left.where("root <> _p.root").groupBy("node", F.col("_p.node").alias("pivot")).agg(F.count("*").alias("n"))
-            more = verified(met.groupBy("node").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b")).select(F.col("node").alias("a"), "b"))
+            # Each set meets the nearest of another class. Sets that have none in a list now will have none there later.
+            near = staged(_compared(left, percent, nearest=True), "nearest")
+            met = near.groupBy("a").agg(F.min_by("b", F.struct("apart", "b")).alias("b"))
+            more = verified(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+            left = staged(_one_of_same(near.select("list", F.col("a").alias("node"), "size", "at").distinct()), "lists")
             links, turn = links.unionByName(more), turn + 1
-        if more is None or not more.limit(1).count():
-            return links.unionByName(verified(_compared(left.drop("_p"), percent)))
+        else:
+            rest = _compared(left, percent)
+            return links.unionByName(verified(rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))))
 
 
 def jaccard_components(

@@ -148,3 +148,49 @@ def test_worker_memory_of_large_batches():
         assert tracemalloc.get_traced_memory()[1] < 40 << 20
     finally:
         tracemalloc.stop()
+
+
+@pytest.fixture
+def emitted(monkeypatch):
+    """Rows that each comparison of lists gives."""
+    rows, compared = [], setjoin._compared
+
+    def counted(*args, **options):
+        out = compared(*args, **options)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(setjoin, "_compared", counted)
+    return rows
+
+
+def test_a_pair_of_many_lists_is_compared_once(spark, emitted):
+    rng = random.Random(16)
+    rows = []
+    for i in range(12):
+        words = prose(rng, 1000, 10**6).split()
+        # Similarity of about 0.75: a candidate in each of the many lists that both are in, but no link.
+        other = [f"edit{k}" if k % 35 == 17 else w for k, w in enumerate(words)]
+        rows += [(i, " ".join(words)), (100 + i, " ".join(other))]
+    # Either kind in splits of its own, so that the sketch of counts does not see what they share.
+    rows.sort()
+    assert found(spark, rows) == components(rows)
+    assert 12 <= max(emitted) <= 24
+
+
+@pytest.mark.parametrize("nearest", [True, False])
+def test_nearest_of_each_set(nearest):
+    n = 200
+    bits = np.zeros((n, 512), np.uint8)
+    bits[np.arange(n), np.arange(n)] = 1
+    columns = {"list": [7] * n, "low": [0] * n, "high": [0] * n, "block": [0] * n, "node": list(range(n)), "root": list(range(n))}
+    columns |= {"size": [300] * n, "at": [0] * n, "sketch": [np.packbits(b).tobytes() for b in bits]}
+    batch = pa.RecordBatch.from_pydict(columns)
+    got = [(r["a"], r["b"]) for out in setjoin._compare(80, nearest)(iter([batch.slice(0, 90), batch.slice(90)])) for r in out.to_pylist()]
+    assert sorted(a for a, _ in got) == list(range(n)) if nearest else len(set(got)) == len(got) == n * (n - 1) // 2
+
+
+def test_lists_of_the_same_sets(spark):
+    rows = [(1, 10, 3), (1, 11, 4), (2, 10, 1), (2, 11, 2), (3, 10, 0), (3, 12, 0), (4, 12, 1)]
+    lists = spark.createDataFrame([(a, n, 20, at) for a, n, at in rows], "list long, node long, size long, at long")
+    assert sorted(r["list"] for r in setjoin._one_of_same(lists).select("list").distinct().collect()) == [2, 3]
