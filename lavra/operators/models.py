@@ -116,12 +116,17 @@ class Fitted:
     params: dict
 
 
+def measure(train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str]) -> tuple:
+    """What the preparations of all kinds of models read from the training rows: class counts and fitted values."""
+    return class_counts(train, label), fit_preparation(train, numeric, categorical)
+
+
 def prepare(
-    train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], spec: ModelSpec
+    train: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], spec: ModelSpec, measured: tuple | None = None
 ) -> Prepared:
-    """Fit the preparation that a kind of model wants on the training rows."""
-    negatives, positives = class_counts(train, label)
-    stages, slots = assemble(train.sparkSession, fit_preparation(train, numeric, categorical), spec.scale, spec.encoding)
+    """Fit the preparation that a kind of model wants on the training rows, or on what was measured of them before."""
+    (negatives, positives), fitted = measured or measure(train, label, numeric, categorical)
+    stages, slots = assemble(train.sparkSession, fitted, spec.scale, spec.encoding)
     vectors = stages.transform(train).select(
         "features",
         F.col(label).cast("double").alias("label"),
@@ -159,16 +164,17 @@ def cross_predictions(
 ) -> DataFrame:
     """Out-of-fold scores of every candidate (name, kind, parameters), in one long table.
 
-    Candidates that want the same preparation share it within a fold. The driver waits for several
+    Candidates that want the same preparation share it within a fold, and all preparations of a fold what they measure. The driver waits for several
     folds at a time; all work on rows is Spark's.
     """
     def run_fold(k: int) -> list[DataFrame]:
         ready: dict[tuple, Prepared] = {}
-        parts = []
+        parts, train = [], df.where(F.col(fold) != k)
+        measured = measure(train, label, numeric, categorical)
         for name, spec, params in candidates:
             flavour = (spec.scale, spec.encoding)
             if flavour not in ready:
-                ready[flavour] = prepare(df.where(F.col(fold) != k), label, numeric, categorical, spec)
+                ready[flavour] = prepare(train, label, numeric, categorical, spec, measured)
             part = predict(ready[flavour].fit(spec, params), df.where(F.col(fold) == k), label)
             parts.append(part.select(F.lit(name).alias("modelo"), F.lit(k).alias("fold"), "y_real", "y_pred", "score"))
         return parts

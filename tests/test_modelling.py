@@ -366,3 +366,13 @@ def test_an_ensemble_without_splits_has_no_gains(spark, labelled):
     fitted = models.fit(labelled.where("y = 1"), "y", ["x"], [], models.ModelSpec("random_forest", params={"n_estimators": 2}))
     gains, base = trees.tree_attribution(fitted.model.stages[-1], fitted.model.transform(labelled), "id")
     assert gains.count() == 0 and base == 1.0
+
+
+def test_folds_are_measured_once(spark, monkeypatch):
+    calls, fit_preparation = [], models.fit_preparation
+    monkeypatch.setattr(models, "fit_preparation", lambda *a: calls.append(1) or fit_preparation(*a))
+    rows = [(i % 4, i % 3 % 2, float(i % 7), "ab"[i % 2]) for i in range(80)]
+    folded = spark.createDataFrame(rows, "fold int, y int, x double, g string")
+    specs = [models.LOGISTIC, models.ModelSpec("logistic_regression"), models.ModelSpec("logistic_regression", encoding="ordinal")]
+    models.cross_predictions(folded, "y", ["x"], ["g"], [(str(i), s, {"max_iter": 2}) for i, s in enumerate(specs)], folds=[0, 1])
+    assert len(calls) == 2
