@@ -9,7 +9,10 @@ Rarity is read from a sketch of fixed size, the corpus-wide word counts added up
 gives the same result, a better one shorter lists. Equal sets are put together within each batch and
 then by their own list, so a line that fills the corpus enters the lists a few times. A line has to
 match only one earlier line: of the candidates in a list the nearest few are verified first, and only
-lines that had more and matched none are compared with all of theirs.
+lines that had more and matched none are compared with all of theirs, in the lists where they had more.
+
+A word that the corpus holds once leads to no other line, so nothing is posted under it. Rows come to a
+list sorted by word alone; those that are alone under their word are left out before the rest is ordered.
 """
 
 from __future__ import annotations
@@ -18,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,8 +131,15 @@ class Sets:
 POSTING = "word long, name long, sketch long, doc long, place long, where long"
 
 
-def _post(levels):
-    """Postings of each batch's different sets; copies inside the batch are posted as such (at -2)."""
+# Level of a cell that counts one word.
+ONCE = 8
+
+
+def _post(levels, marked=None):
+    """Postings of each batch's different sets; copies inside the batch are posted as such (at -2).
+
+    With ``marked`` just the postings under words whose cells are marked.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (c for batch in batches for c in chunks(batch, "_text")):
@@ -144,8 +155,16 @@ def _post(levels):
             prefix = np.where(sets.size >= 4, sets.size - needed(sets.size) + 1, 0)[alone]
             set_of = np.repeat(alone, prefix)
             at = np.arange(prefix.sum()) - np.repeat(np.cumsum(prefix) - prefix, prefix)
+            word = sets.words[sets.start[set_of] + at]
+            cell = _cell(word)
+            # A cell that counts one word is that word's only place.
+            met = levels.value[cell] > ONCE
+            if marked is not None:
+                met &= marked.value[cell] > 0
+                alone, copies = alone[:0], copies[:0]
+            set_of, at, word = set_of[met], at[met], word[met]
             rows = np.concatenate((alone, set_of, copies))
-            word = np.concatenate((sets.name[alone], sets.words[sets.start[set_of] + at].view(np.int64), mixed(sets.doc[copies]).view(np.int64)))
+            word = np.concatenate((sets.name[alone], word.view(np.int64), mixed(sets.doc[copies]).view(np.int64)))
             where = np.concatenate((np.full(len(alone), -1), at, np.full(len(copies), -2)))
             columns = (word, sets.name[rows], sets.sketch[rows], sets.doc[rows], sets.place[rows], sets.size[rows] << 32 | (where + 2))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [c.split()[0] for c in POSTING.split(", ")])
@@ -153,7 +172,8 @@ def _post(levels):
     return run
 
 
-FOUND = "doc long, place long, other long, other_place long, more boolean"
+# Where ``more`` is set, ``word`` is the list that holds more candidates of the line.
+FOUND = "doc long, place long, other long, other_place long, more boolean, word long"
 
 
 def _candidates(size, at, sketch, i, j):
@@ -164,11 +184,16 @@ def _candidates(size, at, sketch, i, j):
     return fits & (np.bitwise_count(sketch[i] ^ sketch[j]) <= a + b - 2 * share)
 
 
-def _match(rows: dict[str, np.ndarray], first: int | None) -> list[np.ndarray]:
-    """Copies and candidate pairs of whole lists, sorted by (word, name, doc, place)."""
+def _match(rows: dict[str, np.ndarray], first: int | None, lists: bool = False) -> list[np.ndarray]:
+    """Copies and candidate pairs of whole lists, sorted by (word, name, doc, place); with ``lists`` each one's word too."""
     rows = rows | {"size": rows["where"] >> 32, "at": (rows["where"] & 0xFFFFFFFF) - 2}
+
+    def copied(which: np.ndarray) -> list[np.ndarray]:
+        n = int(which.sum())
+        return [rows["doc"][which], rows["place"][which], np.full(n, LAST), np.full(n, -1), np.zeros(n, bool), rows["word"][which]]
+
     copy = rows["at"] == -2
-    out = [[rows["doc"][copy], rows["place"][copy], np.full(copy.sum(), LAST), np.full(copy.sum(), -1), np.zeros(copy.sum(), bool)]]
+    out = [copied(copy)]
     rows = {k: v[~copy] for k, v in rows.items()}
     group = rows["at"] == -1
     word, name = rows["word"], rows["name"]
@@ -176,8 +201,7 @@ def _match(rows: dict[str, np.ndarray], first: int | None) -> list[np.ndarray]:
     new[1:] = (word[1:] != word[:-1]) | (group[1:] != group[:-1]) | (name[1:] != name[:-1])
     origin = np.maximum.accumulate(np.where(new, np.arange(len(word)), 0))
     later = (rows["doc"] != rows["doc"][origin]) | (rows["place"] >> 32 != rows["place"][origin] >> 32)
-    copies = group & later
-    out.append([rows["doc"][copies], rows["place"][copies], np.full(copies.sum(), LAST), np.full(copies.sum(), -1), np.zeros(copies.sum(), bool)])
+    out.append(copied(group & later))
 
     keep = ~group & new
     word, size, at, sketch, doc, place, asked = (rows[k][keep] for k in ("word", "size", "at", "sketch", "doc", "place", "asked"))
@@ -190,6 +214,8 @@ def _match(rows: dict[str, np.ndarray], first: int | None) -> list[np.ndarray]:
 
     def nearest(later: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Of all candidates of each of these lines the nearest few, and whether it had more."""
+        strict = (doc[earlier] != doc[later]) | (place[earlier] >> 32 != place[later] >> 32)
+        later, earlier = later[strict], earlier[strict]
         order = np.lexsort((earlier, np.bitwise_count(sketch[later] ^ sketch[earlier]), later))
         later, earlier = later[order], earlier[order]
         fresh = np.flatnonzero(np.diff(later, prepend=-1))
@@ -216,9 +242,18 @@ def _match(rows: dict[str, np.ndarray], first: int | None) -> list[np.ndarray]:
             # All candidates of a line are in its block, so no more than the nearest are kept from it.
             pairs.append(nearest(j[good], i[good]))
     later, earlier, more = (np.concatenate(x) for x in zip(*pairs))
-    strict = (doc[earlier] != doc[later]) | (place[earlier] >> 32 != place[later] >> 32)
-    out.append([x[strict] for x in (doc[later], place[later], doc[earlier], place[earlier], more)])
-    return [np.concatenate(x) for x in zip(*out)]
+    out.append([doc[later], place[later], doc[earlier], place[earlier], more, word[later]])
+    return [np.concatenate(x) for x in zip(*out)][: None if lists else 5]
+
+
+def _ordered(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Rows of whole lists, sorted by word: without those that are alone under theirs, by (word, name, doc, place)."""
+    word = rows["word"]
+    new = np.concatenate(([True], word[1:] != word[:-1], [True])) if len(word) else np.zeros(1, bool)
+    alone = new[1:] & new[:-1] & ((rows["where"] & 0xFFFFFFFF) != 0)
+    rows = {k: v[~alone] for k, v in rows.items()}
+    order = np.lexsort([rows[k] for k in ("place", "doc", "name", "word")])
+    return {k: v[order] for k, v in rows.items()}
 
 
 def _scan_lists(first: int | None):
@@ -228,7 +263,7 @@ def _scan_lists(first: int | None):
         kept: dict[str, np.ndarray] = {}
 
         def told(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in _match(rows, first)], ["doc", "place", "other", "other_place", "more"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in _match(_ordered(rows), first, True)], [c.split()[0] for c in FOUND.split(", ")])
 
         for batch in batches:
             now = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in names}
@@ -271,12 +306,16 @@ def _collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _similar(left: pa.Array, right: pa.Array) -> pa.Array:
-    out = []
-    for a, b in zip(left.to_pylist(), right.to_pylist()):
-        x, y = np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8")
-        both = len(np.intersect1d(x, y, assume_unique=True))
-        out.append(5 * both >= 4 * (len(x) + len(y) - both))
-    return pa.array(out, pa.bool_())
+    sides = [left.cast(pa.large_binary()), right.cast(pa.large_binary())]
+    sizes = [pc.binary_length(side).to_numpy() // 8 for side in sides]
+    words = np.concatenate([np.frombuffer(b"".join(side.to_numpy(zero_copy_only=False)), "<u8") for side in sides])
+    pair = np.concatenate([np.repeat(np.arange(len(n)), n) for n in sizes])
+    # A word of a pair as one number; a set has each word once, so equal numbers are shared words.
+    number = mixed(words + mixed(pair))
+    order = np.argsort(number)
+    number = number[order]
+    both = np.bincount(pair[order[1:][number[1:] == number[:-1]]], minlength=len(sizes[0]))
+    return pa.array(5 * both >= 4 * (sizes[0] + sizes[1] - both), pa.bool_())
 
 
 def _low(column: str = "place"):
@@ -298,26 +337,36 @@ def _verified(read: DataFrame, found: DataFrame) -> DataFrame:
     return both.where(F.arrow_udf(_similar, "boolean")("_a", "_b")).select("doc", "place").distinct()
 
 
-def _lists(read: DataFrame, levels, first: int | None, asked: DataFrame | None) -> DataFrame:
-    postings = read.mapInArrow(_post(levels), POSTING)
-    if asked is not None:
-        marked = asked.withColumn("_a", F.lit(True))
-        postings = postings.join(marked, ["doc", "place"], "left").withColumn("asked", F.coalesce("_a", F.lit(False))).drop("_a")
-    met = postings.repartition("word").sortWithinPartitions("word", "name", "doc", "place")
+def _lists(read: DataFrame, levels, first: int | None, asked: DataFrame | None = None, marked=None) -> DataFrame:
+    postings = read.mapInArrow(_post(levels, marked), POSTING)
     if asked is None:
-        met = met.withColumn("asked", F.lit(True))
+        postings = postings.withColumn("asked", F.lit(True))
+    else:
+        known = asked.withColumn("_a", F.lit(True))
+        postings = postings.join(known, ["word", "doc", "place"], "left").withColumn("asked", F.coalesce("_a", F.lit(False))).drop("_a")
+    met = postings.repartition("word").sortWithinPartitions("word")
     return staged(met.mapInArrow(_scan_lists(first), FOUND), "candidates")
 
 
+def _mark_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cells = np.unique(_cell(batch.column("word").to_numpy()))
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(np.ones(len(cells), np.int64))], ["cell", "n"])
+
+
 def removed_lines(docs: DataFrame, text: str = "text", key: str = "doc_id", first: int = FIRST) -> DataFrame:
     """``_id, _hash, _removed``: line numbers, from 0, that have an earlier similar line."""
     read = docs.select(*_keyed(docs, text, key), F.col(f"`{text}`").alias("_text"))
-    levels = docs.sparkSession.sparkContext.broadcast(rarity(read))
-    found = _lists(read, levels, first, None)
+    context = docs.sparkSession.sparkContext
+    levels = context.broadcast(rarity(read))
+    found = _lists(read, levels, first)
     gone = staged(found.where("other_place < 0").select("doc", "place").unionByName(_verified(read, found)).distinct(), "gone")
-    open_lines = staged(found.where("more").select("doc", "place").distinct().join(gone, ["doc", "place"], "left_anti"), "open")
-    if open_lines.limit(1).count():
-        gone = gone.unionByName(_verified(read, _lists(read, levels, None, open_lines))).distinct()
+    more = found.where("more").select("word", "doc", "place").distinct()
+    asked = staged(more.join(gone, ["doc", "place"], "left_anti").select("word", "doc", "place"), "open")
+    if asked.limit(1).count():
+        # Only the lists that hold more candidates of a line without a match are put together again.
+        marked = context.broadcast(rarity(asked.select("word"), _mark_cells))
+        gone = gone.unionByName(_verified(read, _lists(read, levels, None, asked, marked))).distinct()
     return gone.groupBy(F.col("doc").alias("_id"), _low()).agg(F.sort_array(F.collect_set(F.shiftright("place", 32))).alias("_removed"))
 
 

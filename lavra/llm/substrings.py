@@ -62,7 +62,8 @@ def word_codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ends = np.concatenate(([0], np.cumsum(filled.to_numpy(zero_copy_only=False))))[ends]
         words = words.filter(filled)
     coded = words.dictionary_encode()
-    known = coded.dictionary.cast(pa.binary()).to_pylist()
+    # One call for all words: to_pylist makes a scalar of each first, which took more time than all else here.
+    known = coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
     return np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known)), coded.indices.to_numpy(), np.diff(ends)
 
 

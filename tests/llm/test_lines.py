@@ -1,8 +1,10 @@
 import random
 import tracemalloc
 from fractions import Fraction
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from lavra.llm import lines
@@ -92,3 +94,44 @@ def test_a_list_of_template_lines_keeps_only_the_nearest():
     doc, _, other, _, more = out
     assert len(doc) == 4 * n - 10 and more.sum() > 3 * n and peak < 300 << 20
     assert (other[doc == 100] % 3 == 1).all() and sorted(other[doc == 100]) == [1, 4, 7, 10]
+
+
+def test_rows_of_lists_come_sorted_by_word_only():
+    """A list's rows are ordered where they are compared, and what is alone under its word takes no part; copies stay."""
+    rng = np.random.default_rng(2)
+    n = 400
+    rows = {
+        "word": np.sort(rng.integers(0, 150, n)), "name": rng.integers(0, 30, n), "sketch": np.zeros(n, np.int64), "doc": rng.permutation(n),
+        "place": np.zeros(n, np.int64), "where": np.where(rng.random(n) < 0.1, 10 << 32, 10 << 32 | 2), "asked": np.ones(n, bool),
+    }
+    order = np.lexsort([rows[k] for k in ("place", "doc", "name", "word")])
+    whole = lines._match({k: v[order] for k, v in rows.items()}, 4, True)
+    assert set(zip(*(x.tolist() for x in lines._match(lines._ordered(rows), 4, True)))) == set(zip(*(x.tolist() for x in whole)))
+    number = dict(zip(*np.unique(rows["word"], return_counts=True)))
+    left = lines._ordered(rows)
+    assert all(number[w] > 1 or at == 10 << 32 for w, at in zip(left["word"], left["where"])) and len(left["word"]) < n
+
+
+def test_words_that_occur_once_are_not_posted_and_marked_lists_are_posted_alone():
+    texts = [" ".join([*(f"c{k}" for k in range(12)), f"only{i}"]) for i in range(3)]
+    part = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(3)), pa.array(range(3))], ["_text", "_id", "_hash"])
+    levels = np.full(lines.CELLS, 16, np.uint8)
+    once = lines._cell(lines.word_hashes(pa.array([f"only{i}" for i in range(3)]))[0])
+    levels[once] = lines.ONCE
+    every = pa.Table.from_batches(lines._post(SimpleNamespace(value=levels))(iter([part])))
+    # Three words of thirteen are a prefix: one is each line's own. A row more is the whole set's.
+    assert every.num_rows == 3 * (3 - 1) + 3
+    marked = np.zeros(lines.CELLS, np.uint8)
+    word = every.column("word").to_numpy()[every.column("where").to_numpy() & 0xFFFFFFFF > 1]
+    marked[lines._cell(word[:1])] = 1
+    again = pa.Table.from_batches(lines._post(SimpleNamespace(value=levels), SimpleNamespace(value=marked))(iter([part])))
+    assert set(again.column("word").to_pylist()) == {int(word[0])}
+
+
+def test_a_line_with_many_variants_at_its_own_place_meets_earlier_ones(spark):
+    """Rows that repeat a key are one document: variants of a line at its own place are no candidates, and leave room for those that are."""
+    common = [f"c{i}" for i in range(40)]
+    rows = [(7, " ".join([*common, f"x{i}"]), "en", "s", 1) for i in range(12)] + [(3, " ".join([*common[:38], "a", "b", "c"]), "en", "s", 1)]
+    found = {tuple(r["_removed"]) for r in lines.removed_lines(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()}
+    gone = lines.mark_lines(spark.createDataFrame(rows, SCHEMA)).where("doc_id = 7").collect()
+    assert found == {(0,)} and [r.removed for r in gone] == [[0]] * 12
