@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lavra.llm.substrings import PIECE_BYTES, chunks, word_hashes
+from lavra.llm.substrings import PIECE_BYTES, chunks, word_codes
 from lavra.llm.text import columns_of
 from lavra.session import staged
 
@@ -76,13 +76,18 @@ class Network:
             small(SIDE, WIDTH), np.zeros((WIDTH, SIDE), np.float32), np.log(square / rows[:, None]).astype(np.float32),
         )
 
-    def _hidden(self, around: np.ndarray) -> np.ndarray:
-        return np.tanh(sum(self.inputs[around[:, k] + OFFSETS[k]] for k in range(2 * REACH)))
+    def _hidden(self, near: np.ndarray) -> np.ndarray:
+        """From the rows of ``inputs`` that lie around, offset by offset."""
+        return np.tanh(self.inputs.take(near, axis=0).reshape(2 * REACH, -1, WIDTH).sum(axis=0))
 
     def _outputs(self, hidden: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        shifted = hidden + self.chosen[row]
-        first = _log_softmax(hidden @ self.rows + self.row_bias)
-        return first, shifted, _log_softmax(shifted @ self.columns + self.column_bias[row])
+        """Not yet normalised."""
+        first = hidden @ self.rows
+        first += self.row_bias
+        shifted = hidden + self.chosen.take(row, axis=0)
+        second = shifted @ self.columns
+        second += self.column_bias.take(row, axis=0)
+        return first, shifted, second
 
     def log_probability(self, codes: np.ndarray, around: np.ndarray) -> np.ndarray:
         """Log-probability of every code given those around it."""
@@ -90,26 +95,34 @@ class Network:
         for at in range(0, len(codes), SCORED):
             some = codes[at : at + SCORED]
             row, column, i = some // SIDE, some % SIDE, np.arange(len(some))
-            first, _, second = self._outputs(self._hidden(around[at : at + SCORED]), row)
-            out[at : at + SCORED] = first[i, row] + second[i, column]
+            first, _, second = self._outputs(self._hidden(_near(around[at : at + SCORED])), row)
+            out[at : at + SCORED] = _log_softmax_at(first, i, row) + _log_softmax_at(second, i, column)
         return out
 
     def gradients(self, codes: np.ndarray, around: np.ndarray) -> tuple[list[np.ndarray], list[tuple]]:
         """Of the mean loss: of the output layers, and (table, rows, changes) of the tables in use."""
+        # In the order of their rows, so that what belongs to a row lies together.
+        order = np.argsort((codes // SIDE).astype(np.uint16), kind="stable")
+        codes, around = codes[order], around[order]
         row, column, i = codes // SIDE, codes % SIDE, np.arange(len(codes))
-        hidden = self._hidden(around)
+        near = _near(around)
+        hidden = self._hidden(near)
         first, shifted, second = self._outputs(hidden, row)
-        first, second = np.exp(first), np.exp(second)
-        first[i, row] -= 1
-        second[i, column] -= 1
-        first, second = first / np.float32(len(codes)), second / np.float32(len(codes))
+        share = np.float32(1 / len(codes))
+        first, second = _softmax(first, share), _softmax(second, share)
+        first[i, row] -= share
+        second[i, column] -= share
         back = second @ self.columns.T
         down = (first @ self.rows.T + back) * (1 - hidden * hidden)
         dense = [hidden.T @ first, first.sum(axis=0), shifted.T @ second]
-        both = np.concatenate((back, second), axis=1)
-        chosen, changes = _by_row(row, both)
-        near = _by_row((around + OFFSETS).T.ravel(), np.tile(down, (2 * REACH, 1)))
-        return dense, [(self.chosen, chosen, changes[:, :WIDTH]), (self.column_bias, chosen, changes[:, WIDTH:]), (self.inputs, *near)]
+        starts = _starts(row)
+        chosen, back, second = row[starts], _added(back, starts), _added(second, starts)
+        return dense, [(self.chosen, chosen, back), (self.column_bias, chosen, second), (self.inputs, *_by_row(near, down))]
+
+
+def _near(around: np.ndarray) -> np.ndarray:
+    """Rows of the table of inputs, offset by offset."""
+    return (around.T + OFFSETS[:, None]).ravel()
 
 
 class Trainer:
@@ -127,24 +140,59 @@ class Trainer:
             seen += change * change
             part -= self.rate * change / np.sqrt(seen)
         for (table, rows, change), seen in zip(tables, self.tables):
-            squares = seen[rows] + np.einsum("ij,ij->i", change, change)[:, None] / np.float32(change.shape[1])
+            squares = seen.take(rows, axis=0) + np.einsum("ij,ij->i", change, change)[:, None] / np.float32(change.shape[1])
             seen[rows] = squares
-            table[rows] -= change * (self.rate / np.sqrt(squares))
+            table[rows] = table.take(rows, axis=0) - change * (np.float32(self.rate) / np.sqrt(squares))
+
+
+# Numbers up to this, either way, need no shift before they are raised.
+TAME = 40
+
+
+def _tame(x: np.ndarray) -> np.ndarray:
+    """Rows that can be raised: as they are, or each less its own maximum."""
+    if not x.size or max(x.max(), -x.min()) < TAME:
+        return x
+    return x - x.max(axis=1, keepdims=True)
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
-    """Along the rows, each from its own maximum."""
-    x = x - x.max(axis=1, keepdims=True)
+    """Along the rows, each from its own maximum where it has to be."""
+    x = _tame(x)
     return x - np.log(np.exp(x) @ np.ones(x.shape[1], x.dtype))[:, None]
 
 
+def _log_softmax_at(x: np.ndarray, row: np.ndarray, column: np.ndarray) -> np.ndarray:
+    """One number of each row."""
+    x = _tame(x)
+    return x[row, column] - np.log(np.exp(x) @ np.ones(x.shape[1], x.dtype))
+
+
+def _softmax(x: np.ndarray, share: np.floating) -> np.ndarray:
+    """Times a share."""
+    x = np.exp(_tame(x))
+    x *= (share / (x @ np.ones(x.shape[1], x.dtype)))[:, None]
+    return x
+
+
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers begins."""
+    return np.flatnonzero(np.concatenate(([True] * (len(ordered) > 0), ordered[1:] != ordered[:-1])))
+
+
+def _added(x: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows; two columns go as one complex number, which halves the number of sums."""
+    return np.add.reduceat(x.view(np.result_type(x, np.complex64)), starts, axis=0).view(x.dtype)
+
+
 def _by_row(rows: np.ndarray, change: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Changes added up by table row."""
+    """Changes added up by table row; they come round again for each offset."""
     # Row numbers fit 16 bits, which are sorted digit by digit.
     order = np.argsort(rows.astype(np.uint16), kind="stable")
     ordered = rows[order]
-    new = np.flatnonzero(np.diff(ordered, prepend=-1))
-    return ordered[new], np.add.reduceat(change[order], new, axis=0)
+    new = _starts(ordered)
+    which = np.tile(np.arange(len(change)), len(rows) // len(change)).take(order)
+    return ordered[new], _added(change.take(which, axis=0), new)
 
 
 def encode(hashes: np.ndarray, own: np.ndarray, number: np.ndarray) -> np.ndarray:
@@ -165,23 +213,26 @@ def surroundings(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.stack([padded[place + o] for o in range(-REACH, REACH + 1) if o], axis=1)
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _parts(batches: Iterator[pa.RecordBatch], own: np.ndarray, number: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes of words, and the number of words of each text; each different word is looked up once."""
     for part in (c for batch in batches for c in chunks(batch, "_text", PIECE_BYTES)):
-        yield word_hashes(part.column("_text"))
+        known, code, counts = word_codes(part.column("_text"))
+        yield encode(known, own, number)[code], counts
 
 
 def _coded(batches: Iterator[pa.RecordBatch], own: np.ndarray, number: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Codes of the words of many texts at once, and the number of words of each text."""
     for part in (c for batch in batches for c in chunks(batch, "_text")):
-        pieces = [(encode(hashes, own, number).astype(np.int16), counts) for hashes, counts in _parts(iter([part]))]
+        pieces = [(codes.astype(np.int16), counts) for codes, counts in _parts(iter([part]), own, number)]
         codes, counts = zip(*pieces)
         yield np.concatenate(codes), np.concatenate(counts)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for hashes, _ in _parts(batches):
-        words, times = np.unique(hashes, return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(times)], ["word", "n"])
+    for part in (c for batch in batches for c in chunks(batch, "_text", PIECE_BYTES)):
+        known, code, _ = word_codes(part.column("_text"))
+        times = np.bincount(code, minlength=len(known))
+        yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(times)], ["word", "n"])
 
 
 def _train(network: np.ndarray, own: np.ndarray, number: np.ndarray, rate: float, seed: int):
@@ -276,15 +327,13 @@ def _shared_words(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coded = sent.value
         for part in (c for batch in batches for c in chunks(batch, "_text", PIECE_BYTES)):
-            words, counts = word_hashes(part.column("_text"))
-            shared = encode(words, coded.own, coded.number) >= OWN
-            texts, words = np.repeat(part.column("_hash").to_numpy(), counts)[shared], words[shared]
-            order = np.lexsort((words, texts))
-            texts, words = texts[order], words[order]
-            new = np.ones(len(words), bool)
-            new[1:] = (words[1:] != words[:-1]) | (texts[1:] != texts[:-1])
-            at = np.flatnonzero(new)
-            columns = (texts[at], words[at].view(np.int64), np.diff(np.append(at, len(words))))
+            known, code, counts = word_codes(part.column("_text"))
+            texts, copy_of = np.unique(part.column("_hash").to_numpy(), return_inverse=True)
+            shared = (encode(known, coded.own, coded.number) >= OWN)[code]
+            # Text and word as one number, so that they are sorted as numbers.
+            both = np.sort((np.repeat(copy_of, counts)[shared] << 32) | code[shared])
+            at = _starts(both)
+            columns = (texts[both[at] >> 32], known[both[at] & 0xFFFFFFFF].view(np.int64), np.diff(np.append(at, len(both))))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_hash", "word", "times"])
 
     return run
@@ -320,8 +369,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         inside[:OWN] = 0
         words, sums = [], []
         whole = pa.RecordBatch.from_arrays([texts], ["_text"])
-        for hashes, counts in _parts(iter([whole] if len(texts) else [])):
-            codes = encode(hashes, fitted.own, fitted.number)
+        for codes, counts in _parts(iter([whole] if len(texts) else []), fitted.own, fitted.number):
             each = networks[0].log_probability(codes, surroundings(codes, counts)) + inside[codes]
             total = np.concatenate(([0.0], np.cumsum(each)))
             ends = np.concatenate(([0], np.cumsum(counts)))

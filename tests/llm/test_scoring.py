@@ -1,4 +1,5 @@
 import random
+import time
 import tracemalloc
 from types import SimpleNamespace
 
@@ -7,6 +8,7 @@ import pyarrow as pa
 import xxhash
 
 from lavra.llm import scoring
+from lavra.llm.substrings import word_codes
 from tests.llm.data import SCHEMA, clashing, odd_rows
 
 
@@ -108,3 +110,31 @@ def test_a_large_batch_takes_little_memory():
         assert rows == 6000 * 200 and tracemalloc.get_traced_memory()[1] < 24 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_numbers_beside_the_own_maximum_and_shares():
+    """Rows that are raised as they are and rows that need a shift give the same as exact sums."""
+    rng = np.random.default_rng(3)
+    for x in (rng.normal(0, 3, (50, 8)), np.concatenate((rng.normal(0, 3, (50, 8)), np.full((1, 8), -300.0), np.full((1, 8), 300.0)))):
+        exact = x - np.log(np.exp(x - x.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)) - x.max(axis=1, keepdims=True)
+        row, column = np.arange(len(x)), rng.integers(0, 8, len(x))
+        small = x.astype(np.float32)
+        assert np.allclose(scoring._log_softmax_at(small, row, column), exact[row, column], atol=1e-4)
+        assert np.allclose(scoring._softmax(small, np.float32(0.5)), np.exp(exact) / 2, atol=1e-5)
+
+
+def test_words_leave_arrow_in_one_call():
+    """A scalar made of every word took several times what hashing them takes."""
+    words = [f"w{i}".encode() for i in range(200_000)]
+    texts = pa.array([" ".join(w.decode() for w in words)])
+
+    def least(run):
+        took = []
+        for _ in range(3):
+            start = time.process_time()
+            run()
+            took.append(time.process_time() - start)
+        return min(took)
+
+    hashing = least(lambda: np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)))
+    assert least(lambda: word_codes(texts)) < 3.5 * hashing
