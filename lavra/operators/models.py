@@ -5,7 +5,6 @@ from __future__ import annotations
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -18,7 +17,7 @@ from pyspark.util import inheritable_thread_target
 
 from lavra.operators.evaluate import binary_metrics, mean_over_folds
 from lavra.operators.features import assemble, balanced_weight, class_counts, fit_preparation
-from lavra.session import staged
+from lavra.session import scratch_path, staged
 
 SEED = 42
 
@@ -56,6 +55,8 @@ class ModelSpec:
                 maxDepth=p.get("max_depth") or DEEPEST,
                 minInstancesPerNode=p.get("min_samples_leaf", 1),
                 featureSubsetStrategy=str(p.get("max_features", "sqrt")),
+                # Rows keep the node that they are at in each tree; without, all trees are sent out and walked again for every level.
+                cacheNodeIds=True,
             )
         if self.name == "hist_gradient_boosting":
             return GBTClassifier(
@@ -164,24 +165,27 @@ def cross_predictions(
 ) -> DataFrame:
     """Out-of-fold scores of every candidate (name, kind, parameters), in one long table.
 
-    Candidates that want the same preparation share it within a fold, and all preparations of a fold what they measure. The driver waits for several
-    folds at a time; all work on rows is Spark's.
+    Candidates that want the same preparation share it within a fold, and all preparations of a fold what they measure. Scores are written as soon as
+    a model is fitted, so that the driver does not keep the models. It waits for several folds at a time; all work on rows is Spark's.
     """
-    def run_fold(k: int) -> list[DataFrame]:
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "scores")
+
+    def run_fold(k: int) -> list[str]:
         ready: dict[tuple, Prepared] = {}
         parts, train = [], df.where(F.col(fold) != k)
         measured = measure(train, label, numeric, categorical)
-        for name, spec, params in candidates:
+        for i, (name, spec, params) in enumerate(candidates):
             flavour = (spec.scale, spec.encoding)
             if flavour not in ready:
                 ready[flavour] = prepare(train, label, numeric, categorical, spec, measured)
             part = predict(ready[flavour].fit(spec, params), df.where(F.col(fold) == k), label)
-            parts.append(part.select(F.lit(name).alias("modelo"), F.lit(k).alias("fold"), "y_real", "y_pred", "score"))
+            parts.append(f"{path}/{k}-{i}")
+            part.select(F.lit(name).alias("modelo"), F.lit(k).alias("fold"), "y_real", "y_pred", "score").write.parquet(parts[-1])
         return parts
 
     with ThreadPool(min(parallelism, len(folds))) as pool:
-        scored = [p for parts in pool.map(inheritable_thread_target(df.sparkSession)(run_fold), folds) for p in parts]
-    return staged(reduce(lambda a, b: a.unionByName(b), scored), "scores")
+        scored = [p for parts in pool.map(inheritable_thread_target(spark)(run_fold), folds) for p in parts]
+    return spark.read.schema("modelo string, fold int, y_real int, y_pred int, score double").parquet(*scored)
 
 
 def cross_validate(

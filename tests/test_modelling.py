@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from lavra.operators import evaluate, explain, features, models, sampling, trees
 from lavra.operators.categories import slot_names
+from lavra.plans.queries import QUERIES
 from lavra.session import staged
 from lavra.sources.sinks import load_run, save_run
 
@@ -376,3 +378,26 @@ def test_folds_are_measured_once(spark, monkeypatch):
     specs = [models.LOGISTIC, models.ModelSpec("logistic_regression"), models.ModelSpec("logistic_regression", encoding="ordinal")]
     models.cross_predictions(folded, "y", ["x"], ["g"], [(str(i), s, {"max_iter": 2}) for i, s in enumerate(specs)], folds=[0, 1])
     assert len(calls) == 2
+
+
+def test_model_cv_compares_the_whole_models(spark, monkeypatch):
+    """Every fold gets the library's full ensembles. Only what is asked for is looked at: a short fit stands in for each."""
+    asked, own = [], models.Prepared.fit
+
+    def short(self, spec, params=None):
+        asked.append(spec.estimator(params or {}, self.rows))
+        return own(self, models.LOGISTIC, {"max_iter": 2})
+
+    monkeypatch.setattr(models.Prepared, "fit", short)
+    docs = spark.range(400).select(
+        F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") % 9 + 1).cast("int")).alias("text"), F.lit("en").alias("lang"),
+        F.concat(F.lit("src"), F.col("id") % 20).alias("source"), (F.col("id") % 9 * 5 + 5).alias("n_chars"),
+    )
+    labels = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 7 % 2).cast("int").alias("quality"))
+    table = QUERIES["model_cv"].run(SimpleNamespace(spark=spark, documents=docs, labels=labels))
+    assert table.count() == 3 and len(asked) == 3 * 4
+    forests = [e for e in asked if e.hasParam("numTrees")]
+    boosted = [e for e in asked if e.hasParam("stepSize")]
+    assert [(e.getNumTrees(), e.getMaxDepth(), e.getMinInstancesPerNode()) for e in forests] == [(400, models.DEEPEST, 1)] * 4
+    assert [(e.getMaxIter(), e.getStepSize(), e.getMaxDepth()) for e in boosted] == [(250, 0.08, 5)] * 4
+    assert {e.getSubsamplingRate() for e in forests + boosted} == {1.0}
