@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -24,6 +25,12 @@ SEED = 42
 # Spark's trees stop at this depth; an unlimited one is asked for as this.
 DEEPEST = 30
 
+# Training rows that are worth a task: a pass over them works on all trees of a forest, and else on one tree or the coefficients.
+FOREST_TASK_ROWS, TASK_ROWS = 10_000, 100_000
+
+# Training rows of the forests that are fitted at once; each row holds a count and a node for each of the trees.
+FOREST_ROWS = 100_000
+
 # Leaf counts of leaf-wise trees and the depth that gives about as many leaves.
 DEPTH_FOR_LEAVES = {15: 4, 31: 5, 63: 6}
 
@@ -133,7 +140,11 @@ def prepare(
         F.col(label).cast("double").alias("label"),
         balanced_weight(label, negatives, positives).alias("weight"),
     )
-    return Prepared(stages, slots, staged(vectors, "vectors"), negatives + positives, list(numeric), list(categorical))
+    rows = negatives + positives
+    # Each task sends sums of all nodes of a level, so there are no more of them than cores, however many rows there are.
+    worth = FOREST_TASK_ROWS if spec.name == "random_forest" else TASK_ROWS
+    tasks = max(1, min(train.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / worth)))
+    return Prepared(stages, slots, staged(vectors.repartition(tasks), "vectors"), rows, list(numeric), list(categorical))
 
 
 def fit(
@@ -166,25 +177,37 @@ def cross_predictions(
     """Out-of-fold scores of every candidate (name, kind, parameters), in one long table.
 
     Candidates that want the same preparation share it within a fold, and all preparations of a fold what they measure. Scores are written as soon as
-    a model is fitted, so that the driver does not keep the models. It waits for several folds at a time; all work on rows is Spark's.
+    a model is fitted, so that the driver does not keep the models. It waits for several folds at a time, and for forests beside them, as many as
+    their rows allow; all work on rows is Spark's.
     """
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "scores")
-
-    def run_fold(k: int) -> list[str]:
-        ready: dict[tuple, Prepared] = {}
-        parts, train = [], df.where(F.col(fold) != k)
-        measured = measure(train, label, numeric, categorical)
-        for i, (name, spec, params) in enumerate(candidates):
-            flavour = (spec.scale, spec.encoding)
-            if flavour not in ready:
-                ready[flavour] = prepare(train, label, numeric, categorical, spec, measured)
-            part = predict(ready[flavour].fit(spec, params), df.where(F.col(fold) == k), label)
+    flavours: dict[tuple, list[int]] = {}
+    for i, (_, spec, _) in enumerate(candidates):
+        flavours.setdefault((spec.scale, spec.encoding), []).append(i)
+
+    def measure_fold(k: int) -> tuple:
+        return measure(df.where(F.col(fold) != k), label, numeric, categorical)
+
+    def run(k: int, own: list[int]) -> list[str]:
+        parts = []
+        ready = prepare(df.where(F.col(fold) != k), label, numeric, categorical, candidates[own[0]][1], measured[k])
+        for i in own:
+            name, spec, params = candidates[i]
+            part = predict(ready.fit(spec, params), df.where(F.col(fold) == k), label)
             parts.append(f"{path}/{k}-{i}")
             part.select(F.lit(name).alias("modelo"), F.lit(k).alias("fold"), "y_real", "y_pred", "score").write.parquet(parts[-1])
         return parts
 
-    with ThreadPool(min(parallelism, len(folds))) as pool:
-        scored = [p for parts in pool.map(inheritable_thread_target(spark)(run_fold), folds) for p in parts]
+    threaded, waiting = inheritable_thread_target(spark), max(1, min(parallelism, len(folds)))
+    with ThreadPool(waiting) as pool:
+        measured = dict(zip(folds, pool.map(threaded(measure_fold), folds)))
+        rows = max(sum(counts) for counts, _ in measured.values())
+        with ThreadPool(max(1, min(waiting, FOREST_ROWS // max(1, rows)))) as forests:
+            begun = []
+            for own in flavours.values():
+                forest = any(candidates[i][1].name == "random_forest" for i in own)
+                begun += [(forests if forest else pool).apply_async(threaded(run), (k, own)) for k in folds]
+            scored = [part for parts in begun for part in parts.get()]
     return spark.read.schema("modelo string, fold int, y_real int, y_pred int, score double").parquet(*scored)
 
 

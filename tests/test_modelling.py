@@ -401,3 +401,29 @@ def test_model_cv_compares_the_whole_models(spark, monkeypatch):
     assert [(e.getNumTrees(), e.getMaxDepth(), e.getMinInstancesPerNode()) for e in forests] == [(400, models.DEEPEST, 1)] * 4
     assert [(e.getMaxIter(), e.getStepSize(), e.getMaxDepth()) for e in boosted] == [(250, 0.08, 5)] * 4
     assert {e.getSubsamplingRate() for e in forests + boosted} == {1.0}
+
+
+def test_forests_are_fitted_within_their_rows(labelled, monkeypatch):
+    """Forests of many rows are fitted one at a time and over several tasks; every row is scored once by each candidate."""
+    now, most, tasks, own = set(), [], [], models.Prepared.fit
+
+    def fit(self, spec, params=None):
+        if spec.name == "random_forest":
+            now.add(id(self))
+            most.append(len(now))
+            tasks.append(self.vectors.rdd.getNumPartitions())
+        out = own(self, spec, params)
+        now.discard(id(self))
+        return out
+
+    monkeypatch.setattr(models.Prepared, "fit", fit)
+    monkeypatch.setattr(models, "FOREST_ROWS", 300)
+    monkeypatch.setattr(models, "FOREST_TASK_ROWS", 100)
+    folded = labelled.withColumn("fold", F.col("id") % 2)
+    small = {"n_estimators": 3, "max_depth": 2}
+    candidates = [("a", models.FOREST, small), ("b", models.LOGISTIC, {"max_iter": 2}), ("c", models.FOREST, {**small, "max_features": "log2"})]
+    scores = models.cross_predictions(folded, "y", ["x", "z"], ["g"], candidates, folds=[0, 1])
+    assert most == [1] * 4 and tasks == [2, 2, 3, 3]
+    got = {(r["modelo"], r["fold"]): (r["n"], r["ones"]) for r in scores.groupBy("modelo", "fold").agg(F.count("score").alias("n"), F.sum("y_real").alias("ones")).collect()}
+    sides = {r["fold"]: (r["n"], r["ones"]) for r in folded.groupBy("fold").agg(F.count("*").alias("n"), F.sum("y").alias("ones")).collect()}
+    assert got == {(m, k): sides[k] for m in "abc" for k in (0, 1)}
